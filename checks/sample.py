@@ -47,15 +47,26 @@ class Sample:
         return self._stage(P.PRODUCTS, rows, ("p_partkey",))
 
     @cached_property
-    def staged(self) -> dict[str, DataFrame]:
-        """Cleaned staged rows of the three kinds."""
-        _ = self.raw_customers, self.raw_products, self.raw_sales
-        return {kind.name: self.warehouse.staged(kind)
-                for kind in (P.CUSTOMERS, P.PRODUCTS, P.SALES)}
+    def sales(self) -> DataFrame:
+        """Validated staged sales, duplicates included."""
+        _ = self.raw_sales
+        return self.warehouse.staged(P.SALES)
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        """Cleaned staged customers."""
+        _ = self.raw_customers
+        return self.warehouse.staged(P.CUSTOMERS)
+
+    @cached_property
+    def products(self) -> DataFrame:
+        """Cleaned staged products."""
+        _ = self.raw_products
+        return self.warehouse.staged(P.PRODUCTS)
 
     @cached_property
     def star(self) -> S.Star:
-        _ = self.staged
+        _ = self.customers, self.products, self.sales
         self.warehouse.load_staged(self.as_of)
         return self.warehouse.star()
 

@@ -37,10 +37,13 @@ def pending_files(files: DataFrame, state: DataFrame, process_name: str,
 
 
 class Ledger:
+    """The log at a path. Process rows are small and few, one per step and source file, so
+    their scalars are read once and then followed on the driver."""
+
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
-        self._last_id: int | None = None
+        self._known: list[dict] | None = None
 
     def events(self) -> DataFrame:
         try:
@@ -51,39 +54,44 @@ class Ledger:
     def state(self) -> DataFrame:
         return latest_events(self.events(), "process_id", ["event_time", "end_time"])
 
+    def _processes(self) -> list[dict]:
+        if self._known is None:
+            rows = self.events().collect()
+            self._known = sorted((row.asDict() for row in rows),
+                                 key=lambda row: row["process_id"])
+        return self._known
+
+    def _completed(self, process_name: str) -> list[dict]:
+        return [row for row in self._processes()
+                if row["process_name"] == process_name and row["status"] == COMPLETED]
+
     def outputs(self, process_name: str) -> list[tuple[str, str]]:
         """(source, output) of completed processes, oldest first."""
-        rows = (
-            self.events()
-            .where((F.col("process_name") == process_name) & (F.col("status") == COMPLETED))
-            .select("process_id", "source_file", "output").collect()
-        )
-        return [(row.source_file, row.output) for row in sorted(rows)]
+        return [(row["source_file"], row["output"]) for row in self._completed(process_name)]
 
     def total(self, process_name: str, count: str) -> int:
         """Sum of a count over the completed processes of a name."""
-        done = self.events().where((F.col("process_name") == process_name)
-                                   & (F.col("status") == COMPLETED))
-        return done.agg(F.sum(count)).first()[0] or 0
+        return sum(row[count] or 0 for row in self._completed(process_name))
 
     def _append(self, rows: list[dict]) -> None:
         now = dt.datetime.now(dt.timezone.utc)
         names = LEDGER.fieldNames()
-        data = [tuple({**row, "event_time": now}.get(name) for name in names) for row in rows]
+        full = [{name: {**row, "event_time": now}.get(name) for name in names} for row in rows]
+        data = [tuple(row.values()) for row in full]
         self.spark.createDataFrame(data, LEDGER).coalesce(1).write.mode("append").parquet(
             self.path
         )
+        self._processes().extend(full)
 
     def open(self, process_name: str, sources: list[str | None]) -> list[dict]:
         """Open one process per source, in one write."""
-        if self._last_id is None:
-            self._last_id = self.events().agg(F.max("process_id")).first()[0] or 0
+        last = max((row["process_id"] for row in self._processes()), default=0)
         started = dt.datetime.now(dt.timezone.utc)
-        opened = []
-        for source in sources:
-            self._last_id += 1
-            opened.append({"process_id": self._last_id, "process_name": process_name,
-                           "source_file": source, "start_time": started, "status": RUNNING})
+        opened = [
+            {"process_id": last + place, "process_name": process_name, "source_file": source,
+             "start_time": started, "status": RUNNING}
+            for place, source in enumerate(sources, 1)
+        ]
         self._append(opened)
         return opened
 
