@@ -39,12 +39,12 @@ class Sample:
     @cached_property
     def raw_customers(self) -> DataFrame:
         rows = R.customer_rows(self.spark, self.folder)
-        return self._stage(P.CUSTOMERS, rows, ("c_custkey",))
+        return self._stage(P.CUSTOMERS, rows, R.CUSTOMERS_ORDER)
 
     @cached_property
     def raw_products(self) -> DataFrame:
         rows = R.product_rows(self.spark, self.folder)
-        return self._stage(P.PRODUCTS, rows, ("p_partkey",))
+        return self._stage(P.PRODUCTS, rows, R.PRODUCTS_ORDER)
 
     @cached_property
     def sales(self) -> DataFrame:
@@ -66,7 +66,8 @@ class Sample:
 
     @cached_property
     def star(self) -> S.Star:
-        _ = self.customers, self.products, self.sales
+        P.together(self.spark, lambda: self.customers, lambda: self.products,
+                   lambda: self.sales)
         self.warehouse.load_staged(self.as_of)
         return self.warehouse.star()
 

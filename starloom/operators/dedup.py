@@ -27,9 +27,11 @@ def latest_by_key(staged: DataFrame, key: tuple[str, ...], order: str = "staging
 
 def latest_valid_sales(staged: DataFrame) -> DataFrame:
     """Valid sales that survive, for rows with a complete key: what the fact load reads."""
+    valid = F.col("processed_flag") & F.col("error_message").isNull()
     keyed = staged.where(F.col("order_id").isNotNull() & F.col("product_id").isNotNull())
-    return latest_by_key(keyed, KEY).where(
-        F.col("processed_flag") & F.col("error_message").isNull()
+    slim = keyed.withColumn("_valid", valid).drop("processed_flag", "error_message")
+    return latest_by_key(slim, KEY).where("_valid").drop("_valid").withColumns(
+        {"processed_flag": F.lit(True), "error_message": F.lit(None).cast("string")}
     )
 
 

@@ -20,8 +20,10 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,6 +68,13 @@ RESOLVE = "RESOLVE_SALES"
 _JOIN = "\n"
 
 
+def together(spark: SparkSession, *steps: Callable[[], object]) -> None:
+    """Run steps that do not depend on each other at the same time."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]:
+            done.result()
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str, rules: S.Rules = S.Rules()):
         self.spark = spark
@@ -301,10 +310,10 @@ class Warehouse:
             path = (f"{self.root}/agg_sales_daily/run-{process_id}" if rebuild
                     else outputs[-1][1])
             daily = facts.with_month(with_agg_key(daily_aggregates(fact)))
-            # Cluster the files by month and day; the key splits a busy month over tasks.
-            (daily.repartitionByRange("order_month", "agg_key").write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy("order_month")
-             .parquet(path))
+            # Gather each month into few files; AQE splits a busy month over tasks.
+            (daily.hint("rebalance", F.col("order_month"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("order_month").parquet(path))
             return [{"output": path}]
 
         self._run(LOAD_AGGREGATES, [_JOIN.join(fresh)], work)
@@ -312,9 +321,13 @@ class Warehouse:
     # -- runs ------------------------------------------------------------------------
 
     def _ingest(self, folder: str, load_time: dt.datetime) -> None:
-        for kind in (CUSTOMERS, PRODUCTS, SALES):
-            self.extract(kind, folder)
-            self.transform(kind, load_time)
+        def ingest(kind: Kind) -> Callable[[], None]:
+            def steps() -> None:
+                self.extract(kind, folder)
+                self.transform(kind, load_time)
+            return steps
+
+        together(self.spark, ingest(CUSTOMERS), ingest(PRODUCTS), ingest(SALES))
 
     def run_full(self, folder: str, as_of: dt.date, load_time: dt.datetime | None = None
                  ) -> None:
@@ -323,8 +336,9 @@ class Warehouse:
         self.load_staged(as_of)
 
     def load_staged(self, as_of: dt.date) -> None:
-        self.load_dimension(dimensions.CUSTOMER, as_of)
-        self.load_dimension(dimensions.PRODUCT, as_of)
+        together(self.spark,
+                 lambda: self.load_dimension(dimensions.CUSTOMER, as_of),
+                 lambda: self.load_dimension(dimensions.PRODUCT, as_of))
         self.load_facts()
         self.load_aggregates()
 
@@ -336,14 +350,17 @@ class Warehouse:
         self.load_new(as_of)
 
     def load_new(self, as_of: dt.date) -> None:
-        for dimension, kind, process in (
-            (dimensions.CUSTOMER, CUSTOMERS, LOAD_CUSTOMERS),
-            (dimensions.PRODUCT, PRODUCTS, LOAD_PRODUCTS),
-        ):
-            loads = self._unused(kind, process)
-            if loads:
-                self.load_dimension(dimension, as_of, loads)
-        self.load_facts(self._unused(SALES, LOAD_FACTS))
+        """Load what is staged and not loaded. Sales held back can only be released by new
+        dimension rows."""
+        customers = self._unused(CUSTOMERS, LOAD_CUSTOMERS)
+        products = self._unused(PRODUCTS, LOAD_PRODUCTS)
+        sales = self._unused(SALES, LOAD_FACTS)
+        if customers:
+            self.load_dimension(dimensions.CUSTOMER, as_of, customers)
+        if products:
+            self.load_dimension(dimensions.PRODUCT, as_of, products)
+        if customers or products or sales:
+            self.load_facts(sales)
         self.load_aggregates(rebuild=False)
 
     def _unused(self, kind: Kind, process: str) -> list[str]:

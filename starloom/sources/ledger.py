@@ -9,6 +9,7 @@ half-way leaves nothing visible behind. One writer at a time is assumed.
 from __future__ import annotations
 
 import datetime as dt
+from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +45,7 @@ class Ledger:
         self.spark = spark
         self.path = path
         self._known: list[dict] | None = None
+        self._lock = RLock()
 
     def events(self) -> DataFrame:
         try:
@@ -55,11 +57,12 @@ class Ledger:
         return latest_events(self.events(), "process_id", ["event_time", "end_time"])
 
     def _processes(self) -> list[dict]:
-        if self._known is None:
-            rows = self.events().collect()
-            self._known = sorted((row.asDict() for row in rows),
-                                 key=lambda row: row["process_id"])
-        return self._known
+        with self._lock:
+            if self._known is None:
+                rows = self.events().collect()
+                self._known = sorted((row.asDict() for row in rows),
+                                     key=lambda row: row["process_id"])
+            return self._known
 
     def _completed(self, process_name: str) -> list[dict]:
         return [row for row in self._processes()
@@ -78,22 +81,24 @@ class Ledger:
         names = LEDGER.fieldNames()
         full = [{name: {**row, "event_time": now}.get(name) for name in names} for row in rows]
         data = [tuple(row.values()) for row in full]
-        self.spark.createDataFrame(data, LEDGER).coalesce(1).write.mode("append").parquet(
-            self.path
-        )
-        self._processes().extend(full)
+        with self._lock:
+            known = self._processes()
+            (self.spark.createDataFrame(data, LEDGER).coalesce(1)
+             .write.mode("append").parquet(self.path))
+            known.extend(full)
 
     def open(self, process_name: str, sources: list[str | None]) -> list[dict]:
         """Open one process per source, in one write."""
-        last = max((row["process_id"] for row in self._processes()), default=0)
-        started = dt.datetime.now(dt.timezone.utc)
-        opened = [
-            {"process_id": last + place, "process_name": process_name, "source_file": source,
-             "start_time": started, "status": RUNNING}
-            for place, source in enumerate(sources, 1)
-        ]
-        self._append(opened)
-        return opened
+        with self._lock:
+            last = max((row["process_id"] for row in self._processes()), default=0)
+            started = dt.datetime.now(dt.timezone.utc)
+            opened = [
+                {"process_id": last + place, "process_name": process_name,
+                 "source_file": source, "start_time": started, "status": RUNNING}
+                for place, source in enumerate(sources, 1)
+            ]
+            self._append(opened)
+            return opened
 
     def close(self, opened: list[dict], results: list[dict]) -> None:
         now = dt.datetime.now(dt.timezone.utc)

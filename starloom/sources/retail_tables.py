@@ -22,14 +22,25 @@ RULES = replace(
 AS_OF = dt.date(2001, 6, 30)
 LOAD_TIME = dt.datetime(2001, 6, 30, 2, 0, tzinfo=dt.timezone.utc)
 
-SALES_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
-               "l_quantity", "l_shipdate", "l_discount", "l_tax")
+_LINE = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
+         "l_quantity", "l_shipdate", "l_discount", "l_tax")
+# The place in the table's files tells equal rows apart, so that a range of copies can be
+# split over tasks.
+_PLACE = ("_file", "_row")
+SALES_ORDER = (*_LINE, *_PLACE)
+CUSTOMERS_ORDER = ("c_custkey", *_PLACE)
+PRODUCTS_ORDER = ("p_partkey", *_PLACE)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _placed(table: DataFrame) -> DataFrame:
+    return table.select("*", F.col("_metadata.file_name").alias("_file"),
+                        F.col("_metadata.row_index").alias("_row"))
+
+
 def _id(prefix: str, key: str) -> Column:
     return F.concat(F.lit(prefix), F.col(key).cast("string"))
 
@@ -40,7 +51,7 @@ def _from_cents(cents: Column, kind) -> Column:
 
 def sales_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Order lines as sales, with the columns of SALES_ORDER for numbering."""
-    lines = _table(spark, folder, "lineitem").select(*SALES_ORDER)
+    lines = _placed(_table(spark, folder, "lineitem")).select(*SALES_ORDER)
     orders = _table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey",
         F.col("o_orderdate").cast("date").alias("order_date"),
@@ -78,9 +89,10 @@ def customer_rows(spark: SparkSession, folder: str) -> DataFrame:
     number = key.cast("string")
     email = F.when(key % 20 == 7, F.concat(F.lit("User"), number, F.lit(".example.com")))
     return (
-        _table(spark, folder, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        _placed(_table(spark, folder, "customer"))
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
-            "c_custkey",
+            *CUSTOMERS_ORDER,
             _id("CUST", "c_custkey").alias("customer_id"),
             F.concat(F.lit(" "), "c_name", F.lit(" ")).alias("customer_name"),
             email.otherwise(F.concat(F.lit(" User"), number, F.lit("@Example.com ")))
@@ -97,8 +109,8 @@ def product_rows(spark: SparkSession, folder: str) -> DataFrame:
     factor = (F.lit("0.50").cast("decimal(4,2)")
               + F.lit("0.06").cast("decimal(4,2)") * (F.col("p_partkey") % 10).cast("int"))
     msrp = F.col("p_retailprice").cast(PRICE)
-    return _table(spark, folder, "part").select(
-        "p_partkey",
+    return _placed(_table(spark, folder, "part")).select(
+        *PRODUCTS_ORDER,
         _id("PROD", "p_partkey").alias("product_id"),
         F.col("p_name").alias("product_name"), F.col("p_type").alias("category"),
         F.col("p_name").alias("subcategory"), F.col("p_brand").alias("supplier"),
