@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from starloom.schemas import AMOUNT, PERCENT, Rules
+from starloom.schemas import PERCENT, Rules
 
 
 def capitalise_first(col: Column) -> Column:
@@ -28,25 +29,21 @@ def ratio(top: Column, bottom: Column) -> Column:
     return top / F.nullif(bottom, F.lit(0).cast("int"))
 
 
-def _percent(col: Column) -> Column:
-    """Clip into DECIMAL(5,2), as a column of that type would hold it."""
-    bound = F.lit("999.99").cast(PERCENT)
-    return F.greatest(F.least(col, bound), -bound).cast(PERCENT)
+def fit(col: Column, kind: T.DecimalType) -> Column:
+    """Clip into a decimal type, as a column of that type would hold the value; NULL stays."""
+    bound = F.lit("9" * (kind.precision - kind.scale) + "." + "9" * kind.scale).cast(kind)
+    return F.when(col > bound, bound).when(col < -bound, -bound).otherwise(col).cast(kind)
 
 
 def product_margin(cost: Column, msrp: Column) -> Column:
     """Share of the list price that is margin, in percent, halves away from zero."""
-    return _percent(F.round(ratio(msrp - cost, msrp) * 100, 2))
-
-
-def cost_amount(quantity: Column, cost_price: Column) -> Column:
-    return (quantity * cost_price).cast(AMOUNT)
+    return fit(F.round(ratio(msrp - cost, msrp) * 100, 2), PERCENT)
 
 
 def sale_margin(profit: Column, total: Column) -> Column:
     """Profit in percent of the total, halves to even; 0 where the total is not positive."""
     share = F.bround(profit / F.when(total > 0, total) * 100, 2)
-    return _percent(F.when(total > 0, share).otherwise(F.lit(0)))
+    return fit(F.when(total > 0, share).otherwise(F.lit(0)), PERCENT)
 
 
 def customer_segment(country: Column, city: Column, rules: Rules) -> Column:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.functions.columns import month_of_key, sale_margin
+from starloom.functions.columns import fit, month_of_key, sale_margin
 from starloom.schemas import AMOUNT, FACT_SALES
 
 FACT_KEY = ("order_id", "product_key")
@@ -24,12 +24,6 @@ LOADED = "Already loaded"
 RETRIED = (NO_PRODUCT, NO_CUSTOMER, NO_DATE)
 
 
-def _fit_amount(value: Column) -> Column:
-    """Clip into DECIMAL(12,2), as a column of that type would hold it."""
-    bound = F.lit("9999999999.99").cast(AMOUNT)
-    return F.greatest(F.least(value, bound), -bound).cast(AMOUNT)
-
-
 def fact_candidates(sales: DataFrame, customers: DataFrame, products: DataFrame,
                     dates: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """Resolve valid sales against the current dimension versions.
@@ -52,8 +46,8 @@ def fact_candidates(sales: DataFrame, customers: DataFrame, products: DataFrame,
     cost = F.col("quantity") * F.col("cost_price")
     profit = F.col("total_amount") - cost
     resolved = found.withColumns({
-        "cost_amount": _fit_amount(cost),
-        "profit_amount": _fit_amount(profit),
+        "cost_amount": fit(cost, AMOUNT),
+        "profit_amount": fit(profit, AMOUNT),
         "profit_margin": sale_margin(profit, F.col("total_amount")),
         "order_timestamp": F.col("order_date").cast("timestamp"),
     }).drop("cost_price")
