@@ -64,7 +64,6 @@ SALES = Kind("sales", S.SALES_FILE, S.STAGING_SALES, quality.validate_sales)
 # Process names of the load steps.
 LOAD_CUSTOMERS, LOAD_PRODUCTS = "LOAD_DIM_CUSTOMERS", "LOAD_DIM_PRODUCTS"
 LOAD_FACTS, LOAD_AGGREGATES = "LOAD_FACT_SALES", "LOAD_AGG_SALES_DAILY"
-RESOLVE = "RESOLVE_SALES"
 _JOIN = "\n"
 
 
@@ -132,7 +131,10 @@ class Warehouse:
     def candidates(self) -> DataFrame | None:
         """Resolved sales of the last completed fact load, rejects included."""
         outputs = self.ledger.outputs(LOAD_FACTS)
-        return self.spark.read.parquet(outputs[-1][0].split(_JOIN)[0]) if outputs else None
+        if not outputs:
+            return None
+        run = outputs[-1][1].rsplit("=", 1)[1]
+        return self.spark.read.parquet(f"{self.root}/fact_candidates/run-{run}")
 
     # -- extract ---------------------------------------------------------------------
 
@@ -271,14 +273,9 @@ class Warehouse:
         order = [F.col("reject_reason").isNotNull(), F.col("date_key"), F.col("order_id"),
                  F.col("product_id"), F.col("staging_id")]
 
-        def resolve(process_id: int) -> list[dict]:
-            path = f"{self.root}/fact_candidates/run-{process_id}"
-            slice_rows(candidates, order).write.parquet(path)
-            return [{"output": path}]
-
-        resolved = self._run(RESOLVE, [_JOIN.join(consumed)], resolve)[0]["output"]
-
         def load(process_id: int) -> list[dict]:
+            resolved = f"{self.root}/fact_candidates/run-{process_id}"
+            slice_rows(candidates, order).write.parquet(resolved)
             path = f"{self.root}/fact_sales/load_run={process_id}"
             last = self.ledger.total(LOAD_FACTS, "records_loaded")
             rows = facts.accepted(self.spark.read.parquet(resolved))
@@ -287,7 +284,7 @@ class Warehouse:
             fact.write.partitionBy("order_month").parquet(path)
             return [{"records_loaded": rows.count(), "output": path}]
 
-        self._run(LOAD_FACTS, [_JOIN.join([resolved, *consumed])], load)
+        self._run(LOAD_FACTS, [_JOIN.join(consumed)], load)
 
     def load_aggregates(self, rebuild: bool = True) -> None:
         """Write the daily aggregates: all of them, or the months with facts that the

@@ -83,8 +83,9 @@ class Ledger:
         data = [tuple(row.values()) for row in full]
         with self._lock:
             known = self._processes()
-            (self.spark.createDataFrame(data, LEDGER).coalesce(1)
-             .write.mode("append").parquet(self.path))
+            # One partition: the rows of a step become visible together, as one file.
+            rows = self.spark.sparkContext.parallelize(data, 1)
+            self.spark.createDataFrame(rows, LEDGER).write.mode("append").parquet(self.path)
             known.extend(full)
 
     def open(self, process_name: str, sources: list[str | None]) -> list[dict]:

@@ -14,7 +14,11 @@ TABLES = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("tests", "4", **{"spark.ui.showConsoleProgress": "false"})
+    session = local_session("tests", "8", **{
+        "spark.ui.showConsoleProgress": "false",
+        "spark.sql.shuffle.partitions": "3",
+        "spark.default.parallelism": "3",
+    })
     session.sparkContext.setLogLevel("ERROR")
     return session
 
