@@ -89,7 +89,8 @@ def dedup_sales(s):
 @query
 def clean_sales(s):
     judged = quality.validate_sales(s.raw_sales, s.rules)
-    return dedup.latest_valid_sales(judged).select(*facts.SALE_COLUMNS)
+    survivors = dedup.latest_valid_sales(judged.select(*facts.SALE_COLUMNS, *facts.STATUS))
+    return survivors.select(*facts.SALE_COLUMNS)
 
 
 @query
@@ -140,12 +141,12 @@ def dim_date(s):
 
 @query
 def dim_customer(s):
-    return s.star.customer
+    return s.customer
 
 
 @query
 def dim_product(s):
-    return s.star.product
+    return s.product
 
 
 @query
@@ -189,16 +190,14 @@ def fact_sales(s):
 
 @query
 def fact_rejects(s):
-    _ = s.star
-    return facts.rejected(s.warehouse.candidates()).select(
+    return facts.rejected(s.candidates).select(
         "staging_id", "order_id", "customer_id", "product_id", "order_date", "reject_reason"
     )
 
 
 @query
 def fact_reject_counts(s):
-    _ = s.star
-    return facts.reject_counts(s.warehouse.candidates())
+    return facts.reject_counts(s.candidates)
 
 
 @query
@@ -217,7 +216,7 @@ def incremental_facts(s):
     the sales held back then load, and no other."""
     late = F.col("registration_date") >= F.lit(LATE_CUSTOMERS)
     star = s.star
-    sales = dedup.latest_valid_sales(s.sales)
+    sales = dedup.latest_valid_sales(s.sales.select(*facts.SALE_COLUMNS, *facts.STATUS))
     early = star.customer.where(~late)
     first = s.scratch.keep(
         facts.fact_candidates(sales, early, star.product, star.date), "first_run"
@@ -234,8 +233,7 @@ def incremental_facts(s):
 
 @query
 def agg_sales_daily(s):
-    _ = s.star
-    return s.warehouse.aggregates()
+    return s.aggregates
 
 
 @query
@@ -320,8 +318,7 @@ def top_products_filtered(s):
 
 @query
 def warehouse_invariants(s):
-    _ = s.star
-    return s.warehouse.invariants()
+    return checks.invariants(s.star, s.aggregates)
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -1,7 +1,8 @@
 """The warehouse built from one folder of the given tables.
 
-It is built once per session and folder by the ordinary pipeline, over the whole tables,
-and stored in the shared folder; the registered queries then read the stored tables.
+Each part is built once per session and folder, on first use, by the steps of the ordinary
+pipeline over the whole tables, and stored in the shared folder. The registered queries read
+the stored tables, as reports do in daily use.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom import schemas as S
+from starloom.operators.dimensions import CUSTOMER, PRODUCT
 from starloom.plans import pipeline as P
 from starloom.session import Scratch, tune
 from starloom.sources import retail_tables as R
@@ -64,12 +66,41 @@ class Sample:
         _ = self.raw_products
         return self.warehouse.staged(P.PRODUCTS)
 
+    @cached_property
+    def customer(self) -> DataFrame:
+        """Customer dimension."""
+        _ = self.customers
+        self.warehouse.load_dimension(CUSTOMER, self.as_of)
+        return self.warehouse.dimension(CUSTOMER)
+
+    @cached_property
+    def product(self) -> DataFrame:
+        """Product dimension."""
+        _ = self.products
+        self.warehouse.load_dimension(PRODUCT, self.as_of)
+        return self.warehouse.dimension(PRODUCT)
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        P.together(self.spark, lambda: self.customer, lambda: self.product, lambda: self.sales)
+        self.warehouse.load_facts()
+        return self.warehouse.fact()
+
+    @cached_property
+    def candidates(self) -> DataFrame:
+        """Sales with resolved keys and reject reasons."""
+        _ = self.fact
+        return self.warehouse.candidates()
+
+    @cached_property
+    def aggregates(self) -> DataFrame:
+        _ = self.fact
+        self.warehouse.load_aggregates()
+        return self.warehouse.aggregates()
+
     @cached_property
     def star(self) -> S.Star:
-        P.together(self.spark, lambda: self.customers, lambda: self.products,
-                   lambda: self.sales)
-        self.warehouse.load_staged(self.as_of)
-        return self.warehouse.star()
+        return S.Star(self.fact, self.customer, self.product, self.warehouse.dates())
 
 
 def sample(spark: SparkSession, folder: str) -> Sample:

@@ -13,6 +13,7 @@ from starloom.schemas import AMOUNT, FACT_SALES
 FACT_KEY = ("order_id", "product_key")
 SALE_COLUMNS = ("staging_id", "order_id", "order_date", "customer_id", "product_id",
                 "quantity", "unit_price", "total_amount")
+STATUS = ("processed_flag", "error_message")
 MEASURES = [name for name in FACT_SALES.fieldNames() if name != "sales_key"]
 
 NO_PRODUCT = "Unknown product"

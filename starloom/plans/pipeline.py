@@ -255,13 +255,14 @@ class Warehouse:
         """Add facts. With ``loads``, read those staged loads and the sales held back by
         the last run, which is all that can add facts; without, read everything staged."""
         consumed = self._loads(SALES) if loads is None else loads
-        sales = self.staged(SALES, consumed)
+        # The duplicate check carries whole rows; give it only what the load reads.
+        sales = self.staged(SALES, consumed).select(*facts.SALE_COLUMNS, *facts.STATUS)
         held = self.candidates()
         if loads is not None and held is not None:
             carried = facts.retried(held).withColumns(
                 {"processed_flag": F.lit(True), "error_message": F.lit(None).cast("string")}
             )
-            sales = sales.select(*carried.columns).unionByName(carried)
+            sales = sales.unionByName(carried)
         runs = [path for _, path in self.ledger.outputs(LOAD_FACTS)]
         existing = self.fact(runs) if runs else None
         candidates = facts.fact_candidates(
