@@ -563,7 +563,8 @@ select * exclude (active_days),
 from per_customer""",
     "product_performance_view": f"{_PRODUCT_VIEW} select * from ranked",
     "product_ranks_spread": f"""{_PRODUCT_VIEW}
-select product_key, total_revenue, total_profit, revenue_rank, profit_rank from ranked""",
+select product_key, total_revenue, total_profit, revenue_rank, profit_rank,
+       category_revenue, category_orders from ranked""",
     "geographic_analysis": f"""
 select country, city, {BUYERS} as customer_count, {ORDERS} as order_count,
        {ITEMS} as total_quantity, {money('total_amount')} as total_sales,

@@ -61,21 +61,21 @@ def with_row_ids(df: DataFrame, order: list[Column], out: str, scratch: Scratch,
     return number_stored(scratch.keep(slice_rows(df, order), f"numbered_{out}"), out, start)
 
 
-def with_ranks(df: DataFrame, ranks: dict[str, str], scratch: Scratch, tie_key: str,
-               row_bound: int | None, single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+def window_ranks(df: DataFrame, ranks: dict[str, str]) -> DataFrame:
     """Add ``RANK() OVER (ORDER BY value DESC)`` columns, as {output: value column}.
 
-    ``row_bound`` is a known upper bound of the row count, or None if there is none. Small
-    frames take the plain window; others are numbered slice by slice, and the rank of a
-    value is the smallest number among its ties.
+    The window gathers all rows in one task: for frames of a bounded size only.
     """
-    if row_bound is not None and row_bound <= single_task_rows:
-        return df.withColumns({
-            out: F.rank().over(Window.orderBy(F.col(value).desc_nulls_last()))
-            .cast("long")
-            for out, value in ranks.items()
-        })
-    stored = scratch.keep(df, "ranked_input")
+    return df.withColumns({
+        out: F.rank().over(Window.orderBy(F.col(value).desc_nulls_last())).cast("long")
+        for out, value in ranks.items()
+    })
+
+
+def spread_ranks(stored: DataFrame, ranks: dict[str, str], scratch: Scratch, tie_key: str
+                 ) -> DataFrame:
+    """The same for any size, from a stored frame: rows are numbered slice by slice, and
+    the rank of a value is the smallest number among its ties."""
     result = stored
     for out, value in ranks.items():
         numbered = with_row_ids(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starloom.functions.columns import customer_tier
-from starloom.operators.numbering import SINGLE_TASK_ROWS, with_ranks
+from starloom.operators.numbering import SINGLE_TASK_ROWS, spread_ranks, window_ranks
 from starloom.plans.reports import (
     MEAN_PERCENT, MONEY, RATIO4, RATIO6,
     buyers, current_customers, current_products, days, mean_amount, money, orders, quotient,
@@ -124,9 +124,10 @@ def product_performance_view(star: Star, scratch: Scratch,
                              single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
     """Product figures with global ranks and totals of their category.
 
-    Facts are reduced to one row per product first. Category totals are aggregated and
-    joined back, so a category with very many products is not gathered in one task. The
-    ranks use a plain window only while the product table is within ``single_task_rows``.
+    Facts are reduced to one row per product first. While the product table is within
+    ``single_task_rows``, ranks and category totals are plain windows over that result.
+    Beyond, it is stored once, ranked slice by slice, and category totals are aggregated and
+    joined back, so that neither all products nor those of a category meet in one task.
     """
     what = ("product_id", "product_name", "category", "subcategory", "supplier", "cost_price",
             "msrp")
@@ -140,22 +141,28 @@ def product_performance_view(star: Star, scratch: Scratch,
     )
     products = current_products(star, *what, F.col("profit_margin").alias("expected_margin"))
     sold = per_product.join(products, "product_key")
-    bound = star.product.where("is_current").count()
-    ranked = with_ranks(
-        sold, {"revenue_rank": "total_revenue", "profit_rank": "total_profit"}, scratch,
-        "product_key", bound, single_task_rows,
-    )
-    categories = sold.groupBy(F.col("category").alias("_category")).agg(
-        money("total_revenue").alias("category_revenue"),
-        F.sum("times_ordered").alias("category_orders"),
-    )
+    ranks = {"revenue_rank": "total_revenue", "profit_rank": "total_profit"}
+    if star.product.where("is_current").count() <= single_task_rows:
+        within = Window.partitionBy("category")
+        result = window_ranks(sold, ranks).withColumns({
+            "category_revenue": F.sum("total_revenue").over(within).cast(MONEY),
+            "category_orders": F.sum("times_ordered").over(within),
+        })
+    else:
+        stored = scratch.keep(sold, "sold_products")
+        categories = stored.groupBy(F.col("category").alias("_category")).agg(
+            money("total_revenue").alias("category_revenue"),
+            F.sum("times_ordered").alias("category_orders"),
+        )
+        result = spread_ranks(stored, ranks, scratch, "product_key").join(
+            categories, F.col("category").eqNullSafe(F.col("_category"))
+        )
     inventory = (F.col("total_quantity_sold") * F.col("cost_price")).cast(MONEY)
-    return (
-        ranked.join(categories, F.col("category").eqNullSafe(F.col("_category")))
-        .select("product_key", *what, "expected_margin", "times_ordered",
-                "total_quantity_sold", "total_revenue", "total_cost", "total_profit",
-                "actual_margin", inventory.alias("inventory_cost"), "revenue_rank",
-                "profit_rank", "category_revenue", "category_orders")
+    return result.select(
+        "product_key", *what, "expected_margin", "times_ordered", "total_quantity_sold",
+        "total_revenue", "total_cost", "total_profit", "actual_margin",
+        inventory.alias("inventory_cost"), "revenue_rank", "profit_rank", "category_revenue",
+        "category_orders",
     )
 
 

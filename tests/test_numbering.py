@@ -5,7 +5,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from starloom.operators.numbering import with_ranks, with_row_ids
+from starloom.operators.numbering import spread_ranks, window_ranks, with_row_ids
 
 
 def test_numbers_are_dense_and_ordered(spark, scratch):
@@ -39,8 +39,8 @@ def test_spread_ranks_equal_the_window(spark, scratch):
     rng = random.Random(5)
     values = [rng.choice([1, 2, 2, 2, 3, 50, None]) for _ in range(400)]
     df = spark.createDataFrame(list(enumerate(values)), "key long, v int")
-    spread = with_ranks(df, {"r": "v"}, scratch, "key", None)
-    small = with_ranks(df, {"r": "v"}, scratch, "key", 400)
+    spread = spread_ranks(scratch.keep(df, "ranked"), {"r": "v"}, scratch, "key")
+    small = window_ranks(df, {"r": "v"})
     expected = df.withColumn("r", F.rank().over(Window.orderBy(F.desc_nulls_last("v"))).cast("long"))
     want = sorted(tuple(r) for r in expected.select("key", "r").collect())
     for got in (spread, small):
