@@ -7,6 +7,7 @@ the stored tables, as reports do in daily use.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,24 +30,26 @@ class Sample:
         self.scratch = Scratch(spark)
         self.warehouse = P.Warehouse(spark, f"{self.scratch.root}/warehouse", self.rules)
 
-    def _stage(self, kind: P.Kind, rows: DataFrame, order: tuple[str, ...]) -> DataFrame:
+    def _stage(self, kind: P.Kind, rows: DataFrame, order: tuple[str, ...],
+               shape: Callable[[DataFrame], DataFrame]) -> DataFrame:
         return self.warehouse.stage_rows(
-            kind, rows, [F.col(name) for name in order], f"{kind.name}.csv", R.LOAD_TIME
+            kind, rows, [F.col(name) for name in order], shape, f"{kind.name}.csv", R.LOAD_TIME
         )
 
     @cached_property
     def raw_sales(self) -> DataFrame:
-        return self._stage(P.SALES, R.sales_rows(self.spark, self.folder), R.SALES_ORDER)
+        rows = R.sales_lines(self.spark, self.folder)
+        return self._stage(P.SALES, rows, R.SALES_ORDER, R.as_sales)
 
     @cached_property
     def raw_customers(self) -> DataFrame:
-        rows = R.customer_rows(self.spark, self.folder)
-        return self._stage(P.CUSTOMERS, rows, R.CUSTOMERS_ORDER)
+        rows = R.customer_lines(self.spark, self.folder)
+        return self._stage(P.CUSTOMERS, rows, R.CUSTOMERS_ORDER, R.as_customers)
 
     @cached_property
     def raw_products(self) -> DataFrame:
-        rows = R.product_rows(self.spark, self.folder)
-        return self._stage(P.PRODUCTS, rows, R.PRODUCTS_ORDER)
+        rows = R.product_lines(self.spark, self.folder)
+        return self._stage(P.PRODUCTS, rows, R.PRODUCTS_ORDER, R.as_products)
 
     @cached_property
     def sales(self) -> DataFrame:

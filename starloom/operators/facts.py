@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.functions.columns import fit, month_of_key, sale_margin
 from starloom.schemas import AMOUNT, FACT_SALES
 
 FACT_KEY = ("order_id", "product_key")
+# Load slices: rows of a full slice, rows a day may have unsplit, slices per partition.
+SLICE_ROWS, DAY_ROWS, SLICES_PER_PARTITION = 2_000_000, 100_000, 16
 SALE_COLUMNS = ("staging_id", "order_id", "order_date", "customer_id", "product_id",
                 "quantity", "unit_price", "total_amount")
 STATUS = ("processed_flag", "error_message")
@@ -71,6 +73,56 @@ def fact_candidates(sales: DataFrame, customers: DataFrame, products: DataFrame,
     )
 
 
+def day_slices(sales: DataFrame, slice_rows: int = SLICE_ROWS, day_rows: int = DAY_ROWS
+               ) -> DataFrame:
+    """Plan of load slices: per order date the first slice and the number of slices.
+
+    Slices follow the calendar and are equal in size but for whole days. They hold at most
+    about ``slice_rows`` rows, and fewer when that gives every shuffle partition its share;
+    a day is spread over several slices only beyond ``day_rows``. The input is read in its
+    date column only, and the windows run over one row per day.
+    """
+    partitions = int(sales.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    before = Window.orderBy("order_date").rowsBetween(Window.unboundedPreceding, -1)
+    total = F.sum("_rows").over(Window.partitionBy())
+    share = F.ceil(total / (SLICES_PER_PARTITION * partitions))
+    size = F.least(F.lit(slice_rows), share)
+    return (
+        sales.where(F.col("order_date").isNotNull()).groupBy("order_date")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+        .withColumn("_size", size)
+        .select(
+            "order_date",
+            F.floor(F.col("_before") / F.col("_size")).alias("_first"),
+            F.greatest(F.lit(1), F.floor(
+                F.col("_rows") / F.greatest(F.col("_size"), F.lit(day_rows))
+            )).alias("_parts"),
+        )
+    )
+
+
+def clustered_by_day(candidates: DataFrame, slices: DataFrame) -> DataFrame:
+    """Bring candidates into load order, by day, and mark slice and place of each row.
+
+    The slices are known beforehand, so no sampling pass over the candidates is needed as
+    for a range partitioning. Rejected rows take slices of their own below zero. Broadcast
+    are as many rows as there are order dates that passed the date rule.
+    """
+    spread = F.xxhash64("order_id", "staging_id")
+    planned = F.col("_first") + F.pmod(spread, F.col("_parts"))
+    place = F.coalesce(planned, F.pmod(spread, F.lit(1024)))
+    accept = F.col("reject_reason").isNull()
+    return (
+        candidates.join(F.broadcast(slices), "order_date", "left")
+        .withColumn("_slice", F.when(accept, place).otherwise(-1 - place))
+        .drop("_first", "_parts")
+        .repartition("_slice")
+        .sortWithinPartitions("_slice", "date_key", "order_id", "product_id", "staging_id")
+        .withColumn("_place", F.monotonically_increasing_id())
+    )
+
+
 def already_present(existing: DataFrame, new: DataFrame, key: tuple[str, ...]) -> DataFrame:
     """Distinct keys of ``new`` that ``existing`` holds.
 

@@ -189,20 +189,23 @@ class Warehouse:
             raw = csv_files.with_lineage(numbered, load_time, csv_files.malformed())
             self._stage(kind, path, raw)
 
-    def stage_rows(self, kind: Kind, rows: DataFrame, order: list[Column], source: str,
+    def stage_rows(self, kind: Kind, rows: DataFrame, order: list[Column],
+                   shape: Callable[[DataFrame], DataFrame], source: str,
                    load_time: dt.datetime) -> DataFrame:
         """Stage rows that come from a table; ``order`` stands in for the file position.
 
-        ``rows`` name their file; missing columns are NULL. Returns the rows as staged,
-        before cleaning.
+        ``shape`` gives the ordered rows the columns of the file and a file name; it runs
+        after the shuffle, which then carries no derived text. Missing columns are NULL.
+        Returns the rows as staged, before cleaning.
         """
-        landed = self.scratch.keep(slice_rows(rows, order), f"landed_{kind.name}")
-        numbered = number_stored(landed, "staging_id", self._staged_rows(kind))
-        filled = numbered.select("staging_id", *[
-            F.col(field.name) if field.name in rows.columns
+        sliced = shape(slice_rows(rows, order))
+        landed = self.scratch.keep(sliced.select(*[
+            F.col(field.name) if field.name in sliced.columns
             else F.lit(None).cast(field.dataType).alias(field.name)
             for field in kind.file_schema.fields
-        ], csv_files.FILE)
+        ], csv_files.FILE, "_slice", "_place"), f"landed_{kind.name}")
+        numbered = number_stored(landed, "staging_id", self._staged_rows(kind))
+        filled = numbered.select("staging_id", *kind.file_schema.fieldNames(), csv_files.FILE)
         raw = csv_files.with_lineage(filled, load_time)
         self._stage(kind, source, raw)
         return raw
@@ -269,14 +272,11 @@ class Warehouse:
             latest_valid_sales(sales), self.dimension(dimensions.CUSTOMER),
             self.dimension(dimensions.PRODUCT), self.dates(), existing,
         )
-        # Accepted rows first, in load order: their numbers follow each other, and the
-        # files of a run are clustered by date.
-        order = [F.col("reject_reason").isNotNull(), F.col("date_key"), F.col("order_id"),
-                 F.col("product_id"), F.col("staging_id")]
+        clustered = facts.clustered_by_day(candidates, facts.day_slices(quality.valid_rows(sales)))
 
         def load(process_id: int) -> list[dict]:
             resolved = f"{self.root}/fact_candidates/run-{process_id}"
-            slice_rows(candidates, order).write.parquet(resolved)
+            clustered.write.parquet(resolved)
             path = f"{self.root}/fact_sales/load_run={process_id}"
             last = self.ledger.total(LOAD_FACTS, "records_loaded")
             rows = facts.accepted(self.spark.read.parquet(resolved))

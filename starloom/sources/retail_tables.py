@@ -49,13 +49,17 @@ def _from_cents(cents: Column, kind) -> Column:
     return (cents.cast("decimal(18,0)") * F.lit("0.01").cast("decimal(3,2)")).cast(kind)
 
 
-def sales_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Order lines as sales, with the columns of SALES_ORDER for numbering."""
+def sales_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines with customer and date of their order."""
     lines = _placed(_table(spark, folder, "lineitem")).select(*SALES_ORDER)
     orders = _table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey",
         F.col("o_orderdate").cast("date").alias("order_date"),
     )
+    return lines.join(orders, "l_orderkey")
+
+
+def as_sales(lines: DataFrame) -> DataFrame:
     units = F.col("l_quantity").cast("int")
     total = F.round(F.col("l_extendedprice") * 100).cast("long")
     # Cents per unit, halves up, in whole numbers.
@@ -66,9 +70,8 @@ def sales_rows(spark: SparkSession, folder: str) -> DataFrame:
     return (
         lines.withColumns({"quantity": units, "total_cents": total})
         .withColumn("unit_cents", unit)
-        .join(orders, "l_orderkey")
         .select(
-            *SALES_ORDER,
+            "_slice", "_place",
             _id("ORD", "l_orderkey").alias("order_id"), "order_date",
             _id("CUST", "o_custkey").alias("customer_id"),
             _id("PROD", "l_partkey").alias("product_id"),
@@ -81,36 +84,47 @@ def sales_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def customer_rows(spark: SparkSession, folder: str) -> DataFrame:
+def customer_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers with the names of their nation and region, two small fixed tables."""
     nation = _table(spark, folder, "nation").join(
         _table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
-    key = F.col("c_custkey")
-    number = key.cast("string")
-    email = F.when(key % 20 == 7, F.concat(F.lit("User"), number, F.lit(".example.com")))
     return (
         _placed(_table(spark, folder, "customer"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            *CUSTOMERS_ORDER,
-            _id("CUST", "c_custkey").alias("customer_id"),
-            F.concat(F.lit(" "), "c_name", F.lit(" ")).alias("customer_name"),
-            email.otherwise(F.concat(F.lit(" User"), number, F.lit("@Example.com ")))
-            .alias("email"),
-            F.col("n_name").alias("city"), F.col("r_name").alias("country"),
-            F.date_add(F.lit(dt.date(1994, 1, 1)), (key % 2500).cast("int"))
-            .alias("registration_date"),
-            F.lit("customers.csv").alias("file_name"),
-        )
+        .select(*CUSTOMERS_ORDER, "c_name", "n_name", "r_name")
+    )
+
+
+def as_customers(lines: DataFrame) -> DataFrame:
+    key = F.col("c_custkey")
+    number = key.cast("string")
+    email = F.when(key % 20 == 7, F.concat(F.lit("User"), number, F.lit(".example.com")))
+    return lines.select(
+        "_slice", "_place",
+        _id("CUST", "c_custkey").alias("customer_id"),
+        F.concat(F.lit(" "), "c_name", F.lit(" ")).alias("customer_name"),
+        email.otherwise(F.concat(F.lit(" User"), number, F.lit("@Example.com ")))
+        .alias("email"),
+        F.col("n_name").alias("city"), F.col("r_name").alias("country"),
+        F.date_add(F.lit(dt.date(1994, 1, 1)), (key % 2500).cast("int"))
+        .alias("registration_date"),
+        F.lit("customers.csv").alias("file_name"),
     )
 
 
-def product_rows(spark: SparkSession, folder: str) -> DataFrame:
+def product_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return _placed(_table(spark, folder, "part")).select(
+        *PRODUCTS_ORDER, "p_name", "p_type", "p_brand", "p_retailprice"
+    )
+
+
+def as_products(lines: DataFrame) -> DataFrame:
     factor = (F.lit("0.50").cast("decimal(4,2)")
               + F.lit("0.06").cast("decimal(4,2)") * (F.col("p_partkey") % 10).cast("int"))
     msrp = F.col("p_retailprice").cast(PRICE)
-    return _placed(_table(spark, folder, "part")).select(
-        *PRODUCTS_ORDER,
+    return lines.select(
+        "_slice", "_place",
         _id("PROD", "p_partkey").alias("product_id"),
         F.col("p_name").alias("product_name"), F.col("p_type").alias("category"),
         F.col("p_name").alias("subcategory"), F.col("p_brand").alias("supplier"),

@@ -104,3 +104,34 @@ def test_schema_of_the_fact_row(spark):
     types = dict(candidates(spark, [sale(1)]).dtypes)
     for field in S.FACT_SALES.fields[1:]:
         assert types[field.name] == field.dataType.simpleString(), field.name
+
+
+def test_load_slices_follow_the_calendar_and_split_a_busy_day(spark):
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(10)]
+    rows = [(d,) for d in days for _ in range(600 if d == days[4] else 20)] + [(None,)]
+    sales = spark.createDataFrame(rows, "order_date date")
+    plan = {r.order_date: (r._first, r._parts) for r in
+            facts.day_slices(sales, slice_rows=50, day_rows=100).collect()}
+    assert plan.keys() == set(days)
+    assert plan[days[4]][1] == 6 and all(plan[d][1] == 1 for d in days if d != days[4])
+    ends = [plan[d][0] + plan[d][1] for d in days]
+    starts = [plan[d][0] for d in days]
+    assert starts == sorted(starts) and ends == sorted(ends)
+    after = plan[days[5]][0]
+    assert after >= plan[days[4]][0] + plan[days[4]][1]
+
+
+def test_clustered_rows_can_be_numbered(spark, scratch):
+    from starloom.operators.numbering import number_stored
+
+    rows = [sale(i, order_date=dt.date(2024, 1, 1 + i % 7),
+                 customer_id="C1" if i % 5 else "C9") for i in range(700)]
+    rows.append(sale(900, order_date=None))
+    found = candidates(spark, rows)
+    days = facts.day_slices(spark.createDataFrame(rows, SALES), slice_rows=10, day_rows=20)
+    stored = scratch.keep(facts.clustered_by_day(found, days), "clustered")
+    assert stored.count() == 701
+    numbered = number_stored(facts.accepted(stored), "n").orderBy("n").collect()
+    assert [r.n for r in numbered] == list(range(1, 561))
+    keys = [r.date_key for r in numbered]
+    assert keys == sorted(keys)
