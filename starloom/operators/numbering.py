@@ -44,8 +44,8 @@ def number_stored(stored: DataFrame, out: str, start: int = 0,
                   slices: tuple[str, ...] = ("_slice",), spot: str = "_place") -> DataFrame:
     """Dense numbers start+1.. for a stored frame whose rows count up within slices.
 
-    Only the slice starts are broadcast: one row per slice, whatever the data size. Rows
-    stay where they are, so the pass has no shuffle.
+    Only the slice starts are broadcast: one row per slice, and a slice is a whole shuffle
+    partition, input split or load slice. Rows stay where they are: the pass has no shuffle.
     """
     starts = F.broadcast(_slice_starts(stored, slices, spot))
     return (
