@@ -42,7 +42,7 @@ class PartEncoder:
     splitting would hand to its model as one or two pieces, so the model is asked directly.
     """
 
-    def __init__(self, path: str, held: int = 400_000):
+    def __init__(self, path: str, held: int = 800_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -54,27 +54,42 @@ class PartEncoder:
         self.letters = byte_letters()
         self.held = held
         self.known: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        vocabulary = np.arange(self.tokenizer.get_vocab_size(), dtype="<u4")
+        self.packed = [x.tobytes() for x in vocabulary]
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
+    def _piece(self, piece: str) -> bytes:
+        """Ids of what the tokenizer's splitting would hand to its model as one piece."""
+        ids = self.pieces.get(piece)
+        if ids is None:
+            ids = b"".join([self.packed[x.id] for x in self.model.tokenize(piece)])
+            self.pieces[piece] = ids
+        return ids
+
     def _by_model(self, part: str) -> bytes | None:
         start = part[:1]
-        blank, bare = (start, part[1:]) if start in " \n" else ("", part)
+        bare = part[1:] if start == " " or start == "\n" else part
         word = bare.rstrip(".,")
-        if not word.isalpha() or max(word) > "\xff":
+        if not word.isalpha():
             return None
         if not self.keeps_spaces:
             word = word.lower()
-        ask, letters = self.model.tokenize, self.letters
-        if start == "\n":
-            found = ask(letters[10]) + ask(word.translate(letters))
+        letters = word
+        if not word.isascii():
+            if max(word) > "\xff":
+                return None
+            letters = word.translate(self.letters)
+        if start == " ":
+            ids = self._piece(self.letters[32] + letters)
+        elif start == "\n":
+            ids = self._piece(self.letters[10]) + self._piece(letters)
         else:
-            found = ask((blank + word).translate(letters))
-        if len(word) < len(bare):
-            found = found + ask(bare[len(word):])
-        return b"".join([x.id.to_bytes(4, "little") for x in found])
+            ids = self._piece(letters)
+        return ids + self._piece(bare[len(word):]) if len(word) < len(bare) else ids
 
     def _ids(self, parts: list[str]) -> list[bytes]:
         found = [self._by_model(part) for part in parts]
@@ -105,6 +120,7 @@ class PartEncoder:
         parts = [self._parts(text) if text else [] for text in texts]
         if len(self.known) > self.held:
             self.known.clear()
+            self.pieces.clear()
         known = self.known
         missing = list(set().union(*(p for p in parts if p)).difference(known))
         once = {}
@@ -119,7 +135,7 @@ class PartEncoder:
         ]
 
 
-def encoder(path: str, held: int = 400_000) -> PartEncoder:
+def encoder(path: str, held: int = 800_000) -> PartEncoder:
     """The worker's encoder for a file; it lives as long as the Python worker."""
     if (path, held) not in _ENCODERS:
         _ENCODERS[path, held] = PartEncoder(path, held)
