@@ -38,7 +38,7 @@ MAGIC = b"FRS1"
 _HEAD = struct.Struct("<4sBIIQ")
 #: Value lengths by control byte.
 _LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8) + 1
-SEGMENT_IDS = 1 << 21
+SEGMENT_IDS = 1 << 20
 
 
 def write_segment(doc_ids: list, lengths: list[int], ids: np.ndarray) -> bytes:

@@ -42,7 +42,7 @@ class PartEncoder:
     splitting would hand to its model as one or two pieces, so the model is asked directly.
     """
 
-    def __init__(self, path: str, held: int = 800_000):
+    def __init__(self, path: str, held: int = 500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -135,7 +135,7 @@ class PartEncoder:
         ]
 
 
-def encoder(path: str, held: int = 800_000) -> PartEncoder:
+def encoder(path: str, held: int = 500_000) -> PartEncoder:
     """The worker's encoder for a file; it lives as long as the Python worker."""
     if (path, held) not in _ENCODERS:
         _ENCODERS[path, held] = PartEncoder(path, held)
