@@ -30,73 +30,84 @@ def byte_letters() -> dict[int, str]:
     return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(256)}
 
 
-class PartEncoder:
+class PartEncoder(dict):
     """Encodes texts with a tokenizer file of the ``tokenizers`` library.
 
     ``keeps_spaces`` tells how the tokenizer treats white space. If it drops it, texts are cut
     at ASCII white space. If a blank belongs to the word behind it, they are cut before each
     blank or line end; a text with one before white space or at its end is taken whole.
-    At most ``held`` parts are remembered per Python worker.
+
+    The dictionary maps parts to their ids as little-endian unsigned 32-bit integers and fills
+    itself. At most ``held`` parts are remembered per Python worker.
 
     A part of Latin letters, and points or commas behind them, is what the tokenizer's own
     splitting would hand to its model as one or two pieces, so the model is asked directly.
     """
 
-    def __init__(self, path: str, held: int = 500_000):
+    def __init__(self, path: str, held: int = 800_000):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         # The names of special tokens in a text are ordinary text.
         self.tokenizer.encode_special_tokens = True
         self.keeps_spaces = bool(self.tokenizer.encode("a b", add_special_tokens=False).ids
                                  != self.tokenizer.encode("a  b", add_special_tokens=False).ids)
-        self.model = self.tokenizer.model
+        self.ask = self.tokenizer.model.tokenize
         self.letters = byte_letters()
         self.held = held
-        self.known: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
         vocabulary = np.arange(self.tokenizer.get_vocab_size(), dtype="<u4")
         self.packed = [x.tobytes() for x in vocabulary]
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
+    def _whole(self, text: str) -> bytes:
+        found = self.tokenizer.encode(text, add_special_tokens=False)
+        return np.array(found.ids, dtype="<u4").tobytes()
 
     def _piece(self, piece: str) -> bytes:
         """Ids of what the tokenizer's splitting would hand to its model as one piece."""
-        ids = self.pieces.get(piece)
-        if ids is None:
-            ids = b"".join([self.packed[x.id] for x in self.model.tokenize(piece)])
-            self.pieces[piece] = ids
-        return ids
-
-    def _by_model(self, part: str) -> bytes | None:
-        start = part[:1]
-        bare = part[1:] if start == " " or start == "\n" else part
-        word = bare.rstrip(".,")
-        if not word.isalpha():
+        packed = self.packed
+        return b"".join([packed[x.id] for x in self.ask(piece)])
+
+    def _word(self, part: bytes) -> str | None:
+        """A part of Latin letters only as the model knows it."""
+        if part.isalpha():  # ASCII letters only
+            return part.decode() if self.keeps_spaces else part.lower().decode()
+        word = part.decode()
+        if not word.isalpha() or max(word) > "\xff":
             return None
-        if not self.keeps_spaces:
-            word = word.lower()
-        letters = word
-        if not word.isascii():
-            if max(word) > "\xff":
-                return None
-            letters = word.translate(self.letters)
-        if start == " ":
-            ids = self._piece(self.letters[32] + letters)
-        elif start == "\n":
-            ids = self._piece(self.letters[10]) + self._piece(letters)
+        return (word if self.keeps_spaces else word.lower()).translate(self.letters)
+
+    @staticmethod
+    def _ends_in_letter(part: bytes) -> bool:
+        if part[-1] < 128:
+            return part[-1:].isalpha()
+        last = part.decode()[-1]
+        return last.isalpha() and last <= "\xff"
+
+    def __missing__(self, part: bytes) -> bytes:
+        stem = part.rstrip(b".,")
+        tail = part[len(stem):]
+        if tail and stem and self._ends_in_letter(stem):
+            ids = self[stem] + self._piece(tail.decode())
         else:
-            ids = self._piece(letters)
-        return ids + self._piece(bare[len(word):]) if len(word) < len(bare) else ids
+            ids = self._ids(part)
+        if len(part) <= _LONGEST_PART:
+            self[part] = ids
+        return ids
 
-    def _ids(self, parts: list[str]) -> list[bytes]:
-        found = [self._by_model(part) for part in parts]
-        rest = [i for i, ids in enumerate(found) if ids is None]
-        for i, ids in zip(rest, self._whole([parts[i] for i in rest])):
-            found[i] = ids
-        return found
+    def _ids(self, part: bytes) -> bytes:
+        start, bare = "", part
+        if self.keeps_spaces:
+            # Parts of a text stand for themselves and a blank in front of them, but for the
+            # first one, which has a blank too many, and those behind a line end.
+            start = {b" ": "", b"\n": "\n"}.get(part[:1], " ")
+            bare = part if start == " " else part[1:]
+        word = self._word(bare)
+        if word is None:
+            return self._whole(start + bare.decode())
+        if start == " ":
+            return self._piece(self.letters[32] + word)
+        return (self._piece(self.letters[10]) if start else b"") + self._piece(word)
 
     def _parts(self, text: str) -> list[bytes] | None:
         if not self.keeps_spaces:
@@ -104,38 +115,19 @@ class PartEncoder:
         if _LOOSE.search(text):
             return None
         first, *rest = text.encode().replace(b"\n", b" \n").split(b" ")
-        # The first part has no blank before it. It is told from the others by one in front,
-        # which none of them has.
         return [b" " + first, *rest] if first else rest
 
-    def _text(self, part: bytes) -> str:
-        if not self.keeps_spaces:
-            return part.decode()
-        if part[:1] == b"\n":
-            return part.decode()
-        return part[1:].decode() if part[:1] == b" " else " " + part.decode()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers; null: none."""
-        parts = [self._parts(text) if text else [] for text in texts]
-        if len(self.known) > self.held:
-            self.known.clear()
-            self.pieces.clear()
-        known = self.known
-        missing = list(set().union(*(p for p in parts if p)).difference(known))
-        once = {}
-        for part, ids in zip(missing, self._ids([self._text(p) for p in missing])):
-            (known if len(part) <= _LONGEST_PART else once)[part] = ids
-        if once:
-            known = {p: once[p] if p in once else known[p] for x in parts if x for p in x}
-        find = known.__getitem__
-        return [
-            self._whole([text])[0] if found is None else b"".join(map(find, found))
-            for text, found in zip(texts, parts)
-        ]
-
-
-def encoder(path: str, held: int = 500_000) -> PartEncoder:
+    def encode(self, text: str | None) -> bytes:
+        """Ids of a text as little-endian unsigned 32-bit integers; null: none."""
+        if not text:
+            return b""
+        if len(self) > self.held:
+            self.clear()
+        parts = self._parts(text)
+        return self._whole(text) if parts is None else b"".join(map(self.__getitem__, parts))
+
+
+def encoder(path: str, held: int = 800_000) -> PartEncoder:
     """The worker's encoder for a file; it lives as long as the Python worker."""
     if (path, held) not in _ENCODERS:
         _ENCODERS[path, held] = PartEncoder(path, held)
@@ -147,7 +139,7 @@ def encoded_documents(batches, path: str):
     found = encoder(path)
     for batch in text_groups(batches):
         texts = batch.column("text").to_pylist()
-        yield from zip(batch.column("doc_id").to_pylist(), found.encode(texts))
+        yield from zip(batch.column("doc_id").to_pylist(), map(found.encode, texts))
 
 
 def batched(rows, schema: pa.Schema, size: int = 4096):
