@@ -11,9 +11,10 @@
    threshold is compared exactly, on the full shingle sets of the whole texts.
 4. Pairs are taken in rounds, so that a list of many copies doesn't yield all its pairs: members
    against the list's first one; then members of different components against one drawn for the
-   list; then all pairs between different components, the small ones against every member of the
-   list's largest component. The last round leaves no pair of a list untested unless its two
-   sides are already linked. Within a long list it compares blocks and yields links only.
+   list; then all pairs of a list that still lie in different components. There a component
+   of many classes is first compared as a whole, by the shingles of all its members together,
+   which bounds the likeness to each member. No pair of a list is left out unless its sides are
+   linked already or this bound shows that they can't be.
 
 A link is missed only if its estimate falls short by six standard deviations: with k = 64, below
 0.5 for a likeness of at least 0.8. Sets of up to k shingles are estimated exactly.
@@ -41,8 +42,8 @@ WORDS = 5
 PERCENT = 80
 SKETCH = 64
 SIGMAS = 6.0
-#: Lists or components beyond this many classes are compared in blocks of this size.
-BLOCK = 128
+#: Classes from which on a component is compared as a whole first.
+LARGE = 8
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 
@@ -148,26 +149,39 @@ def _fits(a: str, b: str, percent: int):
     return (F.least(a, b) * 100) >= F.greatest(a, b) * percent
 
 
+def may_reach(a: np.ndarray, b: np.ndarray, size_a: int, size_b: int, percent: int, k: int
+              ) -> bool:
+    """Whether two sets may reach the threshold, by the sketch of their union."""
+    common = np.intersect1d(a, b, assume_unique=True)
+    if size_a <= k and size_b <= k:
+        return 100 * len(common) >= percent * (size_a + size_b - len(common))
+    # The union's k smallest hashes, and how many of them both sides have.
+    union = np.union1d(a, b)[:k]
+    hits, share = int(np.searchsorted(common, union[-1], "right")), percent / 100
+    return hits >= len(union) * share - SIGMAS * math.sqrt(len(union) * share * (1 - share))
+
+
 def promising(pairs: DataFrame, classes: DataFrame, percent: int, k: int) -> DataFrame:
-    """Pairs (x, y) whose likeness may reach the threshold by the sketch of their union."""
+    """Pairs (x, y) whose likeness may reach the threshold."""
     a = classes.select(F.col("id").alias("x"), F.col("sketch").alias("sx"),
                        F.col("size").alias("nx"))
     b = classes.select(F.col("id").alias("y"), F.col("sketch").alias("sy"),
                        F.col("size").alias("ny"))
-    share = percent / 100
-    slack = SIGMAS * math.sqrt(share * (1 - share))
+
+    def estimate(batches):
+        for batch in batches:
+            parts = []
+            for name in ("sx", "sy"):
+                column = batch.column(name)
+                ends = column.offsets.to_numpy()
+                flat = column.values.to_numpy()
+                parts.append([flat[i:j] for i, j in zip(ends, ends[1:])])
+            sizes = zip(batch.column("nx").to_pylist(), batch.column("ny").to_pylist())
+            keep = [may_reach(p, q, m, n, percent, k) for p, q, (m, n) in zip(*parts, sizes)]
+            yield batch.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
+
     both = pairs.select("x", "y").join(a, "x").join(b, "y")
-    # The union's k smallest hashes, and how many of them both sides have.
-    union = F.slice(F.array_sort(F.array_union("sx", "sy")), 1, k)
-    common = F.array_intersect("sx", "sy")
-    both = both.withColumns({"_n": F.size(union), "_common": common,
-                             "_last": F.array_max(union)})
-    hits = F.size(F.filter("_common", lambda v: v <= F.col("_last")))
-    whole = (F.col("nx") <= k) & (F.col("ny") <= k)
-    enough = F.when(whole, F.size("_common") * 100 >= percent * (
-        F.col("nx") + F.col("ny") - F.size("_common"))).otherwise(
-        hits >= F.col("_n") * share - slack * F.sqrt("_n"))
-    return both.where(enough).select("x", "y")
+    return both.select("x", "y", "sx", "sy", "nx", "ny").mapInArrow(estimate, "x long, y long")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -229,8 +243,10 @@ def class_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT
     marked = store.keep(_undecided(marked), "undecided")
     links = links.unionByName(test(_stars(marked, percent, "drawn"), "drawn"))
     found, marked = labelled(links)
-    marked = store.keep(_undecided(marked), "undecided")
-    pairs = _between(marked, percent, store)
+    sizes = found.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
+    marked = store.keep(_marked_outsiders(_undecided(marked), sizes), "undecided")
+    pairs = _small_pairs(marked, percent).unionByName(
+        _large_pairs(marked, found, classes, texts, words, percent, store))
     links = links.unionByName(test(pairs, "last"))
     found, _ = labelled(links)
     members = made.join(ids, "set_key", "left").select("doc_id", "size", "id")
@@ -269,23 +285,75 @@ def _stars(marked: DataFrame, percent: int, draw: str | None) -> DataFrame:
                          ).distinct()
 
 
-def _between(marked: DataFrame, percent: int, store: Scratch) -> DataFrame:
-    """All pairs of different components within the lists."""
-    counts = marked.groupBy("value", "component").agg(F.count(F.lit(1)).alias("n"))
-    largest = counts.groupBy("value").agg(
-        F.max(F.col("n").cast("decimal(20,0)") * F.lit(1 << 62).cast("decimal(20,0)")
-              ).alias("_n"))
-    top = counts.join(largest.withColumnRenamed("value", "_v"), (F.col("value") == F.col("_v")) & (
-        F.col("n").cast("decimal(20,0)") * F.lit(1 << 62).cast("decimal(20,0)") == F.col("_n")))
-    main = top.groupBy("value").agg(F.min("component").alias("main"))
-    rows = marked.join(main, "value")
-    outside = rows.where("component <> main").select(
-        "value", F.col("id").alias("x"), F.col("size").alias("_sx"),
-        F.col("component").alias("_cx"))
-    pairs = rows.join(outside, "value").where(
-        (F.col("component") != F.col("_cx")) & _fits("size", "_sx", percent)
-        & ((F.col("component") == F.col("main")) | (F.col("id") < F.col("x"))))
-    return pairs.select(F.least("id", "x").alias("x"), F.greatest("id", "x").alias("y")).distinct()
+def _marked_outsiders(marked: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``marked`` with the classes in its component, as far as linked, and a flag for
+    components of at least ``LARGE`` classes."""
+    return marked.join(sizes, "component", "left").withColumn(
+        "large", F.coalesce("members", F.lit(1)) >= LARGE).drop("members")
+
+
+def _small_pairs(marked: DataFrame, percent: int) -> DataFrame:
+    """All pairs of a list's classes from different components, neither of them large."""
+    some = marked.where("NOT large").select("value", "id", "size", "component")
+    other = some.select("value", F.col("id").alias("x"), F.col("size").alias("_size"),
+                        F.col("component").alias("_component"))
+    pairs = some.join(other, "value").where(
+        (F.col("id") < F.col("x")) & (F.col("component") != F.col("_component"))
+        & _fits("size", "_size", percent))
+    return pairs.select(F.col("id").alias("x"), F.col("x").alias("y")).distinct()
+
+
+def _large_pairs(marked: DataFrame, found: DataFrame, classes: DataFrame, texts: DataFrame,
+                 words: int, percent: int, store: Scratch) -> DataFrame:
+    """Pairs of a class and a member of another, large component, which the component's
+    shingles allow.
+
+    A class shares no more with a member than with all members together. That number, one for
+    each class and component, and the sizes bound the likeness to every member, and hardly any
+    class that is not linked gets past it. So a large component is not compared member by member.
+    """
+    heads = marked.where("large").select(
+        "value", F.col("component").alias("target")).distinct()
+    units = marked.join(heads, "value").where(
+        (F.col("component") != F.col("target"))
+        & (~F.col("large") | (F.col("component") < F.col("target"))))
+    units = store.keep(units.select("id", "size", "target").distinct(), "units")
+    targets = store.keep(units.select(F.col("target").alias("component")).distinct(), "targets")
+    if not targets.head(1):
+        return units.select(F.col("id").alias("x"), F.col("id").alias("y")).limit(0)
+    members = found.join(targets, "component").select(F.col("node").alias("id"), "component")
+    members = store.keep(members.join(classes.select("id", "size"), "id"), "members")
+    nodes = store.keep(units.select("id").union(members.select("id")).distinct(), "unit_nodes")
+
+    def hashes(batches):
+        for batch in text_groups(batches):
+            kept = [shingle_hashes(t, words).view(np.int64)
+                    for t in batch.column("text").to_pylist()]
+            yield pa.record_batch([batch.column("id"), pa.array(kept, pa.list_(pa.int64()))],
+                                  names=["id", "hashes"])
+
+    full = keep_listed(texts, nodes, "id").dropDuplicates(["id"]).mapInArrow(
+        hashes, "id long, hashes array<long>")
+    full = store.keep(full, "unit_sets")
+    whole = members.join(full, "id").select(
+        F.col("component").alias("target"), F.explode("hashes").alias("hash")).distinct()
+    covered = units.join(full, "id").select("id", "target", F.explode("hashes").alias("hash")
+                                            ).join(whole, ["target", "hash"])
+    covered = covered.groupBy("id", "target").agg(F.count(F.lit(1)).alias("covered"))
+    units = units.join(covered, ["id", "target"])
+    ranges = members.groupBy(F.col("component").alias("target")).agg(
+        F.min("size").alias("_low"))
+    least = F.greatest("_low", "covered")
+    units = store.keep(units.join(ranges, "target").where(
+        F.col("covered") * 100 >= (F.col("size") + least - F.col("covered")) * percent
+    ).select("id", F.col("size").alias("_size"), "target", "covered"), "open_units")
+    member = members.select(F.col("component").alias("target"), F.col("id").alias("other"), "size")
+    most = F.least("covered", "size")
+    pairs = units.join(member, "target").where(
+        _fits("size", "_size", percent)
+        & (most * 100 >= (F.col("_size") + F.col("size") - most) * percent))
+    return pairs.select(F.least("id", "other").alias("x"),
+                        F.greatest("id", "other").alias("y")).distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
