@@ -293,8 +293,9 @@ def _marked_outsiders(marked: DataFrame, sizes: DataFrame) -> DataFrame:
 
 
 def _small_pairs(marked: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a list's classes from different components, neither of them large."""
-    some = marked.where("NOT large").select("value", "id", "size", "component")
+    """All pairs of different components in lists without a large one."""
+    large = marked.where("large").select("value").distinct()
+    some = marked.join(large, "value", "left_anti").select("value", "id", "size", "component")
     other = some.select("value", F.col("id").alias("x"), F.col("size").alias("_size"),
                         F.col("component").alias("_component"))
     pairs = some.join(other, "value").where(
@@ -305,25 +306,29 @@ def _small_pairs(marked: DataFrame, percent: int) -> DataFrame:
 
 def _large_pairs(marked: DataFrame, found: DataFrame, classes: DataFrame, texts: DataFrame,
                  words: int, percent: int, store: Scratch) -> DataFrame:
-    """Pairs of a class and a member of another, large component, which the component's
-    shingles allow.
+    """Pairs from lists with a large component, as far as shingles allow them.
 
-    A class shares no more with a member than with all members together. That number, one for
-    each class and component, and the sizes bound the likeness to every member, and hardly any
-    class that is not linked gets past it. So a large component is not compared member by member.
+    A large component and the classes that share a list with it are a group. A class shares
+    no more with another one than what it shares with all others of the group together. That
+    number, one for each class of another component, and the sizes bound its likeness to each.
+    Hardly any class that is not linked gets past the bound, so neither the component nor
+    the classes around it are compared one by one.
     """
     heads = marked.where("large").select(
         "value", F.col("component").alias("target")).distinct()
     units = marked.join(heads, "value").where(
         (F.col("component") != F.col("target"))
         & (~F.col("large") | (F.col("component") < F.col("target"))))
-    units = store.keep(units.select("id", "size", "target").distinct(), "units")
+    units = store.keep(units.select("id", "size", "component", "target").distinct(), "units")
     targets = store.keep(units.select(F.col("target").alias("component")).distinct(), "targets")
     if not targets.head(1):
         return units.select(F.col("id").alias("x"), F.col("id").alias("y")).limit(0)
     members = found.join(targets, "component").select(F.col("node").alias("id"), "component")
-    members = store.keep(members.join(classes.select("id", "size"), "id"), "members")
-    nodes = store.keep(units.select("id").union(members.select("id")).distinct(), "unit_nodes")
+    members = members.join(classes.select("id", "size"), "id").withColumn(
+        "target", F.col("component"))
+    group = store.keep(units.withColumn("unit", F.lit(True)).unionByName(
+        members.withColumn("unit", F.lit(False))), "groups")
+    nodes = store.keep(group.select("id").distinct(), "group_nodes")
 
     def hashes(batches):
         for batch in text_groups(batches):
@@ -334,23 +339,26 @@ def _large_pairs(marked: DataFrame, found: DataFrame, classes: DataFrame, texts:
 
     full = keep_listed(texts, nodes, "id").dropDuplicates(["id"]).mapInArrow(
         hashes, "id long, hashes array<long>")
-    full = store.keep(full, "unit_sets")
-    whole = members.join(full, "id").select(
-        F.col("component").alias("target"), F.explode("hashes").alias("hash")).distinct()
-    covered = units.join(full, "id").select("id", "target", F.explode("hashes").alias("hash")
-                                            ).join(whole, ["target", "hash"])
-    covered = covered.groupBy("id", "target").agg(F.count(F.lit(1)).alias("covered"))
-    units = units.join(covered, ["id", "target"])
-    ranges = members.groupBy(F.col("component").alias("target")).agg(
-        F.min("size").alias("_low"))
+    full = store.keep(full, "group_sets")
+    all_sets = group.join(full, "id").select("target", "id", "unit",
+                                             F.explode("hashes").alias("hash"))
+    shared = all_sets.groupBy("target", "hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    covered = all_sets.where("unit").join(shared, ["target", "hash"]).groupBy(
+        "id", "target").agg(F.count(F.lit(1)).alias("covered"))
+    lowest = group.groupBy("target").agg(F.min("size").alias("_low"))
     least = F.greatest("_low", "covered")
-    units = store.keep(units.join(ranges, "target").where(
-        F.col("covered") * 100 >= (F.col("size") + least - F.col("covered")) * percent
-    ).select("id", F.col("size").alias("_size"), "target", "covered"), "open_units")
-    member = members.select(F.col("component").alias("target"), F.col("id").alias("other"), "size")
-    most = F.least("covered", "size")
-    pairs = units.join(member, "target").where(
-        _fits("size", "_size", percent)
+    units = group.where("unit").join(covered, ["id", "target"]).join(lowest, "target").where(
+        F.col("covered") * 100 >= (F.col("size") + least - F.col("covered")) * percent)
+    units = store.keep(units.select("id", "size", "component", "target", "covered"),
+                       "open_units")
+    others = group.where("NOT unit").select("id", "size", "component", "target",
+                                            F.col("size").alias("covered"))
+    others = others.unionByName(units).select(
+        "target", F.col("id").alias("other"), F.col("size").alias("_size"),
+        F.col("component").alias("_component"), F.col("covered").alias("_covered"))
+    most = F.least("covered", "_covered")
+    pairs = units.join(others, "target").where(
+        (F.col("component") != F.col("_component")) & _fits("size", "_size", percent)
         & (most * 100 >= (F.col("_size") + F.col("size") - most) * percent))
     return pairs.select(F.least("id", "other").alias("x"),
                         F.greatest("id", "other").alias("y")).distinct()
