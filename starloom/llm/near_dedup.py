@@ -13,8 +13,8 @@
    against the list's first one; then members of different components against one drawn for the
    list; then all pairs of a list that still lie in different components. There a component
    of many classes is first compared as a whole, by the shingles of all its members together,
-   which bounds the likeness to each member. No pair of a list is left out unless its sides are
-   linked already or this bound shows that they can't be.
+   which bounds the likeness to each member, and then in blocks. No pair of a list is left out
+   unless its sides are linked already or this bound shows that they can't be.
 
 A link is missed only if its estimate falls short by six standard deviations: with k = 64, below
 0.5 for a likeness of at least 0.8. Sets of up to k shingles are estimated exactly.
@@ -44,6 +44,8 @@ SKETCH = 64
 SIGMAS = 6.0
 #: Classes from which on a component is compared as a whole first.
 LARGE = 8
+#: Classes of such a component, and of those around it, that a task compares at once.
+BLOCK = 256
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 
@@ -240,11 +242,11 @@ def class_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT
 
     links = test(_stars(listed.withColumn("component", F.col("id")), percent, None), "first")
     found, marked = labelled(links)
-    marked = store.keep(_undecided(marked), "undecided")
+    marked = store.keep(_undecided(marked.withColumn("large", F.lit(False))), "undecided")
     links = links.unionByName(test(_stars(marked, percent, "drawn"), "drawn"))
     found, marked = labelled(links)
     sizes = found.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
-    marked = store.keep(_marked_outsiders(_undecided(marked), sizes), "undecided")
+    marked = store.keep(_undecided(_with_large(marked, sizes)), "undecided")
     pairs = _small_pairs(marked, percent).unionByName(
         _large_pairs(marked, found, classes, texts, words, percent, store))
     links = links.unionByName(test(pairs, "last"))
@@ -254,10 +256,12 @@ def class_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT
 
 
 def _undecided(marked: DataFrame) -> DataFrame:
-    """Lists whose classes are not all in one component yet."""
-    mixed = marked.groupBy("value").agg(F.min("component").alias("_a"),
-                                        F.max("component").alias("_b")).where("_a < _b")
-    return marked.join(mixed.select("value"), "value")
+    """Lists whose classes are not all in one component yet; ``beside`` tells whether a list
+    has a large component."""
+    mixed = marked.groupBy("value").agg(
+        F.min("component").alias("_a"), F.max("component").alias("_b"),
+        F.max("large").alias("beside")).where("_a < _b")
+    return marked.join(mixed.select("value", "beside"), "value")
 
 
 def _stars(marked: DataFrame, percent: int, draw: str | None) -> DataFrame:
@@ -285,17 +289,15 @@ def _stars(marked: DataFrame, percent: int, draw: str | None) -> DataFrame:
                          ).distinct()
 
 
-def _marked_outsiders(marked: DataFrame, sizes: DataFrame) -> DataFrame:
-    """``marked`` with the classes in its component, as far as linked, and a flag for
-    components of at least ``LARGE`` classes."""
+def _with_large(marked: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``marked`` with a flag for components of at least ``LARGE`` classes."""
     return marked.join(sizes, "component", "left").withColumn(
         "large", F.coalesce("members", F.lit(1)) >= LARGE).drop("members")
 
 
 def _small_pairs(marked: DataFrame, percent: int) -> DataFrame:
     """All pairs of different components in lists without a large one."""
-    large = marked.where("large").select("value").distinct()
-    some = marked.join(large, "value", "left_anti").select("value", "id", "size", "component")
+    some = marked.where("NOT beside").select("value", "id", "size", "component")
     other = some.select("value", F.col("id").alias("x"), F.col("size").alias("_size"),
                         F.col("component").alias("_component"))
     pairs = some.join(other, "value").where(
@@ -311,8 +313,7 @@ def _large_pairs(marked: DataFrame, found: DataFrame, classes: DataFrame, texts:
     A large component and the classes that share a list with it are a group. A class shares
     no more with another one than what it shares with all others of the group together. That
     number, one for each class of another component, and the sizes bound its likeness to each.
-    Hardly any class that is not linked gets past the bound, so neither the component nor
-    the classes around it are compared one by one.
+    Classes that it leaves are compared with the group in blocks, from which only links come.
     """
     heads = marked.where("large").select(
         "value", F.col("component").alias("target")).distinct()
@@ -356,12 +357,59 @@ def _large_pairs(marked: DataFrame, found: DataFrame, classes: DataFrame, texts:
     others = others.unionByName(units).select(
         "target", F.col("id").alias("other"), F.col("size").alias("_size"),
         F.col("component").alias("_component"), F.col("covered").alias("_covered"))
-    most = F.least("covered", "_covered")
-    pairs = units.join(others, "target").where(
-        (F.col("component") != F.col("_component")) & _fits("size", "_size", percent)
-        & (most * 100 >= (F.col("_size") + F.col("size") - most) * percent))
-    return pairs.select(F.least("id", "other").alias("x"),
-                        F.greatest("id", "other").alias("y")).distinct()
+    return _linked_by_blocks(units, others, full, percent, store)
+
+
+def _linked_by_blocks(units: DataFrame, others: DataFrame, full: DataFrame, percent: int,
+                      store: Scratch) -> DataFrame:
+    """Pairs of ``units`` and ``others`` of one target whose full sets of hashes reach the
+    threshold. Both come in blocks of about ``BLOCK`` classes, and a task gets one block of each,
+    so what it holds is bounded and only linked pairs leave it."""
+
+    def blocks(frame: DataFrame, name: str) -> DataFrame:
+        return frame.groupBy("target").agg(
+            F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias(name))
+
+    n_units, n_others = blocks(units, "_units"), blocks(others, "_others")
+    sizes = n_units.join(n_others, "target")
+    left = units.join(full, "id").join(sizes, "target").select(
+        "target", F.pmod(F.xxhash64("id"), "_units").cast("int").alias("u"),
+        F.explode(F.sequence(F.lit(0), F.col("_others") - 1)).alias("o"),
+        "id", "component", "covered", "hashes")
+    right = others.join(full.select(F.col("id").alias("other"), "hashes"), "other").join(
+        sizes, "target").select(
+        "target", F.explode(F.sequence(F.lit(0), F.col("_units") - 1)).alias("u"),
+        F.pmod(F.xxhash64("other"), "_others").cast("int").alias("o"),
+        "other", "_component", "_covered", "hashes")
+
+    def compare(left, right):
+        import pandas as pd
+
+        pairs = []
+        if len(left) and len(right):
+            sets = [np.asarray(h, np.int64) for h in right["hashes"]]
+            sizes = np.array([len(s) for s in sets])
+            owner = np.repeat(np.arange(len(sets)), sizes)
+            values = np.concatenate(sets)
+            order = np.argsort(values, kind="stable")
+            values, owner = values[order], owner[order]
+            other, component = right["other"].to_numpy(), right["_component"].to_numpy()
+            for id_, comp, hashes in zip(left["id"], left["component"], left["hashes"]):
+                mine = np.sort(np.asarray(hashes, np.int64))
+                low = np.searchsorted(values, mine, "left")
+                high = np.searchsorted(values, mine, "right")
+                found = [owner[i:j] for i, j in zip(low, high) if j > i]
+                common = np.bincount(np.concatenate(found), minlength=len(sets)) if found else (
+                    np.zeros(len(sets), np.int64))
+                hit = 100 * common >= percent * (len(mine) + sizes - common)
+                hit &= component != comp
+                pairs += [(min(id_, x), max(id_, x)) for x in other[hit]]
+        return pd.DataFrame(pairs, columns=["x", "y"]).astype("int64")
+
+    key = ["target", "u", "o"]
+    left, right = store.keep(left, "unit_blocks"), store.keep(right, "other_blocks")
+    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(
+        compare, "x long, y long").distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
