@@ -6,7 +6,7 @@ with a missing key match nothing. Invalid rows always stay, as the quarantine.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 KEY = ("order_id", "product_id")
@@ -25,18 +25,26 @@ def latest_by_key(staged: DataFrame, key: tuple[str, ...], order: str = "staging
     )
 
 
+def _valid() -> Column:
+    return F.col("processed_flag") & F.col("error_message").isNull()
+
+
+def _keyless() -> Column:
+    return F.col("order_id").isNull() | F.col("product_id").isNull()
+
+
 def latest_valid_sales(staged: DataFrame) -> DataFrame:
-    """Valid sales that survive, for rows with a complete key: what the fact load reads."""
-    valid = F.col("processed_flag") & F.col("error_message").isNull()
-    keyed = staged.where(F.col("order_id").isNotNull() & F.col("product_id").isNotNull())
-    slim = keyed.withColumn("_valid", valid).drop("processed_flag", "error_message")
-    return latest_by_key(slim, KEY).where("_valid").drop("_valid").withColumns(
+    """Valid sales that survive: what the fact load reads. Those without a key match nothing
+    and all survive; the fact load rejects them with a reason."""
+    slim = staged.where(~_keyless()).withColumn("_valid", _valid()).drop(
+        "processed_flag", "error_message")
+    newest = latest_by_key(slim, KEY).where("_valid").drop("_valid").withColumns(
         {"processed_flag": F.lit(True), "error_message": F.lit(None).cast("string")}
     )
+    return newest.unionByName(staged.where(_keyless() & _valid()))
 
 
 def dedup_sales(staged: DataFrame) -> DataFrame:
     """All staged rows that survive, quarantine and keyless rows included."""
-    keyless = F.col("order_id").isNull() | F.col("product_id").isNull()
-    untouched = staged.where(~F.col("processed_flag") | keyless)
+    untouched = staged.where(~F.col("processed_flag") | (_keyless() & ~_valid()))
     return untouched.unionByName(latest_valid_sales(staged))

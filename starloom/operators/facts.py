@@ -11,6 +11,8 @@ from starloom.functions.columns import fit, month_of_key, sale_margin
 from starloom.schemas import AMOUNT, FACT_SALES
 
 FACT_KEY = ("order_id", "product_key")
+# A sale by its own key, whichever product version it was loaded with.
+SALE_KEY = ("order_id", "product_id")
 # Load slices: rows of a full slice, rows a day may have unsplit, slices per partition.
 SLICE_ROWS, DAY_ROWS, SLICES_PER_PARTITION = 2_000_000, 100_000, 16
 SALE_COLUMNS = ("staging_id", "order_id", "order_date", "customer_id", "product_id",
@@ -57,17 +59,19 @@ def fact_candidates(sales: DataFrame, customers: DataFrame, products: DataFrame,
     missing = reduce(lambda a, b: a | b, [
         F.col(name).isNull() for name in ("order_id", "quantity", "unit_price", "total_amount")
     ])
+    keyless = F.col("order_id").isNull() | F.col("product_id").isNull()
     reason = (
-        F.when(F.col("product_key").isNull(), NO_PRODUCT)
+        F.when(keyless, NO_VALUE)
+        .when(F.col("product_key").isNull(), NO_PRODUCT)
         .when(F.col("customer_key").isNull(), NO_CUSTOMER)
         .when(F.col("date_key").isNull(), NO_DATE)
         .when(missing, NO_VALUE)
     )
     if existing is None:
         return resolved.withColumn("reject_reason", reason)
-    hits = already_present(existing, resolved, FACT_KEY).withColumn("_hit", F.lit(True))
+    hits = loaded_sales(existing, sales, products).withColumn("_hit", F.lit(True))
     return (
-        resolved.join(hits, list(FACT_KEY), "left")
+        resolved.join(hits, list(SALE_KEY), "left")
         .withColumn("reject_reason", F.coalesce(reason, F.when(F.col("_hit"), LOADED)))
         .drop("_hit")
     )
@@ -133,6 +137,15 @@ def already_present(existing: DataFrame, new: DataFrame, key: tuple[str, ...]) -
     return existing.select(*key).join(wanted, list(key), "left_semi").distinct()
 
 
+def loaded_sales(existing: DataFrame, sales: DataFrame, products: DataFrame) -> DataFrame:
+    """Order and product of those ``sales`` that ``existing`` holds under any version of their
+    product."""
+    versions = products.select("product_id", "product_key")
+    wanted = sales.select(*SALE_KEY).distinct().join(versions, "product_id")
+    found = already_present(existing, wanted, FACT_KEY)
+    return found.join(versions, "product_key").select(*SALE_KEY).distinct()
+
+
 def insert_ignore(new: DataFrame, existing: DataFrame, key: tuple[str, ...],
                   order: list[str]) -> DataFrame:
     """Rows of ``new`` to append so that each key stays unique: the first new row per key,

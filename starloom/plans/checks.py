@@ -55,7 +55,9 @@ def invariants(star: Star, agg: DataFrame) -> DataFrame:
         current = dim.groupBy(key).agg(F.count_if("is_current").alias("n"))
         parts.append(_one(current, f"{name} without exactly one current version",
                           F.count_if(F.col("n") != 1)))
-    repeated = star.fact.groupBy("order_id", "product_key").agg(F.count(F.lit(1)).alias("n"))
+    repeated = star.fact.select("order_id", "product_key").join(
+        star.product.select("product_key", "product_id"), "product_key"
+    ).groupBy("order_id", "product_id").agg(F.count(F.lit(1)).alias("n"))
     parts.append(_one(repeated, "fact key repeated", F.count_if(F.col("n") > 1)))
     for name, dim, key in (("customer", star.customer, "customer_key"),
                            ("product", star.product, "product_key"),

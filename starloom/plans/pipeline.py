@@ -121,8 +121,9 @@ class Warehouse:
         return reader.parquet(*runs)
 
     def aggregates(self) -> DataFrame:
-        outputs = self.ledger.outputs(LOAD_AGGREGATES)
-        return self.spark.read.parquet(outputs[-1][1]).drop("order_month")
+        empty = facts.with_month(with_agg_key(daily_aggregates(self.fact([]))))
+        found = self._latest(LOAD_AGGREGATES, empty.schema)
+        return (empty if found is None else found).drop("order_month")
 
     def star(self) -> S.Star:
         return S.Star(self.fact(), self.dimension(dimensions.CUSTOMER),
@@ -357,10 +358,17 @@ class Warehouse:
             self.load_dimension(dimensions.CUSTOMER, as_of, customers)
         if products:
             self.load_dimension(dimensions.PRODUCT, as_of, products)
-        if customers or products or sales:
+        if customers or products or sales or self._dimensions_ahead():
             self.load_facts(sales)
         self.load_aggregates(rebuild=False)
 
+    def _dimensions_ahead(self) -> bool:
+        """Whether a dimension load has completed since facts were loaded, as after a run that
+        died in between: it may release sales held back."""
+        last = {process: max((i for i, _ in self.ledger.outputs(process)), default=0)
+                for process in (LOAD_CUSTOMERS, LOAD_PRODUCTS, LOAD_FACTS)}
+        return max(last[LOAD_CUSTOMERS], last[LOAD_PRODUCTS]) > last[LOAD_FACTS]
+
     def _unused(self, kind: Kind, process: str) -> list[str]:
         """Staged loads that no completed load process has read."""
         used = {load for source, _ in self.ledger.outputs(process)

@@ -28,7 +28,7 @@ def with_corrupt(schema: T.StructType) -> T.StructType:
 
 def csv_options() -> dict[str, object]:
     return {"header": True, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
-            "enforceSchema": False, "dateFormat": "yyyy-MM-dd"}
+            "enforceSchema": False, "dateFormat": "yyyy-MM-dd", "escape": '"'}
 
 
 def located(rows: DataFrame) -> DataFrame:
@@ -39,7 +39,9 @@ def located(rows: DataFrame) -> DataFrame:
     """
     return rows.select(
         *rows.columns,
-        F.col("_metadata.file_name").alias(FILE),
+        # Spark gives the name percent-encoded; a plus sign in it stands for itself.
+        F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))
+                     ).alias(FILE),
         F.col("_metadata.file_block_start").alias(SPLIT),
         F.monotonically_increasing_id().alias(SPOT),
     )

@@ -256,3 +256,26 @@ def test_file_stream(site):
     filestream.run_available(warehouse, str(site.source), str(site.path / "new"), DAY2)
     assert len(site.loaded()) == 5 and warehouse.staged(P.SALES).count() == 5
     site.sound()
+
+
+def test_a_sale_stays_loaded_once_after_its_product_changes(site):
+    """A tracked change gives the product a new key; neither a full run nor a sale that is sent
+    again may add facts."""
+    site.mini().full()
+    before = site.warehouse.fact().count()
+    site.put(products2=PRODUCTS.replace("150.00", "155.00"))
+    site.full(DAY2)
+    assert site.warehouse.fact().count() == before
+    site.put(sales2=SALES)
+    site.incremental(DAY2)
+    assert site.warehouse.fact().count() == before
+    site.sound()
+
+
+def test_a_sale_without_a_key_is_rejected_and_nothing_is_aggregated(site):
+    assert site.warehouse.aggregates().count() == 0
+    row = "ORD00000001,2023-01-20,CUST000001,,1,199.99,199.99\n,2023-01-20,CUST000001,PROD000001,1,199.99,199.99\n"
+    site.put(customers=CUSTOMERS, products=PRODUCTS, sales=HEADER + row).full()
+    reasons = [r.reject_reason for r in site.warehouse.candidates().collect()]
+    assert reasons == [facts.NO_VALUE] * 2
+    assert site.warehouse.fact().count() == 0 and site.warehouse.aggregates().count() == 0
