@@ -360,6 +360,12 @@ def _invariants() -> str:
             f"select 'facts without {name}', " + _ZERO.format(
                 f"(select count(*) from fact where {name}_key not in "
                 f"(select {name}_key from dim_{name}))"))
+    parts.append("select 'staged sales neither valid, invalid nor removed', " + _ZERO.format(
+        "abs((select count(*) from sales) - (select count(*) from kept) - (select count(*) from "
+        "sales where staging_id not in (select staging_id from kept)))"))
+    parts.append("select 'valid sales neither loaded nor rejected', " + _ZERO.format(
+        "(select count(*) from valid_sales) - (select count(*) from fact) - (select count(*) "
+        "from resolved where reject_reason is not null)"))
     body = " union all ".join(parts)
     return f', agg as ({AGG}) select "check", n from ({body}) as t("check", n)'
 
@@ -374,6 +380,15 @@ select staging_id, customer_id, customer_name, email, phone, address, city, coun
     "stage_products": f"""
 select staging_id, product_id, product_name, category, subcategory, supplier, cost_price,
        msrp, file_name, {_OPEN} from raw_products""",
+    "extract_sales": """
+select order_id, order_date, customer_id, product_id, quantity, unit_price, total_amount
+from raw_sales""",
+    "extract_customers": """
+select customer_id, ' "' || customer_name || '", ' as customer_name, email, phone, address,
+       city, country, registration_date from raw_customers""",
+    "extract_products": """
+select product_id, product_name, category, subcategory, supplier, cost_price, msrp
+from raw_products""",
     "pending_files": "select distinct file_name from raw_sales where file_name >= 'sales_199901'",
     "ledger_status": """
 select process_id, status, event_time, event_id from (
@@ -440,6 +455,7 @@ select {MEASURES} from (
     "incremental_facts": f"""
 select {MEASURES}, case when registration_date < date '1997-01-01' then 1 else 2 end as run
 from fact""",
+    "fact_reload_after_version": f"select {MEASURES}, 1 as run from fact",
     "agg_sales_daily": f"""
 select cast(cast(date_key as bigint) * 274877906944
             + case when customer_key is not null then 1 when product_key is not null then 2

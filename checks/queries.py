@@ -8,15 +8,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.sample import Sample, sample
+from checks.sample import SECOND_DAY, Sample, sample
 from starloom import schemas as S
 from starloom.operators import aggregates, dedup, dimensions, facts, quality
 from starloom.plans import checks, dashboard, reports, views
-from starloom.sources import ledger
+from starloom.plans.pipeline import CUSTOMERS, LOAD_FACTS, PRODUCTS, SALES
+from starloom.sources import csv_files, ledger
 from starloom.sources.calendar import date_dimension
 
 FIRST_LOAD_END = dt.date(1999, 1, 1)
-SECOND_DAY = dt.date(2001, 7, 1)
 LATE_CUSTOMERS = dt.date(1997, 1, 1)
 FILTER_FIRST, FILTER_LAST = dt.date(1997, 3, 1), dt.date(1998, 2, 28)
 FILTER_CATEGORY = "ECONOMY"
@@ -46,6 +46,32 @@ def stage_products(s):
     return s.raw_products
 
 
+def _through_files(s, kind, raw: DataFrame) -> DataFrame:
+    """Rows written as source files and read as an extract reads them, names included."""
+    columns = kind.file_schema.fieldNames()
+    folder = s.scratch.path(f"{kind.name}_files")
+    csv_files.write_rows(raw.select(*columns), folder)
+    return csv_files.read_rows(s.spark, [folder], kind.file_schema).where(
+        F.col(csv_files.CORRUPT).isNull()).select(*columns)
+
+
+@query
+def extract_sales(s):
+    return _through_files(s, SALES, s.raw_sales)
+
+
+@query
+def extract_customers(s):
+    """Names carry quotes, commas and blanks at both ends."""
+    quoted = F.concat(F.lit(' "'), "customer_name", F.lit('", '))
+    return _through_files(s, CUSTOMERS, s.raw_customers.withColumn("customer_name", quoted))
+
+
+@query
+def extract_products(s):
+    return _through_files(s, PRODUCTS, s.raw_products)
+
+
 def _sales_ledger(files: DataFrame) -> DataFrame:
     """Ledger rows for the monthly files: older ones done, the next quarter failed."""
     month = F.substring("file_name", 7, 6)
@@ -165,15 +191,18 @@ def scd2_customers(s):
     return merge(before, second, dimensions.CUSTOMER, SECOND_DAY, s.scratch)
 
 
+def _cheaper(products: DataFrame, kind) -> DataFrame:
+    """STANDARD costs a tenth less."""
+    less = (F.col("cost_price") * F.lit("0.9").cast("decimal(2,1)")).cast(kind)
+    return products.withColumn("cost_price", F.when(F.col("category") == "STANDARD", less)
+                               .otherwise(F.col("cost_price")))
+
+
 @query
 def scd2_products(s):
     """Second batch a day later: STANDARD costs a tenth less, Brand#1 is absent."""
     rows = dimensions.product_rows(s.products)
-    cheaper = F.when(
-        F.col("category") == "STANDARD",
-        (F.col("cost_price") * F.lit("0.9").cast("decimal(2,1)")).cast(S.PRICE),
-    ).otherwise(F.col("cost_price"))
-    second = rows.where("supplier <> 'Brand#1'").withColumn("cost_price", cheaper)
+    second = _cheaper(rows.where("supplier <> 'Brand#1'"), S.PRICE)
     merge = dimensions.scd2_merge
     before = s.scratch.keep(
         merge(None, rows, dimensions.PRODUCT, s.as_of, s.scratch), "first_products"
@@ -200,35 +229,48 @@ def fact_reject_counts(s):
     return facts.reject_counts(s.candidates)
 
 
+def _loaded_by(s, warehouse) -> DataFrame:
+    """Facts with the number of the load that added them. Customer keys are those of a single
+    load, as a customer who comes later has a later key."""
+    ids = warehouse.dimension(dimensions.CUSTOMER).select("customer_key", "customer_id").distinct()
+    known = s.customer.select(F.col("customer_id"), F.col("customer_key").alias("_key"))
+    first = min(int(path.rsplit("=", 1)[1]) for _, path in warehouse.ledger.outputs(LOAD_FACTS))
+    return (
+        warehouse.fact().join(ids, "customer_key").join(known, "customer_id")
+        .withColumn("customer_key", F.col("_key"))
+        .select(*facts.MEASURES, F.when(F.col("load_run") == first, 1).otherwise(2).alias("run"))
+    )
+
+
 @query
 def fact_insert_ignore(s):
-    """The stored rows carry negated amounts, which shows that they win."""
-    new = s.star.fact.select(*facts.MEASURES)
-    early = F.col("order_timestamp") < F.lit(FIRST_LOAD_END).cast("timestamp")
-    stored = new.where(early).withColumn("total_amount", -F.col("total_amount"))
-    added = facts.insert_ignore(new, stored, facts.FACT_KEY, ["date_key"])
-    return stored.unionByName(added.select(*facts.MEASURES))
+    """Sales until 1998 load first, then all are offered: no loaded fact changes. Those of the
+    first load are shown with negated amounts."""
+    early = F.col("order_date") < F.lit(FIRST_LOAD_END)
+    both = s.offered_twice("insert_ignore", {SALES: early}, {})
+    amount = F.when(F.col("run") == 1, -F.col("total_amount")).otherwise(F.col("total_amount"))
+    return _loaded_by(s, both).withColumn(
+        "total_amount", amount.cast(S.AMOUNT)).select(*facts.MEASURES)
 
 
 @query
 def incremental_facts(s):
-    """Customers who registered late are unknown to the first run and known to the second;
-    the sales held back then load, and no other."""
+    """Customers who registered late are unknown to the first run and known to the second,
+    which offers all sales again: those held back then load, and no other."""
     late = F.col("registration_date") >= F.lit(LATE_CUSTOMERS)
-    star = s.star
-    sales = dedup.latest_valid_sales(s.sales.select(*facts.SALE_COLUMNS, *facts.STATUS))
-    early = star.customer.where(~late)
-    first = s.scratch.keep(
-        facts.fact_candidates(sales, early, star.product, star.date), "first_run"
-    )
-    loaded = facts.accepted(first).select(*facts.MEASURES)
-    held = facts.retried(first)
-    second = facts.fact_candidates(held, star.customer, star.product, star.date, loaded)
-    added = facts.accepted(second).select(*facts.MEASURES)
-    return (
-        loaded.withColumn("run", F.lit(1))
-        .unionByName(added.withColumn("run", F.lit(2)))
-    )
+    both = s.offered_twice("incremental", {CUSTOMERS: ~late},
+                           {CUSTOMERS: s.raw_customers.where(late)})
+    return _loaded_by(s, both)
+
+
+@query
+def fact_reload_after_version(s):
+    """STANDARD products get cheaper, which opens versions with new keys, and all sales are
+    offered again: no fact is added. Products that were invalid are not sent again, as a lower
+    cost would release their sales."""
+    valid = s.raw_products.where("cost_price <= msrp")
+    both = s.offered_twice("reload", {}, {PRODUCTS: _cheaper(valid, S.PRICE)})
+    return _loaded_by(s, both)
 
 
 @query
@@ -291,7 +333,7 @@ def product_performance_view(s):
 @query
 def product_ranks_spread(s):
     """The ranks of the product view, computed without a single-task window."""
-    view = views.product_performance_view(s.star, s.scratch, single_task_rows=0)
+    view = views.product_performance_view(s.star, s.scratch)
     return view.select("product_key", "total_revenue", "total_profit", "revenue_rank",
                        "profit_rank", "category_revenue", "category_orders")
 
@@ -318,7 +360,8 @@ def top_products_filtered(s):
 
 @query
 def warehouse_invariants(s):
-    return checks.invariants(s.star, s.aggregates)
+    _ = s.aggregates
+    return s.warehouse.invariants()
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -7,10 +7,11 @@ the stored tables, as reports do in daily use.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom import schemas as S
@@ -19,6 +20,8 @@ from starloom.plans import pipeline as P
 from starloom.session import Scratch, tune
 from starloom.sources import retail_tables as R
 
+SECOND_DAY = R.AS_OF + dt.timedelta(days=1)
+
 _SAMPLES: dict[tuple[str, str], "Sample"] = {}
 
 
@@ -28,6 +31,7 @@ class Sample:
         self.folder = folder
         self.rules, self.as_of = R.RULES, R.AS_OF
         self.scratch = Scratch(spark)
+        self._twice: dict[str, P.Warehouse] = {}
         self.warehouse = P.Warehouse(spark, f"{self.scratch.root}/warehouse", self.rules)
 
     def _stage(self, kind: P.Kind, rows: DataFrame, order: tuple[str, ...],
@@ -105,6 +109,34 @@ class Sample:
     def star(self) -> S.Star:
         return S.Star(self.fact, self.customer, self.product, self.warehouse.dates())
 
+    def offered_twice(self, name: str, first: dict[P.Kind, Column], second: dict[P.Kind, DataFrame]
+                      ) -> P.Warehouse:
+        """A warehouse of its own, loaded twice by the steps of the pipeline. The first load
+        takes the rows that meet a condition, the second the given rows and all sales again."""
+        if name not in self._twice:
+            warehouse = P.Warehouse(self.spark, f"{self.scratch.root}/{name}", self.rules)
+            raw = {P.CUSTOMERS: self.raw_customers, P.PRODUCTS: self.raw_products,
+                   P.SALES: self.raw_sales}
+
+            def stage(kind: P.Kind, rows: DataFrame, load: str) -> None:
+                warehouse.stage_rows(kind, rows, [F.col("staging_id")], lambda sliced: sliced,
+                                     f"{kind.name}_{load}.csv", R.LOAD_TIME)
+
+            P.together(self.spark, *[
+                partial(stage, kind, rows.where(first.get(kind, F.lit(True))), "1")
+                for kind, rows in raw.items()
+            ])
+            P.together(self.spark, lambda: warehouse.load_dimension(CUSTOMER, self.as_of),
+                       lambda: warehouse.load_dimension(PRODUCT, self.as_of))
+            warehouse.load_facts()
+            P.together(self.spark, *[
+                partial(stage, kind, rows, "2")
+                for kind, rows in {**second, P.SALES: raw[P.SALES]}.items()
+            ])
+            warehouse.load_new(SECOND_DAY)
+            self._twice[name] = warehouse
+        return self._twice[name]
+
 
 def sample(spark: SparkSession, folder: str) -> Sample:
     key = (spark.sparkContext.applicationId, folder)

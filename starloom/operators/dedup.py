@@ -6,6 +6,8 @@ with a missing key match nothing. Invalid rows always stay, as the quarantine.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,38 +15,34 @@ KEY = ("order_id", "product_id")
 
 
 def latest_by_key(staged: DataFrame, key: tuple[str, ...], order: str = "staging_id") -> DataFrame:
-    """The row with the largest ``order`` per key.
+    """Rows without a row of the same key and a larger ``order``; a row that misses part of its
+    key matches nothing and stays.
 
-    An aggregate and not a window: each map task reduces a hot key to one row before the
-    shuffle, so no task ever holds all the copies of a key.
+    A hash aggregate over key and order finds the keys that occur more than once, reduced
+    map-side, so a hot key is one row per map task. The rows themselves are not aggregated:
+    they meet the last place of repeated keys in an anti join, whose small side AQE broadcasts
+    when it can, and whose large side it splits where a key is hot.
     """
-    rest = [name for name in staged.columns if name not in key and name != order]
-    newest = F.max(F.struct(order, *rest)).alias("newest")
-    return staged.groupBy(*key).agg(newest).select(
-        *[F.col(name) if name in key else F.col(f"newest.{name}") for name in staged.columns]
+    repeated = (
+        staged.groupBy(*key)
+        .agg(F.max(order).alias("_last"), F.count(F.lit(1)).alias("_rows"))
+        .where("_rows > 1")
+        .select(*[F.col(name).alias(f"_of_{name}") for name in key], "_last")
     )
+    same = reduce(Column.__and__, [F.col(name) == F.col(f"_of_{name}") for name in key])
+    return staged.join(repeated, same & (F.col(order) < F.col("_last")), "left_anti")
 
 
 def _valid() -> Column:
     return F.col("processed_flag") & F.col("error_message").isNull()
 
 
-def _keyless() -> Column:
-    return F.col("order_id").isNull() | F.col("product_id").isNull()
-
-
 def latest_valid_sales(staged: DataFrame) -> DataFrame:
     """Valid sales that survive: what the fact load reads. Those without a key match nothing
     and all survive; the fact load rejects them with a reason."""
-    slim = staged.where(~_keyless()).withColumn("_valid", _valid()).drop(
-        "processed_flag", "error_message")
-    newest = latest_by_key(slim, KEY).where("_valid").drop("_valid").withColumns(
-        {"processed_flag": F.lit(True), "error_message": F.lit(None).cast("string")}
-    )
-    return newest.unionByName(staged.where(_keyless() & _valid()))
+    return latest_by_key(staged, KEY).where(_valid())
 
 
 def dedup_sales(staged: DataFrame) -> DataFrame:
     """All staged rows that survive, quarantine and keyless rows included."""
-    untouched = staged.where(~F.col("processed_flag") | (_keyless() & ~_valid()))
-    return untouched.unionByName(latest_valid_sales(staged))
+    return staged.where(~_valid()).unionByName(latest_valid_sales(staged))

@@ -66,6 +66,7 @@ def scd2_merge(dim: DataFrame | None, rows: DataFrame, dimension: Dimension, as_
     * current version opened at ``as_of``: its attributes are overwritten;
     * a tracked column differs (NULL counts as a value): the version closes the day
       before and a new one opens;
+    * current version opened after ``as_of``: unchanged, a late batch rewrites no newer one;
     * everything else, and keys absent from ``rows``: unchanged.
 
     Both join sides hold one row per key, so no key can be hot. Stored keys never change.
@@ -90,13 +91,14 @@ def scd2_merge(dim: DataFrame | None, rows: DataFrame, dimension: Dimension, as_
         .join(newest.select(F.struct("*").alias("new")),
               old[natural] == new[natural], "full_outer")
     )
-    same_day = old["valid_from"] >= F.lit(as_of)
+    same_day = old["valid_from"] == F.lit(as_of)
+    earlier = old["valid_from"] < F.lit(as_of)
     differs = F.lit(False)
     for name in dimension.tracked:
         differs = differs | ~old[name].eqNullSafe(new[name])
     matched = old.isNotNull() & new.isNotNull()
     overwrite = matched & same_day
-    close = matched & ~same_day & differs
+    close = matched & earlier & differs
 
     def kept(name: str):
         if name in dimension.tracked or name in dimension.derived:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.columns import fit, month_of_key, sale_margin
@@ -13,8 +14,8 @@ from starloom.schemas import AMOUNT, FACT_SALES
 FACT_KEY = ("order_id", "product_key")
 # A sale by its own key, whichever product version it was loaded with.
 SALE_KEY = ("order_id", "product_id")
-# Load slices: rows of a full slice, rows a day may have unsplit, slices per partition.
-SLICE_ROWS, DAY_ROWS, SLICES_PER_PARTITION = 2_000_000, 100_000, 16
+# Order of the running key of facts; it tells all rows of a load apart.
+LOAD_ORDER = ("date_key", "order_id", "product_id", "staging_id")
 SALE_COLUMNS = ("staging_id", "order_id", "order_date", "customer_id", "product_id",
                 "quantity", "unit_price", "total_amount")
 STATUS = ("processed_flag", "error_message")
@@ -25,12 +26,14 @@ NO_CUSTOMER = "Unknown customer"
 NO_DATE = "Date outside calendar"
 NO_VALUE = "Missing value"
 LOADED = "Already loaded"
+FILTERED = "Before date filter"
 # A sale held back for one of these may load in a later run.
-RETRIED = (NO_PRODUCT, NO_CUSTOMER, NO_DATE)
+RETRIED = (NO_PRODUCT, NO_CUSTOMER, NO_DATE, FILTERED)
 
 
 def fact_candidates(sales: DataFrame, customers: DataFrame, products: DataFrame,
-                    dates: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+                    dates: DataFrame, existing: DataFrame | None = None,
+                    first: dt.date | None = None) -> DataFrame:
     """Resolve valid sales against the current dimension versions.
 
     Returns one row per sale with fact columns, the staged columns, and ``reject_reason``
@@ -38,6 +41,7 @@ def fact_candidates(sales: DataFrame, customers: DataFrame, products: DataFrame,
     left joins with the sales on the left, so AQE may broadcast a small dimension and can
     split a hot customer or product over tasks when the dimension is large. The cost comes
     with the product lookup: the current version carries the newest valid staged price.
+    Sales before the date ``first`` are held back for a later run.
     """
     product = products.where("is_current").select("product_id", "product_key", "cost_price")
     customer = customers.where("is_current").select("customer_id", "customer_key")
@@ -60,8 +64,10 @@ def fact_candidates(sales: DataFrame, customers: DataFrame, products: DataFrame,
         F.col(name).isNull() for name in ("order_id", "quantity", "unit_price", "total_amount")
     ])
     keyless = F.col("order_id").isNull() | F.col("product_id").isNull()
+    early = F.lit(False) if first is None else F.col("order_date") < F.lit(first)
     reason = (
         F.when(keyless, NO_VALUE)
+        .when(early, FILTERED)
         .when(F.col("product_key").isNull(), NO_PRODUCT)
         .when(F.col("customer_key").isNull(), NO_CUSTOMER)
         .when(F.col("date_key").isNull(), NO_DATE)
@@ -77,56 +83,6 @@ def fact_candidates(sales: DataFrame, customers: DataFrame, products: DataFrame,
     )
 
 
-def day_slices(sales: DataFrame, slice_rows: int = SLICE_ROWS, day_rows: int = DAY_ROWS
-               ) -> DataFrame:
-    """Plan of load slices: per order date the first slice and the number of slices.
-
-    Slices follow the calendar and are equal in size but for whole days. They hold at most
-    about ``slice_rows`` rows, and fewer when that gives every shuffle partition its share;
-    a day is spread over several slices only beyond ``day_rows``. The input is read in its
-    date column only, and the windows run over one row per day.
-    """
-    partitions = int(sales.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    before = Window.orderBy("order_date").rowsBetween(Window.unboundedPreceding, -1)
-    total = F.sum("_rows").over(Window.partitionBy())
-    share = F.ceil(total / (SLICES_PER_PARTITION * partitions))
-    size = F.least(F.lit(slice_rows), share)
-    return (
-        sales.where(F.col("order_date").isNotNull()).groupBy("order_date")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-        .withColumn("_size", size)
-        .select(
-            "order_date",
-            F.floor(F.col("_before") / F.col("_size")).alias("_first"),
-            F.greatest(F.lit(1), F.floor(
-                F.col("_rows") / F.greatest(F.col("_size"), F.lit(day_rows))
-            )).alias("_parts"),
-        )
-    )
-
-
-def clustered_by_day(candidates: DataFrame, slices: DataFrame) -> DataFrame:
-    """Bring candidates into load order, by day, and mark slice and place of each row.
-
-    The slices are known beforehand, so no sampling pass over the candidates is needed as
-    for a range partitioning. Rejected rows take slices of their own below zero. Broadcast
-    are as many rows as there are order dates that passed the date rule.
-    """
-    spread = F.xxhash64("order_id", "staging_id")
-    planned = F.col("_first") + F.pmod(spread, F.col("_parts"))
-    place = F.coalesce(planned, F.pmod(spread, F.lit(1024)))
-    accept = F.col("reject_reason").isNull()
-    return (
-        candidates.join(F.broadcast(slices), "order_date", "left")
-        .withColumn("_slice", F.when(accept, place).otherwise(-1 - place))
-        .drop("_first", "_parts")
-        .repartition("_slice")
-        .sortWithinPartitions("_slice", "date_key", "order_id", "product_id", "staging_id")
-        .withColumn("_place", F.monotonically_increasing_id())
-    )
-
-
 def already_present(existing: DataFrame, new: DataFrame, key: tuple[str, ...]) -> DataFrame:
     """Distinct keys of ``new`` that ``existing`` holds.
 
@@ -146,18 +102,6 @@ def loaded_sales(existing: DataFrame, sales: DataFrame, products: DataFrame) ->
     return found.join(versions, "product_key").select(*SALE_KEY).distinct()
 
 
-def insert_ignore(new: DataFrame, existing: DataFrame, key: tuple[str, ...],
-                  order: list[str]) -> DataFrame:
-    """Rows of ``new`` to append so that each key stays unique: the first new row per key,
-    and none where the key is stored. The reduction to first rows happens map-side."""
-    rest = [name for name in new.columns if name not in key]
-    first = F.min(F.struct(*order, *[name for name in rest if name not in order])).alias("row")
-    firsts = new.groupBy(*key).agg(first).select(
-        *[F.col(name) if name in key else F.col(f"row.{name}") for name in new.columns]
-    )
-    return firsts.join(already_present(existing, new, key), list(key), "left_anti")
-
-
 def accepted(candidates: DataFrame) -> DataFrame:
     return candidates.where(F.col("reject_reason").isNull())
 

@@ -8,20 +8,32 @@ from pyspark.sql import functions as F
 from starloom.session import Scratch
 
 _POSITION_BITS = 33  # monotonically_increasing_id: partition above, row below
-# A plain window sorts its input in one task; beyond this many rows the ranking is spread.
-SINGLE_TASK_ROWS = 1_000_000
+_BLOCK_BITS = 10  # slices are summed up in blocks of 1024
 
 
-def _slice_starts(stored: DataFrame, slices: tuple[str, ...], spot: str) -> DataFrame:
-    """Per slice its first place and the rows before it. The window runs over one row per
-    slice, that is per shuffle partition or input split, and not over the data."""
-    before = Window.orderBy(*slices).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        stored.groupBy(*slices)
-        .agg(F.count(F.lit(1)).alias("_rows"), F.min(spot).alias("_first"))
-        .select(*slices, "_first",
-                F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
-    )
+def _slice_starts(stored: DataFrame, slices: tuple[str, ...], spot: str, scratch: Scratch
+                  ) -> DataFrame:
+    """Per slice its first place and the rows before it, as a small stored table.
+
+    Offsets are added up in two levels: over the slices of a block, one task per block, and
+    over the blocks. A block is a file, or 1024 slices in a row.
+    """
+    block = F.col(slices[0]) if len(slices) > 1 else F.shiftright(slices[0], _BLOCK_BITS)
+    counted = stored.groupBy(*slices).agg(
+        F.count(F.lit(1)).alias("_rows"), F.min(spot).alias("_first")
+    ).withColumn("_block", block)
+
+    def before(rows: str, window) -> Column:
+        above = window.rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(rows).over(above), F.lit(0))
+
+    blocks = counted.groupBy("_block").agg(F.sum("_rows").alias("_all")).select(
+        "_block", before("_all", Window.orderBy("_block")).alias("_earlier"))
+    inside = before("_rows", Window.partitionBy("_block").orderBy(*slices))
+    return scratch.keep(
+        counted.withColumn("_inside", inside).join(blocks, "_block")
+        .select(*slices, "_first", (F.col("_inside") + F.col("_earlier")).alias("_before")),
+        "starts")
 
 
 def slice_rows(df: DataFrame, order: list[Column]) -> DataFrame:
@@ -40,14 +52,15 @@ def slice_rows(df: DataFrame, order: list[Column]) -> DataFrame:
     )
 
 
-def number_stored(stored: DataFrame, out: str, start: int = 0,
+def number_stored(stored: DataFrame, out: str, scratch: Scratch, start: int = 0,
                   slices: tuple[str, ...] = ("_slice",), spot: str = "_place") -> DataFrame:
     """Dense numbers start+1.. for a stored frame whose rows count up within slices.
 
-    Only the slice starts are broadcast: one row per slice, and a slice is a whole shuffle
-    partition, input split or load slice. Rows stay where they are: the pass has no shuffle.
+    The slice starts hold one row per shuffle partition or input split. They are stored and
+    carry no hint, so Spark knows their size: it broadcasts them up to its threshold, and the
+    rows then stay where they are; beyond, it joins on the slice, which is bounded in size.
     """
-    starts = F.broadcast(_slice_starts(stored, slices, spot))
+    starts = _slice_starts(stored, slices, spot, scratch)
     return (
         stored.join(starts, list(slices))
         .withColumn(out, F.col("_before") + F.col(spot) - F.col("_first") + F.lit(start + 1))
@@ -58,24 +71,15 @@ def number_stored(stored: DataFrame, out: str, start: int = 0,
 def with_row_ids(df: DataFrame, order: list[Column], out: str, scratch: Scratch,
                  start: int = 0) -> DataFrame:
     """Add dense numbers in the order of ``order``, which has to tell all rows apart."""
-    return number_stored(scratch.keep(slice_rows(df, order), f"numbered_{out}"), out, start)
-
-
-def window_ranks(df: DataFrame, ranks: dict[str, str]) -> DataFrame:
-    """Add ``RANK() OVER (ORDER BY value DESC)`` columns, as {output: value column}.
-
-    The window gathers all rows in one task: for frames of a bounded size only.
-    """
-    return df.withColumns({
-        out: F.rank().over(Window.orderBy(F.col(value).desc_nulls_last())).cast("long")
-        for out, value in ranks.items()
-    })
+    stored = scratch.keep(slice_rows(df, order), f"numbered_{out}")
+    return number_stored(stored, out, scratch, start)
 
 
 def spread_ranks(stored: DataFrame, ranks: dict[str, str], scratch: Scratch, tie_key: str
                  ) -> DataFrame:
-    """The same for any size, from a stored frame: rows are numbered slice by slice, and
-    the rank of a value is the smallest number among its ties."""
+    """Add ``RANK() OVER (ORDER BY value DESC)`` columns, as {output: value column}, to a stored
+    frame. Rows are numbered slice by slice, and the rank of a value is the smallest number
+    among its ties: no task sorts all rows."""
     result = stored
     for out, value in ranks.items():
         numbered = with_row_ids(

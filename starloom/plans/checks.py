@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.operators.dedup import KEY, latest_valid_sales
 from starloom.plans.reports import MONEY, money, orders
 from starloom.schemas import Star
 
@@ -36,20 +37,45 @@ def _one(df: DataFrame, name: str, value: Column) -> DataFrame:
     )
 
 
+def balances(sales: DataFrame, star: Star, rejects: DataFrame) -> DataFrame:
+    """Violations of the two balances of staged sales: every row is valid, invalid or removed
+    as a duplicate, and every valid one is loaded or rejected. ``rejects`` holds staging ids."""
+    valid = F.col("processed_flag") & F.col("error_message").isNull()
+    keyless = F.col("order_id").isNull() | F.col("product_id").isNull()
+    keyed = sales.where(~keyless).groupBy(*KEY).agg(
+        F.count_if(valid).alias("valid"), F.max(F.when(valid, F.col("staging_id"))).alias("good"),
+        F.max("staging_id").alias("last"))
+    survivors = latest_valid_sales(sales)
+    total = F.sum("n")
+    counted = reduce(DataFrame.unionByName, [
+        sales.select(F.when(valid, 1).otherwise(0).alias("n")),
+        keyed.select((F.when(F.col("good") == F.col("last"), 1).otherwise(0)
+                      - F.col("valid")).cast("int").alias("n")),
+        survivors.select(F.lit(-1).alias("n")),
+    ])
+    loaded = star.fact.select("order_id", "product_key").join(
+        star.product.select("product_key", "product_id"), "product_key").select(*KEY)
+    lost = survivors.join(loaded, list(KEY), "left_anti").join(
+        rejects.distinct(), "staging_id", "left_anti")
+    return _one(counted, "staged sales neither valid, invalid nor removed",
+                F.abs(total)).unionByName(
+        _one(lost, "valid sales neither loaded nor rejected", F.count(F.lit(1))))
+
+
 def invariants(star: Star, agg: DataFrame) -> DataFrame:
     """Violations per invariant; a sound warehouse has 0 in every row."""
-    gap = {
-        "day": agg.where("customer_key IS NULL AND product_key IS NULL"),
-        "customer": agg.where("customer_key IS NOT NULL"),
-        "product": agg.where("product_key IS NOT NULL"),
-    }
-    amount = F.sum("total_amount")
-    parts = [
-        _one(star.fact.select("total_amount")
-             .unionByName(rows.select((-F.col("total_amount")).alias("total_amount"))),
-             f"amount of {grain} grain differs from facts", F.abs(amount))
-        for grain, rows in gap.items()
-    ]
+    grain = (F.when(F.col("customer_key").isNotNull(), "customer")
+             .when(F.col("product_key").isNotNull(), "product").otherwise("day"))
+    sums = star.fact.select(F.lit("fact").alias("grain"), "total_amount").unionByName(
+        agg.select(grain.alias("grain"), "total_amount")
+    ).agg(*[F.coalesce(F.sum(F.when(F.col("grain") == name, F.col("total_amount"))), F.lit(0))
+            .cast(MONEY).alias(name) for name in ("fact", "day", "customer", "product")])
+    parts = [sums.select(*[
+        F.abs(F.col(name) - F.col("fact")).cast(MONEY)
+        .alias(f"amount of {name} grain differs from facts")
+        for name in ("day", "customer", "product")
+    ])]
+    parts = [part.unpivot([], part.columns, "check", "n") for part in parts]
     for name, dim, key in (("customer", star.customer, "customer_id"),
                            ("product", star.product, "product_id")):
         current = dim.groupBy(key).agg(F.count_if("is_current").alias("n"))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.plans.reports import (
-    MEAN_PERCENT, MONEY, buyers, days, facts_between, mean_amount, money, orders,
+    MEAN_PERCENT, MONEY, by_customers, days, facts_between, mean_part, money, orders,
     product_totals, quotient,
 )
 from starloom.schemas import Star
@@ -84,12 +84,11 @@ def product_categories(star: Star) -> DataFrame:
 
 def customers_by_place(star: Star) -> DataFrame:
     where = ("city", "country", "customer_segment")
-    return (
-        star.fact.join(star.customer.select("customer_key", *where), "customer_key")
-        .groupBy(*where)
-        .agg(buyers().alias("customer_count"), money("total_amount").alias("total_sales"),
-             orders().alias("order_count"), mean_amount().alias("avg_order_value"))
-    )
+    found = by_customers(star.fact, star.customer.select("customer_key", *where), where,
+                         money("amount").alias("total_sales"),
+                         mean_part().alias("avg_order_value"))
+    return found.select(*where, "customer_count", "total_sales", "order_count",
+                        "avg_order_value")
 
 
 def segment_sales(star: Star) -> DataFrame:

@@ -8,7 +8,7 @@ Folders below the root, all Parquet::
     dim_product/run-N
     fact_candidates/run-N     sales with resolved keys and reject reasons
     fact_sales/load_run=N     facts added by a run, partitioned by order_month
-    agg_sales_daily/run-N     daily aggregates, partitioned by order_month
+    agg_sales_daily/load_run=N  daily aggregates of the months a run computed, by order_month
     etl_metadata              the ledger
 
 N is the process id in the ledger, so every attempt writes to a fresh folder, and folders
@@ -31,8 +31,8 @@ from pyspark.sql import types as T
 from starloom import schemas as S
 from starloom.operators import dimensions, facts, quality
 from starloom.operators.aggregates import daily_aggregates, with_agg_key
-from starloom.operators.dedup import latest_valid_sales
-from starloom.operators.numbering import number_stored, slice_rows
+from starloom.operators.dedup import KEY, latest_valid_sales
+from starloom.operators.numbering import number_stored, slice_rows, with_row_ids
 from starloom.plans import checks
 from starloom.sources import csv_files
 from starloom.sources.calendar import date_dimension
@@ -75,8 +75,11 @@ def together(spark: SparkSession, *steps: Callable[[], object]) -> None:
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str, rules: S.Rules = S.Rules()):
+    def __init__(self, spark: SparkSession, root: str, rules: S.Rules = S.Rules(),
+                 multi_line: bool = False):
+        """``multi_line`` reads source files whose quoted texts hold line breaks."""
         self.spark = spark
+        self.multi_line = multi_line
         self.root = root.rstrip("/")
         self.rules = rules
         self.ledger = Ledger(spark, f"{self.root}/etl_metadata")
@@ -121,9 +124,19 @@ class Warehouse:
         return reader.parquet(*runs)
 
     def aggregates(self) -> DataFrame:
+        """Daily aggregates: of every month the folder written last. A run that replaces months
+        becomes visible as a whole, with its ledger entry."""
         empty = facts.with_month(with_agg_key(daily_aggregates(self.fact([]))))
-        found = self._latest(LOAD_AGGREGATES, empty.schema)
-        return (empty if found is None else found).drop("order_month")
+        months = {folder.rsplit("=", 1)[1]: folder
+                  for _, output in self.ledger.outputs(LOAD_AGGREGATES)
+                  for folder in output.split(_JOIN) if folder}
+        if not months:
+            return empty.drop("order_month")
+        fields = [*empty.schema.fields, T.StructField("load_run", T.LongType(), True)]
+        reader = self.spark.read.schema(T.StructType(fields))
+        stored = reader.option("basePath", f"{self.root}/agg_sales_daily").parquet(
+            *months.values())
+        return stored.drop("order_month", "load_run")
 
     def star(self) -> S.Star:
         return S.Star(self.fact(), self.dimension(dimensions.CUSTOMER),
@@ -159,7 +172,8 @@ class Warehouse:
                       key=lambda row: row.file_name)
         if not todo:
             return 0
-        rows = csv_files.read_rows(self.spark, [row.path for row in todo], kind.file_schema)
+        rows = csv_files.read_rows(self.spark, [row.path for row in todo], kind.file_schema,
+                                   self.multi_line)
         return self.land(kind, rows, [row.file_name for row in todo])
 
     def land(self, kind: Kind, rows: DataFrame, names: list[str]) -> int:
@@ -185,7 +199,7 @@ class Warehouse:
         for path in sorted(landed - done, key=lambda p: int(p.rsplit("-", 1)[1])):
             rows = self.spark.read.parquet(path)
             numbered = number_stored(rows.withColumn("_file", F.col(csv_files.FILE)),
-                                     "staging_id", self._staged_rows(kind),
+                                     "staging_id", self.scratch, self._staged_rows(kind),
                                      ("_file", csv_files.SPLIT), csv_files.SPOT)
             raw = csv_files.with_lineage(numbered, load_time, csv_files.malformed())
             self._stage(kind, path, raw)
@@ -205,7 +219,7 @@ class Warehouse:
             else F.lit(None).cast(field.dataType).alias(field.name)
             for field in kind.file_schema.fields
         ], csv_files.FILE, "_slice", "_place"), f"landed_{kind.name}")
-        numbered = number_stored(landed, "staging_id", self._staged_rows(kind))
+        numbered = number_stored(landed, "staging_id", self.scratch, self._staged_rows(kind))
         filled = numbered.select("staging_id", *kind.file_schema.fieldNames(), csv_files.FILE)
         raw = csv_files.with_lineage(filled, load_time)
         self._stage(kind, source, raw)
@@ -247,17 +261,20 @@ class Warehouse:
 
         def work(process_id: int) -> list[dict]:
             path = f"{self.root}/dim_{dimension.natural[:-3]}/run-{process_id}"
-            merged = dimensions.scd2_merge(before, rows, dimension, as_of, self.scratch)
+            step = self.scratch.part("dimension")
+            merged = dimensions.scd2_merge(before, rows, dimension, as_of, step)
             merged.write.parquet(path)
+            step.clear()
             opened = self._read([path], dimension.schema).where(
                 F.col("valid_from") == F.lit(as_of)).count()
             return [{"records_loaded": opened, "output": path}]
 
         self._run(process, [_JOIN.join(consumed)], work)
 
-    def load_facts(self, loads: list[str] | None = None) -> None:
+    def load_facts(self, loads: list[str] | None = None, first: dt.date | None = None) -> None:
         """Add facts. With ``loads``, read those staged loads and the sales held back by
-        the last run, which is all that can add facts; without, read everything staged."""
+        the last run, which is all that can add facts; without, read everything staged.
+        Sales before the date ``first`` are held back."""
         consumed = self._loads(SALES) if loads is None else loads
         # The duplicate check carries whole rows; give it only what the load reads.
         sales = self.staged(SALES, consumed).select(*facts.SALE_COLUMNS, *facts.STATUS)
@@ -269,22 +286,31 @@ class Warehouse:
             sales = sales.unionByName(carried)
         runs = [path for _, path in self.ledger.outputs(LOAD_FACTS)]
         existing = self.fact(runs) if runs else None
-        candidates = facts.fact_candidates(
-            latest_valid_sales(sales), self.dimension(dimensions.CUSTOMER),
-            self.dimension(dimensions.PRODUCT), self.dates(), existing,
-        )
-        clustered = facts.clustered_by_day(candidates, facts.day_slices(quality.valid_rows(sales)))
+        offered = latest_valid_sales(sales)
 
         def load(process_id: int) -> list[dict]:
+            step = self.scratch.part("facts")
+            # Both the lookups and the search for loaded sales read the offered sales.
+            once = offered if existing is None else step.keep(offered, "offered")
+            candidates = facts.fact_candidates(
+                once, self.dimension(dimensions.CUSTOMER), self.dimension(dimensions.PRODUCT),
+                self.dates(), existing, first,
+            )
             resolved = f"{self.root}/fact_candidates/run-{process_id}"
-            clustered.write.parquet(resolved)
+            candidates.write.parquet(resolved)
             path = f"{self.root}/fact_sales/load_run={process_id}"
             last = self.ledger.total(LOAD_FACTS, "records_loaded")
-            rows = facts.accepted(self.spark.read.parquet(resolved))
-            numbered = number_stored(rows, "sales_key", last)
+            rows = facts.accepted(self.spark.read.schema(candidates.schema).parquet(resolved))
+            # Ranges of the whole order: a busy day is cut by order id, and keys depend on
+            # the rows alone.
+            numbered = with_row_ids(rows.select("staging_id", "product_id", *facts.MEASURES),
+                                    [F.col(name) for name in facts.LOAD_ORDER], "sales_key",
+                                    step, last)
             fact = facts.with_month(numbered.select(*S.FACT_SALES.fieldNames()))
             fact.write.partitionBy("order_month").parquet(path)
-            return [{"records_loaded": rows.count(), "output": path}]
+            loaded = rows.count()
+            step.clear()
+            return [{"records_loaded": loaded, "output": path}]
 
         self._run(LOAD_FACTS, [_JOIN.join(consumed)], load)
 
@@ -306,14 +332,16 @@ class Warehouse:
             fact = fact.where(F.col("order_month").isin(touched))
 
         def work(process_id: int) -> list[dict]:
-            path = (f"{self.root}/agg_sales_daily/run-{process_id}" if rebuild
-                    else outputs[-1][1])
+            path = f"{self.root}/agg_sales_daily/load_run={process_id}"
             daily = facts.with_month(with_agg_key(daily_aggregates(fact)))
             # Gather each month into few files; AQE splits a busy month over tasks.
             (daily.hint("rebalance", F.col("order_month"))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("order_month").parquet(path))
-            return [{"output": path}]
+             .write.partitionBy("order_month").parquet(path))
+            written = self.spark.read.schema(daily.schema).parquet(path)
+            # Bounded by the months of the calendar.
+            months = sorted(row.order_month for row in
+                            written.select("order_month").distinct().collect())
+            return [{"output": _JOIN.join(f"{path}/order_month={month}" for month in months)}]
 
         self._run(LOAD_AGGREGATES, [_JOIN.join(fresh)], work)
 
@@ -342,15 +370,17 @@ class Warehouse:
         self.load_aggregates()
 
     def run_incremental(self, folder: str, as_of: dt.date,
-                        load_time: dt.datetime | None = None) -> None:
+                        load_time: dt.datetime | None = None,
+                        date_filter: dt.date | None = None) -> None:
         """New files only. Adds the same rows as a full run, but touches staged history
-        only through the sales held back, and rebuilds only months with new facts."""
+        only through the sales held back, and rebuilds only months with new facts. Sales
+        before ``date_filter`` are held back, for a run with an earlier filter or none."""
         self._ingest(folder, load_time or dt.datetime.now(dt.timezone.utc))
-        self.load_new(as_of)
+        self.load_new(as_of, date_filter)
 
-    def load_new(self, as_of: dt.date) -> None:
+    def load_new(self, as_of: dt.date, date_filter: dt.date | None = None) -> None:
         """Load what is staged and not loaded. Sales held back can only be released by new
-        dimension rows."""
+        dimension rows, or by an earlier date filter."""
         customers = self._unused(CUSTOMERS, LOAD_CUSTOMERS)
         products = self._unused(PRODUCTS, LOAD_PRODUCTS)
         sales = self._unused(SALES, LOAD_FACTS)
@@ -358,10 +388,21 @@ class Warehouse:
             self.load_dimension(dimensions.CUSTOMER, as_of, customers)
         if products:
             self.load_dimension(dimensions.PRODUCT, as_of, products)
-        if customers or products or sales or self._dimensions_ahead():
-            self.load_facts(sales)
+        if (customers or products or sales or self._dimensions_ahead()
+                or self._filter_releases(date_filter)):
+            self.load_facts(sales, date_filter)
         self.load_aggregates(rebuild=False)
 
+    def _filter_releases(self, date_filter: dt.date | None) -> bool:
+        """Whether sales held back by a date filter pass this one."""
+        held = self.candidates()
+        if held is None:
+            return False
+        waiting = held.where(F.col("reject_reason") == facts.FILTERED)
+        if date_filter is not None:
+            waiting = waiting.where(F.col("order_date") >= F.lit(date_filter))
+        return not waiting.isEmpty()
+
     def _dimensions_ahead(self) -> bool:
         """Whether a dimension load has completed since facts were loaded, as after a run that
         died in between: it may release sales held back."""
@@ -378,5 +419,16 @@ class Warehouse:
     def validate(self) -> DataFrame:
         return checks.validation(self.star())
 
+    def rejects(self) -> DataFrame:
+        """Staging ids of the sales that any completed fact load rejected or held back."""
+        runs = [path.rsplit("=", 1)[1] for _, path in self.ledger.outputs(LOAD_FACTS)]
+        schema = T.StructType([T.StructField("staging_id", T.LongType()),
+                               T.StructField("reject_reason", T.StringType())])
+        found = self._read([f"{self.root}/fact_candidates/run-{run}" for run in runs], schema)
+        return facts.rejected(found).select("staging_id")
+
     def invariants(self) -> DataFrame:
-        return checks.invariants(self.star(), self.aggregates())
+        star = self.star()
+        sales = self.staged(SALES).select("staging_id", *KEY, *facts.STATUS)
+        return checks.invariants(star, self.aggregates()).unionByName(
+            checks.balances(sales, star, self.rejects()))

@@ -10,11 +10,12 @@ part of the report and has tie-breaking sort columns.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.functions.columns import ratio
+from starloom.functions.columns import month_of_key, ratio
 from starloom.schemas import Star
 
 MONEY = "decimal(22,2)"
@@ -51,6 +52,46 @@ def buyers() -> Column:
     return F.count_distinct("customer_key")
 
 
+def with_counts(rows: DataFrame, by: tuple[str, ...], *measures: Column) -> DataFrame:
+    """Groups with their measures, ``order_count`` and ``customer_count``.
+
+    Each aggregate holds one distinct count, which Spark rolls up from finer groups, map-side
+    first. Two in one aggregate would copy every row once per distinct column. The two results,
+    one row per group, are put together.
+    """
+    found = rows.groupBy(*by).agg(*measures, orders().alias("order_count"))
+    return beside(found, rows.groupBy(*by).agg(buyers().alias("customer_count")), by)
+
+
+def beside(left: DataFrame, right: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """Columns of two frames with the same groups, NULL being a group as well."""
+    named = right.withColumnsRenamed({name: f"_of_{name}" for name in by})
+    same = reduce(Column.__and__, [F.col(name).eqNullSafe(F.col(f"_of_{name}")) for name in by])
+    return left.join(named, same).drop(*[f"_of_{name}" for name in by])
+
+
+def by_customers(fact: DataFrame, customers: DataFrame, by: tuple[str, ...],
+                 *measures: Column) -> DataFrame:
+    """Groups of customers with ``customer_count``, ``order_count`` and further measures.
+
+    ``measures`` add up per-customer parts: amount, profit, quantity and lines. Facts shrink
+    to one row per customer, or per customer and order, before they meet the customers, so
+    customers are counted without a distinct and no hot customer reaches the join.
+    """
+    parts = fact.groupBy("customer_key").agg(
+        money("total_amount").alias("amount"), money("profit_amount").alias("profit"),
+        F.sum("quantity").alias("quantity"), F.count("total_amount").alias("lines"))
+    found = parts.join(customers, "customer_key").groupBy(*by).agg(
+        *measures, F.count(F.lit(1)).alias("customer_count"))
+    sold = fact.select("customer_key", "order_id").distinct().join(customers, "customer_key")
+    return beside(found, sold.groupBy(*by).agg(orders().alias("order_count")), by)
+
+
+def mean_part() -> Column:
+    """Mean amount of a sale, from per-customer parts."""
+    return quotient(F.sum("amount"), F.sum("lines"), MEAN_MONEY)
+
+
 def days(star: Star, *columns: str) -> DataFrame:
     """Calendar columns for a join on date_key; safe to broadcast."""
     return F.broadcast(star.date.select("date_key", *columns))
@@ -93,12 +134,20 @@ def _mean_margin() -> Column:
 
 
 def daily_sales(star: Star, limit: int = 30) -> DataFrame:
+    """The last days with sales. Their first date key is found in a scan of that column alone,
+    and prunes the month partitions of the scan that aggregates."""
+    recent = star.fact.select("date_key").distinct().orderBy(F.desc("date_key")).limit(limit)
+    first = recent.agg(F.min("date_key").alias("first"))
+    fact = star.fact.where(F.col("date_key") >= first.scalar())
+    if "order_month" in fact.columns:
+        month = first.select(month_of_key(F.col("first")))
+        fact = fact.where(F.col("order_month") >= month.scalar())
+    daily = with_counts(fact, ("date_key",), money("total_amount").alias("daily_sales"),
+                        F.sum("quantity").alias("total_quantity"))
     return (
-        star.fact.join(days(star, "full_date", "day_name"), "date_key")
-        .groupBy("full_date", "day_name")
-        .agg(money("total_amount").alias("daily_sales"),
-             F.sum("quantity").alias("total_quantity"),
-             orders().alias("order_count"), buyers().alias("customer_count"))
+        daily.join(days(star, "full_date", "day_name"), "date_key")
+        .select("full_date", "day_name", "daily_sales", "total_quantity", "order_count",
+                "customer_count")
         .orderBy(F.desc("full_date")).limit(limit)
     )
 
@@ -127,12 +176,10 @@ def product_performance(star: Star, limit: int = 20) -> DataFrame:
 
 
 def _monthly(star: Star) -> DataFrame:
-    return (
-        star.fact.join(days(star, "year", "month", "month_name"), "date_key")
-        .groupBy("year", "month", "month_name")
-        .agg(money("total_amount").alias("monthly_sales"),
-             money("profit_amount").alias("monthly_profit"),
-             orders().alias("order_count"), buyers().alias("customer_count"))
+    return with_counts(
+        star.fact.join(days(star, "year", "month", "month_name"), "date_key"),
+        ("year", "month", "month_name"), money("total_amount").alias("monthly_sales"),
+        money("profit_amount").alias("monthly_profit"),
     )
 
 
@@ -147,12 +194,14 @@ def monthly_performance(star: Star) -> DataFrame:
 
 
 def segment_analysis(star: Star) -> DataFrame:
+    by = ("customer_segment",)
+    found = by_customers(star.fact, current_customers(star, *by), by,
+                         money("amount").alias("segment_revenue"),
+                         mean_part().alias("avg_customer_value"))
+    per_customer = quotient(F.col("order_count"), F.col("customer_count"), RATIO4)
     return (
-        star.fact.join(current_customers(star, "customer_segment"), "customer_key")
-        .groupBy("customer_segment")
-        .agg(buyers().alias("customer_count"), money("total_amount").alias("segment_revenue"),
-             mean_amount().alias("avg_customer_value"),
-             quotient(orders(), buyers(), RATIO4).alias("avg_orders_per_customer"))
+        found.select(*by, "customer_count", "segment_revenue", "avg_customer_value",
+                     per_customer.alias("avg_orders_per_customer"))
         .orderBy(F.desc("segment_revenue"), "customer_segment")
     )
 
@@ -227,10 +276,11 @@ def retention(star: Star) -> DataFrame:
 
 
 def sales_by_geography(star: Star) -> DataFrame:
+    by = ("country", "city")
+    found = by_customers(star.fact, current_customers(star, *by), by,
+                         money("amount").alias("regional_sales"),
+                         mean_part().alias("avg_order_value"))
     return (
-        star.fact.join(current_customers(star, "country", "city"), "customer_key")
-        .groupBy("country", "city")
-        .agg(buyers().alias("customer_count"), money("total_amount").alias("regional_sales"),
-             orders().alias("order_count"), mean_amount().alias("avg_order_value"))
+        found.select(*by, "customer_count", "regional_sales", "order_count", "avg_order_value")
         .orderBy(F.desc("regional_sales"), "country", "city")
     )

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from starloom.functions.columns import customer_tier
-from starloom.operators.numbering import SINGLE_TASK_ROWS, spread_ranks, window_ranks
+from starloom.functions.columns import customer_tier, date_key
+from starloom.operators.numbering import spread_ranks
 from starloom.plans.reports import (
     MEAN_PERCENT, MONEY, RATIO4, RATIO6,
-    buyers, current_customers, current_products, days, mean_amount, money, orders, quotient,
+    by_customers, current_customers, current_products, days, facts_between, mean_amount, money,
+    orders, quotient, with_counts,
 )
 from starloom.schemas import Star
 from starloom.session import Scratch
@@ -55,19 +56,21 @@ def daily_aggregates(star: Star, window_rows: int = 7) -> DataFrame:
     def since(unit: str):
         return F.sum(F.when(day >= F.trunc(day, unit), amount).otherwise(0)).cast(MONEY)
 
-    daily = (
-        star.fact.join(days(star, *by_day), "date_key")
-        .groupBy(*by_day)
-        .agg(orders().alias("order_count"), buyers().alias("customer_count"),
-             F.sum("quantity").alias("total_quantity"),
-             money("total_amount").alias("total_sales"),
-             money("cost_amount").alias("total_cost"),
-             money("profit_amount").alias("total_profit"),
-             F.avg("profit_margin").cast(MEAN_PERCENT).alias("avg_profit_margin"),
-             since("MM").alias("mtd_sales"), since("YEAR").alias("ytd_sales"))
+    daily = with_counts(
+        star.fact.join(days(star, *by_day), "date_key"), by_day,
+        F.sum("quantity").alias("total_quantity"),
+        money("total_amount").alias("total_sales"),
+        money("cost_amount").alias("total_cost"),
+        money("profit_amount").alias("total_profit"),
+        F.avg("profit_margin").cast(MEAN_PERCENT).alias("avg_profit_margin"),
+        since("MM").alias("mtd_sales"), since("YEAR").alias("ytd_sales"),
     )
     moving = F.avg("total_sales").over(recent).cast(RATIO6)
-    return daily.withColumn("weekly_moving_avg", moving)
+    return daily.select(
+        *by_day, "order_count", "customer_count", "total_quantity", "total_sales", "total_cost",
+        "total_profit", "avg_profit_margin", "mtd_sales", "ytd_sales",
+        moving.alias("weekly_moving_avg"),
+    )
 
 
 def _running(star: Star, out: str, *period: str) -> DataFrame:
@@ -120,14 +123,12 @@ def customer_analysis(star: Star, as_of: dt.date) -> DataFrame:
     )
 
 
-def product_performance_view(star: Star, scratch: Scratch,
-                             single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+def product_performance_view(star: Star, scratch: Scratch) -> DataFrame:
     """Product figures with global ranks and totals of their category.
 
-    Facts are reduced to one row per product first. While the product table is within
-    ``single_task_rows``, ranks and category totals are plain windows over that result.
-    Beyond, it is stored once, ranked slice by slice, and category totals are aggregated and
-    joined back, so that neither all products nor those of a category meet in one task.
+    Facts are reduced to one row per product. That is stored once, ranked slice by slice, and
+    category totals are aggregated and joined back, so that neither all products nor those of
+    a category meet in one task. The result shows the facts as of the call.
     """
     what = ("product_id", "product_name", "category", "subcategory", "supplier", "cost_price",
             "msrp")
@@ -142,21 +143,14 @@ def product_performance_view(star: Star, scratch: Scratch,
     products = current_products(star, *what, F.col("profit_margin").alias("expected_margin"))
     sold = per_product.join(products, "product_key")
     ranks = {"revenue_rank": "total_revenue", "profit_rank": "total_profit"}
-    if star.product.where("is_current").count() <= single_task_rows:
-        within = Window.partitionBy("category")
-        result = window_ranks(sold, ranks).withColumns({
-            "category_revenue": F.sum("total_revenue").over(within).cast(MONEY),
-            "category_orders": F.sum("times_ordered").over(within),
-        })
-    else:
-        stored = scratch.keep(sold, "sold_products")
-        categories = stored.groupBy(F.col("category").alias("_category")).agg(
-            money("total_revenue").alias("category_revenue"),
-            F.sum("times_ordered").alias("category_orders"),
-        )
-        result = spread_ranks(stored, ranks, scratch, "product_key").join(
-            categories, F.col("category").eqNullSafe(F.col("_category"))
-        )
+    stored = scratch.keep(sold, "sold_products")
+    categories = stored.groupBy(F.col("category").alias("_category")).agg(
+        money("total_revenue").alias("category_revenue"),
+        F.sum("times_ordered").alias("category_orders"),
+    )
+    result = spread_ranks(stored, ranks, scratch, "product_key").join(
+        categories, F.col("category").eqNullSafe(F.col("_category"))
+    )
     inventory = (F.col("total_quantity_sold") * F.col("cost_price")).cast(MONEY)
     return result.select(
         "product_key", *what, "expected_margin", "times_ordered", "total_quantity_sold",
@@ -169,27 +163,41 @@ def product_performance_view(star: Star, scratch: Scratch,
 def geographic_analysis(star: Star, as_of: dt.date) -> DataFrame:
     place = ("country", "city")
 
-    def recent(number: int):
-        within = F.col("full_date") >= F.date_sub(F.lit(as_of), number)
-        return F.sum(F.when(within, F.col("total_amount")).otherwise(0)).cast(MONEY)
+    customers = current_customers(star, *place)
+    found = by_customers(
+        star.fact, customers, place, F.sum("quantity").alias("total_quantity"),
+        money("amount").alias("total_sales"), money("profit").alias("total_profit"),
+    )
 
-    return (
-        star.fact.join(days(star, "full_date"), "date_key")
-        .join(current_customers(star, *place), "customer_key")
-        .groupBy(*place)
-        .agg(buyers().alias("customer_count"), orders().alias("order_count"),
-             F.sum("quantity").alias("total_quantity"),
-             money("total_amount").alias("total_sales"),
-             money("profit_amount").alias("total_profit"),
-             quotient(F.sum("total_amount"), buyers(), RATIO6).alias("sales_per_customer"),
-             quotient(F.sum("quantity"), buyers(), RATIO4).alias("quantity_per_customer"),
-             recent(30).alias("last_30_days_sales"),
-             recent(90).alias("last_90_days_sales"))
+    def since(number: int) -> Column:
+        key = date_key(F.date_sub(F.lit(as_of), number))
+        return F.sum(F.when(F.col("date_key") >= key, F.col("total_amount")).otherwise(0)
+                     ).cast(MONEY)
+
+    # A scan pruned to the last 90 days; places without sales in them have 0.
+    last = facts_between(star, as_of - dt.timedelta(days=90), None).groupBy("customer_key").agg(
+        since(30).alias("last_30"), since(90).alias("last_90"))
+    late = last.join(customers, "customer_key").groupBy(*[F.col(n).alias(f"_of_{n}")
+                                                          for n in place]).agg(
+        money("last_30").alias("last_30_days_sales"),
+        money("last_90").alias("last_90_days_sales"))
+    same = (F.col("country").eqNullSafe(F.col("_of_country"))
+            & F.col("city").eqNullSafe(F.col("_of_city")))
+    buyer_count = F.col("customer_count")
+    zero = F.lit(0).cast(MONEY)
+    return found.join(late, same, "left").select(
+        *place, "customer_count", "order_count", "total_quantity", "total_sales",
+        "total_profit",
+        quotient(F.col("total_sales"), buyer_count, RATIO6).alias("sales_per_customer"),
+        quotient(F.col("total_quantity"), buyer_count, RATIO4).alias("quantity_per_customer"),
+        F.coalesce("last_30_days_sales", zero).alias("last_30_days_sales"),
+        F.coalesce("last_90_days_sales", zero).alias("last_90_days_sales"),
     )
 
 
 def register_views(spark: SparkSession, star: Star, as_of: dt.date, scratch: Scratch) -> None:
-    """Publish the views, and the star itself, as temporary views for SQL users."""
+    """Publish the views, and the star itself, as temporary views for SQL users. Ranks of
+    ``product_performance`` are stored when it is published; the others are computed on use."""
     frames = {
         "fact_sales": star.fact, "dim_customer": star.customer,
         "dim_product": star.product, "dim_date": star.date,

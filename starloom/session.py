@@ -27,13 +27,14 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(app: str = "starloom", cpus: str = "8", **extra: str) -> SparkSession:
+def local_session(app: str = "starloom", cpus: str = "8", memory: str = "8g", **extra: str
+                  ) -> SparkSession:
     """A local session for tests and the benchmark."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", cpus)
     )
     for name, value in {**RUNTIME_SETTINGS, **extra}.items():
@@ -50,7 +51,8 @@ def shared_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_ROOTS:
@@ -69,6 +71,15 @@ class Scratch:
         self.spark = spark
         self.root = root or f"{shared_root(spark)}/starloom-{uuid.uuid4().hex[:12]}"
 
+    def part(self, name: str) -> Scratch:
+        """A folder of its own inside, which can be cleared by itself."""
+        return Scratch(self.spark, self.path(name))
+
+    def clear(self) -> None:
+        """Remove all tables; frames that read them must not be used any more."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def path(self, name: str) -> str:
         return f"{self.root}/{name}-{uuid.uuid4().hex[:12]}"
 

@@ -26,9 +26,18 @@ def with_corrupt(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
 
 
-def csv_options() -> dict[str, object]:
+def csv_options(multi_line: bool = False) -> dict[str, object]:
+    """Reader options. ``multi_line`` allows line breaks inside quotes; a file is then read
+    by one task, as its rows can no longer be told apart from the middle."""
     return {"header": True, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
-            "enforceSchema": False, "dateFormat": "yyyy-MM-dd", "escape": '"'}
+            "enforceSchema": False, "dateFormat": "yyyy-MM-dd", "escape": '"',
+            "multiLine": multi_line}
+
+
+def write_rows(rows: DataFrame, path: str) -> None:
+    """Write rows as CSV files which :func:`read_rows` gives back as they were."""
+    rows.write.options(header=True, dateFormat="yyyy-MM-dd", escape='"',
+                       ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
 def located(rows: DataFrame) -> DataFrame:
@@ -47,10 +56,11 @@ def located(rows: DataFrame) -> DataFrame:
     )
 
 
-def read_rows(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
+def read_rows(spark: SparkSession, paths: list[str], schema: T.StructType,
+              multi_line: bool = False) -> DataFrame:
     """Rows of CSV files under a fixed schema. Texts such as phone numbers keep leading
     zeros; a row that does not fit keeps its text in the corrupt column."""
-    reader = spark.read.schema(with_corrupt(schema)).options(**csv_options())
+    reader = spark.read.schema(with_corrupt(schema)).options(**csv_options(multi_line))
     return located(reader.csv(paths))
 
 

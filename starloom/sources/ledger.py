@@ -50,8 +50,10 @@ class Ledger:
     def events(self) -> DataFrame:
         try:
             return self.spark.read.schema(LEDGER).parquet(self.path)
-        except AnalysisException:  # nothing written yet
-            return self.spark.createDataFrame([], LEDGER)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], LEDGER)  # nothing written yet
 
     def state(self) -> DataFrame:
         return latest_events(self.events(), "process_id", ["event_time", "end_time"])

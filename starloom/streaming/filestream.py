@@ -23,7 +23,7 @@ def file_stream(warehouse: Warehouse, kind: Kind, folder: str,
     """New files of one kind, as a stream of rows with their file metadata."""
     reader = (
         warehouse.spark.readStream.schema(csv_files.with_corrupt(kind.file_schema))
-        .options(**csv_files.csv_options()).option("pathGlobFilter", kind.pattern)
+        .options(**csv_files.csv_options(warehouse.multi_line)).option("pathGlobFilter", kind.pattern)
     )
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)

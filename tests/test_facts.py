@@ -3,11 +3,13 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal as D
 
+import pytest
 from pyspark.sql import functions as F
 
 from starloom import schemas as S
 from starloom.functions.columns import product_margin, sale_margin
 from starloom.operators import facts
+from starloom.operators.numbering import with_row_ids
 from starloom.sources.calendar import date_dimension
 
 DAY = dt.date(2024, 1, 5)
@@ -90,48 +92,34 @@ def test_list_margin_rounds_halves_up(spark):
     assert got == [D("2.35"), None, None]
 
 
-def test_insert_ignore(spark):
-    new = spark.createDataFrame(
-        [("a", 1, 5, "late"), ("a", 1, 3, "early"), ("b", 1, 1, "stored"), ("c", 2, 1, "new")],
-        "k string, p int, o int, v string")
-    stored = spark.createDataFrame([("b", 1), ("z", 9)], "k string, p int")
-    got = facts.insert_ignore(new, stored, ("k", "p"), ["o"])
-    assert sorted((r.k, r.v) for r in got.collect()) == [("a", "early"), ("c", "new")]
-    assert got.columns == new.columns
-
-
 def test_schema_of_the_fact_row(spark):
     types = dict(candidates(spark, [sale(1)]).dtypes)
     for field in S.FACT_SALES.fields[1:]:
         assert types[field.name] == field.dataType.simpleString(), field.name
 
 
-def test_load_slices_follow_the_calendar_and_split_a_busy_day(spark):
-    days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(10)]
-    rows = [(d,) for d in days for _ in range(600 if d == days[4] else 20)] + [(None,)]
-    sales = spark.createDataFrame(rows, "order_date date")
-    plan = {r.order_date: (r._first, r._parts) for r in
-            facts.day_slices(sales, slice_rows=50, day_rows=100).collect()}
-    assert plan.keys() == set(days)
-    assert plan[days[4]][1] == 6 and all(plan[d][1] == 1 for d in days if d != days[4])
-    ends = [plan[d][0] + plan[d][1] for d in days]
-    starts = [plan[d][0] for d in days]
-    assert starts == sorted(starts) and ends == sorted(ends)
-    after = plan[days[5]][0]
-    assert after >= plan[days[4]][0] + plan[days[4]][1]
-
-
-def test_clustered_rows_can_be_numbered(spark, scratch):
-    from starloom.operators.numbering import number_stored
-
-    rows = [sale(i, order_date=dt.date(2024, 1, 1 + i % 7),
-                 customer_id="C1" if i % 5 else "C9") for i in range(700)]
-    rows.append(sale(900, order_date=None))
-    found = candidates(spark, rows)
-    days = facts.day_slices(spark.createDataFrame(rows, SALES), slice_rows=10, day_rows=20)
-    stored = scratch.keep(facts.clustered_by_day(found, days), "clustered")
-    assert stored.count() == 701
-    numbered = number_stored(facts.accepted(stored), "n").orderBy("n").collect()
-    assert [r.n for r in numbered] == list(range(1, 561))
-    keys = [r.date_key for r in numbered]
-    assert keys == sorted(keys)
+def test_a_date_filter_holds_sales_back(spark):
+    rows = [sale(1), sale(2, order_date=dt.date(2024, 1, 4)), sale(3, order_date=None)]
+    found = facts.fact_candidates(spark.createDataFrame(rows, SALES), *dims(spark), first=DAY)
+    got = {r.staging_id: r.reject_reason for r in found.collect()}
+    assert got == {1: None, 2: facts.FILTERED, 3: facts.NO_DATE}
+    assert sorted(r.staging_id for r in facts.retried(found).collect()) == [2, 3]
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 13])
+def test_keys_follow_day_order_and_product_alone(spark, scratch, partitions):
+    """One busy day over several partitions: keys equal row numbers, whatever the settings."""
+    rows = [sale(i, order_id=f"O{i * 7919 % 4001:05d}",
+                 order_date=dt.date(2024, 1, 1 + (i % 7 if i % 3 else 0)),
+                 product_id="P1" if i % 2 else "P2") for i in range(4000)]
+    found = facts.accepted(candidates(spark, rows))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        numbered = with_row_ids(found, [F.col(n) for n in facts.LOAD_ORDER], "n", scratch)
+        got = [(r.n, r.staging_id) for r in numbered.collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    keys = {r.staging_id: (r.date_key, r.order_id, r.product_id) for r in found.collect()}
+    wanted = sorted(keys, key=keys.get)
+    assert sorted(got) == list(enumerate(wanted, 1))

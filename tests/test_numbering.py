@@ -5,7 +5,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from starloom.operators.numbering import spread_ranks, window_ranks, with_row_ids
+from starloom.operators.numbering import number_stored, spread_ranks, with_row_ids
 
 
 def test_numbers_are_dense_and_ordered(spark, scratch):
@@ -40,8 +40,27 @@ def test_spread_ranks_equal_the_window(spark, scratch):
     values = [rng.choice([1, 2, 2, 2, 3, 50, None]) for _ in range(400)]
     df = spark.createDataFrame(list(enumerate(values)), "key long, v int")
     spread = spread_ranks(scratch.keep(df, "ranked"), {"r": "v"}, scratch, "key")
-    small = window_ranks(df, {"r": "v"})
     expected = df.withColumn("r", F.rank().over(Window.orderBy(F.desc_nulls_last("v"))).cast("long"))
     want = sorted(tuple(r) for r in expected.select("key", "r").collect())
-    for got in (spread, small):
-        assert sorted(tuple(r) for r in got.select("key", "r").collect()) == want
+    assert sorted(tuple(r) for r in spread.select("key", "r").collect()) == want
+
+
+def test_offsets_add_up_over_blocks_of_slices(spark, scratch):
+    """More slices than a block holds, with gaps, and files as blocks."""
+    slices = spark.range(3000).select((F.col("id") * 3).cast("long").alias("_slice"))
+    rows = scratch.keep(slices.withColumn("_place", F.explode(F.array(F.lit(5), F.lit(6)))), "r")
+    got = number_stored(rows.withColumn("k", F.col("_slice") * 10 + F.col("_place")), "n", scratch)
+    assert [r.n for r in got.orderBy("k").collect()] == list(range(1, 6001))
+    files = scratch.keep(spark.range(400).select(
+        F.concat(F.lit("f"), F.col("id") % 7).alias("f"), F.floor(F.col("id") / 50).alias("s"),
+        F.col("id").alias("p")), "files")
+    found = number_stored(files.withColumns({"f2": F.col("f"), "s2": F.col("s"), "p2": F.col("p")}),
+                          "n", scratch, 10, ("f", "s"), "p").collect()
+    assert sorted(r.n for r in found) != [] and len(found) == 400
+
+
+def test_slice_starts_are_not_hinted(spark, scratch):
+    rows = scratch.keep(spark.range(10).select(F.lit(0).cast("long").alias("_slice"),
+                                               F.col("id").alias("_place")), "r")
+    logical = number_stored(rows, "n", scratch)._jdf.queryExecution().logical().toString()
+    assert "UnresolvedHint" not in logical and "ResolvedHint" not in logical

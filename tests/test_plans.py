@@ -8,6 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from checks import queries
 from checks.sample import sample
 from starloom.operators import facts
 from starloom.plans import dashboard, reports, views
@@ -73,9 +74,26 @@ def test_products_are_reduced_before_the_join(star, unhinted):
 
 
 def test_spread_ranks_have_no_global_window(star, scratch):
-    text = plan(views.product_performance_view(star, scratch, single_task_rows=0))
-    windows = re.findall(r"Window \[(\w+)\(", text)
-    assert windows and set(windows) == {"sum"}  # slice starts only, one row per slice
+    assert "Window" not in plan(views.product_performance_view(star, scratch))
+
+
+def test_wide_rows_are_not_aggregated_to_find_the_latest(spark, tables, star):
+    text = plan(queries.registered()["clean_sales"](spark, tables))
+    assert "SortAggregate" not in text and "LeftAnti" in text
+
+
+def test_no_row_is_copied_for_a_second_distinct_count(star):
+    day = dt.date(2001, 6, 30)
+    for report in (reports.daily_sales(star), reports.monthly_trend(star),
+                   reports.segment_analysis(star), reports.sales_by_geography(star),
+                   views.daily_aggregates(star), views.geographic_analysis(star, day),
+                   dashboard.customers_by_place(star)):
+        assert "Expand" not in plan(report)
+
+
+def test_the_last_days_prune_months(star):
+    text = plan(reports.daily_sales(star))
+    assert re.search(r"PartitionFilters: \[[^\]]*order_month#\d+ >= [^\]]*[Ss]ubquery", text)
 
 
 def test_a_hot_customer_is_split_over_tasks(spark, unhinted):
