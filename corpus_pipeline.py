@@ -32,9 +32,10 @@ def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them; those without words go."""
+    """Documents as often as the mix takes them, each whole; those without words go."""
     ready(spark)
-    return mixing.mixed_documents(docs, weights=(5, 2, 1), budget=1.5, max_epochs=2.0)
+    return mixing.mixed_documents(docs, weights=(5, 2, 1), budget=1.5, max_epochs=2.0,
+                                  whole_documents=True)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

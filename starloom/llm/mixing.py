@@ -3,8 +3,9 @@
 All sources share a budget by weight. No target exceeds ``max_epochs`` times its source's size:
 what a clamped source can't take is shared among the others by weight, until none is above.
 Each source is then repeated whole as often as its target allows. The words that are still
-missing come from a seeded order of its documents, from the first on; the last document may
-be taken in part, so that the words of a source add up to its target exactly (rounded).
+missing come from a seeded order of its documents, from the first on. The last document is
+counted in part, so that the words of a source add up to its target exactly (rounded), or, with
+``whole_documents``, taken whole or not at all, whichever brings the source nearer to its target.
 
 Sums along the seeded order run within buckets of the order and over one row per bucket, so
 no source, however large, is gathered or sorted in one task.
@@ -72,9 +73,11 @@ def _source_key() -> Column:
 
 
 def mixture(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), budget: float = 1.5,
-            max_epochs: float = 2.0, seed: str = SEED, whole_rows: bool = False) -> DataFrame:
+            max_epochs: float = 2.0, seed: str = SEED, whole_rows: bool = False,
+            whole_documents: bool = False) -> DataFrame:
     """doc_id, source, size, source_size, target, taken per document: the words the mix takes
-    of it, repeats counted. ``whole_rows`` adds the input row as the struct ``row``."""
+    of it, repeats counted. ``whole_documents`` takes no document in part. ``whole_rows`` adds
+    the input row as the struct ``row``."""
     store = scratch(docs.sparkSession)
     draw = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"),
                                                          F.lit(""))).cast("binary"))
@@ -108,16 +111,24 @@ def mixture(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), budget: flo
     placed = sized.withColumn("_bucket", bucket).withColumn(
         "_within", F.coalesce(F.sum("size").over(within.rowsBetween(*before)), F.lit(0)))
     placed = placed.join(F.broadcast(starts) if small else starts, ["_key", "_bucket"])
-    extra = F.col("_extra") - F.col("_start") - F.col("_within")
-    taken = F.col("_whole") * F.col("size") + F.greatest(F.lit(0), F.least("size", extra))
+    ahead = F.col("_start") + F.col("_within")
+    extra = F.col("_extra") - ahead
+    last = F.greatest(F.lit(0), F.least("size", extra))
+    if whole_documents:
+        # Not above the cap either, if that is no whole number of epochs.
+        fits = (F.col("_whole") * F.col("source_size") + ahead + F.col("size")
+                <= F.col("source_size") * float(max_epochs))
+        last = F.when((extra >= F.col("size")) | ((2 * extra >= F.col("size")) & fits),
+                      F.col("size")).otherwise(0)
+    taken = F.col("_whole") * F.col("size") + last
     return placed.select("doc_id", "source", "size", "source_size", "target",
                          taken.cast("long").alias("taken"), *(["row"] if whole_rows else []))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: rows of ``docs``, repeated as taken; a document without words is left
-    out. A copy taken in part keeps its first words and, if there is such a column, their
-    n_chars."""
+    out. With ``whole_documents`` every copy is the whole document; otherwise one taken in part
+    keeps its first words and, if there is such a column, their n_chars."""
     mix = mixture(docs, whole_rows=True, **options).where("taken > 0")
     copies = F.ceil(F.col("taken") / F.col("size")).cast("int")
     mix = mix.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))

@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from starloom.llm import fingerprints, language, line_dedup, mixing, quality, queries
 
 
@@ -147,6 +148,33 @@ def test_mixed_documents_have_the_words_taken(make, odd):
     assert mixing.mixed_documents(make([])).count() == 0 and mixing.mixture(make([])).count() == 0
 
 
+def test_pipeline_mix_takes_documents_whole(llm, make, sample):
+    rows = [(r.doc_id, r.text, None, r.source) for r in sample.itertuples()]
+    rows.append((5000, " ".join(f"w{i}" for i in range(20_000)), None, "long"))
+    docs = make(rows)
+    mix = corpus_pipeline.mix_sources(llm, docs, "").collect()
+    texts = {d: t for d, t, _, _ in rows}
+    assert all(r.text == texts[r.doc_id] and r.n_chars == len(r.text) for r in mix)
+    assert max(Counter(r.doc_id for r in mix).values()) <= 2
+    size = {d: len((t or "").encode().split()) for d, t in texts.items()}
+    got, target, most = Counter(), {}, Counter()
+    for r in mix:
+        got[r.source] += size[r.doc_id]
+    for r in mixing.mixture(docs).collect():
+        target[r.source] = r.target
+        if 0 < r.taken % max(r.size, 1):
+            most[r.source] = r.size
+    assert most and all(abs(got[s] - t) <= most[s] / 2 + 0.5 for s, t in target.items())
+
+
+def test_documents_stay_below_the_cap(make):
+    rows = [(i, "a b c d", None, "small") for i in range(3)] + [(9, "a " * 90, None, "large")]
+    options = {"weights": (1, 9), "max_epochs": 1.5, "whole_documents": True}
+    for r in mixing.mixture(make(rows), **options).groupBy("source", "source_size").agg(
+            F.sum("taken").alias("taken")).collect():
+        assert r.taken <= 1.5 * r.source_size
+
+
 def fold(doc, parts):
     return zlib.crc32(str(doc).encode()) % parts
 
