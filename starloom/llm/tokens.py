@@ -35,7 +35,8 @@ class PartEncoder(dict):
 
     ``keeps_spaces`` tells how the tokenizer treats white space. If it drops it, texts are cut
     at ASCII white space. If a blank belongs to the word behind it, they are cut before each
-    blank or line end; a text with one before white space or at its end is taken whole.
+    blank or line end; a text with one before white space or at its end is taken whole. So is
+    a text that holds an added token: the library seeks those before it splits a text.
 
     The dictionary maps parts to their ids as little-endian unsigned 32-bit integers and fills
     itself. At most ``held`` parts are remembered per Python worker.
@@ -49,8 +50,8 @@ class PartEncoder(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        # The names of special tokens in a text are ordinary text.
-        self.tokenizer.encode_special_tokens = True
+        # Sought in the text as it is: no added token of the files used is a normalized one.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.keeps_spaces = bool(self.tokenizer.encode("a b", add_special_tokens=False).ids
                                  != self.tokenizer.encode("a  b", add_special_tokens=False).ids)
         self.ask = self.tokenizer.model.tokenize
@@ -110,6 +111,8 @@ class PartEncoder(dict):
         return (self._piece(self.letters[10]) if start else b"") + self._piece(word)
 
     def _parts(self, text: str) -> list[bytes] | None:
+        if any(token in text for token in self.added):
+            return None
         if not self.keeps_spaces:
             return text.encode().split()
         if _LOOSE.search(text):

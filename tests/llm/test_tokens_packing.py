@@ -37,6 +37,24 @@ def test_parts_give_the_ids_of_the_whole_text(name, text):
     assert encoder.encode(text) == np.array(plain(name, text), "<u4").tobytes()
 
 
+SPECIAL = [
+    "foo <|endoftext|> bar", "<|endoftext|>", "a<|startoftext|>b c", "a b.<|endoftext|>\n\nc ",
+    "<|endoftext|><|startoftext|> x", "<|ENDOFTEXT|> x", "<|endoftext |> a", "É́ <|endoftext|>É́",
+]
+
+
+@pytest.mark.parametrize("name", [BYTES, WORDS])
+def test_added_tokens_in_a_text_are_the_librarys(name):
+    untouched = Tokenizer.from_file(tokenizer_path(name))
+    assert not untouched.encode_special_tokens
+    encoder = PartEncoder(tokenizer_path(name))
+    for text in SPECIAL + [f"some words {s}, more words" for s in SPECIAL]:
+        ids = untouched.encode(text, add_special_tokens=False).ids
+        assert encoder.encode(text) == np.array(ids, "<u4").tobytes(), text
+    assert {i for t in SPECIAL for i in np.frombuffer(encoder.encode(t), "<u4")} >= {
+        t for t in untouched.get_added_tokens_decoder()}
+
+
 @settings(max_examples=60, deadline=None)
 @given(docs=st.lists(st.tuples(st.one_of(st.none(), st.integers(-9, 9)), st.lists(
     st.integers(0, 70_000), max_size=12)), max_size=6))
