@@ -3,7 +3,7 @@
 Codes are the signs of vectors after learnt rotations (principal axes, then rotations that bring
 them close to the corners of a cube); several rotations give several words of 64 bits or
 so. Rotations and the search radius are fitted on a bounded sample (``SAMPLE`` vectors, those
-with the smallest hash of their id). The radius covers ``COVER`` of the sample's own nearest
+with the smallest hash). The radius covers ``COVER`` of the sample's own nearest
 neighbours; neighbours in the whole table are nearer.
 
 Rows are indexed in blocks. In a block, each substring of 16 bits has a directory of the values
@@ -12,12 +12,13 @@ substring j they differ in at most r_j bits, where the r_j + 1 add up to r + 1.
 the directories within r_j gives every code within the radius. These are confirmed on the whole
 code, and the nearest are ranked by cosine of the original vectors in double precision.
 
-The query set goes against all blocks in blocks of its own. A query with fewer than k rows in
+The query set goes against all blocks in blocks of its own. A query with fewer than k ids in
 the radius is searched again with no limit, so each gets k neighbours if there are as many.
 
 Vectors that are null or zero or hold a null or a non-finite component, and rows without an id,
-take no part; nor do vectors of another length than most of the sample. Rows that repeat an id
-are candidates each, other than the query's own id. Empty tables give no rows.
+take no part; nor do vectors of another length than most of the sample. Equal rows count once.
+Neighbours are ids other than the query's own. If an id has several vectors, each of them is
+sought and found, and the pair of ids has the highest score of theirs. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -128,21 +129,31 @@ def probe(codes: np.ndarray, queries: np.ndarray, radius: int) -> np.ndarray:
 
 
 def search_block(ids, x, query_ids, q, codes: Codes, k: int, radius: int):
-    """(query_id, vec_id, score) of the k nearest rows within the radius for each query."""
+    """(number of the query in ``q``, vec_id, score) of the k nearest ids within the radius for
+    each query."""
+    order = np.argsort(ids, kind="stable")
+    ids, x = ids[order], x[order]
+    starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]]) if len(ids) else order
     unit, asked = unit_rows(x), unit_rows(q)
     hit = probe(codes.substrings(unit), codes.substrings(asked), radius)
     hit &= ids[None, :] != query_ids[:, None]
     rough = np.where(hit, asked @ unit.T, -np.inf)
-    for i, query in enumerate(query_ids):
-        n = int(hit[i].sum())
+    best = rough if len(starts) == len(ids) else np.maximum.reduceat(rough, starts, axis=1)
+    for i in range(len(query_ids)):
+        n = min(k, int((best[i] > -np.inf).sum()))
         if not n:
             continue
-        last = -np.partition(-rough[i], min(k, n) - 1)[min(k, n) - 1]
+        last = -np.partition(-best[i], n - 1)[n - 1]
         rows = np.flatnonzero(rough[i] >= last - CLOSE)
         a, b = x[rows], q[i]
         score = (a * b).sum(1) / (np.sqrt((a * a).sum(1)) * np.sqrt((b * b).sum()))
-        for r in np.lexsort((ids[rows], -score))[:k]:
-            yield int(query), int(ids[rows[r]]), float(score[r])
+        nearest_ids: dict[int, float] = {}
+        for r in np.lexsort((ids[rows], -score)):
+            nearest_ids.setdefault(int(ids[rows[r]]), float(score[r]))
+            if len(nearest_ids) == k:
+                break
+        for vec_id, value in nearest_ids.items():
+            yield i, vec_id, value
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -155,12 +166,14 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def _blocks(rows: DataFrame, n: int, salt: str) -> DataFrame:
-    """(block, ids, vectors): about equal parts of the rows, vectors as one run of numbers."""
-    block = F.pmod(F.xxhash64(F.lit(salt), "vec_id"), F.lit(n)).cast("int")
-    # A block is bounded by its planned size. Repeated ids fall into one block.
+    """(block, ids, hashes, vectors): about equal parts of the rows, vectors as one run of
+    numbers and the hash of each."""
+    block = F.pmod(F.xxhash64(F.lit(salt), "vec_id", "embedding"), F.lit(n)).cast("int")
+    # A block is bounded by its planned size: rows are distinct, vectors of an id are spread.
     return rows.groupBy(block.alias("block")).agg(
         F.collect_list(F.struct("vec_id", "embedding")).alias("rows")
     ).select("block", F.col("rows.vec_id").alias("ids"),
+             F.transform("rows.embedding", lambda e: F.xxhash64(e)).alias("hashes"),
              F.flatten("rows.embedding").alias("vectors"))
 
 
@@ -169,9 +182,9 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5) -> DataFrame:
     which meets the condition ``queries`` (on vec_id)."""
     spark = vectors.sparkSession
     store = scratch(spark)
-    rows = store.keep(usable(vectors), "vectors")
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("embedding"
-                                                                              ).collect()
+    rows = store.keep(usable(vectors).distinct(), "vectors")
+    sample = rows.orderBy(F.xxhash64("vec_id", "embedding"), "vec_id").limit(SAMPLE).select(
+        "embedding").collect()
     sizes = [len(r["embedding"]) for r in sample]
     width = max(sorted(set(sizes)), key=sizes.count, default=1)
     rows = rows.where(F.size("embedding") == width)
@@ -185,40 +198,49 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5) -> DataFrame:
     def search(queries: DataFrame, n: int, radius: int | None) -> DataFrame:
         groups = _blocks(queries, max(1, -(-n // BLOCK_QUERIES)), "query")
         pairs = groups.select(
-            F.col("ids").alias("query_ids"), F.col("vectors").alias("query_vectors"),
+            F.col("ids").alias("query_ids"), F.col("hashes").alias("query_hashes"),
+            F.col("vectors").alias("query_vectors"),
             F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"))
-        found = index.join(pairs, "block")
+        found = index.drop("hashes").join(pairs, "block")
 
         def run(batches):
             for batch in batches:
                 for i in range(batch.num_rows):
-                    ids, flat, query_ids, query_flat = (
+                    ids, flat, query_ids, query_hashes, query_flat = (
                         batch.column(c)[i].values.to_numpy(zero_copy_only=False)
-                        for c in ("ids", "vectors", "query_ids", "query_vectors"))
+                        for c in ("ids", "vectors", "query_ids", "query_hashes",
+                                  "query_vectors"))
                     limit = codes.value.radius if radius is None else radius
                     hits = list(search_block(
                         ids, flat.reshape(-1, width), query_ids, query_flat.reshape(-1, width),
                         codes.value, k, limit))
+                    at = np.array([h[0] for h in hits], int)
                     yield pa.record_batch([
-                        pa.array([h[0] for h in hits], pa.int64()),
+                        pa.array(query_ids[at], pa.int64()),
+                        pa.array(query_hashes[at], pa.int64()),
                         pa.array([h[1] for h in hits], pa.int64()),
                         pa.array([h[2] for h in hits], pa.float64())],
-                        names=["query_id", "vec_id", "score"])
+                        names=["query_id", "query_hash", "vec_id", "score"])
 
         # A query comes up with k rows from each block.
-        return found.select("ids", "vectors", "query_ids", "query_vectors").mapInArrow(
-            run, "query_id long, vec_id long, score double")
+        return found.select("ids", "vectors", "query_ids", "query_hashes", "query_vectors"
+                            ).mapInArrow(
+            run, "query_id long, query_hash long, vec_id long, score double")
 
+    # A query is an id with one of its vectors.
     first = store.keep(search(asked, n_queries, None), "found")
-    counts = first.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= k)
+    counts = first.groupBy("query_id", "query_hash").agg(
+        F.count_distinct("vec_id").alias("n")).where(F.col("n") >= k)
     poor = store.keep(asked.join(
-        counts, F.col("vec_id") == F.col("query_id"), "left_anti"), "poor")
+        counts, (F.col("vec_id") == F.col("query_id"))
+        & (F.xxhash64("embedding") == F.col("query_hash")), "left_anti"), "poor")
     n_poor = poor.count()
     found = first
     if n_poor:
+        # What the first search found of these queries is found again.
         again = store.keep(search(poor, n_poor, codes.value.bits), "found_again")
-        found = first.join(poor.select(F.col("vec_id").alias("query_id")).distinct(), "query_id",
-                           "left_anti").unionByName(again)
+        found = first.unionByName(again)
+    best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return found.distinct().withColumn("rank", F.row_number().over(order)).where(
+    return best.withColumn("rank", F.row_number().over(order)).where(
         F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")

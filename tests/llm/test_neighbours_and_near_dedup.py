@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -56,6 +58,48 @@ def test_neighbours_of_odd_vectors(llm):
     assert neighbours.nearest(frame.limit(1), F.col("vec_id") == 0).count() == 0
 
 
+def distinct_nearest(rows, k, asked):
+    """(query_id, rank, vec_id) over pairs of ids with their highest cosine."""
+    unit = np.array([v for _, v in rows], float)
+    unit /= np.sqrt((unit * unit).sum(1))[:, None]
+    scores, out = unit @ unit.T, set()
+    for q in {i for i, _ in rows if asked(i)}:
+        best = {}
+        for n in (n for n, (i, _) in enumerate(rows) if i == q):
+            for (i, _), s in zip(rows, scores[n]):
+                if i != q:
+                    best[i] = max(s, best.get(i, -2))
+        near = sorted(best, key=lambda i: (-best[i], i))[:k]
+        out |= {(q, n + 1, i) for n, i in enumerate(near)}
+    return out
+
+
+@pytest.mark.parametrize("block_rows,radius", [(2048, 64), (40, 64), (40, 0)])
+def test_neighbours_of_repeated_rows(llm, monkeypatch, block_rows, radius):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(150)]
+    rows += [(200, rng.normal(size=8).tolist()) for _ in range(60)]  # a hot id, many vectors
+    rows += [(100, rng.normal(size=8).tolist())]                     # a query of two vectors
+    near = distinct_nearest(rows, 1, lambda q: q % 50 == 0)
+    copied = {i for _, _, i in near} | {50}
+    repeated = rows + [r for r in rows if r[0] in copied for _ in range(5)]
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", block_rows)
+    learn = neighbours.learn  # a radius for all rows, or one that sends each query round again
+    monkeypatch.setattr(neighbours, "learn", lambda x, k: replace(learn(x, k), radius=radius))
+    frame = llm.createDataFrame(repeated, "vec_id long, embedding array<double>")
+    found = neighbours.nearest(frame, F.col("vec_id") % 50 == 0).collect()
+    expected = distinct_nearest(rows, 5, lambda q: q % 50 == 0)
+    assert {(r.query_id, r.rank, r.vec_id) for r in found} == expected
+    assert len(found) == len(expected) == 4 * 5
+
+
+def test_copies_of_a_near_row_leave_room_for_others(llm):
+    rows = [(0, [1.0, 0.0])] + [(1, [1.0, 0.01])] * 5 + [(i, [1.0, 0.1 * i]) for i in range(2, 9)]
+    frame = llm.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = neighbours.nearest(frame, F.col("vec_id") == 0).collect()
+    assert [(r.rank, r.vec_id) for r in sorted(found)] == [(n, n) for n in range(1, 6)]
+
+
 def brute_components(rows, words, percent):
     sets = {d: near_dedup.shingle_set(t, words) for d, t in rows if d is not None}
     label = {d: d for d in sets}
