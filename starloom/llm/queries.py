@@ -15,9 +15,12 @@ from starloom.llm import (
     near_dedup,
     neighbours,
     packing,
+    periodic_runs,
     quality,
+    ranked_search,
     token_counts,
     token_files,
+    vector_packing,
 )
 from starloom.llm.common import fold_of, ready, scratch, table
 from starloom.llm.tokens import tokenizer_path
@@ -113,6 +116,44 @@ def op10_near_dedup(spark, folder):
     return near_dedup.near_duplicates(table(spark, folder, "documents"), words=2, percent=80)
 
 
+@query
+def op11_periodic_runs(spark, folder):
+    docs = table(spark, folder, "documents").select(
+        "doc_id", periodic_runs.edited_text().alias("text"))
+    found = periodic_runs.periodic_runs(docs)
+    # Runs come by start and period, so the first of equal exponents stays.
+    none = F.lit(None).cast("struct<start: bigint, length: bigint, period: bigint>")
+    top = F.aggregate("runs", none, lambda best, run: F.when(
+        best.isNull() | (run["length"] * best["period"] > best["length"] * run["period"]),
+        run).otherwise(best))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+
+    def sha256(column):
+        return F.sha2(column.cast("binary"), 256)
+
+    return found.withColumn("_top", top).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "_top.start", "_top.length",
+        "_top.period",
+        F.expr("1000 * _top.length div _top.period").alias("exponent_milli"),
+        sha256(lines).alias("runs_sha256"), sha256(F.col("collapsed")).alias("collapsed_sha256"))
+
+
+@query
+def op12_vector_packing(spark, folder):
+    found = vector_packing.pack(table(spark, folder, "documents"),
+                                tokenizer_path("byte_bpe_50k.json"), end_id=1, capacity=2048)
+    return found.select(
+        "doc_id", "start", F.expr("octet_length(ids) div 4").alias("length"),
+        F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "loss_tokens")
+
+
+@query
+def op13_ranked_search(spark, folder):
+    return ranked_search.search(table(spark, folder, "documents"),
+                                table(spark, folder, "benchmark"), k=10)
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -193,8 +234,42 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
+_OP13 = r"""
+WITH found AS (
+    SELECT doc_id, unnest(regexp_extract_all(
+               translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM documents
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM found GROUP BY doc_id
+), corpus AS (
+    SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes
+), postings AS (
+    SELECT doc_id, term, count(*) AS tf FROM found GROUP BY doc_id, term
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM postings, corpus GROUP BY term, docs
+), wanted AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(
+               translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), scores AS (
+    SELECT item_id, doc_id, CAST(sum(
+               w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms)))
+           ) AS BIGINT) AS score
+    FROM wanted JOIN postings USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id),
+         corpus
+    GROUP BY item_id, doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)
+                     AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0
+QUALIFY rank <= 10
+"""
+
 
 def statements() -> dict[str, str]:
     """SQL for the operators that SQL can express on whole tables. The others are tested
     against brute force or round trips in tests/llm."""
-    return {"op6_line_dedup": _OP6, "op9_mixing": _OP9}
+    return {"op6_line_dedup": _OP6, "op9_mixing": _OP9, "op13_ranked_search": _OP13}

@@ -39,13 +39,15 @@ class PartEncoder(dict):
     a text that holds an added token: the library seeks those before it splits a text.
 
     The dictionary maps parts to their ids as little-endian unsigned 32-bit integers and fills
-    itself. At most ``held`` parts are remembered per Python worker.
+    itself. When it holds ``held`` parts it becomes the old one, from which parts that come
+    again move to the next, so at most twice as many are remembered per Python worker, and
+    frequent ones always are.
 
     A part of Latin letters, and points or commas behind them, is what the tokenizer's own
     splitting would hand to its model as one or two pieces, so the model is asked directly.
     """
 
-    def __init__(self, path: str, held: int = 800_000):
+    def __init__(self, path: str, held: int = 500_000):
         from tokenizers import Tokenizer
 
         super().__init__()
@@ -56,7 +58,7 @@ class PartEncoder(dict):
                                  != self.tokenizer.encode("a  b", add_special_tokens=False).ids)
         self.ask = self.tokenizer.model.tokenize
         self.letters = byte_letters()
-        self.held = held
+        self.held, self.old = held, {}
         vocabulary = np.arange(self.tokenizer.get_vocab_size(), dtype="<u4")
         self.packed = [x.tobytes() for x in vocabulary]
 
@@ -86,16 +88,23 @@ class PartEncoder(dict):
         return last.isalpha() and last <= "\xff"
 
     def __missing__(self, part: bytes) -> bytes:
-        stem = part.rstrip(b".,")
-        tail = part[len(stem):]
-        if tail and stem and self._ends_in_letter(stem):
-            ids = self[stem] + self._piece(tail.decode())
-        else:
-            ids = self._ids(part)
+        ids = self.old.get(part)
+        if ids is None:
+            ids = self._new(part)
         if len(part) <= _LONGEST_PART:
             self[part] = ids
         return ids
 
+    def _new(self, part: bytes) -> bytes:
+        if part.isalpha():  # ASCII letters only
+            return self._piece(self.letters[32] + part.decode() if self.keeps_spaces
+                               else part.lower().decode())
+        stem = part.rstrip(b".,")
+        tail = part[len(stem):]
+        if tail and stem and self._ends_in_letter(stem):
+            return self[stem] + self._piece(tail.decode())
+        return self._ids(part)
+
     def _ids(self, part: bytes) -> bytes:
         start, bare = "", part
         if self.keeps_spaces:
@@ -125,12 +134,13 @@ class PartEncoder(dict):
         if not text:
             return b""
         if len(self) > self.held:
+            self.old = dict(self)
             self.clear()
         parts = self._parts(text)
         return self._whole(text) if parts is None else b"".join(map(self.__getitem__, parts))
 
 
-def encoder(path: str, held: int = 800_000) -> PartEncoder:
+def encoder(path: str, held: int = 500_000) -> PartEncoder:
     """The worker's encoder for a file; it lives as long as the Python worker."""
     if (path, held) not in _ENCODERS:
         _ENCODERS[path, held] = PartEncoder(path, held)

@@ -1,0 +1,325 @@
+"""Periodic runs, vector packing and ranked search against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from checks.compare import connect, difference
+from starloom.llm import periodic_runs, queries, ranked_search, vector_packing
+from starloom.llm.tokens import tokenizer_path
+
+BYTES = "byte_bpe_50k.json"
+
+
+def words_of(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def plain_runs(words, least=24, times=3):
+    """All runs, period by period; a smaller period of the same stretch comes first."""
+    found = {}
+    for q in range(1, len(words) // times + 1):
+        i = 0
+        while i + q < len(words):
+            start = i
+            while i + q < len(words) and words[i] == words[i + q]:
+                i += 1
+            if i + q - start >= max(least, times * q):
+                found.setdefault((start, i + q), q)
+            i += 1
+    return sorted((s, e - s, q) for (s, e), q in found.items())
+
+
+@st.composite
+def repetitive(draw):
+    letters = draw(st.sampled_from([1, 2, 3, 40]))
+    word = st.integers(0, letters - 1).map(str)
+    words = draw(st.lists(word, max_size=40))
+    for _ in range(draw(st.integers(0, 3))):
+        unit, at = draw(st.lists(word, min_size=1, max_size=14)), draw(st.integers(0, len(words)))
+        words[at:at] = (unit * draw(st.integers(2, 9)))[:draw(st.integers(1, 90))]
+    return words
+
+
+@settings(max_examples=250, deadline=None)
+@given(docs=st.lists(repetitive(), max_size=5),
+       bounds=st.sampled_from([(24, 3), (6, 2), (9, 3), (7, 3), (10, 2)]))
+def test_runs_are_those_of_brute_force(docs, bounds):
+    words, runs = periodic_runs.runs_of([" ".join(d) for d in docs], *bounds)
+    assert [w for w in words] == [[x.encode() for x in d] for d in docs]
+    for doc, found in zip(docs, runs):
+        assert found == [r for r in sorted(plain_runs(doc, *bounds),
+                                           key=lambda r: (r[0], r[2]))]
+
+
+def test_runs_of_long_texts():
+    unit = [f"w{i}" for i in range(5000)]
+    texts = [" ".join((unit * 4)[:17_001]), " ".join(["a"] * 100_000),
+             " ".join(f"x{i}" for i in range(50_000)), " ".join(unit + unit)]
+    _, runs = periodic_runs.runs_of(texts)
+    assert runs == [[(0, 17_001, 5000)], [(0, 100_000, 1)], [], []]
+
+
+def edited_words(doc_id, text):
+    words = words_of(text)
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+def expected_op11(doc_id, text):
+    words = edited_words(doc_id, text)
+    runs = sorted(plain_runs(words), key=lambda r: (r[0], r[2]))
+    best = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2])) if runs else None
+    kept = [True] * len(words)
+    for start, length, period in runs:
+        kept[start + period:start + length] = [False] * (length - period)
+    lines = "".join(f"{s},{n},{p}\n" for s, n, p in runs)
+    left = " ".join(w for w, k in zip(words, kept) if k)
+    return (doc_id, len(runs), *(best or (None,) * 3),
+            1000 * best[1] // best[2] if best else None,
+            hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(left.encode()).hexdigest())
+
+
+def by_id(rows):
+    return sorted(map(tuple, rows), key=lambda r: tuple((x is not None, x) for x in r))
+
+
+def run_query(name, make, tmp_path, rows, extra=(), **others):
+    make(rows, extra).write.parquet(f"{tmp_path}/documents.parquet")
+    for table, frame in others.items():
+        frame.write.parquet(f"{tmp_path}/{table}.parquet")
+    return queries.registered()[name](make([]).sparkSession, str(tmp_path))
+
+
+def test_op11_on_the_given_table(llm, tables, sample):
+    found = queries.registered()["op11_periodic_runs"](llm, tables).collect()
+    want = [expected_op11(d, t) for d, t in zip(sample.doc_id, sample.text)]
+    assert by_id(found) == by_id(want)
+    assert sum(r["n_runs"] > 0 for r in found) > 5
+
+
+def test_op11_on_odd_rows(make, odd, tmp_path):
+    periodic = " ".join(["é", "b", "C"] * 30)
+    rows = [r for r in odd if r[0] != 11] + [(i, periodic) for i in (21, 21, None, 40)]
+    rows += [(i, " ".join(f"v{j}" for j in range(300))) for i in range(100, 140)]
+    found = run_query("op11_periodic_runs", make, tmp_path, rows, ["runs", "period", "start"])
+    assert by_id(found.collect()) == by_id(expected_op11(*r) for r in rows)
+
+
+def test_new_operators_on_empty_tables(make, tmp_path):
+    empty = make([])
+    empty.write.parquet(f"{tmp_path}/documents.parquet")
+    empty.selectExpr("doc_id AS item_id", "text").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name in ("op11_periodic_runs", "op12_vector_packing", "op13_ranked_search"):
+        assert queries.registered()[name](empty.sparkSession, str(tmp_path)).collect() == []
+
+
+# ---- vector packing ------------------------------------------------------------------------
+
+def plain_ids(text, _known=[]):
+    if not _known:
+        _known.append(Tokenizer.from_file(tokenizer_path(BYTES)))
+    return _known[0].encode(text or "", add_special_tokens=False).ids
+
+
+def is_power(n):
+    return n & (n - 1) == 0
+
+
+def check_packing(found, rows, capacity, segments, end=1):
+    """Pieces give back every document, and sequences hold the limits without padding."""
+    texts = defaultdict(Counter)
+    for doc, text in rows:
+        texts[doc][tuple(plain_ids(text) + [end])] += 1
+    sequences, pieces = defaultdict(list), defaultdict(list)
+    for r in found:
+        sequences[r["sequence_id"]].append(r)
+        pieces[r["doc_id"]].append(r)
+    for parts in sequences.values():
+        parts.sort(key=lambda r: r["offset"])
+        total = 0
+        for r in parts:
+            assert r["offset"] == total
+            total += r["length"]
+        assert 0 < total <= capacity and len(parts) <= segments
+        assert total == capacity or is_power(total)
+    assert set(pieces) == set(texts)
+    for doc, parts in pieces.items():
+        if sum(texts[doc].values()) > 1:
+            assert sum(r["length"] for r in parts) == sum(
+                len(t) * n for t, n in texts[doc].items())
+            continue
+        ids, at = next(iter(texts[doc])), 0
+        for r in sorted(parts, key=lambda r: r["start"]):
+            assert (r["start"], r["doc_tokens"]) == (at, len(ids))
+            part = np.array(ids[at:at + r["length"]], "<u4").tobytes()
+            assert r["ids_crc32"] == zlib.crc32(part)
+            at += r["length"]
+        assert at == len(ids)
+
+
+def test_op12_on_the_given_table(llm, tables, sample):
+    found = queries.registered()["op12_vector_packing"](llm, tables).collect()
+    check_packing(found, list(zip(sample.doc_id, sample.text)), 2048, 64)
+    used = sum(r["length"] for r in found)
+    # A task leaves at most one sequence unfilled, given as one for each of its bits.
+    assert len({r["sequence_id"] for r in found}) <= used // 2048 + 11 * 8
+
+
+def test_op12_on_odd_rows(make, odd, tmp_path):
+    rows = odd + [(100 + i, "tiny") for i in range(300)]
+    found = run_query("op12_vector_packing", make, tmp_path, rows, ["ids", "sequence_id"])
+    check_packing(found.collect(), rows, 2048, 64)
+
+
+@settings(max_examples=200, deadline=None)
+@given(docs=st.lists(st.tuples(st.integers(1, 90), st.integers(0, 90)), max_size=40),
+       limits=st.tuples(st.integers(1, 32), st.integers(1, 5), st.integers(1, 32)),
+       window=st.integers(1, 8), powers=st.booleans())
+def test_packer_keeps_all_limits(docs, limits, window, powers):
+    packer = vector_packing.Packer(limits, window, powers)
+    found = []
+    for i, (n, prompt) in enumerate(docs):
+        piece = vector_packing.Piece(i, b"", 0, n, min(prompt, n))
+        found += list(packer.add(piece))
+    found += list(packer.finish())
+    covered = defaultdict(list)
+    for sequence in found:
+        total = sum(p.tokens for p in sequence)
+        assert 0 < total <= limits[0] and len(sequence) <= limits[1]
+        assert sum(p.loss for p in sequence) <= limits[2]
+        assert not powers or total == limits[0] or is_power(total)
+        for p in sequence:
+            covered[p.doc].append((p.start, p.end))
+    for i, (n, _) in enumerate(docs):
+        parts = sorted(covered[i])
+        assert parts[0][0] == 0 and parts[-1][1] == n
+        assert all(a[1] == b[0] for a, b in zip(parts, parts[1:]))
+
+
+def test_packer_prefers_the_largest_dot_product():
+    packer = vector_packing.Packer((10, 3, 10))
+    for i, n in enumerate((4, 6, 3, 7, 4)):
+        assert not list(packer.add(vector_packing.Piece(i, b"", 0, n, 0)))
+    first, second = (list(packer._sequence()) for _ in range(2))
+    assert [p.doc for p in first] == [3, 2] and [p.doc for p in second] == [1, 0]
+
+
+def test_packer_refuses_limits_that_nothing_meets():
+    with pytest.raises(ValueError):
+        vector_packing.Packer((8, 0, 8))
+
+
+def test_loss_comes_from_answers_only(llm):
+    turns = llm.createDataFrame(
+        [(1, 0, "user", "what is it"), (1, 1, "assistant", "a thing"), (1, 2, "user", "why"),
+         (1, 3, "assistant", None), (2, 0, "assistant", "hello there"), (None, 1, "user", "x"),
+         (1, 0, "user", "what is it")],
+        "conv_id long, turn int, role string, text string")
+    examples = vector_packing.turn_examples(turns)
+    assert by_id(examples.collect()) == by_id(
+        [(1, "what is it", "a thing"), (1, "why", None), (2, None, "hello there")])
+    found = vector_packing.pack(examples, tokenizer_path(BYTES), capacity=8, segments=3,
+                                loss_tokens=2, prompt="prompt").collect()
+    per_sequence = defaultdict(lambda: np.zeros(3, int))
+    for r in found:
+        per_sequence[r["sequence_id"]] += (len(r["ids"]) // 4, 1, r["loss_tokens"])
+    assert all((v <= (8, 3, 2)).all() for v in per_sequence.values())
+    answers = ["a thing", None, "hello there"]
+    assert sum(r["loss_tokens"] for r in found) == sum(len(plain_ids(a)) + 1 for a in answers)
+
+
+# ---- ranked search -------------------------------------------------------------------------
+
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def plain_search(rows, items, k=10):
+    """Exhaustive scores from the definition."""
+    docs = [(d, Counter(re.findall(TERM, (t or "").translate(_LOWER)))) for d, t in rows]
+    docs = [(d, c, c.total()) for d, c in docs if c]
+    n, total = len(docs), sum(size for _, _, size in docs)
+    df = Counter(t for _, c, _ in docs for t in c)
+    wanted = defaultdict(set)
+    for item, text in items:
+        wanted[item].update(re.findall(TERM, (text or "").translate(_LOWER)))
+    out = []
+    for item, terms in wanted.items():
+        scores = []
+        for doc, counts, size in docs:
+            m = 100 - 90 + (90 * size * n) // total
+            score = sum(math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1)))
+                        * ((1_000_000_000 * counts[t]) // (1000 * counts[t] + 8 * m))
+                        for t in terms if counts[t])
+            if score > 0:
+                scores.append((-score, doc is None, doc or 0, doc))
+        out += [(item, i, s[3], -s[0]) for i, s in enumerate(sorted(scores)[:k], 1)]
+    return out
+
+
+def test_op13_sql_agrees(llm, tables):
+    text = difference(queries.registered()["op13_ranked_search"](llm, tables), connect(tables),
+                      queries.statements()["op13_ranked_search"])
+    assert not text
+
+
+def test_op13_on_odd_rows(make, odd, llm, tmp_path):
+    many = " ".join(["cat", "Dog", "é"] * 3)
+    rows = odd + [(100 + i, many) for i in range(60)] + [(200 + i, f"cat w{i}") for i in range(9)]
+    items = [(1, "the CAT-dog"), (1, "É w3"), (2, None), (3, ""), (4, "...!"), (None, "word a b c"),
+             (5, "cat"), (5, "cat"), (6, "É́ x end unheard")]
+    frame = llm.createDataFrame(items, "item_id long, text string").selectExpr("*", "1 AS term")
+    found = run_query("op13_ranked_search", make, tmp_path, rows, ["score", "rank"],
+                      benchmark=frame)
+    assert by_id(found.collect()) == by_id(plain_search(rows, items))
+
+
+def test_search_in_small_shards_and_blocks(make, llm, sample):
+    rows = list(zip(sample.doc_id.tolist(), sample.text.tolist()))
+    items = [(i, " ".join(words_of(t)[i % 7:i % 7 + 3 + 9 * (i % 4)])) for i, t in rows[:24]]
+    frame = llm.createDataFrame(items, "item_id long, text string")
+    found = ranked_search.search(make(rows).repartition(3), frame, k=4, block_terms=120,
+                                 shard_docs=37, shard_hits=900, leaf=3)
+    assert by_id(found.collect()) == by_id(plain_search(rows, items, 4))
+
+
+@settings(max_examples=60, deadline=None)
+@given(docs=st.lists(st.lists(st.sampled_from("abcdefgh"), max_size=9), min_size=1, max_size=50),
+       wanted=st.sets(st.integers(0, 7), min_size=1, max_size=6), k=st.integers(1, 5),
+       leaf=st.integers(0, 6))
+def test_intervals_find_the_best(docs, wanted, k, leaf):
+    hits = [np.array(["abcdefgh".index(w) for w in d], np.int64) for d in docs]
+    keys = Counter((int(t), i) for i, h in enumerate(hits) for t in h)
+    postings = sorted(keys)
+    terms, dfs = np.unique([t for t, _ in postings], return_counts=True)
+    sizes = np.array([len(d) for d in docs])
+    weights = np.arange(8) * 100
+    lists = ranked_search.Lists(
+        terms.astype(np.int64), dfs, np.array([o for _, o in postings], np.int64),
+        np.array([keys[p] for p in postings], np.int64), sizes, weights, len(docs),
+        max(1, int(sizes.sum())))
+    none = np.zeros(0, np.int64)
+    ids = np.arange(len(docs)) * 3
+    scores, found = lists.search(sorted(wanted), k, (none, none), ids, leaf, at_once=2)
+    all_scores = np.zeros(len(docs), np.int64)
+    for (t, o), impact in zip(postings, lists.impacts):
+        all_scores[o] += impact * (t in wanted)
+    best = sorted((-s, d) for s, d in zip(all_scores.tolist(), ids.tolist()) if s > 0)[:k]
+    assert list(zip((-scores).tolist(), found.tolist())) == best
