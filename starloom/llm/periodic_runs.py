@@ -336,12 +336,17 @@ def edited_text(doc_id: str = "doc_id", text: str = "text"):
     them, for a tenth of all documents, drawn by crc32 of the id; others as they are."""
     h = F.crc32(F.col(doc_id).cast("string").cast("binary"))
     g = F.floor(h / 10)
-    words = F.regexp_extract_all(F.col(text), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
-    n = F.size(words)
-    a = g % n
-    p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))
-    repeated = F.transform(F.sequence(F.lit(0).cast("long"), n - a - 1),
+
+    def repeated(words):
+        n = F.size(words)
+        a = g % n
+        p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))
+        tail = F.transform(F.sequence(F.lit(0).cast("long"), n - a - 1),
                            lambda i: F.get(words, (a + i % p).cast("int")))
-    made = F.array_join(F.concat(F.slice(words, F.lit(1), a.cast("int")), repeated), " ")
+        return F.array_join(F.concat(F.slice(words, F.lit(1), a.cast("int")), tail), " ")
+
+    # The words are named once, inside a one-element array, and not cut again for each.
+    words = F.regexp_extract_all(F.col(text), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    made = F.transform(F.array(words), repeated)[0]
     return F.when((h % 10 == 0) & F.col(text).rlike(r"[^\x20\x09-\x0D]"), made).otherwise(
         F.col(text))
