@@ -19,9 +19,6 @@ from starloom.session import Scratch, tune
 SPACES = r"\x20\x09-\x0D"
 WORD = rf"[^{SPACES}]+"
 
-#: Rows up to which a stored key list is broadcast. Beyond it the join is shuffled.
-BROADCAST_ROWS = 500_000
-
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -54,15 +51,6 @@ def fold_of(column: str, parts: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % parts
 
 
-def keep_listed(df: DataFrame, listed: DataFrame, key: str) -> DataFrame:
-    """Rows of ``df`` whose key is in the stored frame ``listed`` (one column ``key``).
-
-    The list is broadcast only if its counted rows allow it.
-    """
-    small = listed.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return df.join(F.broadcast(listed) if small else listed, key, "left_semi")
-
-
 def text_groups(batches, column: str = "text", limit: int = 1 << 18):
     """Slices of Arrow record batches that hold about ``limit`` bytes of text each, at
     least one row, so that what is made of a slice stays small however long texts are."""

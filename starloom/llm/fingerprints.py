@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import SPACES, keep_listed, scratch
+from starloom.llm.common import SPACES, scratch
 from starloom.operators.numbering import with_row_ids
 
 WORDS = 5
@@ -82,7 +82,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     n = numbered.count()
     follows = numbered.select("_bucket", (F.col("_n") % F.lit(max(n, 1)) + 1).alias("_n")).join(
         numbered.select("_id", "_n"), "_n").drop("_n")
-    heads = keep_listed(base.select("_id", "text"), numbered.select("_id"), "_id")
+    heads = base.select("_id", "text").join(numbered.select("_id"), "_id", "left_semi")
     heads = heads.groupBy("_id").agg(F.min("text").alias("_head"))
     heads = follows.join(heads, "_id").select(
         "_bucket", "_head", sketch(F.col("_head")).alias("_head_sketch"), F.lit(True).alias("_h"))

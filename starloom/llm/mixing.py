@@ -4,15 +4,15 @@ All sources share a budget by weight. No target exceeds ``max_epochs`` times its
 what a clamped source can't take is shared among the others by weight, until none is above.
 Each source is then repeated whole as often as its target allows. The words that are still
 missing come from a seeded order of its documents, from the first on. The last document is
-counted in part, so that the words of a source add up to its target exactly (rounded), or, with
-``whole_documents``, taken whole or not at all, whichever brings the source nearer to its target.
+taken whole or not at all, whichever brings the source nearer to its target; so a source misses it
+by half a document at most, unless the cap forbids that document.
 
-Sums along the seeded order run within buckets of the order and over one row per bucket, so
-no source, however large, is gathered or sorted in one task.
+Sums along the seeded order run within buckets of the order, then over the buckets of a block and
+over blocks, so no source, however large, is gathered or sorted in one task.
 
 Null text has size 0, a null source is a source of its own and comes last, a null doc_id sorts
-like an empty text. Rows that repeat a doc_id count each; equal rows are interchangeable. An
-empty table gives no rows. Columns of the input can have any names.
+like an empty text. Rows that repeat a doc_id count each, and their texts are drawn apart; equal
+rows are interchangeable. An empty table gives no rows. Columns of the input can have any names.
 """
 
 from __future__ import annotations
@@ -20,11 +20,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import BROADCAST_ROWS, SPACES, WORD, scratch
+from starloom.llm.common import WORD, scratch
 
 SEED = "mix-1"
 #: Rows of a source that a bucket of its seeded order holds on average, at most.
 BUCKET_ROWS = 2000
+#: Hexadecimal digits by which the buckets of a block differ.
+BLOCK_DIGITS = 3
 
 
 def word_count(text: Column) -> Column:
@@ -73,14 +75,13 @@ def _source_key() -> Column:
 
 
 def mixture(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), budget: float = 1.5,
-            max_epochs: float = 2.0, seed: str = SEED, whole_rows: bool = False,
-            whole_documents: bool = False) -> DataFrame:
+            max_epochs: float = 2.0, seed: str = SEED, whole_rows: bool = False) -> DataFrame:
     """doc_id, source, size, source_size, target, taken per document: the words the mix takes
-    of it, repeats counted. ``whole_documents`` takes no document in part. ``whole_rows`` adds
-    the input row as the struct ``row``."""
+    of it, repeats counted. ``whole_rows`` adds the input row as the struct ``row``."""
     store = scratch(docs.sparkSession)
-    draw = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"),
-                                                         F.lit(""))).cast("binary"))
+    draw = F.md5(F.concat(
+        F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"),
+        F.md5(F.coalesce("text", F.lit("")).cast("binary"))).cast("binary"))
     row = [F.struct(*[docs[c] for c in docs.columns]).alias("row")] if whole_rows else []
     sized = store.keep(docs.select(
         F.col("doc_id"), F.col("source").cast("string").alias("source"),
@@ -103,46 +104,38 @@ def mixture(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), budget: flo
     targets = targets.withColumn("_whole", whole.cast("long")).withColumn(
         "_extra", F.round("target").cast("long") - F.col("_whole") * F.col("source_size"))
     before = (Window.unboundedPreceding, -1)
-    starts = sums.select("_key", "_bucket", F.coalesce(
-        F.sum("_size").over(Window.partitionBy("_key").orderBy("_bucket").rowsBetween(*before)),
-        F.lit(0)).alias("_start")).join(targets, "_key")
-    small = sums.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    block = F.substring("_bucket", 1, max(1, digits - BLOCK_DIGITS))
+    inside = Window.partitionBy("_key", "_block").orderBy("_bucket").rowsBetween(*before)
+    blocks = sums.groupBy("_key", block.alias("_block")).agg(F.sum("_size").alias("_all"))
+    above = Window.partitionBy("_key").orderBy("_block").rowsBetween(*before)
+    blocks = blocks.select("_key", "_block",
+                           F.coalesce(F.sum("_all").over(above), F.lit(0)).alias("_earlier"))
+    # Stored, so that Spark knows its size and broadcasts it only while that is small.
+    starts = store.keep(sums.select("_key", "_bucket", "_size", block.alias("_block")).withColumn(
+        "_inside", F.coalesce(F.sum("_size").over(inside), F.lit(0))).join(
+        blocks, ["_key", "_block"]).join(targets, "_key").select(
+        "_key", "_bucket", "source_size", "target", "_whole", "_extra",
+        (F.col("_inside") + F.col("_earlier")).alias("_start")), "bucket_starts")
     within = Window.partitionBy("_key", "_bucket").orderBy("_draw", "doc_id", "size")
     placed = sized.withColumn("_bucket", bucket).withColumn(
         "_within", F.coalesce(F.sum("size").over(within.rowsBetween(*before)), F.lit(0)))
-    placed = placed.join(F.broadcast(starts) if small else starts, ["_key", "_bucket"])
+    placed = placed.join(starts, ["_key", "_bucket"])
     ahead = F.col("_start") + F.col("_within")
     extra = F.col("_extra") - ahead
-    last = F.greatest(F.lit(0), F.least("size", extra))
-    if whole_documents:
-        # Not above the cap either, if that is no whole number of epochs.
-        fits = (F.col("_whole") * F.col("source_size") + ahead + F.col("size")
-                <= F.col("source_size") * float(max_epochs))
-        last = F.when((extra >= F.col("size")) | ((2 * extra >= F.col("size")) & fits),
-                      F.col("size")).otherwise(0)
+    # Not above the cap either, if that is no whole number of epochs.
+    fits = (F.col("_whole") * F.col("source_size") + ahead + F.col("size")
+            <= F.col("source_size") * float(max_epochs))
+    last = F.when((extra >= F.col("size")) | ((2 * extra >= F.col("size")) & fits),
+                  F.col("size")).otherwise(0)
     taken = F.col("_whole") * F.col("size") + last
     return placed.select("doc_id", "source", "size", "source_size", "target",
                          taken.cast("long").alias("taken"), *(["row"] if whole_rows else []))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: rows of ``docs``, repeated as taken; a document without words is left
-    out. With ``whole_documents`` every copy is the whole document; otherwise one taken in part
-    keeps its first words and, if there is such a column, their n_chars."""
+    """The mix itself: rows of ``docs``, each whole, as often as taken; a document without words
+    is left out."""
     mix = mixture(docs, whole_rows=True, **options).where("taken > 0")
-    copies = F.ceil(F.col("taken") / F.col("size")).cast("int")
+    copies = F.floor(F.col("taken") / F.col("size")).cast("int")
     mix = mix.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
-    words = F.least(F.col("size"), F.col("taken") - (F.col("_copy") - 1) * F.col("size"))
-    partial = words < F.col("size")
-    text = F.col("row.text")
-    # Pieces of a word and the spaces behind it; what stands before the first counts to it.
-    parts = F.split(text, rf"(?<=[{SPACES}])(?=[^{SPACES}])")
-    skip = F.when(text.rlike(rf"^[{SPACES}]"), 1).otherwise(0)
-    cut = F.regexp_replace(F.array_join(F.slice(parts, 1, (words + skip).cast("int")), ""),
-                           rf"[{SPACES}]+$", "")
-    mix = mix.withColumn("_text", F.when(partial, cut).otherwise(text))
-    out = {"text": F.col("_text")}
-    if "n_chars" in docs.columns:
-        out["n_chars"] = F.when(partial, F.length("_text")).otherwise(
-            F.col("row.n_chars")).cast(docs.schema["n_chars"].dataType)
-    return mix.select(*[out.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
+    return mix.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

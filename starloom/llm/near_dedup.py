@@ -12,16 +12,19 @@
 4. Pairs are taken in rounds, so that a list of many copies doesn't yield all its pairs: members
    against the list's first one; then members of different components against one drawn for the
    list; then all pairs of a list that still lie in different components. There a component
-   of many classes is first compared as a whole, by the shingles of all its members together,
-   which bounds the likeness to each member, and then in blocks. No pair of a list is left out
-   unless its sides are linked already or this bound shows that they can't be.
+   of many classes is first compared as a whole: by the sketches of all its members together,
+   of which a linked class shares as much as of one member's; then by their shingles, which
+   bound the likeness to each member; and then in blocks. No pair of a list is left out unless
+   its sides are linked already or these bounds show that they can't be.
 
 A link is missed only if its estimate falls short by six standard deviations: with k = 64, below
 0.5 for a likeness of at least 0.8. Sets of up to k shingles are estimated exactly.
 
 Null, empty and blank texts have an empty set, are linked with nothing and stay. Repeated rows
-count each. Rows without a doc_id are not compared, get no component and stay. Empty tables give
-no rows. Columns can have any names.
+count each. A doc_id with several texts is one document with several sets: each is compared, and
+its rows may lie in different groups or, by way of the doc_id as the smallest, have one component
+id. Rows without a doc_id are not compared, get no component and stay. Empty tables give no rows.
+Columns can have any names.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import keep_listed, mixed, scratch, text_groups
+from starloom.llm.common import mixed, scratch, text_groups
 from starloom.llm.components import components
 from starloom.session import Scratch
 
@@ -105,8 +108,8 @@ def shingle_hashes(text: str | None, words: int = WORDS) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, words: int, k: int) -> DataFrame:
-    """(doc_id, size, set_key, sketch) of every row with a doc_id; the key identifies the
-    whole set, the sketch is ascending. Hashes are shifted to signed numbers in order."""
+    """(doc_id, text_hash, size, set_key, sketch) of every row with a doc_id; the key identifies
+    the whole set, the sketch is ascending. Hashes are shifted to signed numbers in order."""
 
     def rows(batches):
         for batch in text_groups(batches):
@@ -118,26 +121,38 @@ def sketches(docs: DataFrame, words: int, k: int) -> DataFrame:
                             if len(hashes) else None)
                 kept.append((hashes[:k] ^ np.uint64(1 << 63)).view(np.int64))
             yield pa.record_batch(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()),
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()),
                  pa.array(keys, pa.binary()), pa.array(kept, pa.list_(pa.int64()))],
-                names=["doc_id", "size", "set_key", "sketch"])
+                names=["doc_id", "text_hash", "size", "set_key", "sketch"])
 
+    return hashed_texts(docs).mapInArrow(
+        rows, "doc_id long, text_hash long, size long, set_key binary, sketch array<long>")
+
+
+def hashed_texts(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, text) of every row with a doc_id."""
     return docs.where("doc_id IS NOT NULL").select(
-        F.col("doc_id").cast("long"), "text").mapInArrow(
-        rows, "doc_id long, size long, set_key binary, sketch array<long>")
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"),
+        "text")
+
+
+def needed(k: int, percent: int):
+    """How many hashes of its sketch a class of ``size`` shares with the sketch of any class
+    it is linked with, at least."""
+    share = percent / 100
+    low = share * k - SIGMAS * math.sqrt(k * share * (1 - share))
+    found = F.when(F.col("size") <= share * k, F.ceil(F.col("size") * percent / 100)).otherwise(
+        F.floor(F.least("size", F.lit(k)) * (low / k)))
+    return F.greatest(found, F.lit(1))
 
 
 def lists(classes: DataFrame, k: int, percent: int, store: Scratch) -> DataFrame:
     """(value, id, size): the listed hashes of each class, those with two classes or more."""
     values = classes.select("id", "size", F.explode("sketch").alias("value"))
     shared = values.groupBy("value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    share = percent / 100
-    low = share * k - SIGMAS * math.sqrt(k * share * (1 - share))
     kept = F.least("size", F.lit(k))
-    need = F.when(F.col("size") <= share * k, F.ceil(F.col("size") * percent / 100)).otherwise(
-        F.floor(kept * (low / k)))
     # Hashes that no other class retains come first and are listed nowhere.
-    listed = kept - F.greatest(need, F.lit(1)) + 1
+    listed = kept - needed(k, percent) + 1
     found = values.join(shared, "value").groupBy("id", "size").agg(
         F.sort_array(F.collect_list(F.struct("n", "value"))).alias("found"))
     alone = kept - F.size("found")
@@ -211,27 +226,36 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
 
 def class_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
                      k: int = SKETCH) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, size, id) of every row with a doc_id, where id is the smallest doc_id of its
-    class, and (id, component) of all classes that are linked with others."""
+    """(doc_id, text_hash, size, id, label) of every row with a doc_id, where id is a number of its class and
+    label the smallest doc_id of it, and (id, component) of all classes that are linked with
+    others, where component is the smallest label reachable."""
     store = scratch(docs.sparkSession)
     made = store.keep(sketches(docs, words, k), "sketches")
-    ids = made.where("size > 0").groupBy("set_key").agg(F.min("doc_id").alias("id"))
-    ids = store.keep(ids, "classes")
-    firsts = ids.select(F.col("id").alias("doc_id"), F.col("set_key").alias("_key"))
-    classes = made.join(firsts, (made["doc_id"] == firsts["doc_id"])
-                        & (made["set_key"] == firsts["_key"])).select(
-        made["doc_id"].alias("id"), "size", "sketch").dropDuplicates(["id"])
-    classes = store.keep(classes, "class_sketches")
+    # A class is its set. Its first row stands for it; other texts of that doc_id do not.
+    ids = made.where("size > 0").groupBy("set_key").agg(
+        F.min(F.struct("doc_id", "text_hash")).alias("first"))
+    ids = store.keep(ids.select("set_key", F.col("first.doc_id").alias("label"),
+                                F.col("first.text_hash").alias("_hash"),
+                                F.monotonically_increasing_id().alias("id")), "classes")
+    firsts = ids.select("id", F.col("set_key").alias("_key"), "label", "_hash")
+    classes = made.join(firsts, (F.col("set_key") == F.col("_key")) & (
+        F.col("doc_id") == F.col("label")) & (F.col("text_hash") == F.col("_hash")))
+    classes = store.keep(classes.select("id", "size", "sketch").dropDuplicates(["id"]),
+                         "class_sketches")
     listed = store.keep(lists(classes, k, percent, store), "lists")
-    texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("id"),
-                                                    "text")
+
+    def texts_of(nodes: DataFrame) -> DataFrame:
+        """(id, text) of the classes in ``nodes`` (id)."""
+        firsts = store.keep(ids.join(nodes, "id").select(
+            "id", F.col("label").alias("doc_id"), F.col("_hash").alias("text_hash")), "firsts")
+        return hashed_texts(docs).join(firsts, ["doc_id", "text_hash"]).select(
+            "id", "text").dropDuplicates(["id"])
 
     def test(pairs: DataFrame, name: str) -> DataFrame:
         found = store.keep(promising(pairs, classes, percent, k), f"{name}_promising")
         nodes = store.keep(found.select(F.explode(F.array("x", "y")).alias("id")).distinct(),
                            f"{name}_nodes")
-        some = store.keep(keep_listed(texts, nodes, "id").dropDuplicates(["id"]),
-                          f"{name}_texts")
+        some = store.keep(texts_of(nodes), f"{name}_texts")
         return store.keep(confirmed(found, some, words, percent), f"{name}_links")
 
     def labelled(links: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -248,11 +272,15 @@ def class_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT
     sizes = found.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
     marked = store.keep(_undecided(_with_large(marked, sizes)), "undecided")
     pairs = _small_pairs(marked, percent).unionByName(
-        _large_pairs(marked, found, classes, texts, words, percent, store))
+        _large_pairs(marked, found, classes, texts_of, words, percent, k, store))
     links = links.unionByName(test(pairs, "last"))
     found, _ = labelled(links)
-    members = made.join(ids, "set_key", "left").select("doc_id", "size", "id")
-    return members, found.select(F.col("node").alias("id"), "component")
+    members = made.join(ids, "set_key", "left").select("doc_id", "text_hash", "size", "id",
+                                                       "label")
+    named = found.select(F.col("node").alias("id"), F.col("component").alias("_of")).join(
+        ids.select("id", "label"), "id")
+    least = named.groupBy("_of").agg(F.min("label").alias("component"))
+    return members, named.join(least, "_of").select("id", "component")
 
 
 def _undecided(marked: DataFrame) -> DataFrame:
@@ -306,14 +334,42 @@ def _small_pairs(marked: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.col("id").alias("x"), F.col("x").alias("y")).distinct()
 
 
-def _large_pairs(marked: DataFrame, found: DataFrame, classes: DataFrame, texts: DataFrame,
-                 words: int, percent: int, store: Scratch) -> DataFrame:
-    """Pairs from lists with a large component, as far as shingles allow them.
+def _shared_sketches(units: DataFrame, members: DataFrame, classes: DataFrame, percent: int,
+                     k: int, store: Scratch) -> tuple[DataFrame, DataFrame]:
+    """The ``units`` whose sketch the group's other sketches hold as far as a link needs, and
+    the ``members`` whose sketch those units' sketches hold so far."""
+    sketch = classes.select("id", F.explode("sketch").alias("value"))
+    of_units = store.keep(units.select("id", "size", "target").join(sketch, "id"),
+                          "unit_sketches")
+    of_members = store.keep(members.select("id", "size", "target").join(sketch, "id"),
+                            "member_sketches")
+
+    def covered(rows: DataFrame, by: DataFrame) -> DataFrame:
+        counts = rows.join(by, ["target", "value"]).groupBy("id", "target", "size").agg(
+            F.count(F.lit(1)).alias("n"))
+        return counts.where(F.col("n") >= needed(k, percent)).select("id", "target")
+
+    # A value counts if the group has it twice: from the class itself and from another.
+    twice = of_units.select("target", "value").unionByName(
+        of_members.select("target", "value")).groupBy("target", "value").agg(
+        F.count(F.lit(1)).alias("n")).where("n > 1").select("target", "value")
+    near = store.keep(covered(of_units, twice), "near_units")
+    theirs = of_units.join(near, ["id", "target"], "left_semi").select(
+        "target", "value").distinct()
+    close = store.keep(covered(of_members, theirs), "near_members")
+    return (store.keep(units.join(near, ["id", "target"], "left_semi"), "units_left"),
+            store.keep(members.join(close, ["id", "target"], "left_semi"), "members_left"))
+
+
+def _large_pairs(marked: DataFrame, found: DataFrame, classes: DataFrame, texts_of,
+                 words: int, percent: int, k: int, store: Scratch) -> DataFrame:
+    """Pairs from lists with a large component, as far as sketches and shingles allow them.
 
     A large component and the classes that share a list with it are a group. A class shares
     no more with another one than what it shares with all others of the group together. That
     number, one for each class of another component, and the sizes bound its likeness to each.
-    Classes that it leaves are compared with the group in blocks, from which only links come.
+    It is first taken from sketches, and from the full sets of what they leave. Classes that it
+    leaves are compared with the group in blocks, from which only links come.
     """
     heads = marked.where("large").select(
         "value", F.col("component").alias("target")).distinct()
@@ -327,6 +383,7 @@ def _large_pairs(marked: DataFrame, found: DataFrame, classes: DataFrame, texts:
     members = found.join(targets, "component").select(F.col("node").alias("id"), "component")
     members = members.join(classes.select("id", "size"), "id").withColumn(
         "target", F.col("component"))
+    units, members = _shared_sketches(units, members, classes, percent, k, store)
     group = store.keep(units.withColumn("unit", F.lit(True)).unionByName(
         members.withColumn("unit", F.lit(False))), "groups")
     nodes = store.keep(group.select("id").distinct(), "group_nodes")
@@ -338,8 +395,7 @@ def _large_pairs(marked: DataFrame, found: DataFrame, classes: DataFrame, texts:
             yield pa.record_batch([batch.column("id"), pa.array(kept, pa.list_(pa.int64()))],
                                   names=["id", "hashes"])
 
-    full = keep_listed(texts, nodes, "id").dropDuplicates(["id"]).mapInArrow(
-        hashes, "id long, hashes array<long>")
+    full = texts_of(nodes).mapInArrow(hashes, "id long, hashes array<long>")
     full = store.keep(full, "group_sets")
     all_sets = group.join(full, "id").select("target", "id", "unit",
                                              F.explode("hashes").alias("hash"))
@@ -412,20 +468,26 @@ def _linked_by_blocks(units: DataFrame, others: DataFrame, full: DataFrame, perc
         compare, "x long, y long").distinct()
 
 
+def _labelled_rows(docs: DataFrame, words: int, percent: int, k: int) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component_id, kept for every row with a doc_id."""
+    members, found = class_components(docs, words, percent, k)
+    own = F.coalesce("component", "label", "doc_id")
+    return members.join(found, "id", "left").select(
+        "doc_id", "text_hash", F.col("size").alias("n_shingles"), own.alias("component_id"),
+        (F.col("doc_id") == own).alias("kept"))
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
                     k: int = SKETCH) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row with a doc_id."""
-    members, found = class_components(docs, words, percent, k)
-    joined = members.join(found, "id", "left")
-    own = F.coalesce("component", "id", "doc_id")
-    return joined.select("doc_id", F.col("size").alias("n_shingles"), own.alias("component_id"),
-                         (F.col("doc_id") == own).alias("kept"))
+    return _labelled_rows(docs, words, percent, k).drop("text_hash")
 
 
 def kept_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` without the near duplicates of smaller doc_ids. Of rows that
     repeat the kept doc_id, all stay."""
-    found = near_duplicates(docs, words, percent).where(~F.col("kept")).select(
-        F.col("doc_id").alias("_dropped")).distinct()
+    found = _labelled_rows(docs, words, percent, SKETCH).where(~F.col("kept")).select(
+        F.col("doc_id").alias("_dropped"), F.col("text_hash").alias("_hash")).distinct()
     gone = scratch(docs.sparkSession).keep(found, "dropped")
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["_dropped"], "left_anti")
+    return docs.join(gone, (docs["doc_id"].cast("long") == gone["_dropped"])
+                     & (F.xxhash64(docs["text"]) == gone["_hash"]), "left_anti")

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import BROADCAST_ROWS, crc, scratch
+from starloom.llm.common import crc, scratch
 from starloom.llm.tokens import batched, encoded_documents
 
 UNITS = 64
@@ -235,10 +235,11 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = 4096)
         best_plan({r["length"]: r["n"] for r in totals}, capacity).arrays())
     before = Window.partitionBy("length").orderBy("partition").rowsBetween(
         Window.unboundedPreceding, -1)
-    firsts = counts.select("length", "partition",
-                           F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    small = counts.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    numbered = stored.join(F.broadcast(firsts) if small else firsts, ["length", "partition"])
+    # Stored, so that Spark knows its size and broadcasts it only while that is small.
+    firsts = store.keep(counts.select(
+        "length", "partition", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")),
+        "firsts")
+    numbered = stored.join(firsts, ["length", "partition"])
 
     def put(batches):
         lengths, first, _, sequence, offset = plan.value

@@ -196,7 +196,8 @@ FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
 
 _OP9 = r"""
 WITH sized AS (
-    SELECT doc_id, source, md5(concat('mix-1:', CAST(doc_id AS VARCHAR))) AS draw,
+    SELECT doc_id, source, md5(concat('mix-1:', CAST(doc_id AS VARCHAR), ':',
+                                      md5(coalesce(text, '')))) AS draw,
            coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size
     FROM documents
 ), sources AS (
@@ -224,13 +225,17 @@ WITH sized AS (
     FROM targets
 ), placed AS (
     SELECT s.doc_id, s.size, p.source_size, p.target, p.times,
-           CAST(round(p.target) AS BIGINT) - p.times * p.source_size
-           - coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.draw, s.doc_id, s.size
-                                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS extra
+           CAST(round(p.target) AS BIGINT) - p.times * p.source_size AS rest,
+           coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.draw, s.doc_id, s.size
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
     FROM sized s JOIN parts p ON s.source IS NOT DISTINCT FROM p.source
 )
 SELECT doc_id, size, source_size, target,
-       CAST(times * size + greatest(0, least(size, extra)) AS BIGINT) AS taken
+       CAST(times * size + CASE
+           WHEN rest - ahead >= size THEN size
+           WHEN 2 * (rest - ahead) >= size
+                AND times * source_size + ahead + size <= source_size * 2.0::DOUBLE THEN size
+           ELSE 0 END AS BIGINT) AS taken
 FROM placed
 """
 

@@ -1,24 +1,23 @@
 """Token-id files: frequency-ranked ids in byte-aligned variable-length coding.
 
-A file is a sequence of segments in ascending doc_id order. Each holds whole documents and is
-read without any other part of the file:
+A set of files is a folder with two tables. ``ranks`` has the rank of every id that occurs: ids
+are counted over all documents, the most frequent one has rank 0, ties go by id. ``segments`` has
+the documents in ascending doc_id order, some whole documents each, in a binary column:
 
-    4 bytes magic, 1 byte width of the rank table (2 or 4)
-    unsigned 32 bit: documents, ranks; unsigned 64 bit: ids
-    rank table       the segment's ids, most frequent first, ties by id
+    4 bytes magic; unsigned 32 bit: documents; unsigned 64 bit: ids
     doc_ids          signed 64 bit each
     known            one byte each, 0 where the doc_id is null
     lengths          unsigned 32 bit ids of each document
     control bytes    four values each, two bits a value: bytes of the value less one
     data bytes       the ranks, low bytes first, without leading zero bytes
 
-All numbers are little-endian. Ranks follow the counts within the segment, so that writing
-takes one pass and frequent ids take one byte. Segments travel in a binary column of Parquet
-files, which any store that Spark writes to can hold, and Spark's commit protocol keeps the
-files of lost or repeated attempts out.
+All numbers are little-endian. Frequent ids take one byte, and a reader looks ranks up in one table.
+Parquet lies on any store that Spark writes to, and Spark's commit protocol keeps the files of
+lost or repeated attempts out.
 
 Null or empty text has the end id only; a null doc_id comes first and stays null; rows that
-repeat a doc_id are all written, next to each other. An empty table gives no segments.
+repeat a doc_id are all written, next to each other, by a hash of their ids. An empty table gives
+no segments. Only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -31,24 +30,31 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import BROADCAST_ROWS, crc
+from starloom.llm.common import crc, scratch
 from starloom.llm.tokens import batched, encoded_documents
 
-MAGIC = b"FRS1"
-_HEAD = struct.Struct("<4sBIIQ")
+MAGIC = b"FRS2"
+_HEAD = struct.Struct("<4sIQ")
 #: Value lengths by control byte.
 _LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8) + 1
 SEGMENT_IDS = 1 << 20
 
 
-def write_segment(doc_ids: list, lengths: list[int], ids: np.ndarray) -> bytes:
-    """One segment from document ids, their numbers of ids, and all ids in a row."""
-    counts = np.bincount(ids) if len(ids) else np.zeros(0, np.int64)
-    ranked = np.flatnonzero(counts)
-    ranked = ranked[np.lexsort((ranked, -counts[ranked]))]
-    rank_of = np.zeros(len(counts), np.uint32)
-    rank_of[ranked] = np.arange(len(ranked), dtype=np.uint32)
-    ranks = rank_of[ids].astype("<u4")
+def rank_table(counts: dict[int, int]) -> np.ndarray:
+    """Ids by rank: the most frequent first, ties by id."""
+    return np.array(sorted(counts, key=lambda i: (-counts[i], i)), "<u4")
+
+
+def ranks_by_id(ids: np.ndarray) -> np.ndarray:
+    """The rank of each id, for ids by rank."""
+    found = np.zeros(int(ids.max(initial=0)) + 1, "<u4")
+    found[ids] = np.arange(len(ids), dtype="<u4")
+    return found
+
+
+def write_segment(doc_ids: list, lengths: list[int], ranks: np.ndarray) -> bytes:
+    """One segment from document ids, their numbers of ids, and the ranks of all ids in a row."""
+    ranks = ranks.astype("<u4")
     sizes = np.ones(len(ranks), np.uint8)
     for bits in (8, 16, 24):
         sizes += ranks >= (1 << bits)
@@ -57,10 +63,8 @@ def write_segment(doc_ids: list, lengths: list[int], ids: np.ndarray) -> bytes:
     control = (codes.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(1, dtype=np.uint8)
     used = np.arange(4, dtype=np.uint8) < sizes[:, None]
     data = ranks.view(np.uint8).reshape(-1, 4)[used]
-    width = 2 if len(counts) <= 1 << 16 else 4
     return b"".join([
-        _HEAD.pack(MAGIC, width, len(doc_ids), len(ranked), len(ids)),
-        ranked.astype(f"<u{width}").tobytes(),
+        _HEAD.pack(MAGIC, len(doc_ids), len(ranks)),
         np.array([d or 0 for d in doc_ids], "<i8").tobytes(),
         np.array([d is not None for d in doc_ids], np.uint8).tobytes(),
         np.array(lengths, "<u4").tobytes(),
@@ -69,8 +73,8 @@ def write_segment(doc_ids: list, lengths: list[int], ids: np.ndarray) -> bytes:
 
 
 def read_segment(blob: bytes) -> tuple[list, np.ndarray, np.ndarray]:
-    """(doc_ids, lengths, ids) of a segment."""
-    magic, width, n_docs, n_ranks, n_ids = _HEAD.unpack_from(blob)
+    """(doc_ids, lengths, ranks) of a segment."""
+    magic, n_docs, n_ids = _HEAD.unpack_from(blob)
     if magic != MAGIC:
         raise ValueError("not a segment of ranked ids")
     at = _HEAD.size
@@ -81,7 +85,6 @@ def read_segment(blob: bytes) -> tuple[list, np.ndarray, np.ndarray]:
         at += found.nbytes
         return found
 
-    ranked = part(f"<u{width}", n_ranks).astype("<u4")
     doc_ids, known, lengths = part("<i8", n_docs), part("u1", n_docs), part("<u4", n_docs)
     control = part("u1", -(-n_ids // 4))
     data = np.frombuffer(blob, np.uint8, offset=at)
@@ -92,47 +95,101 @@ def read_segment(blob: bytes) -> tuple[list, np.ndarray, np.ndarray]:
         more = np.flatnonzero(sizes > j)
         if len(more):
             ranks[more] |= data[place[more] + j].astype(np.uint32) << (8 * j)
-    docs = [int(d) if k else None for d, k in zip(doc_ids, known)]
-    return docs, lengths, ranked[ranks]
+    return [int(d) if k else None for d, k in zip(doc_ids, known)], lengths, ranks
 
 
 _SEGMENTS = pa.schema([("partition", pa.int32()), ("segment", pa.int32()),
                        ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("payload", pa.binary())])
+_ENCODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
+
+
+def encoded(docs: DataFrame, tokenizer: str, end_id: int, kind: str) -> DataFrame:
+    """(doc_id, ids) with the end id, as numbers of the type ``kind``."""
+
+    def rows(batches):
+        end = np.array([end_id], kind).tobytes()
+        for doc, ids in encoded_documents(batches, tokenizer):
+            yield doc, np.frombuffer(ids, "<u4").astype(kind).tobytes() + end
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+        lambda batches: batched(rows(batches), _ENCODED, 256), "doc_id long, ids binary")
+
+
+def id_counts(stored: DataFrame, kind: str) -> DataFrame:
+    """(id, n): occurrences of every id in all documents, summed in each task first."""
+
+    def count(batches):
+        total = np.zeros(0, np.int64)
+        for batch in batches:
+            column = batch.column("ids")
+            ends = np.frombuffer(column.buffers()[1], "<i4")[column.offset:][:len(column) + 1]
+            ids = np.frombuffer(column.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]].view(kind)
+            found = np.bincount(ids, minlength=len(total))
+            found[:len(total)] += total
+            total = found
+        seen = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())],
+                              names=["id", "n"])
+
+    return stored.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(
+        F.sum("n").alias("n"))
 
 
 def write_files(docs: DataFrame, tokenizer: str, end_id: int, path: str,
                 segment_ids: int = SEGMENT_IDS) -> None:
     """Encode all texts and write them to ``path`` in ascending doc_id order.
 
-    The one shuffle ranges the texts by doc_id. A task holds one segment at a time.
+    Encoded texts are stored once, so that ids can be counted before any is written. The one
+    shuffle ranges them by doc_id; equal doc_ids are told apart, so a hot one is split. A task
+    holds one segment at a time.
     """
+    from tokenizers import Tokenizer
+
+    spark = docs.sparkSession
+    largest = max(Tokenizer.from_file(tokenizer).get_vocab_size(), end_id + 1)
+    kind = "<u2" if largest <= 1 << 16 else "<u4"
+    folder = scratch(spark).path("encoded")
+    made = encoded(docs, tokenizer, end_id, kind)
+    made.withColumn("_row", F.monotonically_increasing_id()).write.option(
+        "compression", "zstd").parquet(folder)
+    stored = spark.read.schema("doc_id long, ids binary, _row long").parquet(folder)
+    # At most one row per id of the vocabulary.
+    table = rank_table({r["id"]: r["n"] for r in id_counts(stored, kind).collect()})
+    spark.createDataFrame(
+        [(rank, int(i)) for rank, i in enumerate(table)], "rank long, id long"
+    ).coalesce(1).write.parquet(f"{path}/ranks")
+    shared = spark.sparkContext.broadcast(ranks_by_id(table))
 
     def segments(batches):
-        partition, end = TaskContext.get().partitionId(), struct.pack("<I", end_id)
+        partition = TaskContext.get().partitionId()
         held, lengths, parts, n, number = [], [], [], 0, 0
 
         def segment():
-            ids = np.frombuffer(b"".join(parts), "<u4")
-            return partition, number, len(held), len(ids), write_segment(held, lengths, ids)
+            ranks = shared.value[np.frombuffer(b"".join(parts), kind)]
+            return partition, number, len(held), len(ranks), write_segment(held, lengths, ranks)
 
-        for doc, ids in encoded_documents(batches, tokenizer):
-            held.append(doc)
-            lengths.append(len(ids) // 4 + 1)
-            parts += [ids, end]
-            n += lengths[-1]
-            if n >= segment_ids:
-                yield segment()
-                held, lengths, parts, n, number = [], [], [], 0, number + 1
+        width = np.dtype(kind).itemsize
+        for batch in batches:
+            for doc, ids in zip(batch.column("doc_id").to_pylist(),
+                                batch.column("ids").to_pylist()):
+                held.append(doc)
+                lengths.append(len(ids) // width)
+                parts.append(ids)
+                n += lengths[-1]
+                if n >= segment_ids:
+                    yield segment()
+                    held, lengths, parts, n, number = [], [], [], 0, number + 1
         if held:
             yield segment()
 
     def write(batches):
         yield from batched(segments(batches), _SEGMENTS, 1)
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
-    rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    rows.mapInArrow(write, "partition int, segment int, n_docs long, n_ids long, payload binary"
-                    ).write.option("compression", "none").parquet(path)
+    order = ["doc_id", F.xxhash64("ids"), "_row"]
+    rows = stored.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows.select("doc_id", "ids").mapInArrow(
+        write, "partition int, segment int, n_docs long, n_ids long, payload binary"
+    ).write.option("compression", "none").parquet(f"{path}/segments")
 
 
 def segment_starts(segments: DataFrame) -> DataFrame:
@@ -157,11 +214,15 @@ def read_files(spark: SparkSession, path: str, decoded=None, schema: str | None
     for its ids (a numpy array), a tuple in the order of ``schema``. Without it, the ids."""
     decoded = decoded or (lambda ids: (ids.astype(np.int64),))
     schema = schema or "ids array<long>"
-    stored = spark.read.parquet(path)
-    starts = segment_starts(stored.select("partition", "segment", "n_ids"))
-    small = stored.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    stored = spark.read.parquet(f"{path}/segments")
+    # At most one row per id of the vocabulary.
+    table = np.array([r["id"] for r in spark.read.parquet(f"{path}/ranks").orderBy("rank")
+                      .collect()], "<u4")
+    shared = spark.sparkContext.broadcast(table)
+    starts = scratch(spark).keep(
+        segment_starts(stored.select("partition", "segment", "n_ids")), "segment_starts")
     rows = stored.select("partition", "segment", "payload").join(
-        F.broadcast(starts) if small else starts, ["partition", "segment"])
+        starts, ["partition", "segment"])
     full = f"doc_id long, start long, n_tokens long, {schema}"
     fields = spark.createDataFrame([], full).schema
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -172,7 +233,8 @@ def read_files(spark: SparkSession, path: str, decoded=None, schema: str | None
         for batch in batches:
             for i in range(batch.num_rows):
                 start = batch.column("start")[i].as_py()
-                docs, lengths, ids = read_segment(batch.column("payload")[i].as_py())
+                docs, lengths, ranks = read_segment(batch.column("payload")[i].as_py())
+                ids = shared.value[ranks]
                 ends = np.cumsum(lengths, dtype=np.int64)
                 for doc, end, n in zip(docs, ends.tolist(), lengths.tolist()):
                     yield doc, start + end - n, n, *decoded(ids[end - n:end])

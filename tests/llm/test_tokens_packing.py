@@ -21,7 +21,6 @@ _KNOWN = {}
 def plain(name, text):
     if name not in _KNOWN:
         _KNOWN[name] = Tokenizer.from_file(tokenizer_path(name))
-        _KNOWN[name].encode_special_tokens = True
     return _KNOWN[name].encode(text or "", add_special_tokens=False).ids
 
 
@@ -60,16 +59,18 @@ def test_added_tokens_in_a_text_are_the_librarys(name):
     st.integers(0, 70_000), max_size=12)), max_size=6))
 def test_segments_round_trip(docs):
     ids = np.array([i for _, d in docs for i in d], "<u4")
-    blob = token_files.write_segment([d for d, _ in docs], [len(x) for _, x in docs], ids)
+    table = token_files.rank_table(Counter(ids.tolist()))
+    ranks = token_files.ranks_by_id(table)[ids] if len(ids) else ids
+    blob = token_files.write_segment([d for d, _ in docs], [len(x) for _, x in docs], ranks)
     doc_ids, lengths, back = token_files.read_segment(blob)
     assert doc_ids == [d for d, _ in docs] and list(lengths) == [len(x) for _, x in docs]
-    assert (back == ids).all()
+    assert (table[back] == ids).all()
 
 
 def test_many_ranks_need_more_bytes():
-    ids = np.arange(70_000, dtype="<u4").repeat(2)
-    assert (token_files.read_segment(token_files.write_segment([1], [len(ids)], ids))[2]
-            == ids).all()
+    ranks = np.arange(70_000, dtype="<u4").repeat(2)
+    blob = token_files.write_segment([1], [len(ranks)], ranks)
+    assert (token_files.read_segment(blob)[2] == ranks).all()
 
 
 def expected_files(rows, end=0):
@@ -91,6 +92,19 @@ def test_token_files(llm, make, odd, sample, tmp_path):
     rows = odd + [(100 + d, t) for d, t in zip(sample.doc_id, sample.text)]
     found = files(llm, make(rows, ["start", "partition", "payload"]), tmp_path, segment_ids=3000)
     assert sorted(map(tuple, found.collect()), key=lambda r: r[1]) == expected_files(rows)
+    counts = Counter(i for _, t in rows for i in plain(BYTES, t) + [0])
+    ranks = llm.read.parquet(str(tmp_path / "files" / "ranks")).orderBy("rank").collect()
+    assert [r["id"] for r in ranks] == sorted(counts, key=lambda i: (-counts[i], i))
+
+
+def test_token_files_order_texts_of_one_doc_id_alike(llm, make, tmp_path):
+    rows = [(7, f"text number {i}") for i in range(40)] + [(None, f"none {i}") for i in range(40)]
+    rows += [(7, "twice")] * 2 + [(3, "before")]
+    found = [sorted(map(tuple, files(llm, make(some).repartition(n), tmp_path / str(n),
+                                     segment_ids=20).collect()), key=lambda r: r[1])
+             for n, some in ((2, rows), (5, rows[::-1]))]
+    assert found[0] == found[1] and len(found[0]) == 83
+    assert [r[0] for r in found[0]] == [None] * 40 + [3] + [7] * 42
 
 
 def test_token_files_of_nothing(llm, make, tmp_path):
