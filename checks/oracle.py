@@ -366,6 +366,9 @@ def _invariants() -> str:
     parts.append("select 'valid sales neither loaded nor rejected', " + _ZERO.format(
         "(select count(*) from valid_sales) - (select count(*) from fact) - (select count(*) "
         "from resolved where reject_reason is not null)"))
+    parts.append("select 'facts differ from sales taken', " + _ZERO.format(
+        "abs((select count(*) from fact) - (select count(*) from resolved "
+        "where reject_reason is null))"))
     body = " union all ".join(parts)
     return f', agg as ({AGG}) select "check", n from ({body}) as t("check", n)'
 
@@ -386,6 +389,9 @@ from raw_sales""",
     "extract_customers": """
 select customer_id, ' "' || customer_name || '", ' as customer_name, email, phone, address,
        city, country, registration_date from raw_customers""",
+    "extract_customer_lines": """
+select customer_id, customer_name || chr(10) || '"' || city || '"' || chr(10) as customer_name,
+       email, phone, address, city, country, registration_date from raw_customers""",
     "extract_products": """
 select product_id, product_name, category, subcategory, supplier, cost_price, msrp
 from raw_products""",

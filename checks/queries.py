@@ -13,7 +13,7 @@ from starloom import schemas as S
 from starloom.operators import aggregates, dedup, dimensions, facts, quality
 from starloom.plans import checks, dashboard, reports, views
 from starloom.plans.pipeline import CUSTOMERS, LOAD_FACTS, PRODUCTS, SALES
-from starloom.sources import csv_files, ledger
+from starloom.sources import csv_files, ledger, quoted_csv
 from starloom.sources.calendar import date_dimension
 
 FIRST_LOAD_END = dt.date(1999, 1, 1)
@@ -67,6 +67,18 @@ def extract_customers(s):
     return _through_files(s, CUSTOMERS, s.raw_customers.withColumn("customer_name", quoted))
 
 
+@query
+def extract_customer_lines(s):
+    """Names hold line breaks and quotes; the files are still read in splits."""
+    broken = F.concat("customer_name", F.lit('\n"'), "city", F.lit('"\n'))
+    raw = s.raw_customers.withColumn("customer_name", broken)
+    columns = CUSTOMERS.file_schema.fieldNames()
+    folder = s.scratch.path("customer_lines")
+    csv_files.write_rows(raw.select(*columns), folder)
+    rows = quoted_csv.read_records(s.spark, [folder], CUSTOMERS.file_schema, s.scratch)
+    return rows.where(F.col(csv_files.CORRUPT).isNull()).select(*columns)
+
+
 @query
 def extract_products(s):
     return _through_files(s, PRODUCTS, s.raw_products)

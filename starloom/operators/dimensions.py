@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,9 +59,30 @@ def distinct_rows(rows: DataFrame, dimension: Dimension) -> DataFrame:
     return rows.select(dimension.natural, *dimension.attributes).dropDuplicates()
 
 
-def scd2_merge(dim: DataFrame | None, rows: DataFrame, dimension: Dimension, as_of: dt.date,
-               scratch: Scratch) -> DataFrame:
-    """Merge staged ``rows`` into ``dim`` as of a date and return the new dimension.
+def newest_rows(rows: DataFrame, dimension: Dimension) -> DataFrame:
+    """The last row of each key, with the attributes of the dimension."""
+    return latest_by_key(
+        rows.where(F.col(dimension.natural).isNotNull())
+        .select(dimension.natural, "staging_id", *dimension.attributes),
+        (dimension.natural,),
+    )
+
+
+def first_versions(rows: DataFrame, dimension: Dimension, as_of: dt.date, scratch: Scratch
+                   ) -> DataFrame:
+    """The dimension that a first batch makes."""
+    natural = dimension.natural
+    opened = newest_rows(rows, dimension).select(
+        natural, *dimension.attributes, F.lit(as_of).alias("valid_from"),
+        F.lit(None).cast("date").alias("valid_to"), F.lit(True).alias("is_current"),
+    )
+    return with_row_ids(opened, [F.col(natural)], dimension.surrogate, scratch).select(
+        *dimension.schema.fieldNames())
+
+
+def scd2_changes(current: DataFrame, rows: DataFrame, dimension: Dimension, as_of: dt.date,
+                 last_key: int, scratch: Scratch) -> DataFrame:
+    """What a batch changes as of a date: versions that it opens, overwrites or closes, stored.
 
     * unknown key: a first version opens at ``as_of``;
     * current version opened at ``as_of``: its attributes are overwritten;
@@ -69,63 +91,69 @@ def scd2_merge(dim: DataFrame | None, rows: DataFrame, dimension: Dimension, as_
     * current version opened after ``as_of``: unchanged, a late batch rewrites no newer one;
     * everything else, and keys absent from ``rows``: unchanged.
 
-    Both join sides hold one row per key, so no key can be hot. Stored keys never change.
+    ``current`` needs to hold the current versions of the batch's keys only. Both join sides
+    hold one row per key, so no key can be hot. New keys count up from ``last_key``.
     """
     natural, surrogate = dimension.natural, dimension.surrogate
     names = dimension.schema.fieldNames()
-    newest = latest_by_key(
-        rows.where(F.col(natural).isNotNull())
-        .select(natural, "staging_id", *dimension.attributes),
-        (natural,),
-    )
-    if dim is None:
-        opened = newest.select(
-            natural, *dimension.attributes, F.lit(as_of).alias("valid_from"),
-            F.lit(None).cast("date").alias("valid_to"), F.lit(True).alias("is_current"),
-        )
-        return with_row_ids(opened, [F.col(natural)], surrogate, scratch).select(*names)
-
     old, new = F.col("old"), F.col("new")
-    pairs = (
-        dim.where("is_current").select(F.struct(*names).alias("old"))
-        .join(newest.select(F.struct("*").alias("new")),
-              old[natural] == new[natural], "full_outer")
-    )
-    same_day = old["valid_from"] == F.lit(as_of)
-    earlier = old["valid_from"] < F.lit(as_of)
-    differs = F.lit(False)
-    for name in dimension.tracked:
-        differs = differs | ~old[name].eqNullSafe(new[name])
-    matched = old.isNotNull() & new.isNotNull()
-    overwrite = matched & same_day
-    close = matched & earlier & differs
-
-    def kept(name: str):
-        if name in dimension.tracked or name in dimension.derived:
+    pairs = newest_rows(rows, dimension).select(F.struct("*").alias("new")).join(
+        current.select(F.struct(*names).alias("old")), old[natural] == new[natural], "left")
+
+    def differs(columns) -> Column:
+        return reduce(Column.__or__, [~old[name].eqNullSafe(new[name]) for name in columns],
+                      F.lit(False))
+
+    written = [*dimension.tracked, *dimension.derived]
+    close = old.isNotNull() & (old["valid_from"] < F.lit(as_of)) & differs(dimension.tracked)
+    overwrite = old.isNotNull() & (old["valid_from"] == F.lit(as_of)) & differs(written)
+
+    def kept(name: str) -> Column:
+        if name in written:
             return F.when(overwrite, new[name]).otherwise(old[name])
         if name == "valid_to":
             return F.when(close, F.date_sub(F.lit(as_of), 1)).otherwise(old[name])
-        if name == "is_current":
-            return ~close
-        return old[name]
+        return ~close if name == "is_current" else old[name]
 
-    def opened(name: str):
-        if name == surrogate:
-            return F.lit(None).cast("long")
-        fixed = {"valid_from": F.lit(as_of), "valid_to": F.lit(None).cast("date"),
-                 "is_current": F.lit(True)}
-        return fixed.get(name, new[name] if name not in fixed else None)
+    def opened(name: str) -> Column:
+        fixed = {surrogate: F.lit(None).cast("long"), "valid_from": F.lit(as_of),
+                 "valid_to": F.lit(None).cast("date"), "is_current": F.lit(True)}
+        return fixed[name] if name in fixed else new[name]
 
     versions = F.array_compact(F.array(
-        F.when(old.isNotNull(), F.struct(*[kept(n).alias(n) for n in names])),
+        F.when(overwrite | close, F.struct(*[kept(n).alias(n) for n in names])),
         F.when(old.isNull() | close, F.struct(*[opened(n).alias(n) for n in names])),
     ))
-    merged = scratch.keep(pairs.select(F.inline(versions)), f"merged_{surrogate}")
-    last = dim.agg(F.max(surrogate)).first()[0] or 0
-    fresh = with_row_ids(merged.where(F.col(surrogate).isNull()).drop(surrogate),
-                         [F.col(natural)], surrogate, scratch, last)
+    made = scratch.keep(pairs.select(F.inline(versions)), f"versions_{surrogate}")
+    fresh = with_row_ids(made.where(F.col(surrogate).isNull()).drop(surrogate),
+                         [F.col(natural)], surrogate, scratch, last_key)
+    changes = made.where(F.col(surrogate).isNotNull()).unionByName(fresh.select(*names))
+    return scratch.keep(changes, f"changes_{surrogate}")
+
+
+def with_changes(current: DataFrame, changes: DataFrame, dimension: Dimension) -> DataFrame:
+    """Current versions after the changes."""
+    touched = changes.select(dimension.natural).distinct()
+    return current.join(touched, dimension.natural, "left_anti").select(
+        *dimension.schema.fieldNames()).unionByName(changes.where("is_current"))
+
+
+def scd2_merge(dim: DataFrame | None, rows: DataFrame, dimension: Dimension, as_of: dt.date,
+               scratch: Scratch) -> DataFrame:
+    """The whole dimension after staged ``rows`` are merged into it as of a date. Stored keys
+    never change."""
+    if dim is None:
+        return first_versions(rows, dimension, as_of, scratch)
+    current = dim.where("is_current")
+    last = dim.agg(F.max(dimension.surrogate)).first()[0] or 0
+    changes = scd2_changes(current, rows, dimension, as_of, last, scratch)
     return (
         dim.where(~F.col("is_current"))
-        .unionByName(merged.where(F.col(surrogate).isNotNull()))
-        .unionByName(fresh.select(*names))
+        .unionByName(changes.where(~F.col("is_current")))
+        .unionByName(with_changes(current, changes, dimension))
     )
+
+
+def bucket(dimension: Dimension, buckets: int) -> Column:
+    """The part of the stored current versions that holds a key."""
+    return F.pmod(F.xxhash64(dimension.natural), F.lit(buckets)).cast("int")

@@ -9,11 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.columns import fit, month_of_key, sale_margin
+from starloom.operators.loaded_keys import SALE_KEY
 from starloom.schemas import AMOUNT, FACT_SALES
 
-FACT_KEY = ("order_id", "product_key")
-# A sale by its own key, whichever product version it was loaded with.
-SALE_KEY = ("order_id", "product_id")
 # Order of the running key of facts; it tells all rows of a load apart.
 LOAD_ORDER = ("date_key", "order_id", "product_id", "staging_id")
 SALE_COLUMNS = ("staging_id", "order_id", "order_date", "customer_id", "product_id",
@@ -29,10 +27,13 @@ LOADED = "Already loaded"
 FILTERED = "Before date filter"
 # A sale held back for one of these may load in a later run.
 RETRIED = (NO_PRODUCT, NO_CUSTOMER, NO_DATE, FILTERED)
+# What became of an offered sale, as a number: 0 loaded, or the place of the reason from 1 on.
+REASONS = (*RETRIED, NO_VALUE, LOADED)
+FATE_SCHEMA = "staging_id long, fate int, load_run long"
 
 
 def fact_candidates(sales: DataFrame, customers: DataFrame, products: DataFrame,
-                    dates: DataFrame, existing: DataFrame | None = None,
+                    dates: DataFrame, loaded: DataFrame | None = None,
                     first: dt.date | None = None) -> DataFrame:
     """Resolve valid sales against the current dimension versions.
 
@@ -41,6 +42,7 @@ def fact_candidates(sales: DataFrame, customers: DataFrame, products: DataFrame,
     left joins with the sales on the left, so AQE may broadcast a small dimension and can
     split a hot customer or product over tasks when the dimension is large. The cost comes
     with the product lookup: the current version carries the newest valid staged price.
+    ``loaded`` has the distinct order and product ids of sales loaded before.
     Sales before the date ``first`` are held back for a later run.
     """
     product = products.where("is_current").select("product_id", "product_key", "cost_price")
@@ -73,9 +75,9 @@ def fact_candidates(sales: DataFrame, customers: DataFrame, products: DataFrame,
         .when(F.col("date_key").isNull(), NO_DATE)
         .when(missing, NO_VALUE)
     )
-    if existing is None:
+    if loaded is None:
         return resolved.withColumn("reject_reason", reason)
-    hits = loaded_sales(existing, sales, products).withColumn("_hit", F.lit(True))
+    hits = loaded.select(*SALE_KEY).withColumn("_hit", F.lit(True))
     return (
         resolved.join(hits, list(SALE_KEY), "left")
         .withColumn("reject_reason", F.coalesce(reason, F.when(F.col("_hit"), LOADED)))
@@ -83,25 +85,6 @@ def fact_candidates(sales: DataFrame, customers: DataFrame, products: DataFrame,
     )
 
 
-def already_present(existing: DataFrame, new: DataFrame, key: tuple[str, ...]) -> DataFrame:
-    """Distinct keys of ``new`` that ``existing`` holds.
-
-    A semi join against the keys of the new rows: when those are few, AQE broadcasts them
-    and the large stored table is only scanned, in its key columns, and never shuffled.
-    """
-    wanted = new.select(*key).distinct()
-    return existing.select(*key).join(wanted, list(key), "left_semi").distinct()
-
-
-def loaded_sales(existing: DataFrame, sales: DataFrame, products: DataFrame) -> DataFrame:
-    """Order and product of those ``sales`` that ``existing`` holds under any version of their
-    product."""
-    versions = products.select("product_id", "product_key")
-    wanted = sales.select(*SALE_KEY).distinct().join(versions, "product_id")
-    found = already_present(existing, wanted, FACT_KEY)
-    return found.join(versions, "product_key").select(*SALE_KEY).distinct()
-
-
 def accepted(candidates: DataFrame) -> DataFrame:
     return candidates.where(F.col("reject_reason").isNull())
 
@@ -121,6 +104,29 @@ def reject_counts(candidates: DataFrame) -> DataFrame:
     )
 
 
+def fates(candidates: DataFrame) -> DataFrame:
+    """(staging_id, fate) of every sale that a load was offered."""
+    number = F.array_position(F.array(*map(F.lit, REASONS)), F.col("reject_reason"))
+    return candidates.select("staging_id", F.coalesce(number, F.lit(0)).cast("int").alias("fate"))
+
+
+def last_fates(stored: DataFrame) -> DataFrame:
+    """(staging_id, load_run, fate) of the last load that each sale was offered to. Both are one
+    number, so that map tasks can reduce them in place."""
+    size = len(REASONS) + 1
+    last = stored.groupBy("staging_id").agg(
+        F.max(F.col("load_run") * size + F.col("fate")).alias("_last"))
+    return last.select("staging_id", F.floor(F.col("_last") / size).alias("load_run"),
+                       (F.col("_last") % size).cast("int").alias("fate"))
+
+
+def settled(last: DataFrame, latest_run: int) -> DataFrame:
+    """Staging ids of the sales that are loaded, rejected for good, or held back by the latest
+    load. A sale held back by an earlier one and not offered since is lost."""
+    held = F.col("fate").between(1, len(RETRIED))
+    return last.where(~held | (F.col("load_run") == latest_run)).select("staging_id")
+
+
 def with_month(fact: DataFrame) -> DataFrame:
     """Add the partition column of the stored fact table."""
     return fact.withColumn("order_month", month_of_key(F.col("date_key")))

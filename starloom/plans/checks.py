@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.operators.dedup import KEY, latest_valid_sales
+from starloom.operators.facts import settled
 from starloom.plans.reports import MONEY, money, orders
 from starloom.schemas import Star
 
@@ -37,9 +38,9 @@ def _one(df: DataFrame, name: str, value: Column) -> DataFrame:
     )
 
 
-def balances(sales: DataFrame, star: Star, rejects: DataFrame) -> DataFrame:
-    """Violations of the two balances of staged sales: every row is valid, invalid or removed
-    as a duplicate, and every valid one is loaded or rejected. ``rejects`` holds staging ids."""
+def balances(sales: DataFrame, last_fates: DataFrame, latest_run: int) -> DataFrame:
+    """Violations of the two balances of staged sales: every row is valid, invalid or removed as
+    a duplicate; every valid one is loaded, rejected for good, or held back by the latest load."""
     valid = F.col("processed_flag") & F.col("error_message").isNull()
     keyless = F.col("order_id").isNull() | F.col("product_id").isNull()
     keyed = sales.where(~keyless).groupBy(*KEY).agg(
@@ -53,15 +54,21 @@ def balances(sales: DataFrame, star: Star, rejects: DataFrame) -> DataFrame:
                       - F.col("valid")).cast("int").alias("n")),
         survivors.select(F.lit(-1).alias("n")),
     ])
-    loaded = star.fact.select("order_id", "product_key").join(
-        star.product.select("product_key", "product_id"), "product_key").select(*KEY)
-    lost = survivors.join(loaded, list(KEY), "left_anti").join(
-        rejects.distinct(), "staging_id", "left_anti")
+    lost = survivors.select("staging_id").join(
+        settled(last_fates, latest_run), "staging_id", "left_anti")
     return _one(counted, "staged sales neither valid, invalid nor removed",
                 F.abs(total)).unionByName(
         _one(lost, "valid sales neither loaded nor rejected", F.count(F.lit(1))))
 
 
+def fact_balance(fact: DataFrame, fates: DataFrame) -> DataFrame:
+    """Difference between facts and sales taken, load by load."""
+    both = fact.select("load_run", F.lit(1).alias("n")).unionByName(
+        fates.where("fate = 0").select("load_run", F.lit(-1).alias("n")))
+    runs = both.groupBy("load_run").agg(F.sum("n").alias("n"))
+    return _one(runs, "facts differ from sales taken", F.sum(F.abs("n")))
+
+
 def invariants(star: Star, agg: DataFrame) -> DataFrame:
     """Violations per invariant; a sound warehouse has 0 in every row."""
     grain = (F.when(F.col("customer_key").isNotNull(), "customer")

@@ -2,12 +2,16 @@
 
 Folders below the root, all Parquet::
 
-    landing/<kind>/load-N     rows as read, with their position in the files
+    landing/<kind>/load-N     rows as read, with their position in the files; those of a stream
+                              in a folder for each batch
     staging/<kind>/load-N     numbered, cleaned, validated rows; quarantine included
-    dim_customer/run-N        snapshots of the versioned dimensions
-    dim_product/run-N
+    dim_customer/run-N        what a load changed of the versioned dimensions, and a manifest
+    dim_product/run-N         of their live parts
     fact_candidates/run-N     sales with resolved keys and reject reasons
+    sale_fates/load_run=N     what the run did with each of them, as a number
     fact_sales/load_run=N     facts added by a run, partitioned by order_month
+    fact_keys/load_run=N      order and product ids of those facts, by bucket of the order id
+    fact_filters/load_run=N   a Bloom filter over these keys
     agg_sales_daily/load_run=N  daily aggregates of the months a run computed, by order_month
     etl_metadata              the ledger
 
@@ -29,12 +33,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom import schemas as S
-from starloom.operators import dimensions, facts, quality
+from starloom.operators import dimensions, facts, loaded_keys, quality
 from starloom.operators.aggregates import daily_aggregates, with_agg_key
 from starloom.operators.dedup import KEY, latest_valid_sales
 from starloom.operators.numbering import number_stored, slice_rows, with_row_ids
-from starloom.plans import checks
-from starloom.sources import csv_files
+from starloom.plans import checks, dimension_store
+from starloom.sources import csv_files, quoted_csv
 from starloom.sources.calendar import date_dimension
 from starloom.sources.ledger import Ledger, pending_files
 from starloom.session import Scratch
@@ -64,7 +68,6 @@ SALES = Kind("sales", S.SALES_FILE, S.STAGING_SALES, quality.validate_sales)
 # Process names of the load steps.
 LOAD_CUSTOMERS, LOAD_PRODUCTS = "LOAD_DIM_CUSTOMERS", "LOAD_DIM_PRODUCTS"
 LOAD_FACTS, LOAD_AGGREGATES = "LOAD_FACT_SALES", "LOAD_AGG_SALES_DAILY"
-_JOIN = "\n"
 
 
 def together(spark: SparkSession, *steps: Callable[[], object]) -> None:
@@ -76,10 +79,12 @@ def together(spark: SparkSession, *steps: Callable[[], object]) -> None:
 
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str, rules: S.Rules = S.Rules(),
-                 multi_line: bool = False):
-        """``multi_line`` reads source files whose quoted texts hold line breaks."""
+                 multi_line: bool = False, dimension_buckets: int = dimension_store.BUCKETS):
+        """``multi_line`` reads source files whose quoted texts hold line breaks;
+        ``dimension_buckets`` are the parts of a new dimension that loads rewrite."""
         self.spark = spark
         self.multi_line = multi_line
+        self.dimension_buckets = dimension_buckets
         self.root = root.rstrip("/")
         self.rules = rules
         self.ledger = Ledger(spark, f"{self.root}/etl_metadata")
@@ -99,14 +104,14 @@ class Warehouse:
         paths = self._loads(kind) if loads is None else loads
         return self._read(paths, kind.staging_schema)
 
-    def _latest(self, process: str, schema: T.StructType) -> DataFrame | None:
-        outputs = self.ledger.outputs(process)
-        return self._read([outputs[-1][1]], schema) if outputs else None
+    def _parts(self, process: str) -> dimension_store.Parts | None:
+        folder = self.ledger.last_output(process)
+        return dimension_store.read_parts(self.spark, folder) if folder else None
 
     def dimension(self, dimension: dimensions.Dimension) -> DataFrame:
         process = LOAD_CUSTOMERS if dimension is dimensions.CUSTOMER else LOAD_PRODUCTS
-        found = self._latest(process, dimension.schema)
-        return found if found is not None else self._read([], dimension.schema)
+        parts = self._parts(process)
+        return dimension_store.read_versions(self.spark, parts.paths if parts else [], dimension)
 
     def dates(self) -> DataFrame:
         return date_dimension(self.spark, self.rules.start_date, self.rules.end_date)
@@ -127,9 +132,7 @@ class Warehouse:
         """Daily aggregates: of every month the folder written last. A run that replaces months
         becomes visible as a whole, with its ledger entry."""
         empty = facts.with_month(with_agg_key(daily_aggregates(self.fact([]))))
-        months = {folder.rsplit("=", 1)[1]: folder
-                  for _, output in self.ledger.outputs(LOAD_AGGREGATES)
-                  for folder in output.split(_JOIN) if folder}
+        months = self.ledger.published(LOAD_AGGREGATES)  # at most those of the calendar
         if not months:
             return empty.drop("order_month")
         fields = [*empty.schema.fields, T.StructField("load_run", T.LongType(), True)]
@@ -144,24 +147,25 @@ class Warehouse:
 
     def candidates(self) -> DataFrame | None:
         """Resolved sales of the last completed fact load, rejects included."""
-        outputs = self.ledger.outputs(LOAD_FACTS)
-        if not outputs:
-            return None
-        run = outputs[-1][1].rsplit("=", 1)[1]
-        return self.spark.read.parquet(f"{self.root}/fact_candidates/run-{run}")
+        run = self.ledger.last_id(LOAD_FACTS)
+        return self.spark.read.parquet(f"{self.root}/fact_candidates/run-{run}") if run else None
 
     # -- extract ---------------------------------------------------------------------
 
     def _run(self, process: str, sources: list[str | None],
-             work: Callable[[int], list[dict]]) -> list[dict]:
-        """Run ``work`` under ledger entries, one per source; it returns their results."""
+             work: Callable[[int], list[dict]], consumed: list[str] = (),
+             published: Callable[[], dict[str, str]] = dict) -> list[dict]:
+        """Run ``work`` under ledger entries, one per source; it returns their results.
+        ``consumed`` are the inputs it reads; ``published`` tells afterwards which parts it
+        replaces."""
         opened = self.ledger.open(process, sources)
         try:
             results = work(opened[0]["process_id"])
+            parts = published()
         except Exception as error:
             self.ledger.fail(opened, error)
             raise
-        self.ledger.close(opened, results)
+        self.ledger.close(opened, results, consumed, parts)
         return results
 
     def extract(self, kind: Kind, folder: str) -> int:
@@ -172,15 +176,24 @@ class Warehouse:
                       key=lambda row: row.file_name)
         if not todo:
             return 0
-        rows = csv_files.read_rows(self.spark, [row.path for row in todo], kind.file_schema,
-                                   self.multi_line)
-        return self.land(kind, rows, [row.file_name for row in todo])
+        paths, names = [row.path for row in todo], [row.file_name for row in todo]
 
-    def land(self, kind: Kind, rows: DataFrame, names: list[str]) -> int:
-        """Store located rows of the named files as one load."""
+        def read(step: Scratch) -> DataFrame:
+            if self.multi_line:
+                return quoted_csv.read_records(self.spark, paths, kind.file_schema, step)
+            return csv_files.read_rows(self.spark, paths, kind.file_schema)
+
+        return self.land(kind, read, names)
+
+    def land(self, kind: Kind, read: Callable[[Scratch], DataFrame], names: list[str]) -> int:
+        """Store located rows of the named files as one load. ``read`` gets a scratch folder that
+        is cleared once the rows are stored."""
         def work(process_id: int) -> list[dict]:
             path = f"{self.root}/landing/{kind.name}/load-{process_id}"
+            step = self.scratch.part("landing")
+            rows = read(step)
             rows.write.parquet(path)
+            step.clear()
             counts = self.spark.read.schema(rows.schema).parquet(path).groupBy(
                 csv_files.FILE).agg(F.count(F.lit(1)).alias("n"))
             found = {row.file_name: row.n for row in counts.collect()}
@@ -190,14 +203,36 @@ class Warehouse:
         results = self._run(kind.process("EXTRACT"), names, work)
         return sum(result["records_extracted"] for result in results)
 
+    def land_batch(self, kind: Kind, rows: DataFrame, name: str) -> int:
+        """Store located rows in the landing folder ``name``, in place of those of an earlier
+        attempt, and record the files that were not completed before. Returns their rows."""
+        process = kind.process("EXTRACT")
+        path = f"{self.root}/landing/{kind.name}/{name}"
+        rows.write.mode("overwrite").parquet(path)
+        landed = self.spark.read.schema(rows.schema).parquet(path)
+        counts = landed.groupBy(csv_files.FILE).agg(F.count(F.lit(1)).alias("n"))
+        # The files of a batch, for each of which the ledger gets a row.
+        new = pending_files(counts, self.ledger.state(), process).orderBy(csv_files.FILE).collect()
+        if not new:
+            return 0
+        results = [{"records_extracted": row.n, "output": path} for row in new]
+        self._run(process, [row.file_name for row in new], lambda _: results)
+        return sum(row.n for row in new)
+
     # -- transform -------------------------------------------------------------------
 
     def transform(self, kind: Kind, load_time: dt.datetime) -> None:
         """Number, clean and validate landed loads that are not staged yet."""
-        landed = {path for _, path in self.ledger.outputs(kind.process("EXTRACT"))}
-        done = {source for source, _ in self.ledger.outputs(kind.process("TRANSFORM"))}
-        for path in sorted(landed - done, key=lambda p: int(p.rsplit("-", 1)[1])):
-            rows = self.spark.read.parquet(path)
+        files = self.ledger.completed(kind.process("EXTRACT"))
+        landed = files.groupBy("output").agg(F.min("process_id").alias("first"))
+        done = self.ledger.completed(kind.process("TRANSFORM")).select(
+            F.col("source_file").alias("output"))
+        new = landed.join(done, "output", "left_anti").orderBy("first").collect()
+        for path in [row.output for row in new]:
+            # A landed file counts in the folder that the ledger names for it.
+            here = files.where(F.col("output") == path).select(
+                F.col("source_file").alias(csv_files.FILE))
+            rows = self.spark.read.parquet(path).join(here, csv_files.FILE, "left_semi")
             numbered = number_stored(rows.withColumn("_file", F.col(csv_files.FILE)),
                                      "staging_id", self.scratch, self._staged_rows(kind),
                                      ("_file", csv_files.SPLIT), csv_files.SPOT)
@@ -257,19 +292,17 @@ class Warehouse:
             rows = dimensions.customer_rows(staged, self.rules)
         else:
             rows = dimensions.product_rows(staged)
-        before = self._latest(process, dimension.schema)
+        before = self._parts(process)
 
         def work(process_id: int) -> list[dict]:
             path = f"{self.root}/dim_{dimension.natural[:-3]}/run-{process_id}"
             step = self.scratch.part("dimension")
-            merged = dimensions.scd2_merge(before, rows, dimension, as_of, step)
-            merged.write.parquet(path)
+            opened = dimension_store.merge(before, rows, dimension, as_of, path, step,
+                                           self.dimension_buckets)
             step.clear()
-            opened = self._read([path], dimension.schema).where(
-                F.col("valid_from") == F.lit(as_of)).count()
             return [{"records_loaded": opened, "output": path}]
 
-        self._run(process, [_JOIN.join(consumed)], work)
+        self._run(process, [None], work, consumed)
 
     def load_facts(self, loads: list[str] | None = None, first: dt.date | None = None) -> None:
         """Add facts. With ``loads``, read those staged loads and the sales held back by
@@ -284,23 +317,25 @@ class Warehouse:
                 {"processed_flag": F.lit(True), "error_message": F.lit(None).cast("string")}
             )
             sales = sales.unionByName(carried)
-        runs = [path for _, path in self.ledger.outputs(LOAD_FACTS)]
-        existing = self.fact(runs) if runs else None
+        runs = [run for run, _ in self._fact_runs()]
         offered = latest_valid_sales(sales)
 
         def load(process_id: int) -> list[dict]:
             step = self.scratch.part("facts")
             # Both the lookups and the search for loaded sales read the offered sales.
-            once = offered if existing is None else step.keep(offered, "offered")
+            once = step.keep(offered, "offered") if runs else offered
+            loaded = self.loaded_keys(once, runs, step) if runs else None
             candidates = facts.fact_candidates(
                 once, self.dimension(dimensions.CUSTOMER), self.dimension(dimensions.PRODUCT),
-                self.dates(), existing, first,
+                self.dates(), loaded, first,
             )
             resolved = f"{self.root}/fact_candidates/run-{process_id}"
             candidates.write.parquet(resolved)
             path = f"{self.root}/fact_sales/load_run={process_id}"
             last = self.ledger.total(LOAD_FACTS, "records_loaded")
-            rows = facts.accepted(self.spark.read.schema(candidates.schema).parquet(resolved))
+            stored = self.spark.read.schema(candidates.schema).parquet(resolved)
+            facts.fates(stored).write.parquet(f"{self.root}/sale_fates/load_run={process_id}")
+            rows = facts.accepted(stored)
             # Ranges of the whole order: a busy day is cut by order id, and keys depend on
             # the rows alone.
             numbered = with_row_ids(rows.select("staging_id", "product_id", *facts.MEASURES),
@@ -308,21 +343,48 @@ class Warehouse:
                                     step, last)
             fact = facts.with_month(numbered.select(*S.FACT_SALES.fieldNames()))
             fact.write.partitionBy("order_month").parquet(path)
-            loaded = rows.count()
+            count = rows.count()
+            keys = rows.select(*loaded_keys.SALE_KEY)
+            loaded_keys.write_keys(keys, f"{self.root}/fact_keys/load_run={process_id}")
+            loaded_keys.write_filter(keys, count,
+                                     f"{self.root}/fact_filters/load_run={process_id}")
             step.clear()
-            return [{"records_loaded": loaded, "output": path}]
-
-        self._run(LOAD_FACTS, [_JOIN.join(consumed)], load)
+            return [{"records_loaded": count, "output": path}]
+
+        self._run(LOAD_FACTS, [None], load, consumed)
+
+    def _fact_runs(self) -> list[tuple[int, str]]:
+        """(number, folder) of the completed fact loads, oldest first."""
+        return [(int(path.rsplit("=", 1)[1]), path)
+                for _, path in self.ledger.outputs(LOAD_FACTS)]
+
+    def loaded_keys(self, sales: DataFrame, runs: list[int], step: Scratch) -> DataFrame:
+        """Keys of those ``sales`` that the given fact loads hold. Of each load only the buckets
+        are read that its filter does not rule out."""
+        def stored(table: str, schema: str, of: list[int]) -> DataFrame:
+            base = f"{self.root}/{table}"
+            return self.spark.read.schema(schema).option("basePath", base).parquet(
+                *[f"{base}/load_run={run}" for run in of])
+
+        keys = step.keep(loaded_keys.keys_of(sales), "offered_keys")
+        filters = stored("fact_filters", loaded_keys.FILTER_SCHEMA, runs)
+        # Partition names only: a few dozen levels at most.
+        levels = [row.level for row in filters.select("level").distinct().collect()]
+        places = [(row.load_run, row.bucket) for row in loaded_keys.may_hold(
+            keys, filters, levels).collect()] if levels else []
+        if not places:
+            return keys.limit(0)
+        chosen = stored("fact_keys", loaded_keys.KEYS_SCHEMA, sorted({run for run, _ in places}))
+        return loaded_keys.found(chosen.where(loaded_keys.selected(places)), keys)
 
     def load_aggregates(self, rebuild: bool = True) -> None:
         """Write the daily aggregates: all of them, or the months with facts that the
         stored table does not cover yet."""
-        outputs = self.ledger.outputs(LOAD_AGGREGATES)
-        runs = [path for _, path in self.ledger.outputs(LOAD_FACTS)]
-        covered = {run for source, _ in outputs for run in source.split(_JOIN)}
-        fresh = [run for run in runs if run not in covered]
-        rebuild = rebuild or not outputs
+        runs = [path for _, path in self._fact_runs()]
+        fresh = self._not_consumed(self.ledger.completed(LOAD_FACTS), LOAD_AGGREGATES)
+        rebuild = rebuild or not self.ledger.last_id(LOAD_AGGREGATES)
         fact = self.fact(runs)
+        months: dict[str, str] = {}
         if not rebuild:
             if not fresh:
                 return
@@ -339,11 +401,11 @@ class Warehouse:
              .write.partitionBy("order_month").parquet(path))
             written = self.spark.read.schema(daily.schema).parquet(path)
             # Bounded by the months of the calendar.
-            months = sorted(row.order_month for row in
-                            written.select("order_month").distinct().collect())
-            return [{"output": _JOIN.join(f"{path}/order_month={month}" for month in months)}]
+            for row in written.select("order_month").distinct().collect():
+                months[str(row.order_month)] = f"{path}/order_month={row.order_month}"
+            return [{"output": path}]
 
-        self._run(LOAD_AGGREGATES, [_JOIN.join(fresh)], work)
+        self._run(LOAD_AGGREGATES, [None], work, fresh, lambda: months)
 
     # -- runs ------------------------------------------------------------------------
 
@@ -406,29 +468,34 @@ class Warehouse:
     def _dimensions_ahead(self) -> bool:
         """Whether a dimension load has completed since facts were loaded, as after a run that
         died in between: it may release sales held back."""
-        last = {process: max((i for i, _ in self.ledger.outputs(process)), default=0)
-                for process in (LOAD_CUSTOMERS, LOAD_PRODUCTS, LOAD_FACTS)}
-        return max(last[LOAD_CUSTOMERS], last[LOAD_PRODUCTS]) > last[LOAD_FACTS]
+        return max(map(self.ledger.last_id, (LOAD_CUSTOMERS, LOAD_PRODUCTS))
+                   ) > self.ledger.last_id(LOAD_FACTS)
 
     def _unused(self, kind: Kind, process: str) -> list[str]:
         """Staged loads that no completed load process has read."""
-        used = {load for source, _ in self.ledger.outputs(process)
-                for load in source.split(_JOIN)}
-        return [load for load in self._loads(kind) if load not in used]
+        return self._not_consumed(self.ledger.completed(kind.process("TRANSFORM")), process)
+
+    def _not_consumed(self, made: DataFrame, process: str) -> list[str]:
+        """Outputs of completed processes that no completed ``process`` has read, in order."""
+        read = self.ledger.consumed(process).select(F.col("source_file").alias("output"))
+        new = made.select("process_id", "output").join(read, "output", "left_anti")
+        return [row.output for row in new.orderBy("process_id").collect()]
 
     def validate(self) -> DataFrame:
         return checks.validation(self.star())
 
-    def rejects(self) -> DataFrame:
-        """Staging ids of the sales that any completed fact load rejected or held back."""
-        runs = [path.rsplit("=", 1)[1] for _, path in self.ledger.outputs(LOAD_FACTS)]
-        schema = T.StructType([T.StructField("staging_id", T.LongType()),
-                               T.StructField("reject_reason", T.StringType())])
-        found = self._read([f"{self.root}/fact_candidates/run-{run}" for run in runs], schema)
-        return facts.rejected(found).select("staging_id")
+    def fates(self) -> DataFrame:
+        """(staging_id, fate, load_run) of every sale that a completed fact load was offered."""
+        base = f"{self.root}/sale_fates"
+        runs = [f"{base}/load_run={run}" for run, _ in self._fact_runs()]
+        if not runs:
+            return self.spark.createDataFrame([], facts.FATE_SCHEMA)
+        return self.spark.read.schema(facts.FATE_SCHEMA).option("basePath", base).parquet(*runs)
 
     def invariants(self) -> DataFrame:
         star = self.star()
         sales = self.staged(SALES).select("staging_id", *KEY, *facts.STATUS)
+        fates = self.fates()
         return checks.invariants(star, self.aggregates()).unionByName(
-            checks.balances(sales, star, self.rejects()))
+            checks.balances(sales, facts.last_fates(fates), self.ledger.last_id(LOAD_FACTS))
+        ).unionByName(checks.fact_balance(star.fact, fates))

@@ -68,7 +68,8 @@ def test_values_are_clipped_to_their_columns(spark):
 
 
 def test_stored_keys_are_marked(spark):
-    stored = spark.createDataFrame([("O1", 1), ("O2", 2)], "order_id string, product_key long")
+    stored = spark.createDataFrame([("O1", "P1"), ("O2", "P2")],
+                                   "order_id string, product_id string")
     got = {r.order_id: r.reject_reason for r in
            candidates(spark, [sale(1), sale(2), sale(3)], stored).collect()}
     assert got == {"O1": facts.LOADED, "O2": None, "O3": None}
