@@ -447,6 +447,14 @@ group by 1, 2""",
         "product_key", "product_id", _PRODUCT_ATTRIBUTES,
         "product_name, category, subcategory, supplier, cost_price, msrp"),
     "fact_sales": f"select {FACT_COLUMNS} from fact",
+    "full_run": f"select {FACT_COLUMNS} from fact",
+    "stream_run": f"select {FACT_COLUMNS} from fact",
+    "published_views": f"""
+select country, city, {BUYERS} as customer_count, {ORDERS} as order_count,
+       {money('total_amount')} as total_sales, {BUYERS} as customers,
+       {money('total_amount')} as lifetime_value
+from fact join dim_customer using (customer_key)
+where is_current and country is not null and city is not null group by country, city""",
     "fact_rejects": """
 select staging_id, order_id, customer_id, product_id, order_date, reject_reason
 from resolved where reject_reason is not null""",

@@ -285,6 +285,31 @@ def fact_reload_after_version(s):
     return _loaded_by(s, both)
 
 
+@query
+def full_run(s):
+    """Facts of a full run from source files."""
+    return s.full_run.fact().select(*S.FACT_SALES.fieldNames())
+
+
+@query
+def stream_run(s):
+    """Facts of file streams over the same source files."""
+    return s.stream_run.fact().select(*S.FACT_SALES.fieldNames())
+
+
+@query
+def published_views(s):
+    """Customers and places, asked in SQL of the published views."""
+    views.register_views(s.spark, s.star, s.as_of, s.scratch)
+    return s.spark.sql("""
+        SELECT g.country, g.city, g.customer_count, g.order_count, g.total_sales,
+               count(*) AS customers,
+               CAST(sum(c.lifetime_value) AS DECIMAL(22, 2)) AS lifetime_value
+        FROM geographic_analysis g JOIN customer_analysis c
+          ON c.country = g.country AND c.city = g.city
+        GROUP BY g.country, g.city, g.customer_count, g.order_count, g.total_sales""")
+
+
 @query
 def agg_sales_daily(s):
     return s.aggregates

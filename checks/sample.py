@@ -18,7 +18,9 @@ from starloom import schemas as S
 from starloom.operators.dimensions import CUSTOMER, PRODUCT
 from starloom.plans import pipeline as P
 from starloom.session import Scratch, tune
+from starloom.sources import csv_files
 from starloom.sources import retail_tables as R
+from starloom.streaming import filestream
 
 SECOND_DAY = R.AS_OF + dt.timedelta(days=1)
 
@@ -109,10 +111,59 @@ class Sample:
     def star(self) -> S.Star:
         return S.Star(self.fact, self.customer, self.product, self.warehouse.dates())
 
+    @cached_property
+    def source_files(self) -> str:
+        """All raw rows as source files, in the order in which they were staged."""
+        folder = self.scratch.path("incoming")
+        files = self.spark._jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(
+            self.spark._jsc.hadoopConfiguration())
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        files.mkdirs(path(folder))
+        for kind, raw in ((P.CUSTOMERS, self.raw_customers), (P.PRODUCTS, self.raw_products),
+                          (P.SALES, self.raw_sales)):
+            written = self.scratch.path(kind.name)
+            csv_files.write_rows(raw.orderBy("staging_id").select(
+                *kind.file_schema.fieldNames()), written)
+            parts = sorted(status.getPath().getName() for status in files.listStatus(path(written))
+                           if status.getPath().getName().endswith(".csv"))
+            for i, part in enumerate(parts):
+                files.rename(path(f"{written}/{part}"), path(f"{folder}/{kind.name}_{i:05d}.csv"))
+        return folder
+
+    @cached_property
+    def full_run(self) -> P.Warehouse:
+        """A warehouse of its own, loaded from the source files by a full run."""
+        warehouse = P.Warehouse(self.spark, f"{self.scratch.root}/full_run", self.rules)
+        warehouse.run_full(self.source_files, self.as_of, R.LOAD_TIME)
+        return warehouse
+
+    @cached_property
+    def stream_run(self) -> P.Warehouse:
+        """A warehouse of its own, loaded from the source files by file streams."""
+        warehouse = P.Warehouse(self.spark, f"{self.scratch.root}/stream_run", self.rules)
+        filestream.run_available(warehouse, self.source_files,
+                                 f"{self.scratch.root}/stream_marks", self.as_of)
+        return warehouse
+
+    @cached_property
+    def sales_again(self) -> str:
+        """All sales staged a second time, numbered behind the first: the folder of that load."""
+        again = P.Warehouse(self.spark, f"{self.scratch.root}/again", self.rules)
+        again.adopt_staged(P.SALES, self._staged_path(P.SALES))
+        again.stage_rows(P.SALES, self.raw_sales, [F.col("staging_id")], lambda sliced: sliced,
+                         "sales_again.csv", R.LOAD_TIME)
+        return again.ledger.last_output(P.SALES.process("TRANSFORM"))
+
+    def _staged_path(self, kind: P.Kind) -> str:
+        _ = {P.SALES: lambda: self.sales, P.CUSTOMERS: lambda: self.customers,
+             P.PRODUCTS: lambda: self.products}[kind]()
+        return self.warehouse.ledger.last_output(kind.process("TRANSFORM"))
+
     def offered_twice(self, name: str, first: dict[P.Kind, Column], second: dict[P.Kind, DataFrame]
                       ) -> P.Warehouse:
         """A warehouse of its own, loaded twice by the steps of the pipeline. The first load
-        takes the rows that meet a condition, the second the given rows and all sales again."""
+        takes the rows that meet a condition, the second the given rows and all sales again.
+        Whole loads are staged once and shared."""
         if name not in self._twice:
             warehouse = P.Warehouse(self.spark, f"{self.scratch.root}/{name}", self.rules)
             raw = {P.CUSTOMERS: self.raw_customers, P.PRODUCTS: self.raw_products,
@@ -123,16 +174,16 @@ class Sample:
                                      f"{kind.name}_{load}.csv", R.LOAD_TIME)
 
             P.together(self.spark, *[
-                partial(stage, kind, rows.where(first.get(kind, F.lit(True))), "1")
+                partial(stage, kind, rows.where(first[kind]), "1") if kind in first
+                else partial(warehouse.adopt_staged, kind, self._staged_path(kind))
                 for kind, rows in raw.items()
             ])
             P.together(self.spark, lambda: warehouse.load_dimension(CUSTOMER, self.as_of),
                        lambda: warehouse.load_dimension(PRODUCT, self.as_of))
             warehouse.load_facts()
-            P.together(self.spark, *[
-                partial(stage, kind, rows, "2")
-                for kind, rows in {**second, P.SALES: raw[P.SALES]}.items()
-            ])
+            P.together(self.spark, *[partial(stage, kind, rows, "2")
+                                     for kind, rows in second.items()],
+                       partial(warehouse.adopt_staged, P.SALES, self.sales_again))
             warehouse.load_new(SECOND_DAY)
             self._twice[name] = warehouse
         return self._twice[name]
