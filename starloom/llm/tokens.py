@@ -11,22 +11,32 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from starloom.llm.common import text_groups
 
 #: A blank or line end before other white space or the end: the tokenizer may join them.
 _LOOSE = re.compile(r"[ \n](?=\s|$)")
 _LONGEST_PART = 64
+#: Marks the first part of a text among the parts of many; texts that hold it are taken whole.
+_FIRST = "\x01"
+#: Bytes of text that are cut into parts together.
+GROUP = 1 << 20
 
 _ENCODERS: dict[tuple[str, int], "PartEncoder"] = {}
 
 
-def byte_letters() -> dict[int, str]:
-    """Code points below 256 to the letters by which byte-level models write their UTF-8:
-    printable bytes stand for themselves, the others follow from code point 256 on."""
+def byte_table() -> list[str]:
+    """Bytes to the letters by which byte-level models write them: printable bytes stand for
+    themselves, the others follow from code point 256 on."""
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
     other = iter(range(256, 512))
-    letter = {b: chr(b) if b in plain else chr(next(other)) for b in range(256)}
+    return [chr(b) if b in plain else chr(next(other)) for b in range(256)]
+
+
+def byte_letters() -> dict[int, str]:
+    """Code points below 256 to the letters for their UTF-8."""
+    letter = byte_table()
     return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(256)}
 
 
@@ -38,6 +48,9 @@ class PartEncoder(dict):
     blank or line end; a text with one before white space or at its end is taken whole. So is
     a text that holds an added token: the library seeks those before it splits a text.
 
+    Many texts are cut together, in Arrow: each distinct part is looked up once, and the ids are
+    laid out in the order of the texts.
+
     The dictionary maps parts to their ids as little-endian unsigned 32-bit integers and fills
     itself. When it holds ``held`` parts it becomes the old one, from which parts that come
     again move to the next, so at most twice as many are remembered per Python worker, and
@@ -47,7 +60,7 @@ class PartEncoder(dict):
     splitting would hand to its model as one or two pieces, so the model is asked directly.
     """
 
-    def __init__(self, path: str, held: int = 500_000):
+    def __init__(self, path: str, held: int = 1_000_000):
         from tokenizers import Tokenizer
 
         super().__init__()
@@ -58,7 +71,8 @@ class PartEncoder(dict):
                                  != self.tokenizer.encode("a  b", add_special_tokens=False).ids)
         self.ask = self.tokenizer.model.tokenize
         self.letters = byte_letters()
-        self.held, self.old = held, {}
+        self.of_bytes = byte_table()
+        self.held, self.old, self.fixed = held, {}, {}
         vocabulary = np.arange(self.tokenizer.get_vocab_size(), dtype="<u4")
         self.packed = [x.tobytes() for x in vocabulary]
 
@@ -78,7 +92,9 @@ class PartEncoder(dict):
         word = part.decode()
         if not word.isalpha() or max(word) > "\xff":
             return None
-        return (word if self.keeps_spaces else word.lower()).translate(self.letters)
+        if not self.keeps_spaces:
+            part = word.lower().encode()
+        return "".join(map(self.of_bytes.__getitem__, part))
 
     @staticmethod
     def _ends_in_letter(part: bytes) -> bool:
@@ -102,9 +118,18 @@ class PartEncoder(dict):
         stem = part.rstrip(b".,")
         tail = part[len(stem):]
         if tail and stem and self._ends_in_letter(stem):
-            return self[stem] + self._piece(tail.decode())
+            return self[stem] + self._fixed(tail.decode())
         return self._ids(part)
 
+    def _fixed(self, piece: str) -> bytes:
+        """The same as ``_piece`` for the few pieces that come again and again."""
+        ids = self.fixed.get(piece)
+        if ids is None:
+            ids = self._piece(piece)
+            if len(piece) <= 2:
+                self.fixed[piece] = ids
+        return ids
+
     def _ids(self, part: bytes) -> bytes:
         start, bare = "", part
         if self.keeps_spaces:
@@ -117,30 +142,71 @@ class PartEncoder(dict):
             return self._whole(start + bare.decode())
         if start == " ":
             return self._piece(self.letters[32] + word)
-        return (self._piece(self.letters[10]) if start else b"") + self._piece(word)
+        return (self._fixed(self.letters[10]) if start else b"") + self._piece(word)
 
-    def _parts(self, text: str) -> list[bytes] | None:
-        if any(token in text for token in self.added):
-            return None
+    def _is_loose(self, text: str) -> bool:
+        """Whether a text has to be taken whole."""
+        if _FIRST in text or any(token in text for token in self.added):
+            return True
         if not self.keeps_spaces:
-            return text.encode().split()
-        if _LOOSE.search(text):
-            return None
-        first, *rest = text.encode().replace(b"\n", b" \n").split(b" ")
-        return [b" " + first, *rest] if first else rest
-
-    def encode(self, text: str | None) -> bytes:
-        """Ids of a text as little-endian unsigned 32-bit integers; null: none."""
-        if not text:
-            return b""
+            return False
+        flat = text.replace("\n", " ")
+        # Printable text has no white space but blanks; the search tells for the others.
+        return ("  " in flat or flat.endswith(" ") or not flat.isprintable()) and bool(
+            _LOOSE.search(text))
+
+    def _distinct_ids(self, parts: pa.Array) -> pa.Array:
+        """Ids of distinct parts, in their order."""
+        stored = parts.cast(pa.large_binary())
+        ends = np.frombuffer(stored.buffers()[1], "<i8")[:len(stored) + 1].tolist()
+        data = bytes(stored.buffers()[2] or b"")
+        known = [data[i:j] for i, j in zip(ends, ends[1:])]
+        if self.keeps_spaces:  # a part that begins a text stands behind a blank too many
+            known = [part if part[:1] != b"\x01" else b" " + part[1:] if len(part) > 1 else b""
+                     for part in known]
+        ids = list(map(self.get, known))
+        old, blank = self.old.get, self.letters[32] if self.keeps_spaces else ""
+        ask, packed = self.ask, self.packed
+        for i, found in enumerate(ids):
+            if found is not None:
+                continue
+            part = known[i]
+            found = old(part)
+            if found is None:
+                if part.isalpha():  # ASCII letters only: one piece of the model
+                    word = part.decode() if blank else part.lower().decode()
+                    found = b"".join([packed[x.id] for x in ask(blank + word)])
+                else:
+                    found = self._new(part) if part else b""
+            if len(part) <= _LONGEST_PART:
+                self[part] = found
+            ids[i] = found
+        return pa.array(ids, pa.large_binary())
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers; null: none."""
         if len(self) > self.held:
             self.old = dict(self)
             self.clear()
-        parts = self._parts(text)
-        return self._whole(text) if parts is None else b"".join(map(self.__getitem__, parts))
+        loose = {i for i, text in enumerate(texts) if text and self._is_loose(text)}
+        cut = ["" if i in loose else text or "" for i, text in enumerate(texts)]
+        if self.keeps_spaces:
+            marked = pa.array([_FIRST + text for text in cut], pa.large_string())
+            parts = pc.split_pattern(pc.replace_substring(marked, "\n", " \n"), " ")
+        else:
+            parts = pc.ascii_split_whitespace(pa.array(cut, pa.large_string()))
+        words = parts.values.dictionary_encode()
+        ids = self._distinct_ids(words.dictionary).take(words.indices)
+        ends = np.frombuffer(ids.buffers()[1], "<i8")[:len(ids) + 1][parts.offsets.to_numpy()]
+        data = memoryview(ids.buffers()[2] or b"")
+        return [self._whole(texts[i]) if i in loose else bytes(data[start:end])
+                for i, (start, end) in enumerate(zip(ends.tolist(), ends[1:].tolist()))]
+
+    def encode(self, text: str | None) -> bytes:
+        return self.encode_all([text])[0]
 
 
-def encoder(path: str, held: int = 500_000) -> PartEncoder:
+def encoder(path: str, held: int = 1_000_000) -> PartEncoder:
     """The worker's encoder for a file; it lives as long as the Python worker."""
     if (path, held) not in _ENCODERS:
         _ENCODERS[path, held] = PartEncoder(path, held)
@@ -150,9 +216,9 @@ def encoder(path: str, held: int = 500_000) -> PartEncoder:
 def encoded_documents(batches, path: str):
     """(doc_id, ids as bytes) of record batches with the columns doc_id and text."""
     found = encoder(path)
-    for batch in text_groups(batches):
-        texts = batch.column("text").to_pylist()
-        yield from zip(batch.column("doc_id").to_pylist(), map(found.encode, texts))
+    for batch in text_groups(batches, limit=GROUP):
+        ids = found.encode_all(batch.column("text").to_pylist())
+        yield from zip(batch.column("doc_id").to_pylist(), ids)
 
 
 def batched(rows, schema: pa.Schema, size: int = 4096):
