@@ -49,6 +49,28 @@ def components(links: DataFrame, store: Scratch) -> DataFrame:
         if tuple(row) == mark:
             break
         mark = tuple(row)
+    return _stars_of(held)
+
+
+def with_links(found: DataFrame, links: DataFrame, store: Scratch) -> DataFrame:
+    """(node, component) after more ``links`` (x, y) are added to the components ``found``. Only
+    the new links are contracted, between the components that they join."""
+    known = store.keep(links.select("x", "y"), "new_links")
+    ends = known.select(F.explode(F.array("x", "y")).alias("node")).distinct()
+    fresh = ends.join(found, "node", "left_anti").withColumn("component", F.col("node"))
+    nodes = store.keep(found.unionByName(fresh), "nodes")
+    of_x = nodes.select(F.col("node").alias("x"), F.col("component").alias("_x"))
+    of_y = nodes.select(F.col("node").alias("y"), F.col("component").alias("_y"))
+    between = known.join(of_x, "x").join(of_y, "y").select(
+        F.col("_x").alias("x"), F.col("_y").alias("y"))
+    joined = store.keep(components(between, store).select(
+        F.col("node").alias("component"), F.col("component").alias("_of")), "joined")
+    return nodes.join(joined, "component", "left").select(
+        "node", F.coalesce("_of", "component").alias("component"))
+
+
+def _stars_of(held: DataFrame) -> DataFrame:
+    """The star of each component as (node, component) rows."""
     nodes = held.select(F.col("a").alias("node"), F.col("b").alias("component"))
     roots = held.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return nodes.unionByName(roots)

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.common import mixed, scratch, text_groups
-from starloom.llm.components import components
+from starloom.llm.components import components, with_links
 from starloom.session import Scratch
 
 WORDS = 5
@@ -258,23 +258,22 @@ def class_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT
         some = store.keep(texts_of(nodes), f"{name}_texts")
         return store.keep(confirmed(found, some, words, percent), f"{name}_links")
 
-    def labelled(links: DataFrame) -> tuple[DataFrame, DataFrame]:
-        found = store.keep(components(links, store), "components")
+    def labelled(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+        found = store.keep(found, "components")
         marked = listed.join(found, listed["id"] == found["node"], "left").select(
             "value", "id", "size", F.coalesce("component", "id").alias("component"))
         return found, marked
 
     links = test(_stars(listed.withColumn("component", F.col("id")), percent, None), "first")
-    found, marked = labelled(links)
+    found, marked = labelled(components(links, store))
     marked = store.keep(_undecided(marked.withColumn("large", F.lit(False))), "undecided")
-    links = links.unionByName(test(_stars(marked, percent, "drawn"), "drawn"))
-    found, marked = labelled(links)
+    links = test(_stars(marked, percent, "drawn"), "drawn")
+    found, marked = labelled(with_links(found, links, store))
     sizes = found.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
     marked = store.keep(_undecided(_with_large(marked, sizes)), "undecided")
     pairs = _small_pairs(marked, percent).unionByName(
         _large_pairs(marked, found, classes, texts_of, words, percent, k, store))
-    links = links.unionByName(test(pairs, "last"))
-    found, _ = labelled(links)
+    found = store.keep(with_links(found, test(pairs, "last"), store), "components")
     members = made.join(ids, "set_key", "left").select("doc_id", "text_hash", "size", "id",
                                                        "label")
     named = found.select(F.col("node").alias("id"), F.col("component").alias("_of")).join(
@@ -337,28 +336,31 @@ def _small_pairs(marked: DataFrame, percent: int) -> DataFrame:
 def _shared_sketches(units: DataFrame, members: DataFrame, classes: DataFrame, percent: int,
                      k: int, store: Scratch) -> tuple[DataFrame, DataFrame]:
     """The ``units`` whose sketch the group's other sketches hold as far as a link needs, and
-    the ``members`` whose sketch those units' sketches hold so far."""
-    sketch = classes.select("id", F.explode("sketch").alias("value"))
-    of_units = store.keep(units.select("id", "size", "target").join(sketch, "id"),
-                          "unit_sketches")
-    of_members = store.keep(members.select("id", "size", "target").join(sketch, "id"),
-                            "member_sketches")
+    the ``members`` whose sketch those units' sketches hold so far.
+
+    Rows are numbered, and a hash stands for target and value together, so that two numbers
+    travel for each value of a sketch. Equal hashes by chance only leave more to compare."""
+    numbered = store.keep(
+        units.select("id", "size", "component", "target", F.lit(True).alias("unit")).unionByName(
+            members.select("id", "size", "component", "target", F.lit(False).alias("unit"))
+        ).withColumn("n", F.monotonically_increasing_id()), "numbered")
+    keys = numbered.select("n", "id", "target", "unit").join(
+        classes.select("id", "sketch"), "id").select("n", "unit", F.explode(F.transform(
+            "sketch", lambda value: F.xxhash64("target", value))).alias("key"))
+    keys = store.keep(keys, "sketch_keys")
+    of_units = keys.where("unit").select("n", "key")
 
     def covered(rows: DataFrame, by: DataFrame) -> DataFrame:
-        counts = rows.join(by, ["target", "value"]).groupBy("id", "target", "size").agg(
-            F.count(F.lit(1)).alias("n"))
-        return counts.where(F.col("n") >= needed(k, percent)).select("id", "target")
+        counts = rows.join(by, "key").groupBy("n").agg(F.count(F.lit(1)).alias("_shared"))
+        return numbered.join(counts, "n").where(F.col("_shared") >= needed(k, percent)).select(
+            "n", "id", "size", "component", "target")
 
     # A value counts if the group has it twice: from the class itself and from another.
-    twice = of_units.select("target", "value").unionByName(
-        of_members.select("target", "value")).groupBy("target", "value").agg(
-        F.count(F.lit(1)).alias("n")).where("n > 1").select("target", "value")
+    twice = keys.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("key")
     near = store.keep(covered(of_units, twice), "near_units")
-    theirs = of_units.join(near, ["id", "target"], "left_semi").select(
-        "target", "value").distinct()
-    close = store.keep(covered(of_members, theirs), "near_members")
-    return (store.keep(units.join(near, ["id", "target"], "left_semi"), "units_left"),
-            store.keep(members.join(close, ["id", "target"], "left_semi"), "members_left"))
+    theirs = of_units.join(near.select("n"), "n", "left_semi").select("key").distinct()
+    close = store.keep(covered(keys.where("NOT unit").select("n", "key"), theirs), "near_members")
+    return near.drop("n"), close.drop("n")
 
 
 def _large_pairs(marked: DataFrame, found: DataFrame, classes: DataFrame, texts_of,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from starloom.llm import near_dedup, neighbours, queries
 from starloom.llm.common import scratch
-from starloom.llm.components import components
+from starloom.llm.components import components, with_links
 
 
 def brute_nearest(rows, k, asked):
@@ -195,6 +195,18 @@ def test_components_of_a_long_chain_and_a_star(llm):
     assert components(frame.limit(0), scratch(llm)).count() == 0
 
 
+def test_links_added_to_components(llm):
+    first = llm.createDataFrame([(1, 2), (2, 3), (10, 11), (20, 21)], "x long, y long")
+    more = llm.createDataFrame([(3, 10), (30, 31), (11, 2), (31, 32), (40, 40)], "x long, y long")
+    store = scratch(llm)
+    found = with_links(store.keep(components(first, store), "first"), more, store)
+    groups = {}
+    for r in found.collect():
+        groups.setdefault(r.component, set()).add(r.node)
+    assert sorted(map(sorted, groups.values())) == [[1, 2, 3, 10, 11], [20, 21], [30, 31, 32], [40]]
+    assert with_links(found, more.limit(0), store).count() == found.count()
+
+
 def test_pipeline_stages(llm, tables):
     """Each stage on what the one before kept, against what its operator promises."""
     docs = llm.read.parquet(f"{tables}/documents.parquet")
