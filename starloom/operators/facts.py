@@ -12,11 +12,15 @@ from starloom.functions.columns import fit, month_of_key, sale_margin
 from starloom.operators.loaded_keys import SALE_KEY
 from starloom.schemas import AMOUNT, FACT_SALES
 
-# Order of the running key of facts; it tells all rows of a load apart.
-LOAD_ORDER = ("date_key", "order_id", "product_id", "staging_id")
+# Order of the running key of facts; it tells all rows of a load apart, as a load takes one
+# sale of an order and product.
+LOAD_ORDER = ("date_key", "order_id", "product_id")
 SALE_COLUMNS = ("staging_id", "order_id", "order_date", "customer_id", "product_id",
                 "quantity", "unit_price", "total_amount")
 STATUS = ("processed_flag", "error_message")
+# What facts are made of, sorted and numbered.
+FACT_PARTS = ("date_key", "order_date", "order_id", "product_id", "customer_key", "product_key",
+              "quantity", "unit_price", "total_amount", "cost_price")
 MEASURES = [name for name in FACT_SALES.fieldNames() if name != "sales_key"]
 
 NO_PRODUCT = "Unknown product"
@@ -35,10 +39,18 @@ FATE_SCHEMA = "staging_id long, fate int, load_run long"
 def fact_candidates(sales: DataFrame, customers: DataFrame, products: DataFrame,
                     dates: DataFrame, loaded: DataFrame | None = None,
                     first: dt.date | None = None) -> DataFrame:
+    """Resolved sales with their measures: one row per sale with fact columns, the staged columns,
+    and ``reject_reason`` (NULL for rows to insert)."""
+    return with_measures(resolve(sales, customers, products, dates, loaded, first))
+
+
+def resolve(sales: DataFrame, customers: DataFrame, products: DataFrame, dates: DataFrame,
+            loaded: DataFrame | None = None, first: dt.date | None = None) -> DataFrame:
     """Resolve valid sales against the current dimension versions.
 
-    Returns one row per sale with fact columns, the staged columns, and ``reject_reason``
-    (NULL for rows to insert). Lookup sides are narrow and hold one row per key. They are
+    Returns one row per sale with the staged columns, keys, ``cost_price`` and
+    ``reject_reason``, all that :func:`with_measures` needs: rows travel and are stored without
+    what follows from them. Lookup sides are narrow and hold one row per key. They are
     left joins with the sales on the left, so AQE may broadcast a small dimension and can
     split a hot customer or product over tasks when the dimension is large. The cost comes
     with the product lookup: the current version carries the newest valid staged price.
@@ -48,20 +60,12 @@ def fact_candidates(sales: DataFrame, customers: DataFrame, products: DataFrame,
     product = products.where("is_current").select("product_id", "product_key", "cost_price")
     customer = customers.where("is_current").select("customer_id", "customer_key")
     calendar = F.broadcast(dates.select(F.col("full_date").alias("order_date"), "date_key"))
-    found = (
+    resolved = (
         sales.select(*SALE_COLUMNS)
         .join(product, "product_id", "left")
         .join(customer, "customer_id", "left")
         .join(calendar, "order_date", "left")
     )
-    cost = F.col("quantity") * F.col("cost_price")
-    profit = F.col("total_amount") - cost
-    resolved = found.withColumns({
-        "cost_amount": fit(cost, AMOUNT),
-        "profit_amount": fit(profit, AMOUNT),
-        "profit_margin": sale_margin(profit, F.col("total_amount")),
-        "order_timestamp": F.col("order_date").cast("timestamp"),
-    }).drop("cost_price")
     missing = reduce(lambda a, b: a | b, [
         F.col(name).isNull() for name in ("order_id", "quantity", "unit_price", "total_amount")
     ])
@@ -85,6 +89,18 @@ def fact_candidates(sales: DataFrame, customers: DataFrame, products: DataFrame,
     )
 
 
+def with_measures(resolved: DataFrame) -> DataFrame:
+    """Add the measures of resolved sales, in place of the cost price."""
+    cost = F.col("quantity") * F.col("cost_price")
+    profit = F.col("total_amount") - cost
+    return resolved.withColumns({
+        "cost_amount": fit(cost, AMOUNT),
+        "profit_amount": fit(profit, AMOUNT),
+        "profit_margin": sale_margin(profit, F.col("total_amount")),
+        "order_timestamp": F.col("order_date").cast("timestamp"),
+    }).drop("cost_price")
+
+
 def accepted(candidates: DataFrame) -> DataFrame:
     return candidates.where(F.col("reject_reason").isNull())
 

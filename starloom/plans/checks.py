@@ -11,6 +11,7 @@ from starloom.operators.dedup import KEY, latest_valid_sales
 from starloom.operators.facts import settled
 from starloom.plans.reports import MONEY, money, orders
 from starloom.schemas import Star
+from starloom.session import Scratch
 
 
 def validation(star: Star) -> DataFrame:
@@ -38,7 +39,8 @@ def _one(df: DataFrame, name: str, value: Column) -> DataFrame:
     )
 
 
-def balances(sales: DataFrame, last_fates: DataFrame, latest_run: int) -> DataFrame:
+def balances(sales: DataFrame, last_fates: DataFrame, latest_run: int,
+             scratch: Scratch | None = None) -> DataFrame:
     """Violations of the two balances of staged sales: every row is valid, invalid or removed as
     a duplicate; every valid one is loaded, rejected for good, or held back by the latest load."""
     valid = F.col("processed_flag") & F.col("error_message").isNull()
@@ -46,7 +48,7 @@ def balances(sales: DataFrame, last_fates: DataFrame, latest_run: int) -> DataFr
     keyed = sales.where(~keyless).groupBy(*KEY).agg(
         F.count_if(valid).alias("valid"), F.max(F.when(valid, F.col("staging_id"))).alias("good"),
         F.max("staging_id").alias("last"))
-    survivors = latest_valid_sales(sales)
+    survivors = latest_valid_sales(sales, scratch)
     total = F.sum("n")
     counted = reduce(DataFrame.unionByName, [
         sales.select(F.when(valid, 1).otherwise(0).alias("n")),

@@ -7,7 +7,7 @@ Folders below the root, all Parquet::
     staging/<kind>/load-N     numbered, cleaned, validated rows; quarantine included
     dim_customer/run-N        what a load changed of the versioned dimensions, and a manifest
     dim_product/run-N         of their live parts
-    fact_candidates/run-N     sales with resolved keys and reject reasons
+    fact_candidates/run-N     sales with resolved keys, cost price and reject reasons
     sale_fates/load_run=N     what the run did with each of them, as a number
     fact_sales/load_run=N     facts added by a run, partitioned by order_month
     fact_keys/load_run=N      order and product ids of those facts, by bucket of the order id
@@ -41,7 +41,7 @@ from starloom.plans import checks, dimension_store
 from starloom.sources import csv_files, quoted_csv
 from starloom.sources.calendar import date_dimension
 from starloom.sources.ledger import Ledger, pending_files
-from starloom.session import Scratch
+from starloom.session import WAREHOUSE_SETTINGS, Scratch, tune
 
 
 @dataclass(frozen=True)
@@ -82,7 +82,7 @@ class Warehouse:
                  multi_line: bool = False, dimension_buckets: int = dimension_store.BUCKETS):
         """``multi_line`` reads source files whose quoted texts hold line breaks;
         ``dimension_buckets`` are the parts of a new dimension that loads rewrite."""
-        self.spark = spark
+        self.spark = tune(spark, WAREHOUSE_SETTINGS)
         self.multi_line = multi_line
         self.dimension_buckets = dimension_buckets
         self.root = root.rstrip("/")
@@ -148,7 +148,10 @@ class Warehouse:
     def candidates(self) -> DataFrame | None:
         """Resolved sales of the last completed fact load, rejects included."""
         run = self.ledger.last_id(LOAD_FACTS)
-        return self.spark.read.parquet(f"{self.root}/fact_candidates/run-{run}") if run else None
+        if not run:
+            return None
+        return facts.with_measures(
+            self.spark.read.parquet(f"{self.root}/fact_candidates/run-{run}"))
 
     # -- extract ---------------------------------------------------------------------
 
@@ -326,14 +329,14 @@ class Warehouse:
             )
             sales = sales.unionByName(carried)
         runs = [run for run, _ in self._fact_runs()]
-        offered = latest_valid_sales(sales)
 
         def load(process_id: int) -> list[dict]:
             step = self.scratch.part("facts")
+            offered = latest_valid_sales(sales, step)
             # Both the lookups and the search for loaded sales read the offered sales.
             once = step.keep(offered, "offered") if runs else offered
             loaded = self.loaded_keys(once, runs, step) if runs else None
-            candidates = facts.fact_candidates(
+            candidates = facts.resolve(
                 once, self.dimension(dimensions.CUSTOMER), self.dimension(dimensions.PRODUCT),
                 self.dates(), loaded, first,
             )
@@ -346,10 +349,11 @@ class Warehouse:
             rows = facts.accepted(stored)
             # Ranges of the whole order: a busy day is cut by order id, and keys depend on
             # the rows alone.
-            numbered = with_row_ids(rows.select("staging_id", "product_id", *facts.MEASURES),
+            numbered = with_row_ids(rows.select(*facts.FACT_PARTS),
                                     [F.col(name) for name in facts.LOAD_ORDER], "sales_key",
                                     step, last)
-            fact = facts.with_month(numbered.select(*S.FACT_SALES.fieldNames()))
+            fact = facts.with_month(
+                facts.with_measures(numbered).select(*S.FACT_SALES.fieldNames()))
             fact.write.partitionBy("order_month").parquet(path)
             count = rows.count()
             keys = rows.select(*loaded_keys.SALE_KEY)
@@ -505,5 +509,6 @@ class Warehouse:
         sales = self.staged(SALES).select("staging_id", *KEY, *facts.STATUS)
         fates = self.fates()
         return checks.invariants(star, self.aggregates()).unionByName(
-            checks.balances(sales, facts.last_fates(fates), self.ledger.last_id(LOAD_FACTS))
+            checks.balances(sales, facts.last_fates(fates), self.ledger.last_id(LOAD_FACTS),
+                            self.scratch)
         ).unionByName(checks.fact_balance(star.fact, fates))

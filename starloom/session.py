@@ -19,10 +19,17 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+#: For the tables of a warehouse. Sorts and hash aggregates of a task that reads one of them stay in
+#: memory when its split is small, whatever the table's size.
+WAREHOUSE_SETTINGS = {
+    "spark.sql.parquet.compression.codec": "zstd",
+    "spark.sql.files.maxPartitionBytes": "32m",
+}
+
 
-def tune(spark: SparkSession) -> SparkSession:
+def tune(spark: SparkSession, settings: dict[str, str] = RUNTIME_SETTINGS) -> SparkSession:
     """Apply the runtime settings the engine relies on to an existing session."""
-    for name, value in RUNTIME_SETTINGS.items():
+    for name, value in settings.items():
         spark.conf.set(name, value)
     return spark
 

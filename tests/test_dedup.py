@@ -74,3 +74,13 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     assert "partial_max" in plan and "Window" not in plan
     assert result.count() == 20000 - 6667 + 1
     assert result.where("order_id = 'HOT'").first().staging_id == 19998
+
+
+def test_rows_are_not_shuffled_for_few_repeated_keys(spark, scratch):
+    """Stored first, few repeated keys are broadcast; without, both sides were shuffled."""
+    rows = [(f"O{i % 990}", "P", True) for i in range(1000)]
+    df = scratch.keep(frame(spark, rows), "staged")
+    kept = dedup.latest_valid_sales(df, scratch)
+    assert ids(kept) == brute_force(rows)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan

@@ -124,3 +124,16 @@ def test_keys_follow_day_order_and_product_alone(spark, scratch, partitions):
     keys = {r.staging_id: (r.date_key, r.order_id, r.product_id) for r in found.collect()}
     wanted = sorted(keys, key=keys.get)
     assert sorted(got) == list(enumerate(wanted, 1))
+
+
+def test_resolved_sales_travel_without_measures(spark):
+    """What follows from a resolved sale is added where it is read."""
+    found = facts.resolve(spark.createDataFrame([sale(1), sale(2, product_id="P9")], SALES),
+                          *dims(spark))
+    assert not {"cost_amount", "profit_amount", "profit_margin", "order_timestamp"} & set(
+        found.columns)
+    assert {"staging_id", "reject_reason", *facts.FACT_PARTS} <= set(found.columns)
+    parts = facts.accepted(found).select(*facts.FACT_PARTS)
+    direct = facts.accepted(candidates(spark, [sale(1)]))
+    assert facts.with_measures(parts).select(*facts.MEASURES).collect() == direct.select(
+        *facts.MEASURES).collect()
