@@ -19,11 +19,23 @@ def _null_key(name: str) -> Column:
     return F.lit(None).cast("long").alias(name)
 
 
+def _cents(name: str) -> Column:
+    return (F.col(name) * 100).cast("long")
+
+
+def _amount(cents: str, kind: str) -> Column:
+    return (F.col(cents).cast("decimal(20,0)") * F.lit("0.01").cast("decimal(3,2)")).cast(kind)
+
+
 def _sums(*, stored: bool) -> list[Column]:
-    """Additive parts, from fact rows or from rows that hold such parts already."""
+    """Additive parts, from fact rows or from rows that hold such parts already. Money is summed
+    in whole cents, which take a third of the room of a wide decimal in a shuffle; a sum beyond
+    a long fails, and none is cut."""
     lines = F.sum("lines") if stored else F.count("unit_price")
-    return [F.sum("quantity").alias("quantity"), F.sum("total_amount").alias("total_amount"),
-            F.sum("unit_price").alias("unit_price"), lines.alias("lines")]
+    amount, price = ("amount", "price") if stored else map(
+        _cents, ("total_amount", "unit_price"))
+    return [F.sum("quantity").alias("quantity"), F.sum(amount).alias("amount"),
+            F.sum(price).alias("price"), lines.alias("lines")]
 
 
 def _finish(parts: DataFrame, customer: Column, product: Column, orders: Column,
@@ -31,8 +43,8 @@ def _finish(parts: DataFrame, customer: Column, product: Column, orders: Column,
     return parts.select(
         "date_key", customer, product,
         F.col("quantity").cast("long").alias("total_quantity"),
-        F.col("total_amount").cast("decimal(22,2)").alias("total_amount"),
-        (F.col("unit_price") / F.col("lines")).cast(PRICE).alias("avg_unit_price"),
+        _amount("amount", "decimal(22,2)").alias("total_amount"),
+        (_amount("price", "decimal(30,2)") / F.col("lines")).cast(PRICE).alias("avg_unit_price"),
         orders.cast("long").alias("order_count"),
         customers.cast("long").alias("unique_customers"),
     )
@@ -107,15 +119,30 @@ def daily_by_union(fact: DataFrame) -> DataFrame:
 
 
 def daily_by_grouping_sets(fact: DataFrame) -> DataFrame:
-    """The same table as one GROUPING SETS aggregation."""
+    """The same table as two GROUPING SETS aggregations.
+
+    Each holds one distinct count: two in one would copy the rows of every set once per distinct
+    column. Orders are counted by day and customer. Customers are counted by day and product,
+    where rows are orders. Only days, one row each, need both.
+    """
     day, customer, product = (F.col(n) for n in ("date_key", "customer_key", "product_key"))
-    grouped = fact.select(
-        "date_key", "customer_key", "product_key", "order_id", "quantity", "total_amount",
-        "unit_price", customer.alias("buyer"),
-    ).groupingSets([[day], [day, customer], [day, product]], day, customer, product).agg(
-        *_direct_measures(), F.count_distinct("buyer").alias("unique_customers")
-    )
-    return grouped.select(*COLUMNS)
+    lines = fact.select("date_key", "customer_key", "product_key", "order_id", "quantity",
+                        "total_amount", "unit_price", customer.alias("buyer"))
+    sold = lines.groupingSets([[day], [day, customer]], day, customer).agg(
+        *_sums(stored=False), F.count_distinct("order_id").alias("orders"))
+    bought = lines.groupingSets([[day], [day, product]], day, product).agg(
+        *_sums(stored=False), F.count(F.lit(1)).alias("orders"),
+        F.count_distinct("buyer").alias("customers"))
+    buyers = bought.where(product.isNull()).select("date_key", "customers")
+    days = sold.where(customer.isNull()).join(buyers, "date_key")
+    return reduce(DataFrame.unionByName, [
+        _finish(days, _null_key("customer_key"), _null_key("product_key"), F.col("orders"),
+                F.col("customers")),
+        _finish(sold.where(customer.isNotNull()), F.col("customer_key"),
+                _null_key("product_key"), F.col("orders"), F.lit(1)),
+        _finish(bought.where(product.isNotNull()), _null_key("customer_key"),
+                F.col("product_key"), F.col("orders"), F.col("customers")),
+    ]).select(*COLUMNS)
 
 
 def with_agg_key(daily: DataFrame) -> DataFrame:

@@ -407,10 +407,12 @@ class Warehouse:
 
         def work(process_id: int) -> list[dict]:
             path = f"{self.root}/agg_sales_daily/load_run={process_id}"
-            daily = facts.with_month(with_agg_key(daily_aggregates(fact)))
-            # Gather each month into few files; AQE splits a busy month over tasks.
-            (daily.hint("rebalance", F.col("order_month"))
-             .write.partitionBy("order_month").parquet(path))
+            # Gather each month into few files; AQE splits a busy month over tasks. Keys follow
+            # from the rows and are added behind the shuffle.
+            gathered = facts.with_month(daily_aggregates(fact)).hint(
+                "rebalance", F.col("order_month"))
+            daily = facts.with_month(with_agg_key(gathered))
+            daily.write.partitionBy("order_month").parquet(path)
             written = self.spark.read.schema(daily.schema).parquet(path)
             # Bounded by the months of the calendar.
             for row in written.select("order_month").distinct().collect():

@@ -184,6 +184,14 @@ def test_aggregate_forms_agree(spark):
     assert keyed.select("agg_key").distinct().count() == keyed.count() == len(results[0])
 
 
+def test_grouping_sets_copy_rows_for_no_second_distinct_count(spark):
+    """Every expansion makes a copy for each of two sets, and none for a distinct column."""
+    fact = fact_rows(spark, [(day("2024-01-01"), 1, 1, "o1", "2.50")])
+    plan = aggregates.daily_by_grouping_sets(fact)._jdf.queryExecution().optimizedPlan().toString()
+    expands = [line for line in plan.splitlines() if "Expand [" in line]
+    assert expands and all(line.split("Expand [[")[1].count("], [") == 1 for line in expands)
+
+
 def test_invariants_find_faults(spark, dates):
     rows = [(day("2024-01-01"), 1, 1, "a", "5.00"), (day("2024-01-01"), 9, 1, "a", "5.00")]
     s = star(spark, dates, rows, people=[(1, "A", "c", REG, True), (2, "A", "c", REG, True)])
