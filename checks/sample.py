@@ -150,8 +150,7 @@ class Sample:
         """All sales staged a second time, numbered behind the first: the folder of that load."""
         again = P.Warehouse(self.spark, f"{self.scratch.root}/again", self.rules)
         again.adopt_staged(P.SALES, self._staged_path(P.SALES))
-        again.stage_rows(P.SALES, self.raw_sales, [F.col("staging_id")], lambda sliced: sliced,
-                         "sales_again.csv", R.LOAD_TIME)
+        again.stage_numbered(P.SALES, self.raw_sales, "sales_again.csv", R.LOAD_TIME)
         return again.ledger.last_output(P.SALES.process("TRANSFORM"))
 
     def _staged_path(self, kind: P.Kind) -> str:

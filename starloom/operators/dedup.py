@@ -50,6 +50,13 @@ def latest_valid_sales(staged: DataFrame, scratch: Scratch | None = None) -> Dat
     return latest_by_key(staged, KEY, scratch=scratch).where(_valid())
 
 
+def latest_carried(carried: DataFrame, staged: DataFrame) -> DataFrame:
+    """Those ``carried`` sales of earlier loads that no ``staged`` row of a new load replaces. They
+    are valid and differ in their keys, or have none and all stay. New rows have the higher
+    numbers, so any with the same key is later, valid or not."""
+    return carried.join(staged.select(*KEY), list(KEY), "left_anti")
+
+
 def dedup_sales(staged: DataFrame) -> DataFrame:
     """All staged rows that survive, quarantine and keyless rows included."""
     return staged.where(~_valid()).unionByName(latest_valid_sales(staged))

@@ -60,8 +60,13 @@ def resolve(sales: DataFrame, customers: DataFrame, products: DataFrame, dates:
     product = products.where("is_current").select("product_id", "product_key", "cost_price")
     customer = customers.where("is_current").select("customer_id", "customer_key")
     calendar = F.broadcast(dates.select(F.col("full_date").alias("order_date"), "date_key"))
+    offered = sales.select(*SALE_COLUMNS)
+    if loaded is not None:
+        # Before the lookups, while the rows are narrow.
+        offered = offered.join(loaded.select(*SALE_KEY).withColumn("_hit", F.lit(True)),
+                               list(SALE_KEY), "left")
     resolved = (
-        sales.select(*SALE_COLUMNS)
+        offered
         .join(product, "product_id", "left")
         .join(customer, "customer_id", "left")
         .join(calendar, "order_date", "left")
@@ -81,12 +86,8 @@ def resolve(sales: DataFrame, customers: DataFrame, products: DataFrame, dates:
     )
     if loaded is None:
         return resolved.withColumn("reject_reason", reason)
-    hits = loaded.select(*SALE_KEY).withColumn("_hit", F.lit(True))
-    return (
-        resolved.join(hits, list(SALE_KEY), "left")
-        .withColumn("reject_reason", F.coalesce(reason, F.when(F.col("_hit"), LOADED)))
-        .drop("_hit")
-    )
+    return resolved.withColumn(
+        "reject_reason", F.coalesce(reason, F.when(F.col("_hit"), LOADED))).drop("_hit")
 
 
 def with_measures(resolved: DataFrame) -> DataFrame:

@@ -48,10 +48,15 @@ def _spots() -> list[Column]:
             for i in range(PROBES)]
 
 
-def keys_of(sales: DataFrame) -> DataFrame:
-    """Distinct keys of sales; a sale without a key has none."""
+def with_key(sales: DataFrame) -> DataFrame:
+    """Keys of sales; a sale without a key has none."""
     keyed = reduce(Column.__and__, [F.col(name).isNotNull() for name in SALE_KEY])
-    return sales.select(*SALE_KEY).where(keyed).distinct()
+    return sales.select(*SALE_KEY).where(keyed)
+
+
+def keys_of(sales: DataFrame) -> DataFrame:
+    """Distinct keys of sales."""
+    return with_key(sales).distinct()
 
 
 def write_keys(keys: DataFrame, path: str) -> None:
@@ -86,13 +91,12 @@ def may_hold(keys: DataFrame, filters: DataFrame, levels: list[int]) -> DataFram
     """
     blocks = F.array(*[F.struct(F.lit(n).alias("level"), _block(n).alias("block"))
                        for n in sorted(levels)])
-    wanted = keys.select("order_id", bucket().alias("bucket"), *[
-        spot.alias(f"_spot{i}") for i, spot in enumerate(_spots())
-    ], F.explode(blocks).alias("_at")).select("*", "_at.*").drop("_at")
+    # Where a large filter makes keys travel, they do so without bucket and spots.
+    wanted = keys.select(*SALE_KEY, F.explode(blocks).alias("_at")).select("*", "_at.*").drop("_at")
     inside = F.col("order_id").between(F.col("low"), F.col("high"))
-    bits = reduce(Column.__and__, [_has(F.col(f"_spot{i}")) for i in range(PROBES)])
+    bits = reduce(Column.__and__, [_has(spot) for spot in _spots()])
     return wanted.join(filters, ["level", "block"]).where(inside & bits).select(
-        "load_run", "bucket").distinct()
+        "load_run", bucket().alias("bucket")).distinct()
 
 
 def selected(places: list[tuple[int, int]]) -> Column:

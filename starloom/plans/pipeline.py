@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from starloom import schemas as S
 from starloom.operators import dimensions, facts, loaded_keys, quality
 from starloom.operators.aggregates import daily_aggregates, with_agg_key
-from starloom.operators.dedup import KEY, latest_valid_sales
+from starloom.operators.dedup import KEY, latest_carried, latest_valid_sales
 from starloom.operators.numbering import number_stored, slice_rows, with_row_ids
 from starloom.plans import checks, dimension_store
 from starloom.sources import csv_files, quoted_csv
@@ -263,6 +263,14 @@ class Warehouse:
         self._stage(kind, source, raw)
         return raw
 
+    def stage_numbered(self, kind: Kind, rows: DataFrame, source: str, load_time: dt.datetime
+                       ) -> None:
+        """Stage rows of another warehouse's load again, in their order there. Their numbers are
+        dense from 1 on, so they only move behind those staged here."""
+        raw = rows.select((F.col("staging_id") + self._staged_rows(kind)).alias("staging_id"),
+                          *kind.file_schema.fieldNames(), csv_files.FILE)
+        self._stage(kind, source, csv_files.with_lineage(raw, load_time))
+
     def adopt_staged(self, kind: Kind, path: str) -> None:
         """Take a load that another warehouse staged under the same rules as one of this one,
         without copying it. Its numbers have to lie above those staged here."""
@@ -322,20 +330,17 @@ class Warehouse:
         consumed = self._loads(SALES) if loads is None else loads
         # The duplicate check carries whole rows; give it only what the load reads.
         sales = self.staged(SALES, consumed).select(*facts.SALE_COLUMNS, *facts.STATUS)
-        held = self.candidates()
-        if loads is not None and held is not None:
-            carried = facts.retried(held).withColumns(
-                {"processed_flag": F.lit(True), "error_message": F.lit(None).cast("string")}
-            )
-            sales = sales.unionByName(carried)
+        held = self.candidates() if loads is not None else None
         runs = [run for run, _ in self._fact_runs()]
 
         def load(process_id: int) -> list[dict]:
             step = self.scratch.part("facts")
-            offered = latest_valid_sales(sales, step)
+            offered = latest_valid_sales(sales, step).select(*facts.SALE_COLUMNS)
+            if held is not None:
+                offered = offered.unionByName(latest_carried(facts.retried(held), sales))
             # Both the lookups and the search for loaded sales read the offered sales.
             once = step.keep(offered, "offered") if runs else offered
-            loaded = self.loaded_keys(once, runs, step) if runs else None
+            loaded = self.loaded_keys(once, runs) if runs else None
             candidates = facts.resolve(
                 once, self.dimension(dimensions.CUSTOMER), self.dimension(dimensions.PRODUCT),
                 self.dates(), loaded, first,
@@ -370,15 +375,15 @@ class Warehouse:
         return [(int(path.rsplit("=", 1)[1]), path)
                 for _, path in self.ledger.outputs(LOAD_FACTS)]
 
-    def loaded_keys(self, sales: DataFrame, runs: list[int], step: Scratch) -> DataFrame:
-        """Keys of those ``sales`` that the given fact loads hold. Of each load only the buckets
-        are read that its filter does not rule out."""
+    def loaded_keys(self, sales: DataFrame, runs: list[int]) -> DataFrame:
+        """Keys that the given fact loads hold, from the buckets that their filters do not rule
+        out for the stored ``sales``: no other key of a sale can be loaded."""
         def stored(table: str, schema: str, of: list[int]) -> DataFrame:
             base = f"{self.root}/{table}"
             return self.spark.read.schema(schema).option("basePath", base).parquet(
                 *[f"{base}/load_run={run}" for run in of])
 
-        keys = step.keep(loaded_keys.keys_of(sales), "offered_keys")
+        keys = loaded_keys.with_key(sales)
         filters = stored("fact_filters", loaded_keys.FILTER_SCHEMA, runs)
         # Partition names only: a few dozen levels at most.
         levels = [row.level for row in filters.select("level").distinct().collect()]
@@ -387,7 +392,8 @@ class Warehouse:
         if not places:
             return keys.limit(0)
         chosen = stored("fact_keys", loaded_keys.KEYS_SCHEMA, sorted({run for run, _ in places}))
-        return loaded_keys.found(chosen.where(loaded_keys.selected(places)), keys)
+        # A sale loads once, so these are distinct.
+        return chosen.where(loaded_keys.selected(places)).select(*loaded_keys.SALE_KEY)
 
     def load_aggregates(self, rebuild: bool = True) -> None:
         """Write the daily aggregates: all of them, or the months with facts that the

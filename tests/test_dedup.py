@@ -84,3 +84,14 @@ def test_rows_are_not_shuffled_for_few_repeated_keys(spark, scratch):
     assert ids(kept) == brute_force(rows)
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning" not in plan
+
+
+def test_carried_sales_are_replaced_by_any_newer_row_of_their_key(spark):
+    """Valid or not; a row without a key replaces nothing. Two loads equal one frame."""
+    old = [("O", "P", True), ("O", "Q", True), ("R", "P", True), (None, "P", True)]
+    new = [("O", "P", False), ("R", "P", True), (None, "P", True)]
+    both = frame(spark, old + new)
+    staged = both.where(F.col("staging_id") > len(old))
+    carried = both.where(F.col("staging_id") <= len(old))
+    found = dedup.latest_valid_sales(staged).unionByName(dedup.latest_carried(carried, staged))
+    assert ids(found) == ids(dedup.latest_valid_sales(both)) == {2, 4, 6, 7}

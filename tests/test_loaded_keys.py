@@ -93,3 +93,13 @@ def test_a_load_opens_only_runs_that_may_hold_its_keys(spark, tmp_path):
     site.incremental(DAY2 + dt.timedelta(days=1))
     assert len(site.loaded()) == COUNT + 51
     site.sound()
+
+
+def test_keys_travel_to_large_filters_without_their_spots(spark, tmp_path):
+    store(spark, str(tmp_path), 1, keys(spark, "O", range(20_000)))
+    found = filters(spark, str(tmp_path))
+    passed = loaded_keys.may_hold(keys(spark, "O", [1, 3]), found.hint("merge"), levels(found))
+    plan = passed._jdf.queryExecution().executedPlan().toString()
+    sent = [line for line in plan.splitlines() if "hashpartitioning(level" in line]
+    assert len(sent) == 2 and passed.count() == 2
+    assert "spot" not in plan.split("SortMergeJoin")[1].split("hashpartitioning(level")[1]
