@@ -10,7 +10,7 @@ them or a task runs out of pieces. Such a sequence is given as several whose len
 of two, which need no padding.
 
 A task packs what it reads, without a shuffle. It holds ``WINDOW`` pieces of at most a sequence
-each, and one document.
+each, and a group of documents.
 
 Null or empty text is a document of the end id only. Rows are packed each, whether or not they
 repeat a doc_id, and a null doc_id stays null. An empty table gives no rows. Only the columns
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.common import text_groups
-from starloom.llm.tokens import batched, encoder
+from starloom.llm.tokens import GROUP, batched, encoder
 
 CAPACITY = 2048
 SEGMENTS = 64
@@ -165,6 +165,19 @@ class Packer:
             yield from self._emit(self._sequence())
 
 
+def whole_documents(batches, tokenizer: str, end_id: int):
+    """A piece per row of record batches with doc_id, text and perhaps prompt."""
+    code, end = encoder(tokenizer), struct.pack("<I", end_id)
+    for part in text_groups(batches, limit=GROUP):
+        doc_ids, *texts = (part.column(c).to_pylist() for c in part.schema.names)
+        # All texts of a group together, so that each distinct part is looked up once.
+        answers, *before = map(code.encode_all, texts)
+        heads = before[0] if before else [b""] * len(answers)
+        for doc, head, answer in zip(doc_ids, heads, answers):
+            ids = head + answer + end
+            yield Piece(doc, ids, 0, len(ids) // 4, len(head) // 4)
+
+
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAPACITY,
          segments: int = SEGMENTS, loss_tokens: int | None = None, prompt: str | None = None,
          window: int = WINDOW, powers: bool = True) -> DataFrame:
@@ -176,16 +189,6 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAPAC
     """
     limits = (capacity, segments, loss_tokens or capacity)
 
-    def documents(batches):
-        code, end = encoder(tokenizer), struct.pack("<I", end_id)
-        for batch in batches:
-            for part in text_groups([batch]):
-                columns = [part.column(c).to_pylist() for c in part.schema.names]
-                for doc, text, *before in zip(*columns):
-                    head = code.encode(before[0]) if before else b""
-                    ids = head + code.encode(text) + end
-                    yield Piece(doc, ids, 0, len(ids) // 4, len(head) // 4)
-
     def packed(batches):
         partition, packer = TaskContext.get().partitionId(), Packer(limits, window, powers)
         number = partition << 40
@@ -200,7 +203,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAPAC
                     offset += p.tokens
                 number += 1
 
-        for piece in documents(batches):
+        for piece in whole_documents(batches, tokenizer, end_id):
             yield from rows(packer.add(piece))
         yield from rows(packer.finish())
 

@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -17,7 +18,7 @@ from tokenizers import Tokenizer
 
 from checks.compare import connect, difference
 from starloom.llm import periodic_runs, queries, ranked_search, vector_packing
-from starloom.llm.tokens import tokenizer_path
+from starloom.llm.tokens import PartEncoder, tokenizer_path
 
 BYTES = "byte_bpe_50k.json"
 
@@ -188,6 +189,28 @@ def test_op12_on_odd_rows(make, odd, tmp_path):
     check_packing(found.collect(), rows, 2048, 64)
 
 
+def test_op12_encodes_groups_of_texts(monkeypatch):
+    asked = []
+
+    class Counting(PartEncoder):
+        def encode_all(self, texts):
+            asked.append(len(texts))
+            return super().encode_all(texts)
+
+    path = tokenizer_path(BYTES)
+    code = Counting(path)
+    monkeypatch.setattr(vector_packing, "encoder", lambda _: code)
+    texts, prompts = ["some words", None, "", "more words."] * 50, ["ask", None, "", "a b"] * 50
+    batch = pa.record_batch([pa.array(range(200), pa.int64()), pa.array(texts, pa.string()),
+                             pa.array(prompts, pa.string())], names=["doc_id", "text", "prompt"])
+    found = list(vector_packing.whole_documents([batch], path, 1))
+    assert asked == [200, 200]
+    for i, piece in enumerate(found):
+        head, ids = plain_ids(prompts[i]), plain_ids(texts[i])
+        assert (piece.doc, piece.prompt) == (i, len(head))
+        assert piece.ids == np.array([*head, *ids, 1], "<u4").tobytes()
+
+
 @settings(max_examples=200, deadline=None)
 @given(docs=st.lists(st.tuples(st.integers(1, 90), st.integers(0, 90)), max_size=40),
        limits=st.tuples(st.integers(1, 32), st.integers(1, 5), st.integers(1, 32)),
