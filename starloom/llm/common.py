@@ -24,6 +24,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: Bytes of an Arrow batch, on its way to a Python worker. Spark counts rows by itself, and 10,000
+#: long texts, or pairs of them, are held several times over in each task.
+BATCH = 4 << 20
+SETTINGS = {"spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH)}
+
 _SHIPPED: set[str] = set()
 
 
@@ -38,7 +43,7 @@ def ready(spark: SparkSession) -> SparkSession:
                 out.write(file, file.relative_to(package.parent))
         context.addPyFile(str(archive))
         _SHIPPED.add(context.applicationId)
-    return tune(spark)
+    return tune(tune(spark), SETTINGS)
 
 
 def scratch(spark: SparkSession) -> Scratch:

@@ -22,6 +22,8 @@ _LONGEST_PART = 64
 _FIRST = "\x01"
 #: Bytes of text that are cut into parts together.
 GROUP = 1 << 20
+#: Parts that a worker remembers, and as many older ones: some 100 MB together at most.
+HELD = 300_000
 
 _ENCODERS: dict[tuple[str, int], "PartEncoder"] = {}
 
@@ -60,7 +62,7 @@ class PartEncoder(dict):
     splitting would hand to its model as one or two pieces, so the model is asked directly.
     """
 
-    def __init__(self, path: str, held: int = 1_000_000):
+    def __init__(self, path: str, held: int = HELD):
         from tokenizers import Tokenizer
 
         super().__init__()
@@ -206,7 +208,7 @@ class PartEncoder(dict):
         return self.encode_all([text])[0]
 
 
-def encoder(path: str, held: int = 1_000_000) -> PartEncoder:
+def encoder(path: str, held: int = HELD) -> PartEncoder:
     """The worker's encoder for a file; it lives as long as the Python worker."""
     if (path, held) not in _ENCODERS:
         _ENCODERS[path, held] = PartEncoder(path, held)

@@ -6,12 +6,14 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from starloom.llm import packing, token_counts, token_files
+from starloom.llm.common import BATCH
 from starloom.llm.tokens import PartEncoder, tokenizer_path
 
 BYTES, WORDS = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -56,6 +58,17 @@ def test_added_tokens_in_a_text_are_the_librarys(name):
         t for t in untouched.get_added_tokens_decoder()}
 
 
+def test_batches_of_long_texts_are_cut_by_their_bytes(llm):
+    docs = llm.range(0, 4000, 1, 1).selectExpr("repeat('long text ', 1000) AS text")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.nbytes])], names=["n"])
+
+    found = [row.n for row in docs.mapInArrow(sizes, "n long").collect()]
+    assert sum(found) > 40_000_000 and max(found) < 2 * BATCH
+
+
 @settings(max_examples=60, deadline=None)
 @given(docs=st.lists(st.tuples(st.one_of(st.none(), st.integers(-9, 9)), st.lists(
     st.integers(0, 70_000), max_size=12)), max_size=6))
