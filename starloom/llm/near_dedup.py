@@ -31,14 +31,16 @@ from __future__ import annotations
 
 import hashlib
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.common import mixed, scratch, text_groups
 from starloom.llm.components import components, with_links
+from starloom.operators.loaded_keys import BITS_PER_KEY, BLOCK_BITS, PROBES, has_bit
 from starloom.session import Scratch
 
 WORDS = 5
@@ -49,6 +51,8 @@ SIGMAS = 6.0
 LARGE = 8
 #: Classes of such a component, and of those around it, that a task compares at once.
 BLOCK = 256
+#: Bitmaps of 4 KB that a filter of texts has at most, as it is broadcast.
+FILTER_BLOCKS = 2048
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 
@@ -136,6 +140,23 @@ def hashed_texts(docs: DataFrame) -> DataFrame:
         "text")
 
 
+def likely(texts: DataFrame, wanted: DataFrame, store: Scratch) -> DataFrame:
+    """``texts`` without most of the rows that the stored ``wanted`` does not name by doc_id and
+    text_hash, and with all that it does: a Bloom filter, in blocks of one bitmap, drops texts
+    before they are shuffled. Its size follows ``wanted`` up to ``FILTER_BLOCKS``; a fuller one
+    lets more texts through."""
+    row = ("doc_id", "text_hash")
+    n = max(1, min(FILTER_BLOCKS, math.ceil(wanted.count() * BITS_PER_KEY / BLOCK_BITS)))
+    block = F.pmod(F.xxhash64(F.lit("block"), *row), F.lit(n)).alias("block")
+    spots = [F.pmod(F.xxhash64(F.lit(f"spot{i}"), *row), F.lit(BLOCK_BITS)).cast("long")
+             for i in range(PROBES)]
+    bits = wanted.select(block, F.explode(F.array(*spots)).alias("spot")).groupBy("block").agg(
+        F.bitmap_construct_agg("spot").alias("bitmap"))
+    bits = F.broadcast(store.keep(bits, "filter"))
+    return texts.select("*", block).join(bits, "block").where(
+        reduce(Column.__and__, map(has_bit, spots))).select(*texts.columns)
+
+
 def needed(k: int, percent: int):
     """How many hashes of its sketch a class of ``size`` shares with the sketch of any class
     it is linked with, at least."""
@@ -231,25 +252,23 @@ def class_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT
     others, where component is the smallest label reachable."""
     store = scratch(docs.sparkSession)
     made = store.keep(sketches(docs, words, k), "sketches")
-    # A class is its set. Its first row stands for it; other texts of that doc_id do not.
-    ids = made.where("size > 0").groupBy("set_key").agg(
-        F.min(F.struct("doc_id", "text_hash")).alias("first"))
-    ids = store.keep(ids.select("set_key", F.col("first.doc_id").alias("label"),
-                                F.col("first.text_hash").alias("_hash"),
-                                F.monotonically_increasing_id().alias("id")), "classes")
-    firsts = ids.select("id", F.col("set_key").alias("_key"), "label", "_hash")
-    classes = made.join(firsts, (F.col("set_key") == F.col("_key")) & (
-        F.col("doc_id") == F.col("label")) & (F.col("text_hash") == F.col("_hash")))
-    classes = store.keep(classes.select("id", "size", "sketch").dropDuplicates(["id"]),
-                         "class_sketches")
+    # A class is its set. Its first row stands for it; other texts of that doc_id do not. All its
+    # rows have one sketch, which is reduced with them and travels once.
+    classes = made.where("size > 0").groupBy("set_key").agg(
+        F.min(F.struct("doc_id", "text_hash")).alias("first"), F.first("size").alias("size"),
+        F.first("sketch").alias("sketch"))
+    classes = store.keep(classes.select(
+        "set_key", F.col("first.doc_id").alias("label"), F.col("first.text_hash").alias("_hash"),
+        F.monotonically_increasing_id().alias("id"), "size", "sketch"), "classes")
+    ids = classes.select("set_key", "label", "_hash", "id")
     listed = store.keep(lists(classes, k, percent, store), "lists")
 
     def texts_of(nodes: DataFrame) -> DataFrame:
         """(id, text) of the classes in ``nodes`` (id)."""
         firsts = store.keep(ids.join(nodes, "id").select(
             "id", F.col("label").alias("doc_id"), F.col("_hash").alias("text_hash")), "firsts")
-        return hashed_texts(docs).join(firsts, ["doc_id", "text_hash"]).select(
-            "id", "text").dropDuplicates(["id"])
+        return likely(hashed_texts(docs), firsts, store).join(
+            firsts, ["doc_id", "text_hash"]).select("id", "text").dropDuplicates(["id"])
 
     def test(pairs: DataFrame, name: str) -> DataFrame:
         found = store.keep(promising(pairs, classes, percent, k), f"{name}_promising")
@@ -258,17 +277,19 @@ def class_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT
         some = store.keep(texts_of(nodes), f"{name}_texts")
         return store.keep(confirmed(found, some, words, percent), f"{name}_links")
 
-    def labelled(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def labelled(found: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         found = store.keep(found, "components")
-        marked = listed.join(found, listed["id"] == found["node"], "left").select(
+        marked = rows.join(found, rows["id"] == found["node"], "left").select(
             "value", "id", "size", F.coalesce("component", "id").alias("component"))
         return found, marked
 
     links = test(_stars(listed.withColumn("component", F.col("id")), percent, None), "first")
-    found, marked = labelled(components(links, store))
+    found, marked = labelled(components(links, store), listed)
     marked = store.keep(_undecided(marked.withColumn("large", F.lit(False))), "undecided")
     links = test(_stars(marked, percent, "drawn"), "drawn")
-    found, marked = labelled(with_links(found, links, store))
+    # Components only grow, so a list that lay in one of them still does.
+    found, marked = labelled(with_links(found, links, store),
+                             marked.select("value", "id", "size"))
     sizes = found.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
     marked = store.keep(_undecided(_with_large(marked, sizes)), "undecided")
     pairs = _small_pairs(marked, percent).unionByName(
@@ -351,7 +372,9 @@ def _shared_sketches(units: DataFrame, members: DataFrame, classes: DataFrame, p
     of_units = keys.where("unit").select("n", "key")
 
     def covered(rows: DataFrame, by: DataFrame) -> DataFrame:
-        counts = rows.join(by, "key").groupBy("n").agg(F.count(F.lit(1)).alias("_shared"))
+        # ``by`` has each key once.
+        counts = rows.join(by, "key", "left_semi").groupBy("n").agg(
+            F.count(F.lit(1)).alias("_shared"))
         return numbered.join(counts, "n").where(F.col("_shared") >= needed(k, percent)).select(
             "n", "id", "size", "component", "target")
 

@@ -76,7 +76,7 @@ def write_filter(keys: DataFrame, count: int, path: str) -> None:
     blocks.withColumn("level", F.lit(size)).write.partitionBy("level").parquet(path)
 
 
-def _has(spot: Column) -> Column:
+def has_bit(spot: Column) -> Column:
     """Whether ``bitmap`` has a bit; bit 0 is the lowest of the first byte."""
     byte = F.conv(F.hex(F.substring("bitmap", F.floor(spot / 8).cast("int") + 1, F.lit(1))),
                   16, 10).cast("int")
@@ -94,7 +94,7 @@ def may_hold(keys: DataFrame, filters: DataFrame, levels: list[int]) -> DataFram
     # Where a large filter makes keys travel, they do so without bucket and spots.
     wanted = keys.select(*SALE_KEY, F.explode(blocks).alias("_at")).select("*", "_at.*").drop("_at")
     inside = F.col("order_id").between(F.col("low"), F.col("high"))
-    bits = reduce(Column.__and__, [_has(spot) for spot in _spots()])
+    bits = reduce(Column.__and__, [has_bit(spot) for spot in _spots()])
     return wanted.join(filters, ["level", "block"]).where(inside & bits).select(
         "load_run", bucket().alias("bucket")).distinct()
 

@@ -236,3 +236,20 @@ def test_registered_names(llm):
     names = queries.registered()
     assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)] + ["pipeline"]
     assert set(queries.statements()) <= set(names) and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_texts_that_no_pair_needs_are_left_out_before_the_join(llm, make, monkeypatch):
+    docs = make([(i, f"text number {i}") for i in range(3000)])
+    store = scratch(llm)
+    texts = store.keep(near_dedup.hashed_texts(docs), "texts")
+    named = [7 * i for i in range(200)]
+    wanted = texts.where(texts["doc_id"].isin(named)).select("doc_id", "text_hash")
+    found = {r.doc_id: r.text for r in
+             near_dedup.likely(texts, store.keep(wanted, "wanted"), store).collect()}
+    assert set(named) <= set(found) and len(found) < 300
+    assert all(text == f"text number {i}" for i, text in found.items())
+    # A filter that is too small lets texts through and loses none.
+    monkeypatch.setattr(near_dedup, "BITS_PER_KEY", 0)
+    many = store.keep(texts.select("doc_id", "text_hash"), "all")
+    assert near_dedup.likely(texts, many, store).count() == 3000
+    assert near_dedup.likely(texts, store.keep(wanted.limit(0), "none"), store).count() == 0
