@@ -354,6 +354,16 @@ def _small_pairs(marked: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.col("id").alias("x"), F.col("x").alias("y")).distinct()
 
 
+def _alone(held: DataFrame, key: list[str], owner: str, within: tuple[str, ...] = ()) -> DataFrame:
+    """(*within, owner, alone): the hashes that a unit has to itself. ``held`` has a row for each
+    hash, named by ``key``, of each owner in a group. A hash that comes once names its owner, so
+    rows are only reduced: no row meets those of others that have the same hash."""
+    once = held.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(owner).alias(owner), F.max("unit").alias("unit")
+    ).where("_n = 1 AND unit")
+    return once.groupBy(*within, owner).agg(F.count(F.lit(1)).alias("alone"))
+
+
 def _shared_sketches(units: DataFrame, members: DataFrame, classes: DataFrame, percent: int,
                      k: int, store: Scratch) -> tuple[DataFrame, DataFrame]:
     """The ``units`` whose sketch the group's other sketches hold as far as a link needs, and
@@ -370,19 +380,17 @@ def _shared_sketches(units: DataFrame, members: DataFrame, classes: DataFrame, p
             "sketch", lambda value: F.xxhash64("target", value))).alias("key"))
     keys = store.keep(keys, "sketch_keys")
     of_units = keys.where("unit").select("n", "key")
-
-    def covered(rows: DataFrame, by: DataFrame) -> DataFrame:
-        # ``by`` has each key once.
-        counts = rows.join(by, "key", "left_semi").groupBy("n").agg(
-            F.count(F.lit(1)).alias("_shared"))
-        return numbered.join(counts, "n").where(F.col("_shared") >= needed(k, percent)).select(
-            "n", "id", "size", "component", "target")
-
+    columns = ("n", "id", "size", "component", "target")
     # A value counts if the group has it twice: from the class itself and from another.
-    twice = keys.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("key")
-    near = store.keep(covered(of_units, twice), "near_units")
+    near = numbered.where("unit").join(_alone(keys, ["key"], "n"), "n", "left").where(
+        F.least("size", F.lit(k)) - F.coalesce("alone", F.lit(0)) >= needed(k, percent))
+    near = store.keep(near.select(*columns), "near_units")
+    # Each key once, so that the join gives no more rows than the members' sketches have.
     theirs = of_units.join(near.select("n"), "n", "left_semi").select("key").distinct()
-    close = store.keep(covered(keys.where("NOT unit").select("n", "key"), theirs), "near_members")
+    counts = keys.where("NOT unit").select("n", "key").join(theirs, "key", "left_semi").groupBy(
+        "n").agg(F.count(F.lit(1)).alias("_shared"))
+    close = numbered.join(counts, "n").where(F.col("_shared") >= needed(k, percent))
+    close = store.keep(close.select(*columns), "near_members")
     return near.drop("n"), close.drop("n")
 
 
@@ -424,12 +432,12 @@ def _large_pairs(marked: DataFrame, found: DataFrame, classes: DataFrame, texts_
     full = store.keep(full, "group_sets")
     all_sets = group.join(full, "id").select("target", "id", "unit",
                                              F.explode("hashes").alias("hash"))
-    shared = all_sets.groupBy("target", "hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    covered = all_sets.where("unit").join(shared, ["target", "hash"]).groupBy(
-        "id", "target").agg(F.count(F.lit(1)).alias("covered"))
+    alone = _alone(all_sets, ["target", "hash"], "id", ("target",))
     lowest = group.groupBy("target").agg(F.min("size").alias("_low"))
     least = F.greatest("_low", "covered")
-    units = group.where("unit").join(covered, ["id", "target"]).join(lowest, "target").where(
+    units = group.where("unit").join(alone, ["target", "id"], "left").join(
+        lowest, "target").withColumn(
+        "covered", F.col("size") - F.coalesce("alone", F.lit(0))).where(
         F.col("covered") * 100 >= (F.col("size") + least - F.col("covered")) * percent)
     units = store.keep(units.select("id", "size", "component", "target", "covered"),
                        "open_units")

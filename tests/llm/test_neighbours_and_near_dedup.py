@@ -169,6 +169,28 @@ def test_families_with_common_passages_match_brute_force(make):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == expected
 
 
+def test_shared_hashes_are_counted_without_joins(llm, make, monkeypatch):
+    """Rows of a large group are not joined by their hashes to find what its others hold."""
+    rows = [(1, g, i, h, unit) for g in (1, 2) for i, unit, held in (
+        (10, True, "abcd"), (11, False, "bcx"), (12, True, "cyz"), (13, True, "abcd"))
+        for h in held if (g, i) != (2, 13)]
+    held = llm.createDataFrame(rows, "one int, target int, id long, hash string, unit boolean")
+    alone = near_dedup._alone(held, ["target", "hash"], "id", ("target",)).collect()
+    assert {(r.target, r.id): r.alone for r in alone} == {(1, 12): 2, (2, 10): 2, (2, 12): 2}
+
+    plans, keep = {}, near_dedup.Scratch.keep
+
+    def watched(store, df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return keep(store, df, name)
+
+    monkeypatch.setattr(near_dedup.Scratch, "keep", watched)
+    near_dedup.near_duplicates(make(family_rows()), 2, 80).collect()
+    for name, column in (("near_units", "key"), ("open_units", "hash")):
+        joins = [line for line in plans[name].splitlines() if "Join" in line]
+        assert joins and not any(f"({column}#" in line for line in joins)
+
+
 def test_kept_documents(make, odd):
     docs = make(odd, ["id", "_dropped"])
     kept = near_dedup.kept_documents(docs, 2, 80)
