@@ -119,15 +119,13 @@ class Sample:
             self.spark._jsc.hadoopConfiguration())
         path = self.spark._jvm.org.apache.hadoop.fs.Path
         files.mkdirs(path(folder))
-        for kind, raw in ((P.CUSTOMERS, self.raw_customers), (P.PRODUCTS, self.raw_products),
-                          (P.SALES, self.raw_sales)):
+        _ = self.raw_customers, self.raw_products, self.raw_sales
+        for kind in (P.CUSTOMERS, P.PRODUCTS, P.SALES):
             written = self.scratch.path(kind.name)
-            csv_files.write_rows(raw.orderBy("staging_id").select(
-                *kind.file_schema.fieldNames()), written)
-            parts = sorted(status.getPath().getName() for status in files.listStatus(path(written))
-                           if status.getPath().getName().endswith(".csv"))
-            for i, part in enumerate(parts):
-                files.rename(path(f"{written}/{part}"), path(f"{folder}/{kind.name}_{i:05d}.csv"))
+            landed = self.warehouse.landed[kind.name]
+            csv_files.write_in_place(landed, kind.file_schema.fieldNames(), written)
+            for i, part in enumerate(csv_files.placed_files(self.spark, written)):
+                files.rename(path(part), path(f"{folder}/{kind.name}_{i:05d}.csv"))
         return folder
 
     @cached_property

@@ -89,6 +89,8 @@ class Warehouse:
         self.rules = rules
         self.ledger = Ledger(spark, f"{self.root}/etl_metadata")
         self.scratch = Scratch(spark, f"{self.root}/scratch")
+        #: By kind the rows that :meth:`stage_rows` sorted last, with slice and place.
+        self.landed: dict[str, DataFrame] = {}
 
     # -- stored tables ---------------------------------------------------------------
 
@@ -257,6 +259,7 @@ class Warehouse:
             else F.lit(None).cast(field.dataType).alias(field.name)
             for field in kind.file_schema.fields
         ], csv_files.FILE, "_slice", "_place"), f"landed_{kind.name}")
+        self.landed[kind.name] = landed
         numbered = number_stored(landed, "staging_id", self.scratch, self._staged_rows(kind))
         filled = numbered.select("staging_id", *kind.file_schema.fieldNames(), csv_files.FILE)
         raw = csv_files.with_lineage(filled, load_time)
@@ -331,13 +334,16 @@ class Warehouse:
         # The duplicate check carries whole rows; give it only what the load reads.
         sales = self.staged(SALES, consumed).select(*facts.SALE_COLUMNS, *facts.STATUS)
         held = self.candidates() if loads is not None else None
-        runs = [run for run, _ in self._fact_runs()]
+        carried = facts.retried(held) if held is not None else None
+        if carried is not None and carried.isEmpty():
+            carried = None  # nothing that the keys of the new loads have to travel for
+        runs = self._runs_with_facts()
 
         def load(process_id: int) -> list[dict]:
             step = self.scratch.part("facts")
             offered = latest_valid_sales(sales, step).select(*facts.SALE_COLUMNS)
-            if held is not None:
-                offered = offered.unionByName(latest_carried(facts.retried(held), sales))
+            if carried is not None:
+                offered = offered.unionByName(latest_carried(carried, sales))
             # Both the lookups and the search for loaded sales read the offered sales.
             once = step.keep(offered, "offered") if runs else offered
             loaded = self.loaded_keys(once, runs) if runs else None
@@ -375,6 +381,12 @@ class Warehouse:
         return [(int(path.rsplit("=", 1)[1]), path)
                 for _, path in self.ledger.outputs(LOAD_FACTS)]
 
+    def _runs_with_facts(self) -> list[int]:
+        """Numbers of the completed fact loads that added facts; others hold no key."""
+        rows = self.ledger.completed(LOAD_FACTS).where("records_loaded > 0").select(
+            "process_id").orderBy("process_id").collect()
+        return [row.process_id for row in rows]
+
     def loaded_keys(self, sales: DataFrame, runs: list[int]) -> DataFrame:
         """Keys that the given fact loads hold, from the buckets that their filters do not rule
         out for the stored ``sales``: no other key of a sale can be loaded."""

@@ -356,3 +356,42 @@ def test_facts_that_are_lost_are_reported(site):
     gone = next(Path(site.warehouse._fact_runs()[0][1]).glob("order_month=202304/*.parquet"))
     gone.rename(gone.with_name("_lost"))
     assert broken_checks(site)["facts differ from sales taken"] == 2
+
+
+def test_source_files_keep_their_order_without_a_shuffle(spark, tmp_path):
+    """A file for each slice and split of the stored rows, in their order."""
+    rows = spark.range(20_000).withColumns({
+        "_slice": (F.lit(12) - F.floor(F.col("id") / 2000)).cast("long"), "_place": F.col("id") % 2000,
+        "text": F.concat(F.lit(" t"), F.col("id").cast("string"))})
+    rows.coalesce(2).sortWithinPartitions("_slice", "_place").write.option(
+        "parquet.block.size", "8192").parquet(str(tmp_path / "landed"))
+    landed = spark.read.parquet(str(tmp_path / "landed"))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        csv_files.write_in_place(landed, ["id", "text"], str(tmp_path / "files"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    files = csv_files.placed_files(spark, str(tmp_path / "files"))
+    lines = [line for file in files
+             for line in Path(file.removeprefix("file:")).read_text().splitlines()[1:]]
+    ordered = [r.id for r in rows.orderBy("_slice", "_place").select("id").collect()]
+    assert lines == [f"{i}, t{i}" for i in ordered]
+    assert len(files) > 11
+
+
+def test_loads_without_facts_or_held_sales_send_no_keys(site, monkeypatch):
+    """Dimension batches of a stream load no fact; the sales behind them are all new."""
+    asked = []
+    monkeypatch.setattr(Warehouse, "loaded_keys", lambda *_: asked.append("loaded"))
+    monkeypatch.setattr(P, "latest_carried", lambda *_: asked.append("carried"))
+    site.mini()
+    filestream.run_available(site.warehouse, str(site.source), str(site.path / "marks"), DAY1)
+    assert len(site.warehouse._fact_runs()) > 1 and not asked
+    assert len(site.loaded()) == COUNT
+    monkeypatch.undo()
+    site.put(sales_2=SALES + "S-301,2023-10-01,K-new,P-bench,1,98.00,98.00\n").incremental(DAY2)
+    assert len(site.loaded()) == COUNT
+    site.put(sales_3=HEADER + "S-302,2023-10-01,K-cho,P-bench,1,98.00,98.00\n").incremental(DAY2)
+    assert len(site.loaded()) == COUNT + 1
+    site.sound()
