@@ -35,6 +35,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +52,8 @@ SIGMAS = 6.0
 LARGE = 8
 #: Classes of such a component, and of those around it, that a task compares at once.
 BLOCK = 256
+#: Hashes of a group of classes that a task counts at once.
+SLICE = 1 << 18
 #: Bitmaps of 4 KB that a filter of texts has at most, as it is broadcast.
 FILTER_BLOCKS = 2048
 
@@ -357,41 +360,63 @@ def _small_pairs(marked: DataFrame, percent: int) -> DataFrame:
 def _alone(held: DataFrame, key: list[str], owner: str, within: tuple[str, ...] = ()) -> DataFrame:
     """(*within, owner, alone): the hashes that a unit has to itself. ``held`` has a row for each
     hash, named by ``key``, of each owner in a group. A hash that comes once names its owner, so
-    rows are only reduced: no row meets those of others that have the same hash."""
+    rows are only reduced: no row meets those of others that have the same hash. ``_shared`` counts
+    the same without a row per hash; tests hold it against this."""
     once = held.groupBy(*key).agg(
         F.count(F.lit(1)).alias("_n"), F.min(owner).alias(owner), F.max("unit").alias("unit")
     ).where("_n = 1 AND unit")
     return once.groupBy(*within, owner).agg(F.count(F.lit(1)).alias("alone"))
 
 
-def _shared_sketches(units: DataFrame, members: DataFrame, classes: DataFrame, percent: int,
-                     k: int, store: Scratch) -> tuple[DataFrame, DataFrame]:
-    """The ``units`` whose sketch the group's other sketches hold as far as a link needs, and
-    the ``members`` whose sketch those units' sketches hold so far.
-
-    Rows are numbered, and a hash stands for target and value together, so that two numbers
-    travel for each value of a sketch. Equal hashes by chance only leave more to compare."""
-    numbered = store.keep(
-        units.select("id", "size", "component", "target", F.lit(True).alias("unit")).unionByName(
-            members.select("id", "size", "component", "target", F.lit(False).alias("unit"))
-        ).withColumn("n", F.monotonically_increasing_id()), "numbered")
-    keys = numbered.select("n", "id", "target", "unit").join(
-        classes.select("id", "sketch"), "id").select("n", "unit", F.explode(F.transform(
-            "sketch", lambda value: F.xxhash64("target", value))).alias("key"))
-    keys = store.keep(keys, "sketch_keys")
-    of_units = keys.where("unit").select("n", "key")
-    columns = ("n", "id", "size", "component", "target")
-    # A value counts if the group has it twice: from the class itself and from another.
-    near = numbered.where("unit").join(_alone(keys, ["key"], "n"), "n", "left").where(
-        F.least("size", F.lit(k)) - F.coalesce("alone", F.lit(0)) >= needed(k, percent))
-    near = store.keep(near.select(*columns), "near_units")
-    # Each key once, so that the join gives no more rows than the members' sketches have.
-    theirs = of_units.join(near.select("n"), "n", "left_semi").select("key").distinct()
-    counts = keys.where("NOT unit").select("n", "key").join(theirs, "key", "left_semi").groupBy(
-        "n").agg(F.count(F.lit(1)).alias("_shared"))
-    close = numbered.join(counts, "n").where(F.col("_shared") >= needed(k, percent))
-    close = store.keep(close.select(*columns), "near_members")
-    return near.drop("n"), close.drop("n")
+def _shared(held: DataFrame, store: Scratch, name: str) -> DataFrame:
+    """(target, id, shared): how many of a row's values others of its group hold. Of a unit it
+    counts what any other row has, of a member what a unit has. ``held`` has (target, id, unit,
+    n, values), a row for each class of a group, with n distinct hashes.
+
+    The hashes of a row stay together in an array. A group with more than ``SLICE`` of them is
+    dealt by hash, so that a task counts about as many and equal ones still meet."""
+    slices = held.groupBy("target").agg(
+        F.ceil(F.sum("n") / SLICE).cast("int").alias("slices"))
+
+    def cut(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            values = batch.column("values")
+            lengths = pc.list_value_length(values).to_numpy()
+            flat = values.flatten().to_numpy()
+            row = np.repeat(np.arange(len(lengths)), lengths)
+            place = flat.view(np.uint64) % batch.column("slices").to_numpy().astype(
+                np.uint64)[row]
+            order = np.lexsort((place, row))
+            row, place, flat = row[order], place[order], flat[order]
+            starts = np.flatnonzero(np.concatenate(
+                [[True], (row[1:] != row[:-1]) | (place[1:] != place[:-1])]))
+            kept = batch.select(["target", "id", "unit"]).take(pa.array(row[starts]))
+            parts = pa.ListArray.from_arrays(
+                pa.array(np.append(starts, len(flat)), pa.int32()), pa.array(flat))
+            yield pa.record_batch(
+                [*kept.columns, pa.array(place[starts].astype(np.int32)), parts],
+                names=["target", "id", "unit", "slice", "values"])
+
+    def count(rows: pa.Table) -> pa.Table:
+        values = rows.column("values").combine_chunks()
+        owner = np.repeat(np.arange(len(rows)), pc.list_value_length(values).to_numpy())
+        unit = rows.column("unit").to_numpy()[owner]
+        _, place, total = np.unique(values.flatten().to_numpy(), return_inverse=True,
+                                    return_counts=True)
+        of_units = np.bincount(place[unit], minlength=len(total))
+        hit = np.where(unit, total[place] > 1, of_units[place] > 0)
+        shared = np.bincount(owner[hit], minlength=len(rows))
+        return pa.table([rows.column("target"), rows.column("id"), pa.array(shared, pa.int64())],
+                        names=["target", "id", "shared"])
+
+    cuts = held.join(slices, "target").select(
+        "target", "id", "unit", "slices", "values").mapInArrow(
+        cut, "target long, id long, unit boolean, slice int, values array<long>")
+    counts = cuts.groupBy("target", "slice").applyInArrow(
+        count, "target long, id long, shared long")
+    return store.keep(counts.groupBy("target", "id").agg(F.sum("shared").alias("shared")), name)
 
 
 def _large_pairs(marked: DataFrame, found: DataFrame, classes: DataFrame, texts_of,
@@ -399,10 +424,10 @@ def _large_pairs(marked: DataFrame, found: DataFrame, classes: DataFrame, texts_
     """Pairs from lists with a large component, as far as sketches and shingles allow them.
 
     A large component and the classes that share a list with it are a group. A class shares
-    no more with another one than what it shares with all others of the group together. That
-    number, one for each class of another component, and the sizes bound its likeness to each.
-    It is first taken from sketches, and from the full sets of what they leave. Classes that it
-    leaves are compared with the group in blocks, from which only links come.
+    no more with another one than what it shares with all others of the group together, and one
+    of the component no more than with all those beside it. That number, one for each class,
+    and the sizes bound its likeness to each. It is first taken from sketches, and from the full
+    sets of what they leave. What it leaves is compared in blocks, from which only links come.
     """
     heads = marked.where("large").select(
         "value", F.col("component").alias("target")).distinct()
@@ -416,9 +441,13 @@ def _large_pairs(marked: DataFrame, found: DataFrame, classes: DataFrame, texts_
     members = found.join(targets, "component").select(F.col("node").alias("id"), "component")
     members = members.join(classes.select("id", "size"), "id").withColumn(
         "target", F.col("component"))
-    units, members = _shared_sketches(units, members, classes, percent, k, store)
     group = store.keep(units.withColumn("unit", F.lit(True)).unionByName(
         members.withColumn("unit", F.lit(False))), "groups")
+    shared = _shared(group.join(classes.select("id", "sketch"), "id").select(
+        "target", "id", "unit", F.least("size", F.lit(k)).alias("n"),
+        F.col("sketch").alias("values")), store, "sketch_shares")
+    group = store.keep(group.join(shared, ["target", "id"]).where(
+        F.col("shared") >= needed(k, percent)).drop("shared"), "near_units")
     nodes = store.keep(group.select("id").distinct(), "group_nodes")
 
     def hashes(batches):
@@ -430,22 +459,17 @@ def _large_pairs(marked: DataFrame, found: DataFrame, classes: DataFrame, texts_
 
     full = texts_of(nodes).mapInArrow(hashes, "id long, hashes array<long>")
     full = store.keep(full, "group_sets")
-    all_sets = group.join(full, "id").select("target", "id", "unit",
-                                             F.explode("hashes").alias("hash"))
-    alone = _alone(all_sets, ["target", "hash"], "id", ("target",))
+    covered = _shared(group.join(full, "id").select(
+        "target", "id", "unit", F.col("size").alias("n"), F.col("hashes").alias("values")),
+        store, "set_shares").withColumnRenamed("shared", "covered")
     lowest = group.groupBy("target").agg(F.min("size").alias("_low"))
     least = F.greatest("_low", "covered")
-    units = group.where("unit").join(alone, ["target", "id"], "left").join(
-        lowest, "target").withColumn(
-        "covered", F.col("size") - F.coalesce("alone", F.lit(0))).where(
+    group = group.join(covered, ["target", "id"]).join(lowest, "target").where(
         F.col("covered") * 100 >= (F.col("size") + least - F.col("covered")) * percent)
-    units = store.keep(units.select("id", "size", "component", "target", "covered"),
-                       "open_units")
-    others = group.where("NOT unit").select("id", "size", "component", "target",
-                                            F.col("size").alias("covered"))
-    others = others.unionByName(units).select(
-        "target", F.col("id").alias("other"), F.col("size").alias("_size"),
-        F.col("component").alias("_component"), F.col("covered").alias("_covered"))
+    group = store.keep(group.select("id", "component", "target", "unit"), "open_units")
+    units = group.where("unit").drop("unit")
+    others = group.select("target", F.col("id").alias("other"),
+                          F.col("component").alias("_component"))
     return _linked_by_blocks(units, others, full, percent, store)
 
 
@@ -464,12 +488,12 @@ def _linked_by_blocks(units: DataFrame, others: DataFrame, full: DataFrame, perc
     left = units.join(full, "id").join(sizes, "target").select(
         "target", F.pmod(F.xxhash64("id"), "_units").cast("int").alias("u"),
         F.explode(F.sequence(F.lit(0), F.col("_others") - 1)).alias("o"),
-        "id", "component", "covered", "hashes")
+        "id", "component", "hashes")
     right = others.join(full.select(F.col("id").alias("other"), "hashes"), "other").join(
         sizes, "target").select(
         "target", F.explode(F.sequence(F.lit(0), F.col("_units") - 1)).alias("u"),
         F.pmod(F.xxhash64("other"), "_others").cast("int").alias("o"),
-        "other", "_component", "_covered", "hashes")
+        "other", "_component", "hashes")
 
     def compare(left, right):
         import pandas as pd

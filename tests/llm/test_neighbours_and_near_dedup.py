@@ -191,6 +191,41 @@ def test_shared_hashes_are_counted_without_joins(llm, make, monkeypatch):
         assert joins and not any(f"({column}#" in line for line in joins)
 
 
+@pytest.mark.parametrize("limit", [4, 1 << 18])
+def test_hashes_of_a_group_travel_in_arrays(llm, make, monkeypatch, limit):
+    """Shares are those of a row per hash, in one slice or many, and no such row is made."""
+    rng = np.random.default_rng(2)
+    held = [(g, i, bool(i % 3), sorted({int(v) - 40 for v in rng.integers(0, 90, 3 + i)}))
+            for g, n in ((1, 12), (2, 2), (3, 25)) for i in range(n)]
+    expected = {}
+    for g, i, unit, values in held:
+        others = {v for h, j, u, more in held if h == g and j != i and (unit or u) for v in more}
+        expected[g, i] = len(set(values) & others)
+    monkeypatch.setattr(near_dedup, "SLICE", limit)
+    frame = llm.createDataFrame([(*r, len(r[3])) for r in held],
+                                "target long, id long, unit boolean, values array<long>, n int")
+    found = near_dedup._shared(frame, scratch(llm), "shares")
+    found = {(r.target, r.id): r.shared for r in found.collect()}
+    assert found == expected
+    alone = near_dedup._alone(frame.withColumn("hash", F.explode("values")), ["target", "hash"],
+                              "id", ("target",)).collect()
+    alone = {(r.target, r.id): r.alone for r in alone}
+    assert all(found[g, i] == len(v) - alone.get((g, i), 0) for g, i, unit, v in held if unit)
+
+    plans, keep = {}, near_dedup.Scratch.keep
+
+    def watched(store, df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return keep(store, df, name)
+
+    monkeypatch.setattr(near_dedup.Scratch, "keep", watched)
+    rows = family_rows()
+    labels = near_dedup.near_duplicates(make(rows), 2, 80).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in labels} == brute_components(rows, 2, 80)
+    assert not any("Generate explode" in plans[name] for name in (
+        "sketch_shares", "near_units", "group_sets", "set_shares", "open_units"))
+
+
 def test_kept_documents(make, odd):
     docs = make(odd, ["id", "_dropped"])
     kept = near_dedup.kept_documents(docs, 2, 80)
