@@ -373,8 +373,9 @@ def _shared(held: DataFrame, store: Scratch, name: str) -> DataFrame:
     counts what any other row has, of a member what a unit has. ``held`` has (target, id, unit,
     n, values), a row for each class of a group, with n distinct hashes.
 
-    The hashes of a row stay together in an array. A group with more than ``SLICE`` of them is
-    dealt by hash, so that a task counts about as many and equal ones still meet."""
+    The hashes of a row stay together in an array, with 32 bits each; hashes that agree in them by
+    chance only raise the number. A group with more than ``SLICE`` of them is dealt by hash, so
+    that a task counts about as many and equal ones still meet."""
     slices = held.groupBy("target").agg(
         F.ceil(F.sum("n") / SLICE).cast("int").alias("slices"))
 
@@ -394,7 +395,8 @@ def _shared(held: DataFrame, store: Scratch, name: str) -> DataFrame:
                 [[True], (row[1:] != row[:-1]) | (place[1:] != place[:-1])]))
             kept = batch.select(["target", "id", "unit"]).take(pa.array(row[starts]))
             parts = pa.ListArray.from_arrays(
-                pa.array(np.append(starts, len(flat)), pa.int32()), pa.array(flat))
+                pa.array(np.append(starts, len(flat)), pa.int32()),
+                pa.array(flat.astype(np.int32)))
             yield pa.record_batch(
                 [*kept.columns, pa.array(place[starts].astype(np.int32)), parts],
                 names=["target", "id", "unit", "slice", "values"])
@@ -413,7 +415,7 @@ def _shared(held: DataFrame, store: Scratch, name: str) -> DataFrame:
 
     cuts = held.join(slices, "target").select(
         "target", "id", "unit", "slices", "values").mapInArrow(
-        cut, "target long, id long, unit boolean, slice int, values array<long>")
+        cut, "target long, id long, unit boolean, slice int, values array<int>")
     counts = cuts.groupBy("target", "slice").applyInArrow(
         count, "target long, id long, shared long")
     return store.keep(counts.groupBy("target", "id").agg(F.sum("shared").alias("shared")), name)
