@@ -171,14 +171,19 @@ def needed(k: int, percent: int):
 
 
 def lists(classes: DataFrame, k: int, percent: int, store: Scratch) -> DataFrame:
-    """(value, id, size): the listed hashes of each class, those with two classes or more."""
-    values = classes.select("id", "size", F.explode("sketch").alias("value"))
+    """(value, id, size): the listed hashes of each class, those with two classes or more.
+
+    Hashes travel with the number of their class and nothing else, once to those of the same value
+    and, if there are any, once to the others of their class."""
+    values = classes.select("id", F.explode("sketch").alias("value"))
     shared = values.groupBy("value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Few hashes of a class lie in one task before, so they are put together behind the shuffle.
+    found = values.join(shared, "value").select("id", "n", "value").repartition("id").groupBy(
+        "id").agg(F.sort_array(F.collect_list(F.struct("n", "value"))).alias("found"))
+    found = found.join(classes.select("id", "size"), "id")
     kept = F.least("size", F.lit(k))
     # Hashes that no other class retains come first and are listed nowhere.
     listed = kept - needed(k, percent) + 1
-    found = values.join(shared, "value").groupBy("id", "size").agg(
-        F.sort_array(F.collect_list(F.struct("n", "value"))).alias("found"))
     alone = kept - F.size("found")
     found = found.select("id", "size", F.slice(
         "found", 1, F.greatest(listed - alone, F.lit(0)).cast("int")).alias("found"))
@@ -203,11 +208,12 @@ def may_reach(a: np.ndarray, b: np.ndarray, size_a: int, size_b: int, percent: i
 
 
 def promising(pairs: DataFrame, classes: DataFrame, percent: int, k: int) -> DataFrame:
-    """Pairs (x, y) whose likeness may reach the threshold."""
-    a = classes.select(F.col("id").alias("x"), F.col("sketch").alias("sx"),
-                       F.col("size").alias("nx"))
-    b = classes.select(F.col("id").alias("y"), F.col("sketch").alias("sy"),
-                       F.col("size").alias("ny"))
+    """Pairs (x, y) whose likeness may reach the threshold. Sketches travel with the upper 32 bits
+    of their hashes, which keep their order; hashes that agree in them by chance count as equal
+    and only raise the estimate."""
+    upper = F.transform("sketch", lambda h: F.shiftright(h, 32).cast("int"))
+    a = classes.select(F.col("id").alias("x"), upper.alias("sx"), F.col("size").alias("nx"))
+    b = classes.select(F.col("id").alias("y"), upper.alias("sy"), F.col("size").alias("ny"))
 
     def estimate(batches):
         for batch in batches:
@@ -225,10 +231,18 @@ def promising(pairs: DataFrame, classes: DataFrame, percent: int, k: int) -> Dat
     return both.select("x", "y", "sx", "sy", "nx", "ny").mapInArrow(estimate, "x long, y long")
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs whose full shingle sets reach the threshold."""
-    a = texts.select(F.col("id").alias("x"), F.col("text").alias("tx"))
-    b = texts.select(F.col("id").alias("y"), F.col("text").alias("ty"))
+def confirmed(pairs: DataFrame, firsts: DataFrame, texts: DataFrame, words: int, percent: int
+              ) -> DataFrame:
+    """The pairs whose full shingle sets reach the threshold. ``firsts`` (id, doc_id, text_hash)
+    names the text of each class, and ``texts`` has it, each once. Both sides of a pair are found
+    in the same shuffle of texts, by the name of the text."""
+    def named(side: str) -> DataFrame:
+        return firsts.select(F.col("id").alias(side), F.col("doc_id").alias(f"d{side}"),
+                             F.col("text_hash").alias(f"h{side}"))
+
+    def texts_of(side: str) -> DataFrame:
+        return texts.select(F.col("doc_id").alias(f"d{side}"), F.col("text_hash").alias(f"h{side}"),
+                            F.col("text").alias(f"t{side}"))
 
     def compare(batches):
         held: tuple = (None, None)
@@ -244,7 +258,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
                 keep.append(100 * both >= percent * (len(held[1]) + len(other) - both))
             yield batch.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
 
-    both = pairs.join(a, "x").join(b, "y")
+    both = pairs.join(named("x"), "x").join(named("y"), "y")
+    both = both.join(texts_of("x"), ["dx", "hx"]).join(texts_of("y"), ["dy", "hy"])
     return both.select("x", "y", "tx", "ty").mapInArrow(compare, "x long, y long")
 
 
@@ -254,50 +269,65 @@ def class_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT
     label the smallest doc_id of it, and (id, component) of all classes that are linked with
     others, where component is the smallest label reachable."""
     store = scratch(docs.sparkSession)
-    made = store.keep(sketches(docs, words, k), "sketches")
+    # Removed at the end, and what only one step needs with that step.
+    work = store.part("work")
+    first = work.part("sketches")
+    made = first.keep(sketches(docs, words, k), "sketches")
     # A class is its set. Its first row stands for it; other texts of that doc_id do not. All its
     # rows have one sketch, which is reduced with them and travels once.
     classes = made.where("size > 0").groupBy("set_key").agg(
         F.min(F.struct("doc_id", "text_hash")).alias("first"), F.first("size").alias("size"),
         F.first("sketch").alias("sketch"))
-    classes = store.keep(classes.select(
+    classes = work.keep(classes.select(
         "set_key", F.col("first.doc_id").alias("label"), F.col("first.text_hash").alias("_hash"),
         F.monotonically_increasing_id().alias("id"), "size", "sketch"), "classes")
-    ids = classes.select("set_key", "label", "_hash", "id")
-    listed = store.keep(lists(classes, k, percent, store), "lists")
+    made = store.keep(made.select("doc_id", "text_hash", "size", "set_key"), "rows")
+    first.clear()
+    ids = store.keep(classes.select("set_key", "label", "_hash", "id"), "ids")
+    listed = work.keep(lists(classes, k, percent, work), "lists")
+
+    def firsts_of(nodes: DataFrame, step: Scratch) -> DataFrame:
+        """(id, doc_id, text_hash) of the classes in ``nodes`` (id), stored."""
+        return step.keep(ids.join(nodes, "id").select(
+            "id", F.col("label").alias("doc_id"), F.col("_hash").alias("text_hash")), "firsts")
 
     def texts_of(nodes: DataFrame) -> DataFrame:
         """(id, text) of the classes in ``nodes`` (id)."""
-        firsts = store.keep(ids.join(nodes, "id").select(
-            "id", F.col("label").alias("doc_id"), F.col("_hash").alias("text_hash")), "firsts")
-        return likely(hashed_texts(docs), firsts, store).join(
-            firsts, ["doc_id", "text_hash"]).select("id", "text").dropDuplicates(["id"])
+        firsts = firsts_of(nodes, work)
+        found = likely(hashed_texts(docs), firsts, work).join(firsts, ["doc_id", "text_hash"])
+        return found.dropDuplicates(["doc_id", "text_hash"]).select("id", "text")
 
     def test(pairs: DataFrame, name: str) -> DataFrame:
-        found = store.keep(promising(pairs, classes, percent, k), f"{name}_promising")
-        nodes = store.keep(found.select(F.explode(F.array("x", "y")).alias("id")).distinct(),
-                           f"{name}_nodes")
-        some = store.keep(texts_of(nodes), f"{name}_texts")
-        return store.keep(confirmed(found, some, words, percent), f"{name}_links")
+        step = work.part(name)
+        found = step.keep(promising(pairs, classes, percent, k), f"{name}_promising")
+        nodes = step.keep(found.select(F.explode(F.array("x", "y")).alias("id")).distinct(),
+                          f"{name}_nodes")
+        firsts = firsts_of(nodes, step)
+        # A text that repeats is kept once, in the shuffle that brings it to its pairs.
+        some = likely(hashed_texts(docs), firsts, step).dropDuplicates(["doc_id", "text_hash"])
+        links = work.keep(confirmed(found, firsts, some, words, percent), f"{name}_links")
+        step.clear()
+        return links
 
     def labelled(found: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-        found = store.keep(found, "components")
+        found = work.keep(found, "components")
         marked = rows.join(found, rows["id"] == found["node"], "left").select(
             "value", "id", "size", F.coalesce("component", "id").alias("component"))
         return found, marked
 
     links = test(_stars(listed.withColumn("component", F.col("id")), percent, None), "first")
-    found, marked = labelled(components(links, store), listed)
-    marked = store.keep(_undecided(marked.withColumn("large", F.lit(False))), "undecided")
+    found, marked = labelled(components(links, work), listed)
+    marked = work.keep(_undecided(marked.withColumn("large", F.lit(False))), "undecided")
     links = test(_stars(marked, percent, "drawn"), "drawn")
     # Components only grow, so a list that lay in one of them still does.
-    found, marked = labelled(with_links(found, links, store),
+    found, marked = labelled(with_links(found, links, work),
                              marked.select("value", "id", "size"))
     sizes = found.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
-    marked = store.keep(_undecided(_with_large(marked, sizes)), "undecided")
+    marked = work.keep(_undecided(_with_large(marked, sizes)), "undecided")
     pairs = _small_pairs(marked, percent).unionByName(
-        _large_pairs(marked, found, classes, texts_of, words, percent, k, store))
-    found = store.keep(with_links(found, test(pairs, "last"), store), "components")
+        _large_pairs(marked, found, classes, texts_of, words, percent, k, work))
+    found = store.keep(with_links(found, test(pairs, "last"), work), "components")
+    work.clear()
     members = made.join(ids, "set_key", "left").select("doc_id", "text_hash", "size", "id",
                                                        "label")
     named = found.select(F.col("node").alias("id"), F.col("component").alias("_of")).join(

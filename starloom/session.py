@@ -17,6 +17,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Files of a query's shuffles go when it ends, and not when the driver's heap is next collected:
+    # a run of many steps holds those of the step at hand. Stored steps never read them.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 
 #: For the tables of a warehouse. Sorts and hash aggregates of a task that reads one of them stay in

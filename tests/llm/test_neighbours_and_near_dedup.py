@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import replace
 
 import numpy as np
@@ -12,6 +13,7 @@ import corpus_pipeline
 from starloom.llm import near_dedup, neighbours, queries
 from starloom.llm.common import scratch
 from starloom.llm.components import components, with_links
+from starloom.session import Scratch
 
 
 def brute_nearest(rows, k, asked):
@@ -310,3 +312,65 @@ def test_texts_that_no_pair_needs_are_left_out_before_the_join(llm, make, monkey
     many = store.keep(texts.select("doc_id", "text_hash"), "all")
     assert near_dedup.likely(texts, many, store).count() == 3000
     assert near_dedup.likely(texts, store.keep(wanted.limit(0), "none"), store).count() == 0
+
+
+def test_a_run_leaves_neither_shuffles_nor_what_only_its_steps_need(llm, make, monkeypatch, tmp_path):
+    """Disk holds the step at hand: texts, sketches and files of shuffles go with it."""
+    monkeypatch.setattr(near_dedup, "scratch", lambda _: Scratch(llm, str(tmp_path / "run")))
+    rows = family_rows()
+    found = near_dedup.near_duplicates(make(rows), 2, 80)
+    left = {path.name.rsplit("-", 1)[0] for path in (tmp_path / "run").iterdir()}
+    assert left == {"rows", "ids", "components"}
+    expected = brute_components(rows, 2, 80)
+    for _ in range(2):  # what is removed with one query is made again for another
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == expected
+    disk = llm.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    files = lambda: sum("shuffle_" in str(f) for f in disk.getAllFiles().mkString(" ").split())
+    before = files()
+    assert llm.range(5000).repartition(7).groupBy(F.col("id") % 11).count().count() == 11
+    for _ in range(50):
+        if files() <= before:
+            break
+        time.sleep(0.1)
+    assert files() <= before
+
+
+@pytest.mark.parametrize("shift", [0, 58, 62])
+def test_upper_halves_of_hashes_never_lower_an_estimate(llm, shift):
+    """With many hashes that agree in their upper halves, too."""
+    rng = np.random.default_rng(shift)
+    rows, pairs = [], []
+    for i in range(60):
+        base = rng.integers(0, 1 << 63, 90, dtype=np.uint64) >> np.uint64(shift // 2)
+        for j in range(2):
+            kept = np.unique(np.concatenate([base[:int(rng.integers(20, 90))], rng.integers(
+                0, 1 << 63, 6, dtype=np.uint64) >> np.uint64(shift // 2)]))
+            rows.append((2 * i + j, len(kept), [int(h) for h in kept[:64].astype(np.int64)]))
+        pairs.append((2 * i, 2 * i + 1))
+    classes = llm.createDataFrame(rows, "id long, size long, sketch array<long>")
+    found = near_dedup.promising(llm.createDataFrame(pairs, "x long, y long"), classes, 80, 64)
+    full = {x for x, y in pairs if near_dedup.may_reach(
+        np.array(rows[x][2]), np.array(rows[y][2]), rows[x][1], rows[y][1], 80, 64)}
+    assert full and full <= {r.x for r in found.collect()}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("shiftright") == 2
+
+
+def test_texts_of_pairs_are_shuffled_once(llm, make, monkeypatch):
+    """Both sides of the pairs read one shuffle, which also drops repeated texts."""
+    plans, keep = {}, near_dedup.Scratch.keep
+
+    def watched(store, df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return keep(store, df, name)
+
+    monkeypatch.setattr(near_dedup.Scratch, "keep", watched)
+    rows = family_rows()
+    labels = near_dedup.near_duplicates(make(rows + rows[:30]), 2, 80).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in labels} == brute_components(rows, 2, 80)
+    assert len(labels) == len(rows) + 30
+    assert not any(name.endswith("_texts") for name in plans)
+    sent = [line for line in plans["first_links"].splitlines()
+            if "Exchange hashpartitioning(doc_id#" in line and "text_hash#" in line]
+    # Not more than one for each side; Spark then reuses the one for the other.
+    assert len(sent) == 2
