@@ -36,26 +36,34 @@ class Sample:
         self._twice: dict[str, P.Warehouse] = {}
         self.warehouse = P.Warehouse(spark, f"{self.scratch.root}/warehouse", self.rules)
 
-    def _stage(self, kind: P.Kind, rows: DataFrame, order: tuple[str, ...],
-               shape: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    def _rows(self, kind: P.Kind) -> dict:
+        """Rows of the given tables, their order, and what gives them the columns of a file."""
+        read, order, shape = {
+            P.SALES: (R.sales_lines, R.SALES_ORDER, R.as_sales),
+            P.CUSTOMERS: (R.customer_lines, R.CUSTOMERS_ORDER, R.as_customers),
+            P.PRODUCTS: (R.product_lines, R.PRODUCTS_ORDER, R.as_products),
+        }[kind]
+        found = {"rows": read(self.spark, self.folder), "shape": shape,
+                 "order": [F.col(name) for name in order]}
+        if kind is P.SALES:
+            found |= {"key": [F.col(name) for name in R.SALES_KEY], "settle": R.with_orders}
+        return found
+
+    def _stage(self, kind: P.Kind) -> DataFrame:
         return self.warehouse.stage_rows(
-            kind, rows, [F.col(name) for name in order], shape, f"{kind.name}.csv", R.LOAD_TIME
-        )
+            kind, source=f"{kind.name}.csv", load_time=R.LOAD_TIME, **self._rows(kind))
 
     @cached_property
     def raw_sales(self) -> DataFrame:
-        rows = R.sales_lines(self.spark, self.folder)
-        return self._stage(P.SALES, rows, R.SALES_ORDER, R.as_sales)
+        return self._stage(P.SALES)
 
     @cached_property
     def raw_customers(self) -> DataFrame:
-        rows = R.customer_lines(self.spark, self.folder)
-        return self._stage(P.CUSTOMERS, rows, R.CUSTOMERS_ORDER, R.as_customers)
+        return self._stage(P.CUSTOMERS)
 
     @cached_property
     def raw_products(self) -> DataFrame:
-        rows = R.product_lines(self.spark, self.folder)
-        return self._stage(P.PRODUCTS, rows, R.PRODUCTS_ORDER, R.as_products)
+        return self._stage(P.PRODUCTS)
 
     @cached_property
     def sales(self) -> DataFrame:
@@ -113,19 +121,27 @@ class Sample:
 
     @cached_property
     def source_files(self) -> str:
-        """All raw rows as source files, in the order in which they were staged."""
+        """All raw rows as packed source files, in the order in which they are staged. Rows that
+        this warehouse has landed are written in place, others as they are sorted, without being
+        landed and staged here first."""
         folder = self.scratch.path("incoming")
         files = self.spark._jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(
             self.spark._jsc.hadoopConfiguration())
         path = self.spark._jvm.org.apache.hadoop.fs.Path
         files.mkdirs(path(folder))
-        _ = self.raw_customers, self.raw_products, self.raw_sales
         for kind in (P.CUSTOMERS, P.PRODUCTS, P.SALES):
             written = self.scratch.path(kind.name)
-            landed = self.warehouse.landed[kind.name]
-            csv_files.write_in_place(landed, kind.file_schema.fieldNames(), written)
-            for i, part in enumerate(csv_files.placed_files(self.spark, written)):
-                files.rename(path(part), path(f"{folder}/{kind.name}_{i:05d}.csv"))
+            columns = kind.file_schema.fieldNames()
+            landed = self.warehouse.landed.get(kind.name)
+            if landed is not None:
+                csv_files.write_in_place(landed, columns, written, packed=True)
+                parts = csv_files.placed_files(self.spark, written)
+            else:
+                rows = self.warehouse.ordered_rows(kind, **self._rows(kind))
+                csv_files.write_rows(rows.select(*columns), written, packed=True)
+                parts = csv_files.sorted_files(self.spark, written)
+            for i, part in enumerate(parts):
+                files.rename(path(part), path(f"{folder}/{kind.name}_{i:05d}.csv.gz"))
         return folder
 
     @cached_property

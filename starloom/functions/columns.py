@@ -24,6 +24,11 @@ def month_of_key(key: Column) -> Column:
     return F.floor(key / 100).cast("int")
 
 
+def day_of_key(key: Column) -> Column:
+    """The day of a date key, yyyymmdd."""
+    return F.make_date(F.floor(key / 10000).cast("int"), month_of_key(key) % 100, key % 100)
+
+
 def ratio(top: Column, bottom: Column) -> Column:
     """Division that is NULL for a zero divisor, also in ANSI mode."""
     return top / F.nullif(bottom, F.lit(0).cast("int"))

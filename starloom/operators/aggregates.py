@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starloom.functions.columns import month_of_key
 from starloom.schemas import PRICE
+from starloom.session import Scratch
+
+#: Lines of a slice of days, about, and of a day that is cut.
+LINES, BUSY = 1 << 20, 1 << 22
 
 # Grain numbers inside agg_key.
 DAY, DAY_CUSTOMER, DAY_PRODUCT = 0, 1, 2
@@ -82,9 +87,14 @@ def daily_aggregates(fact: DataFrame) -> DataFrame:
         *_sums(stored=True), F.sum("orders").alias("orders"),
         F.count(F.lit(1)).alias("customers"),
     )
+    return _grains(days, F.least("orders", "bound"), customers, products)
+
+
+def _grains(days: DataFrame, day_orders: Column, customers: DataFrame, products: DataFrame
+            ) -> DataFrame:
     return reduce(DataFrame.unionByName, [
-        _finish(days, _null_key("customer_key"), _null_key("product_key"),
-                F.least("orders", "bound"), F.col("customers")),
+        _finish(days, _null_key("customer_key"), _null_key("product_key"), day_orders,
+                F.col("customers")),
         _finish(customers, F.col("customer_key"), _null_key("product_key"),
                 F.col("orders"), F.lit(1)),
         _finish(products, _null_key("customer_key"), F.col("product_key"),
@@ -92,6 +102,57 @@ def daily_aggregates(fact: DataFrame) -> DataFrame:
     ])
 
 
+def daily_by_slices(fact: DataFrame, scratch: Scratch) -> DataFrame:
+    """The same table by one shuffle of narrow lines, for facts that are stored.
+
+    The days of a month are put together in slices of about ``LINES`` lines, from their counts,
+    and every grain is rolled up where its slice lies. So a line travels once, the rows of all
+    grains not at all, and a month still gets few files. A day with ``BUSY`` lines or more is left to
+    :func:`daily_aggregates`, which reduces it before each shuffle and cuts it.
+
+    All grains start from the same aggregate, which needs all columns of the lines, so Spark
+    shuffles them once. Only the orders of a day, which map tasks reduce well, go their own way.
+    """
+    month, lines = F.col("order_month"), F.col("_lines")
+    earlier = Window.partitionBy(month).orderBy("date_key").rowsBetween(
+        Window.unboundedPreceding, -1)
+    # At most the days of the calendar.
+    days = scratch.keep(
+        fact.groupBy("date_key").agg(F.count(F.lit(1)).alias("_lines"))
+        .withColumn("order_month", month_of_key(F.col("date_key")))
+        .withColumn("_slice", F.when(lines < BUSY, F.floor(
+            F.coalesce(F.sum(lines).over(earlier), F.lit(0)) / LINES))),
+        "days")
+    busy = days.where("_slice IS NULL").select("date_key")
+    quiet = days.where("_slice IS NOT NULL").select("date_key", "order_month", "_slice")
+    place = ("order_month", "_slice", "date_key")
+    dealt = fact.select(
+        "date_key", "customer_key", "product_key", "order_id", "quantity", "total_amount",
+        "unit_price").join(F.broadcast(quiet), "date_key").repartition("order_month", "_slice")
+    parts = dealt.groupBy(*place, "customer_key", "product_key", "order_id").agg(
+        *_sums(stored=False))
+    customers = parts.groupBy(*place, "customer_key", "order_id").agg(*_sums(stored=True)).groupBy(
+        *place, "customer_key").agg(*_sums(stored=True), F.count(F.lit(1)).alias("orders"))
+    day_orders = fact.join(F.broadcast(quiet.select("date_key")), "date_key").groupBy(
+        "date_key").agg(F.count_distinct("order_id").alias("orders"))
+    day_sums = customers.groupBy(*place).agg(
+        *_sums(stored=True), F.count(F.lit(1)).alias("customers"))
+    # A fact row is unique by (order, product): within a product, rows are orders.
+    products = parts.groupBy(*place, "product_key", "customer_key").agg(
+        *_sums(stored=True), F.count(F.lit(1)).alias("orders")).groupBy(
+        *place, "product_key").agg(
+        *_sums(stored=True), F.sum("orders").alias("orders"),
+        F.count(F.lit(1)).alias("customers"))
+    made = _grains(day_sums.join(day_orders, "date_key", "left"), F.col("orders"), customers,
+                   products)
+    if not busy.head(1):
+        return made
+    # Gather each month into few files; AQE splits a busy month over tasks.
+    rest = daily_aggregates(fact.join(F.broadcast(busy), "date_key", "left_semi"))
+    return made.unionByName(rest.withColumn("_month", month_of_key(F.col("date_key"))).hint(
+        "rebalance", F.col("_month")).drop("_month"))
+
+
 def _direct_measures() -> list[Column]:
     return [
         F.sum("quantity").alias("total_quantity"),

@@ -67,8 +67,9 @@ def resolve(sales: DataFrame, customers: DataFrame, products: DataFrame, dates:
                                list(SALE_KEY), "left")
     resolved = (
         offered
-        .join(product, "product_id", "left")
+        # The cost comes last, so that fewer columns travel to the second lookup.
         .join(customer, "customer_id", "left")
+        .join(product, "product_id", "left")
         .join(calendar, "order_date", "left")
     )
     missing = reduce(lambda a, b: a | b, [

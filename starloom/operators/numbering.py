@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,15 +38,19 @@ def _slice_starts(stored: DataFrame, slices: tuple[str, ...], spot: str, scratch
         "starts")
 
 
-def slice_rows(df: DataFrame, order: list[Column]) -> DataFrame:
+def slice_rows(df: DataFrame, order: list[Column], key: list[Column] | None = None,
+               settle: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
     """Range-partition and sort by ``order``; add the slice and the place within it.
 
     A hot value of the first column is split as long as later columns tell rows apart.
+    With ``key``, the first columns of the order, rows that agree in them stay in one slice instead,
+    and ``settle`` may join or drop rows there, as long as it keeps their order.
     The two columns are only stable once the frame is stored.
     """
     spot = F.monotonically_increasing_id()
+    sorted_rows = df.repartitionByRange(*(key or order)).sortWithinPartitions(*order)
     return (
-        df.repartitionByRange(*order).sortWithinPartitions(*order)
+        settle(sorted_rows)
         .withColumn("_spot", spot)
         .withColumn("_slice", F.shiftright("_spot", _POSITION_BITS))
         .withColumn("_place", F.col("_spot") - F.shiftleft("_slice", _POSITION_BITS))

@@ -33,8 +33,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom import schemas as S
+from starloom.functions.columns import day_of_key
 from starloom.operators import dimensions, facts, loaded_keys, quality
-from starloom.operators.aggregates import daily_aggregates, with_agg_key
+from starloom.operators.aggregates import daily_aggregates, daily_by_slices, with_agg_key
 from starloom.operators.dedup import KEY, latest_carried, latest_valid_sales
 from starloom.operators.numbering import number_stored, slice_rows, with_row_ids
 from starloom.plans import checks, dimension_store
@@ -55,7 +56,7 @@ class Kind:
 
     @property
     def pattern(self) -> str:
-        return f"{self.name}*.csv"
+        return f"{self.name}{csv_files.ENDINGS}"
 
     def process(self, step: str) -> str:
         return f"{step}_{self.name.upper()}"
@@ -244,21 +245,30 @@ class Warehouse:
             raw = csv_files.with_lineage(numbered, load_time, csv_files.malformed())
             self._stage(kind, path, raw)
 
-    def stage_rows(self, kind: Kind, rows: DataFrame, order: list[Column],
-                   shape: Callable[[DataFrame], DataFrame], source: str,
-                   load_time: dt.datetime) -> DataFrame:
-        """Stage rows that come from a table; ``order`` stands in for the file position.
+    def ordered_rows(self, kind: Kind, rows: DataFrame, order: list[Column],
+                     shape: Callable[[DataFrame], DataFrame], **places) -> DataFrame:
+        """Rows of a table in an order, with the columns of a source file, slice and place.
 
         ``shape`` gives the ordered rows the columns of the file and a file name; it runs
         after the shuffle, which then carries no derived text. Missing columns are NULL.
-        Returns the rows as staged, before cleaning.
+        ``places`` are further arguments of :func:`slice_rows`.
         """
-        sliced = shape(slice_rows(rows, order))
-        landed = self.scratch.keep(sliced.select(*[
+        sliced = shape(slice_rows(rows, order, **places))
+        return sliced.select(*[
             F.col(field.name) if field.name in sliced.columns
             else F.lit(None).cast(field.dataType).alias(field.name)
             for field in kind.file_schema.fields
-        ], csv_files.FILE, "_slice", "_place"), f"landed_{kind.name}")
+        ], csv_files.FILE, "_slice", "_place")
+
+    def stage_rows(self, kind: Kind, rows: DataFrame, order: list[Column],
+                   shape: Callable[[DataFrame], DataFrame], source: str,
+                   load_time: dt.datetime, **places) -> DataFrame:
+        """Stage rows that come from a table; ``order`` stands in for the file position.
+
+        Returns the rows as staged, before cleaning.
+        """
+        landed = self.scratch.keep(self.ordered_rows(kind, rows, order, shape, **places),
+                                   f"landed_{kind.name}")
         self.landed[kind.name] = landed
         numbered = number_stored(landed, "staging_id", self.scratch, self._staged_rows(kind))
         filled = numbered.select("staging_id", *kind.file_schema.fieldNames(), csv_files.FILE)
@@ -359,12 +369,13 @@ class Warehouse:
             facts.fates(stored).write.parquet(f"{self.root}/sale_fates/load_run={process_id}")
             rows = facts.accepted(stored)
             # Ranges of the whole order: a busy day is cut by order id, and keys depend on
-            # the rows alone.
-            numbered = with_row_ids(rows.select(*facts.FACT_PARTS),
+            # the rows alone. The day does not travel, as it follows from its key.
+            numbered = with_row_ids(rows.select(*facts.FACT_PARTS).drop("order_date"),
                                     [F.col(name) for name in facts.LOAD_ORDER], "sales_key",
                                     step, last)
+            dated = numbered.withColumn("order_date", day_of_key(F.col("date_key")))
             fact = facts.with_month(
-                facts.with_measures(numbered).select(*S.FACT_SALES.fieldNames()))
+                facts.with_measures(dated).select(*S.FACT_SALES.fieldNames()))
             fact.write.partitionBy("order_month").parquet(path)
             count = rows.count()
             keys = rows.select(*loaded_keys.SALE_KEY)
@@ -387,15 +398,18 @@ class Warehouse:
             "process_id").orderBy("process_id").collect()
         return [row.process_id for row in rows]
 
-    def loaded_keys(self, sales: DataFrame, runs: list[int]) -> DataFrame:
+    def loaded_keys(self, sales: DataFrame, runs: list[int], step: Scratch | None = None
+                    ) -> DataFrame:
         """Keys that the given fact loads hold, from the buckets that their filters do not rule
-        out for the stored ``sales``: no other key of a sale can be loaded."""
+        out for the stored ``sales``: no other key of a sale can be loaded. With a scratch folder
+        the keys of ``sales`` are stored, and the result has only those of them."""
         def stored(table: str, schema: str, of: list[int]) -> DataFrame:
             base = f"{self.root}/{table}"
             return self.spark.read.schema(schema).option("basePath", base).parquet(
                 *[f"{base}/load_run={run}" for run in of])
 
-        keys = loaded_keys.with_key(sales)
+        keys = loaded_keys.with_key(sales) if step is None else step.keep(
+            loaded_keys.keys_of(sales), "offered_keys")
         filters = stored("fact_filters", loaded_keys.FILTER_SCHEMA, runs)
         # Partition names only: a few dozen levels at most.
         levels = [row.level for row in filters.select("level").distinct().collect()]
@@ -404,8 +418,11 @@ class Warehouse:
         if not places:
             return keys.limit(0)
         chosen = stored("fact_keys", loaded_keys.KEYS_SCHEMA, sorted({run for run, _ in places}))
+        chosen = chosen.where(loaded_keys.selected(places))
+        if step is not None:
+            return loaded_keys.found(chosen, keys)
         # A sale loads once, so these are distinct.
-        return chosen.where(loaded_keys.selected(places)).select(*loaded_keys.SALE_KEY)
+        return chosen.select(*loaded_keys.SALE_KEY)
 
     def load_aggregates(self, rebuild: bool = True) -> None:
         """Write the daily aggregates: all of them, or the months with facts that the
@@ -425,12 +442,10 @@ class Warehouse:
 
         def work(process_id: int) -> list[dict]:
             path = f"{self.root}/agg_sales_daily/load_run={process_id}"
-            # Gather each month into few files; AQE splits a busy month over tasks. Keys follow
-            # from the rows and are added behind the shuffle.
-            gathered = facts.with_month(daily_aggregates(fact)).hint(
-                "rebalance", F.col("order_month"))
-            daily = facts.with_month(with_agg_key(gathered))
+            step = self.scratch.part("aggregates")
+            daily = facts.with_month(with_agg_key(daily_by_slices(fact, step)))
             daily.write.partitionBy("order_month").parquet(path)
+            step.clear()
             written = self.spark.read.schema(daily.schema).parquet(path)
             # Bounded by the months of the calendar.
             for row in written.select("order_month").distinct().collect():

@@ -13,6 +13,8 @@ from starloom import schemas as S
 CORRUPT = "_corrupt_record"
 # Where a row stood: its file, the split of the file, and the running number within a task.
 FILE, SPLIT, SPOT = "file_name", "_split_start", "_spot"
+# Names of source files end so.
+ENDINGS = "*{.csv,.csv.gz}"
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
@@ -34,33 +36,44 @@ def csv_options(multi_line: bool = False) -> dict[str, object]:
             "multiLine": multi_line}
 
 
-def write_rows(rows: DataFrame, path: str, by: tuple[str, ...] = ()) -> None:
+def write_rows(rows: DataFrame, path: str, by: tuple[str, ...] = (), packed: bool = False) -> None:
     """Write rows as CSV files which :func:`read_rows` gives back as they were, in folders by the
-    columns ``by``, which the files leave out."""
+    columns ``by``, which the files leave out. With ``packed`` they are gzip files, each of which
+    is read by one task: for rows that are dealt out in parts of bounded size."""
     writer = rows.write.partitionBy(*by) if by else rows.write
     writer.options(header=True, dateFormat="yyyy-MM-dd", escape='"',
+                   compression="gzip" if packed else "none",
                    ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
-def write_in_place(landed: DataFrame, columns: list[str], path: str) -> None:
+def write_in_place(landed: DataFrame, columns: list[str], path: str, packed: bool = False) -> None:
     """Write the rows of a stored frame with ``_slice`` and ``_place`` as CSV files, a folder for
     each slice and split of its file. A split is read by one task, so no row is shuffled."""
     rows = landed.select(*columns, "_slice", "_place",
                          F.col("_metadata.file_block_start").alias(SPLIT))
     ordered = rows.sortWithinPartitions("_slice", SPLIT, "_place")
-    write_rows(ordered.drop("_place"), path, ("_slice", SPLIT))
+    write_rows(ordered.drop("_place"), path, ("_slice", SPLIT), packed)
 
 
 def placed_files(spark: SparkSession, path: str) -> list[str]:
     """The files of :func:`write_in_place` in the order of their rows; few for each slice."""
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_slice=*/{SPLIT}=*/*.csv")
-    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_slice=*/{SPLIT}=*/{ENDINGS}")
 
     def place(name: str) -> tuple:
         *_, slice_, split, file = name.split("/")
         return int(slice_.split("=")[1]), int(split.split("=")[1]), file
 
-    return sorted((status.getPath().toString() for status in found), key=place)
+    return sorted(_found(spark, pattern), key=place)
+
+
+def sorted_files(spark: SparkSession, path: str) -> list[str]:
+    """The files of :func:`write_rows`, one for each task, in the order of the tasks."""
+    return sorted(_found(spark, spark._jvm.org.apache.hadoop.fs.Path(f"{path}/part-{ENDINGS}")))
+
+
+def _found(spark: SparkSession, pattern) -> list[str]:
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    return [status.getPath().toString() for status in found]
 
 
 def located(rows: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import replace
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starloom.schemas import AMOUNT, PRICE, Rules
@@ -25,9 +25,9 @@ LOAD_TIME = dt.datetime(2001, 6, 30, 2, 0, tzinfo=dt.timezone.utc)
 _LINE = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
          "l_quantity", "l_shipdate", "l_discount", "l_tax")
 # The place in the table's files tells equal rows apart, so that a range of copies can be
-# split over tasks.
+# split over tasks. Lines stay with their order, which has few of them.
 _PLACE = ("_file", "_row")
-SALES_ORDER = (*_LINE, *_PLACE)
+SALES_ORDER, SALES_KEY = _LINE, ("l_orderkey",)
 CUSTOMERS_ORDER = ("c_custkey", *_PLACE)
 PRODUCTS_ORDER = ("p_partkey", *_PLACE)
 
@@ -50,13 +50,23 @@ def _from_cents(cents: Column, kind) -> Column:
 
 
 def sales_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Order lines with customer and date of their order."""
-    lines = _placed(_table(spark, folder, "lineitem")).select(*SALES_ORDER)
+    """Order lines, and a row for each order. Both travel once, to the place of the order in
+    the sorted lines, where :func:`with_orders` joins them."""
+    lines = _table(spark, folder, "lineitem").select(*_LINE, F.lit(False).alias("_is_order"))
     orders = _table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey",
-        F.col("o_orderdate").cast("date").alias("order_date"),
+        F.col("o_orderdate").cast("date").alias("order_date"), F.lit(True).alias("_is_order"),
     )
-    return lines.join(orders, "l_orderkey")
+    return lines.unionByName(orders, allowMissingColumns=True).where("l_orderkey IS NOT NULL")
+
+
+def with_orders(rows: DataFrame) -> DataFrame:
+    """Order lines with customer and date of their order: the inner join of the lines and orders
+    in ``rows``, whose rows of one order lie together. It keeps their order."""
+    order = F.when(F.col("_is_order"), F.struct("o_custkey", "order_date"))
+    orders = F.collect_list(order).over(Window.partitionBy("l_orderkey"))
+    return rows.withColumn("_orders", orders).where(~F.col("_is_order")).select(
+        *_LINE, F.inline("_orders"))
 
 
 def as_sales(lines: DataFrame) -> DataFrame:

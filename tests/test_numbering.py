@@ -5,7 +5,8 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from starloom.operators.numbering import number_stored, spread_ranks, with_row_ids
+from starloom.operators.numbering import number_stored, slice_rows, spread_ranks, with_row_ids
+from starloom.sources import retail_tables
 
 
 def test_numbers_are_dense_and_ordered(spark, scratch):
@@ -64,3 +65,40 @@ def test_slice_starts_are_not_hinted(spark, scratch):
                                                F.col("id").alias("_place")), "r")
     logical = number_stored(rows, "n", scratch)._jdf.queryExecution().logical().toString()
     assert "UnresolvedHint" not in logical and "ResolvedHint" not in logical
+
+
+def test_orders_meet_their_lines_in_the_shuffle_that_sorts_them(spark, tmp_path):
+    """An inner join by one shuffle: lines without an order, orders without lines or sent twice, and
+    missing keys."""
+    rng = random.Random(3)
+    lines = [(rng.choice([None, *range(40)]), rng.randrange(9), rng.randrange(1, 8), 2.0,
+              rng.randrange(900) / 4, "2024-01-01") for _ in range(400)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, "
+                                 "l_extendedprice double, l_shipdate string").selectExpr(
+        "*", "1L AS l_suppkey", "0.1D AS l_discount", "0.0D AS l_tax").write.parquet(
+        str(tmp_path / "lineitem.parquet"))
+    orders = [(k, rng.randrange(5), f"2024-02-0{k % 9 + 1} 00:00:00") for k in range(10, 60)]
+    orders += [(12, 77, None), (13, None, "2024-02-01 00:00:00"), (None, 1, "2024-02-01 00:00:00")]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate string").withColumn(
+        "o_orderdate", F.col("o_orderdate").cast("timestamp")).write.parquet(
+        str(tmp_path / "orders.parquet"))
+    sliced = slice_rows(retail_tables.sales_lines(spark, str(tmp_path)),
+                        [F.col(n) for n in retail_tables.SALES_ORDER],
+                        [F.col(n) for n in retail_tables.SALES_KEY], retail_tables.with_orders)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = sorted(sliced.collect(), key=lambda r: (r["_slice"], r["_place"]))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len({r["_slice"] for r in found}) > 1
+    expected = [(k, n, p, price, c, str(d)[:10] if d else None) for k, p, n, _, price, _ in lines
+                for o, c, d in orders if k is not None and k == o]
+    of = lambda r: (r.l_orderkey, r.l_linenumber, r.l_partkey, r.l_extendedprice)
+    assert sorted(map(str, expected)) == sorted(str((
+        *of(r), r.o_custkey, str(r.order_date) if r.order_date else None)) for r in found)
+    assert [of(r) for r in found] == sorted(of(r) for r in found)
+    for number in {r["_slice"] for r in found}:
+        places = [r["_place"] for r in found if r["_slice"] == number]
+        assert places == list(range(len(places)))
+    plan = sliced._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange") == 1 and "Join" not in plan

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from starloom import schemas as S
 from starloom.operators import facts
 from starloom.operators.dimensions import CUSTOMER, PRODUCT
+from starloom.operators.numbering import slice_rows
 from starloom.plans import pipeline as P
 from starloom.plans.pipeline import Warehouse
 from starloom.sources import csv_files
@@ -395,3 +396,29 @@ def test_loads_without_facts_or_held_sales_send_no_keys(site, monkeypatch):
     site.put(sales_3=HEADER + "S-302,2023-10-01,K-cho,P-bench,1,98.00,98.00\n").incremental(DAY2)
     assert len(site.loaded()) == COUNT + 1
     site.sound()
+
+
+def test_packed_source_files_are_read_like_others(spark, tmp_path):
+    """By a full run and by a stream, in the order of the tasks that wrote them."""
+    rows = spark.createDataFrame(
+        [(f"O-{i:04d}", dt.date(2023, 5, 1 + i % 20), "K-ada", "P-comb", 1, None, None)
+         for i in range(300)], S.SALES_FILE)
+    sliced = slice_rows(rows, [F.col("order_id")])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        csv_files.write_rows(sliced.drop("_slice", "_place"), str(tmp_path / "files"), packed=True)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = csv_files.sorted_files(spark, str(tmp_path / "files"))
+    assert len(files) > 1 and all(name.endswith(".csv.gz") for name in files)
+    site = Site(spark, tmp_path / "site").mini()
+    for i, name in enumerate(files):
+        Path(name.removeprefix("file:")).rename(site.source / f"sales_9{i:05d}.csv.gz")
+    site.full()
+    staged = site.warehouse.staged(P.SALES).where("file_name LIKE 'sales_9%'")
+    ids = [r.order_id for r in staged.orderBy("staging_id").collect()]
+    assert ids == [f"O-{i:04d}" for i in range(300)]
+    other = Warehouse(spark, str(tmp_path / "streamed"))
+    filestream.run_available(other, str(site.source), str(tmp_path / "marks"), DAY1)
+    assert other.staged(P.SALES).count() == site.warehouse.staged(P.SALES).count()
+    assert other.fact().count() == site.warehouse.fact().count() == COUNT

@@ -203,3 +203,27 @@ def test_invariants_find_faults(spark, dates):
     assert found["fact key repeated"] == 1
     assert found["facts without customer"] == 1
     assert found["facts without date"] == 0
+
+
+@pytest.mark.parametrize("lines, busy", [(1 << 20, 1 << 22), (10, 1 << 22), (10, 20), (1, 1)])
+def test_aggregates_by_slices_agree(spark, scratch, monkeypatch, lines, busy):
+    """Slices of a month or a few days, and days that are cut, some or all."""
+    monkeypatch.setattr(aggregates, "LINES", lines)
+    monkeypatch.setattr(aggregates, "BUSY", busy)
+    rng = random.Random(5)
+    keys = {(rng.randrange(60), rng.randrange(6)) for _ in range(250)}
+    rows = [(day(f"2024-0{rng.randrange(1, 4)}-0{rng.randrange(1, 6)}"), rng.randrange(5), p,
+             f"o{o}", f"{rng.randrange(1, 900)}.{rng.randrange(100):02d}") for o, p in sorted(keys)]
+    fact = scratch.keep(fact_rows(spark, rows), "facts_of_days")
+    made = aggregates.daily_by_slices(fact, scratch).select(*aggregates.COLUMNS)
+    ours, theirs = (sorted(map(str, map(tuple, f.collect())))
+                    for f in (made, aggregates.daily_aggregates(fact).select(*aggregates.COLUMNS)))
+    assert ours == theirs
+    if busy > 250:
+        # Lines travel once for all grains but the orders of a day, and grains not at all.
+        plan = made._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        sent = [line for line in plan.splitlines()
+                if "- Exchange hashpartitioning(order_month" in line]
+        assert len(sent) == 1 and "REPARTITION_BY_COL" in sent[0] and "ReusedExchange" in plan
+        assert "REBALANCE" not in plan
+    assert aggregates.daily_by_slices(fact.limit(0), scratch).count() == 0
